@@ -53,9 +53,13 @@ def lc_valid(lc: Column) -> Column:
     return F.filter(lc, is_valid)
 
 
-def lc_same_band(lc: Column) -> Column:
-    """L4: valid points in the band of the newest point."""
-    last_fid = lc_last(lc)["fid"]
+def lc_same_band(lc: Column, last_fid: Column | None = None) -> Column:
+    """L4: valid points in the band of the newest point.
+
+    Pass ``last_fid`` (the current measurement's band, e.g. ``candidate.fid``)
+    when ``lc`` is an expression rather than a column: the lambda would
+    otherwise rebuild ``lc`` for every element."""
+    last_fid = last_fid if last_fid is not None else lc_last(lc)["fid"]
     return F.filter(lc, lambda p: is_valid(p) & (p["fid"] == last_fid))
 
 
@@ -136,3 +140,135 @@ def band_mean_color(v: Column) -> Column:
 def lc_no_known_sso(v: Column) -> Column:
     """No valid point carries a solar-system object name."""
     return F.forall(v, lambda p: F.coalesce(p["ssnamenr"], F.lit("null")) == "null")
+
+
+# ---------------------------------------------------------------------------
+# single-pass folds: every statistic a filter needs from one array in one
+# `aggregate`, so the (possibly inlined) array expression is referenced once.
+# Catalyst inlines projections into pushed-down filters; an array referenced
+# k times would then be rebuilt k times per row.
+# ---------------------------------------------------------------------------
+
+def _null_d() -> Column:
+    return F.lit(None).cast("double")
+
+
+def fold_valid_pair(lc: Column) -> Column:
+    """struct(prev_jd, last_jd) of the last two valid points, any band."""
+    init = F.struct(_null_d().alias("prev_jd"), _null_d().alias("last_jd"))
+    return F.aggregate(lc, init, lambda acc, p: F.when(
+        is_valid(p), F.struct(acc["last_jd"].alias("prev_jd"), p["jd"].alias("last_jd"))).otherwise(acc))
+
+
+def days_since_last_fold(lc: Column) -> Column:
+    """L8 as a single pass: NULL with fewer than two valid points."""
+    return F.aggregate(
+        lc, F.struct(_null_d().alias("prev_jd"), _null_d().alias("last_jd")),
+        lambda acc, p: F.when(is_valid(p), F.struct(acc["last_jd"].alias("prev_jd"),
+                                                    p["jd"].alias("last_jd"))).otherwise(acc),
+        lambda acc: acc["last_jd"] - acc["prev_jd"])
+
+
+def fold_orphan(lc: Column) -> Column:
+    """All light-curve terms of the orphan-GRB filter (L10-L15) in one pass.
+
+    Returns struct(n_valid, all_faint, exactly3, span3, valid_rate, color_ok,
+    no_known_sso); the 1st/2nd/3rd valid points are captured while counting.
+    """
+    zero_l = F.lit(0).cast("long")
+    pt_null = F.lit(None).cast("struct<jd:double,fid:bigint,mag:double>")
+    init = F.struct(zero_l.alias("n"), zero_l.alias("n_bright"), pt_null.alias("v0"), pt_null.alias("v1"),
+                    pt_null.alias("v2"), d(0.0).alias("sg"), zero_l.alias("ng"), d(0.0).alias("sr"),
+                    zero_l.alias("nr"), zero_l.alias("n_sso"))
+
+    def merge(acc, p):
+        me = F.struct(p["jd"].alias("jd"), p["fid"].cast("long").alias("fid"), p["magpsf"].alias("mag"))
+        g = p["fid"].cast("long") == 1
+        r = p["fid"].cast("long") == 2
+        upd = F.struct(
+            (acc["n"] + 1).alias("n"),
+            (acc["n_bright"] + F.when(~(p["magpsf"] > d(18.0)), 1).otherwise(0)).alias("n_bright"),
+            F.when(acc["n"] == 0, me).otherwise(acc["v0"]).alias("v0"),
+            F.when(acc["n"] == 1, me).otherwise(acc["v1"]).alias("v1"),
+            F.when(acc["n"] == 2, me).otherwise(acc["v2"]).alias("v2"),
+            (acc["sg"] + F.when(g, p["magpsf"]).otherwise(d(0.0))).alias("sg"),
+            (acc["ng"] + F.when(g, 1).otherwise(0)).alias("ng"),
+            (acc["sr"] + F.when(r, p["magpsf"]).otherwise(d(0.0))).alias("sr"),
+            (acc["nr"] + F.when(r, 1).otherwise(0)).alias("nr"),
+            (acc["n_sso"] + F.when(F.coalesce(p["ssnamenr"], F.lit("null")) != "null", 1).otherwise(0))
+            .alias("n_sso"),
+        )
+        return F.when(is_valid(p), upd).otherwise(acc)
+
+    def finish(acc):
+        three = acc["n"] == 3
+        v0, v1, v2 = acc["v0"], acc["v1"], acc["v2"]
+        rate = (F.when(v1["fid"] == v2["fid"], (v2["mag"] - v1["mag"]) > 0)
+                .when(v2["fid"] > v1["fid"], (v1["mag"] - v2["mag"]) <= d(0.3))
+                .otherwise((v2["mag"] - v1["mag"]) > 0))
+        mean_g = F.when(acc["ng"] > 0, acc["sg"] / acc["ng"])
+        mean_r = F.when(acc["nr"] > 0, acc["sr"] / acc["nr"])
+        return F.struct(
+            acc["n"].alias("n_valid"),
+            (acc["n_bright"] == 0).alias("all_faint"),
+            three.alias("exactly3"),
+            flag(three & ((v2["jd"] - v0["jd"]) < d(10.0))).alias("span3"),
+            flag(three & rate).alias("valid_rate"),
+            flag((mean_g - mean_r) >= 0).alias("color_ok"),
+            (acc["n_sso"] == 0).alias("no_known_sso"),
+            mean_g.alias("mean_g"), mean_r.alias("mean_r"),
+        )
+
+    return F.aggregate(lc, init, merge, finish)
+
+
+def fold_rate(dc_pts: Column, max_mag: float = 21.0, min_span: float = 0.5) -> Column:
+    """Rate statistics over same-band DC points (struct(jd, mag, err)) in one pass.
+
+    Points brighter than ``max_mag`` enter a weighted straight-line fit (A4;
+    weights 1/err^2, x and y centred on the first kept point).  Returns
+    struct(n_points, n_fit, span, ok, slope, slope_var, last_mag, last_err):
+    ``ok`` = at least two kept points spanning more than ``min_span`` days;
+    ``slope_var`` is the slope variance scaled by chi2/(n-2) (NULL for n <= 2);
+    ``last_*`` is the newest point whatever its magnitude.
+    """
+    zero = d(0.0)
+    zl = F.lit(0).cast("long")
+    init = F.struct(zl.alias("np"), zl.alias("n"), _null_d().alias("x0"), _null_d().alias("y0"),
+                    _null_d().alias("x_last"), zero.alias("sw"), zero.alias("sx"), zero.alias("sy"),
+                    zero.alias("sxx"), zero.alias("sxy"), zero.alias("syy"),
+                    _null_d().alias("last_mag"), _null_d().alias("last_err"))
+
+    def merge(acc, q):
+        keep = q["mag"] < d(max_mag)
+        x0 = F.coalesce(acc["x0"], q["jd"])
+        y0 = F.coalesce(acc["y0"], q["mag"])
+        w = d(1.0) / F.pow(q["err"], 2)
+        x = q["jd"] - x0
+        y = q["mag"] - y0
+        fit = F.struct(
+            (acc["np"] + 1).alias("np"), (acc["n"] + 1).alias("n"), x0.alias("x0"), y0.alias("y0"),
+            q["jd"].alias("x_last"),
+            (acc["sw"] + w).alias("sw"), (acc["sx"] + w * x).alias("sx"), (acc["sy"] + w * y).alias("sy"),
+            (acc["sxx"] + w * x * x).alias("sxx"), (acc["sxy"] + w * x * y).alias("sxy"),
+            (acc["syy"] + w * y * y).alias("syy"),
+            q["mag"].alias("last_mag"), q["err"].alias("last_err"))
+        skip = acc.withField("np", acc["np"] + 1).withField("last_mag", q["mag"]) \
+                  .withField("last_err", q["err"])
+        return F.when(flag(keep), fit).otherwise(skip)
+
+    def finish(acc):
+        den = F.nullif(acc["sw"] * acc["sxx"] - acc["sx"] * acc["sx"], zero)
+        slope = (acc["sw"] * acc["sxy"] - acc["sx"] * acc["sy"]) / den
+        icpt = (acc["sy"] - slope * acc["sx"]) / acc["sw"]
+        chi2 = acc["syy"] - slope * acc["sxy"] - icpt * acc["sy"]
+        span = acc["x_last"] - acc["x0"]
+        ok = flag((acc["n"] >= 2) & (span > d(min_span)))
+        return F.struct(
+            acc["np"].alias("n_points"), acc["n"].alias("n_fit"), span.alias("span"), ok.alias("ok"),
+            F.when(ok, slope).alias("slope"),
+            F.when(ok & (acc["n"] > 2), acc["sw"] / den * F.greatest(chi2, zero) / (acc["n"] - 2))
+            .alias("slope_var"),
+            acc["last_mag"].alias("last_mag"), acc["last_err"].alias("last_err"))
+
+    return F.aggregate(dc_pts, init, merge, finish)

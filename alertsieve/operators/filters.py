@@ -141,12 +141,14 @@ def rate_kn_cuts(df: DataFrame) -> Column:
 
 
 def orphan_grb(df: DataFrame, lc: Column | None = None) -> Column:
-    """orphan GRB afterglow candidates (light-curve shape)."""
+    """orphan GRB afterglow candidates (light-curve shape).
+
+    The light curve is folded once (``fold_orphan``) into every term of the
+    filter; the age cut comes first so most rows never fold their history."""
     lc = lc if lc is not None else L.lc_concat(df)
-    v = L.lc_valid(lc)
-    return (le(age(df), 30.0) & L.lc_all_faint(v, 18.0) & L.lc_exactly(v, 3)
-            & L.lc_span3(v, 10.0) & L.valid_rate(v) & L.band_mean_color(v)
-            & L.lc_no_known_sso(v))
+    t = L.fold_orphan(lc)
+    return le(age(df), 30.0) & F.when(le(age(df), 30.0), t["all_faint"] & t["exactly3"] & t["span3"]
+                                      & t["valid_rate"] & t["color_ok"] & t["no_known_sso"])
 
 
 # ---------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import lightcurve as L
 from ..functions.columns import d, resolve
-from ..functions.photometry import abs_mag, dc_mag, two_point_rate, weighted_fit
+from ..functions.photometry import abs_mag, dc_mag, two_point_rate
 from ..functions.sky import ang_sep, galactic_lat
 from . import filters as FL
 from .skyjoin import DEFAULT_CELL_DEG, cone_join, explode_catalogue
@@ -140,28 +140,27 @@ def early_kn_candidates(alerts: DataFrame, galaxies: DataFrame, sky_objects: Dat
 # ---------------------------------------------------------------------------
 
 def rate_kn_fit(alerts: DataFrame) -> DataFrame:
-    """F13 cuts, then the same-band DC light curve and its weighted slope (A4)."""
+    """F13 cuts, then the same-band DC light curve and its weighted slope (A4).
+
+    One fold over the DC points yields the fit, its span and the newest
+    magnitude; the light curve expression is referenced exactly once, so a
+    filter on ``rate`` pushed below this projection stays linear in size.
+    """
     cut = alerts.filter(FL.rate_kn_cuts(alerts))
     c = lambda n: resolve(cut, n)
     lc = L.lc_concat(cut)
-    dc_pts = L.with_dc(L.lc_same_band(lc))
-    pts = L.lc_outlier_cut(dc_pts, RATE_MAX_MAG)
-    fit_ok = (F.size(pts) >= 2) & (L.lc_span(pts) > d(RATE_MIN_SPAN_DAYS))
+    fit = L.fold_rate(L.with_dc(L.lc_same_band(lc, c("fid").cast("long"))), RATE_MAX_MAG, RATE_MIN_SPAN_DAYS)
     staged = cut.select(
         *_alert_core(cut),
         c("rf_snia_vs_nonia").alias("rf_snia_vs_nonia"), c("snn_snia_vs_nonia").alias("snn_snia_vs_nonia"),
         c("snn_sn_vs_all").alias("snn_sn_vs_all"),
-        L.days_since_last(lc).alias("days_since_last"),
-        dc_pts.alias("_dc"), pts.alias("_pts"), fit_ok.alias("_ok"))
-    fit = weighted_fit(F.col("_pts"))
-    last = F.try_element_at(F.col("_dc"), F.lit(-1))
+        L.days_since_last_fold(L.lc_concat(cut)).alias("days_since_last"), fit.alias("_fit"))
     return staged.select(
         *[F.col(x) for x in staged.columns if not x.startswith("_")],
-        F.when(F.col("_ok"), fit["slope"]).alias("rate"),
-        F.when(F.col("_ok"), fit["slope_var"]).alias("sigma_rate"),
-        F.size(F.col("_pts")).cast("long").alias("n_fit"),
-        F.when(F.size(F.col("_dc")) >= 2, last["mag"]).alias("mag"),
-        F.when(F.size(F.col("_dc")) >= 2, last["err"]).alias("err_mag"),
+        F.col("_fit.slope").alias("rate"), F.col("_fit.slope_var").alias("sigma_rate"),
+        F.col("_fit.n_fit").alias("n_fit"),
+        F.when(F.col("_fit.n_points") >= 2, F.col("_fit.last_mag")).alias("mag"),
+        F.when(F.col("_fit.n_points") >= 2, F.col("_fit.last_err")).alias("err_mag"),
     )
 
 
@@ -181,20 +180,18 @@ def kn_message_rows(alerts: DataFrame) -> DataFrame:
     magnitude and the two-point rate (A5)."""
     kn = alerts.filter(FL.kn_candidates(alerts))
     c = lambda n: resolve(kn, n)
-    lc = L.lc_concat(kn)
-    sb = L.lc_same_band(lc)
+    tail = L.with_dc(L.lc_tail2(L.lc_same_band(L.lc_concat(kn), c("fid").cast("long"))))
     staged = kn.select(
         *_alert_core(kn),
         c("rf_kn_vs_nonkn").alias("rf_kn_vs_nonkn"), c("rf_snia_vs_nonia").alias("rf_snia_vs_nonia"),
         c("snn_snia_vs_nonia").alias("snn_snia_vs_nonia"), c("snn_sn_vs_all").alias("snn_sn_vs_all"),
-        L.days_since_last(lc).alias("days_since_last"),
-        L.with_dc(L.lc_tail2(sb)).alias("_tail"))
-    rate = two_point_rate(F.col("_tail"))
-    last = F.element_at(F.col("_tail"), -1)
-    return (staged.filter(F.col("_tail").isNotNull())
+        L.days_since_last_fold(L.lc_concat(kn)).alias("days_since_last"),
+        F.when(tail.isNotNull(), F.struct(tail.alias("t"), two_point_rate(tail).alias("r"))).alias("_m"))
+    return (staged.filter(F.col("_m").isNotNull())
             .select(*[F.col(x) for x in staged.columns if not x.startswith("_")],
-                    last["mag"].alias("mag"), last["err"].alias("err_mag"),
-                    rate["rate"].alias("rate"), rate["rate_err"].alias("rate_err")))
+                    F.element_at(F.col("_m.t"), -1)["mag"].alias("mag"),
+                    F.element_at(F.col("_m.t"), -1)["err"].alias("err_mag"),
+                    F.col("_m.r.rate").alias("rate"), F.col("_m.r.rate_err").alias("rate_err")))
 
 
 def gal_lat_col() -> F.Column:
