@@ -272,3 +272,122 @@ def fold_rate(dc_pts: Column, max_mag: float = 21.0, min_span: float = 0.5) -> C
             acc["last_mag"].alias("last_mag"), acc["last_err"].alias("last_err"))
 
     return F.aggregate(dc_pts, init, merge, finish)
+
+
+# ---------------------------------------------------------------------------
+# Spark SQL text forms.  Building a lambda-rich Column node by node costs one
+# JVM round trip per node; the same expression as SQL text is one call.  The
+# hot paths (filters, fits) use these; the Column functions above remain the
+# composable API.  Semantics and operation order are identical.
+# ---------------------------------------------------------------------------
+
+_CASTS = {"jd": "DOUBLE", "fid": "BIGINT", "magpsf": "DOUBLE", "sigmapsf": "DOUBLE", "magnr": "DOUBLE",
+          "sigmagnr": "DOUBLE", "magzpsci": "DOUBLE", "isdiffpos": "STRING", "ssnamenr": "STRING"}
+
+
+def _point_sql(src: str) -> str:
+    return "named_struct(" + ", ".join(f"'{f}', CAST({src}.{f} AS {t})" for f, t in _CASTS.items()) + ")"
+
+
+def lc_concat_sql(history: str = "prv_candidates", struct: str = "candidate") -> str:
+    """L1 as SQL text."""
+    return (f"concat(transform(coalesce({history}, array()), p -> {_point_sql('p')}), "
+            f"array({_point_sql(struct)}))")
+
+
+def valid_sql(p: str = "p") -> str:
+    return f"({p}.magpsf IS NOT NULL AND NOT isnan({p}.magpsf))"
+
+
+def same_band_sql(lc: str, last_fid: str) -> str:
+    """L4 as SQL text (``last_fid``: the current measurement's band)."""
+    return f"filter({lc}, p -> {valid_sql('p')} AND p.fid = {last_fid})"
+
+
+def with_dc_sql(a: str) -> str:
+    """Points -> struct(jd, mag, err) with the DC magnitude (same algebra as ``dc_mag``)."""
+    fluxes = (f"transform({a}, p -> named_struct("
+              "'jd', p.jd, "
+              "'zp', nanvl(p.magzpsci, CAST(NULL AS DOUBLE)), "
+              "'fr', POWER(10.0D, -0.4D * (nanvl(p.magnr, CAST(NULL AS DOUBLE)) - nanvl(p.magzpsci, CAST(NULL AS DOUBLE)))), "
+              "'fd', POWER(10.0D, -0.4D * (nanvl(p.magpsf, CAST(NULL AS DOUBLE)) - nanvl(p.magzpsci, CAST(NULL AS DOUBLE)))), "
+              "'sr', nanvl(p.sigmagnr, CAST(NULL AS DOUBLE)), "
+              "'sp', nanvl(p.sigmapsf, CAST(NULL AS DOUBLE)), "
+              "'pos', p.isdiffpos IN ('t', '1'), 'known', p.isdiffpos IS NOT NULL))")
+    total = ("transform(" + fluxes + ", q -> named_struct('jd', q.jd, 'zp', q.zp, 'fr', q.fr, 'fd', q.fd, "
+             "'sr', q.sr, 'sp', q.sp, 'f', CASE WHEN q.pos THEN q.fr + q.fd WHEN q.known THEN q.fr - q.fd END))")
+    return ("transform(" + total + ", q -> named_struct('jd', q.jd, "
+            "'mag', CASE WHEN q.f > 0 THEN q.zp - 2.5D * LOG10(q.f) END, "
+            "'err', CASE WHEN q.f > 0 THEN SQRT(POWER(q.sr * q.fr, 2) + POWER(q.sp * q.fd, 2)) / q.f END))")
+
+
+def days_since_last_sql(lc: str) -> str:
+    """L8 as SQL text (single pass)."""
+    return (f"aggregate({lc}, named_struct('prev_jd', CAST(NULL AS DOUBLE), 'last_jd', CAST(NULL AS DOUBLE)), "
+            f"(acc, p) -> CASE WHEN {valid_sql('p')} THEN named_struct('prev_jd', acc.last_jd, 'last_jd', p.jd) "
+            f"ELSE acc END, acc -> acc.last_jd - acc.prev_jd)")
+
+
+_PT = "STRUCT<jd: DOUBLE, fid: BIGINT, mag: DOUBLE>"
+
+
+def fold_orphan_sql(lc: str) -> str:
+    """``fold_orphan`` as SQL text."""
+    init = ("named_struct('n', 0L, 'n_bright', 0L, "
+            f"'v0', CAST(NULL AS {_PT}), 'v1', CAST(NULL AS {_PT}), 'v2', CAST(NULL AS {_PT}), "
+            "'sg', 0.0D, 'ng', 0L, 'sr', 0.0D, 'nr', 0L, 'n_sso', 0L)")
+    me = "named_struct('jd', p.jd, 'fid', CAST(p.fid AS BIGINT), 'mag', p.magpsf)"
+    merge = (f"(acc, p) -> CASE WHEN {valid_sql('p')} THEN named_struct("
+             "'n', acc.n + 1L, "
+             "'n_bright', acc.n_bright + CASE WHEN NOT (p.magpsf > 18.0D) THEN 1L ELSE 0L END, "
+             f"'v0', CASE WHEN acc.n = 0 THEN {me} ELSE acc.v0 END, "
+             f"'v1', CASE WHEN acc.n = 1 THEN {me} ELSE acc.v1 END, "
+             f"'v2', CASE WHEN acc.n = 2 THEN {me} ELSE acc.v2 END, "
+             "'sg', acc.sg + CASE WHEN CAST(p.fid AS BIGINT) = 1 THEN p.magpsf ELSE 0.0D END, "
+             "'ng', acc.ng + CASE WHEN CAST(p.fid AS BIGINT) = 1 THEN 1L ELSE 0L END, "
+             "'sr', acc.sr + CASE WHEN CAST(p.fid AS BIGINT) = 2 THEN p.magpsf ELSE 0.0D END, "
+             "'nr', acc.nr + CASE WHEN CAST(p.fid AS BIGINT) = 2 THEN 1L ELSE 0L END, "
+             "'n_sso', acc.n_sso + CASE WHEN coalesce(p.ssnamenr, 'null') != 'null' THEN 1L ELSE 0L END"
+             ") ELSE acc END")
+    rate = ("CASE WHEN acc.v1.fid = acc.v2.fid THEN (acc.v2.mag - acc.v1.mag) > 0 "
+            "WHEN acc.v2.fid > acc.v1.fid THEN (acc.v1.mag - acc.v2.mag) <= 0.3D "
+            "ELSE (acc.v2.mag - acc.v1.mag) > 0 END")
+    mg = "CASE WHEN acc.ng > 0 THEN acc.sg / acc.ng END"
+    mr = "CASE WHEN acc.nr > 0 THEN acc.sr / acc.nr END"
+    finish = ("acc -> named_struct("
+              "'n_valid', acc.n, 'all_faint', acc.n_bright = 0, 'exactly3', acc.n = 3, "
+              "'span3', coalesce(acc.n = 3 AND (acc.v2.jd - acc.v0.jd) < 10.0D, false), "
+              f"'valid_rate', coalesce(acc.n = 3 AND {rate}, false), "
+              f"'color_ok', coalesce(({mg}) - ({mr}) >= 0, false), "
+              f"'no_known_sso', acc.n_sso = 0, 'mean_g', {mg}, 'mean_r', {mr})")
+    return f"aggregate({lc}, {init}, {merge}, {finish})"
+
+
+def fold_rate_sql(dc_pts: str, max_mag: float = 21.0, min_span: float = 0.5) -> str:
+    """``fold_rate`` as SQL text."""
+    init = ("named_struct('np', 0L, 'n', 0L, 'x0', CAST(NULL AS DOUBLE), 'y0', CAST(NULL AS DOUBLE), "
+            "'x_last', CAST(NULL AS DOUBLE), 'sw', 0.0D, 'sx', 0.0D, 'sy', 0.0D, 'sxx', 0.0D, 'sxy', 0.0D, "
+            "'syy', 0.0D, 'last_mag', CAST(NULL AS DOUBLE), 'last_err', CAST(NULL AS DOUBLE))")
+    x0 = "coalesce(acc.x0, q.jd)"
+    y0 = "coalesce(acc.y0, q.mag)"
+    w = "(1.0D / POWER(q.err, 2))"
+    x = f"(q.jd - {x0})"
+    y = f"(q.mag - {y0})"
+    merge = (f"(acc, q) -> CASE WHEN coalesce(q.mag < {float(max_mag)!r}D, false) THEN named_struct("
+             f"'np', acc.np + 1L, 'n', acc.n + 1L, 'x0', {x0}, 'y0', {y0}, 'x_last', q.jd, "
+             f"'sw', acc.sw + {w}, 'sx', acc.sx + {w} * {x}, 'sy', acc.sy + {w} * {y}, "
+             f"'sxx', acc.sxx + {w} * {x} * {x}, 'sxy', acc.sxy + {w} * {x} * {y}, "
+             f"'syy', acc.syy + {w} * {y} * {y}, 'last_mag', q.mag, 'last_err', q.err) "
+             "ELSE named_struct('np', acc.np + 1L, 'n', acc.n, 'x0', acc.x0, 'y0', acc.y0, "
+             "'x_last', acc.x_last, 'sw', acc.sw, 'sx', acc.sx, 'sy', acc.sy, 'sxx', acc.sxx, "
+             "'sxy', acc.sxy, 'syy', acc.syy, 'last_mag', q.mag, 'last_err', q.err) END")
+    den = "nullif(acc.sw * acc.sxx - acc.sx * acc.sx, 0.0D)"
+    slope = f"((acc.sw * acc.sxy - acc.sx * acc.sy) / {den})"
+    icpt = f"((acc.sy - {slope} * acc.sx) / acc.sw)"
+    chi2 = f"(acc.syy - {slope} * acc.sxy - {icpt} * acc.sy)"
+    ok = f"coalesce(acc.n >= 2 AND (acc.x_last - acc.x0) > {float(min_span)!r}D, false)"
+    finish = (f"acc -> named_struct('n_points', acc.np, 'n_fit', acc.n, 'span', acc.x_last - acc.x0, "
+              f"'ok', {ok}, 'slope', CASE WHEN {ok} THEN {slope} END, "
+              f"'slope_var', CASE WHEN {ok} AND acc.n > 2 THEN acc.sw / {den} * greatest({chi2}, 0.0D) "
+              f"/ (acc.n - 2) END, 'last_mag', acc.last_mag, 'last_err', acc.last_err)")
+    return f"aggregate({dc_pts}, {init}, {merge}, {finish})"

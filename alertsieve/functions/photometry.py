@@ -102,3 +102,12 @@ def weighted_fit(df: DataFrame, pts: str, out: str = "fit") -> DataFrame:
     return s3.withColumn(out, F.struct(F.col("_wf_a").alias("slope"), var.alias("slope_var"),
                                        n.cast("long").alias("n"))) \
         .drop("_wf_s", "_wf_den", "_wf_a", "_wf_b")
+
+
+def dc_mag_sql(prefix: str = "") -> str:
+    """``dc_mag`` of the columns ``{prefix}magpsf`` ... as SQL text: struct(jd, mag, err)."""
+    from .lightcurve import with_dc_sql
+    pt = (f"named_struct('jd', CAST(NULL AS DOUBLE), 'magpsf', {prefix}magpsf, 'sigmapsf', {prefix}sigmapsf, "
+          f"'magnr', {prefix}magnr, 'sigmagnr', {prefix}sigmagnr, 'magzpsci', {prefix}magzpsci, "
+          f"'isdiffpos', {prefix}isdiffpos)")
+    return f"element_at({with_dc_sql('array(' + pt + ')')}, 1)"

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import lightcurve as L
-from ..functions.columns import d, flag, resolve
+from ..functions.columns import d, flag, has_column, resolve
 from ..functions.sky import galactic_lat
 
 
@@ -144,11 +144,14 @@ def orphan_grb(df: DataFrame, lc: Column | None = None) -> Column:
     """orphan GRB afterglow candidates (light-curve shape).
 
     The light curve is folded once (``fold_orphan``) into every term of the
-    filter; the age cut comes first so most rows never fold their history."""
-    lc = lc if lc is not None else L.lc_concat(df)
-    t = L.fold_orphan(lc)
-    return le(age(df), 30.0) & F.when(le(age(df), 30.0), t["all_faint"] & t["exactly3"] & t["span3"]
-                                      & t["valid_rate"] & t["color_ok"] & t["no_known_sso"])
+    filter; the age cut is evaluated first so most rows never fold."""
+    if lc is None and has_column(df, "prv_candidates") and "candidate" in df.columns:
+        t = F.expr(L.fold_orphan_sql(L.lc_concat_sql("prv_candidates", "candidate")))
+    else:
+        t = L.fold_orphan(lc if lc is not None else L.lc_concat(df))
+    young = le(age(df), 30.0)
+    return young & F.when(young, t["all_faint"] & t["exactly3"] & t["span3"] & t["valid_rate"]
+                          & t["color_ok"] & t["no_known_sso"])
 
 
 # ---------------------------------------------------------------------------

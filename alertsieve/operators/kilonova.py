@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import lightcurve as L
 from ..functions.columns import d, resolve
-from ..functions.photometry import abs_mag, dc_mag, two_point_rate
+from ..functions.photometry import abs_mag, dc_mag_sql
 from ..functions.sky import ang_sep, galactic_lat
 from . import filters as FL
 from .skyjoin import DEFAULT_CELL_DEG, cone_join, explode_catalogue
@@ -71,11 +71,10 @@ def star_neighbours(alerts: DataFrame, sky_objects: DataFrame, ra: str = "ra", d
 def early_kn_cut_alerts(alerts: DataFrame) -> DataFrame:
     """F12 cuts, then the DC magnitude of the survivors."""
     cut = alerts.filter(FL.early_kn_cuts(alerts))
-    c = lambda n: resolve(cut, n)
-    dc = dc_mag(c("fid"), c("magpsf"), c("sigmapsf"), c("magnr"), c("sigmagnr"), c("magzpsci"),
-                c("isdiffpos"))
-    return (cut.select(*_alert_core(cut), c("field").cast("long").alias("field"),
-                       dc["mag"].alias("mag"), dc["err"].alias("err_mag"))
+    staged = cut.select(*_alert_core(cut), F.col("candidate.field").cast("long").alias("field"),
+                        F.expr(dc_mag_sql("candidate.")).alias("_dc"))
+    return (staged.selectExpr(*[x for x in staged.columns if x != "_dc"], "_dc.mag AS mag",
+                              "_dc.err AS err_mag")
             .filter(F.col("mag").isNotNull()))
 
 
@@ -147,20 +146,17 @@ def rate_kn_fit(alerts: DataFrame) -> DataFrame:
     filter on ``rate`` pushed below this projection stays linear in size.
     """
     cut = alerts.filter(FL.rate_kn_cuts(alerts))
-    c = lambda n: resolve(cut, n)
-    lc = L.lc_concat(cut)
-    fit = L.fold_rate(L.with_dc(L.lc_same_band(lc, c("fid").cast("long"))), RATE_MAX_MAG, RATE_MIN_SPAN_DAYS)
+    lc = L.lc_concat_sql("prv_candidates", "candidate")
+    fit = L.fold_rate_sql(L.with_dc_sql(L.same_band_sql(lc, "CAST(candidate.fid AS BIGINT)")),
+                          RATE_MAX_MAG, RATE_MIN_SPAN_DAYS)
     staged = cut.select(
-        *_alert_core(cut),
-        c("rf_snia_vs_nonia").alias("rf_snia_vs_nonia"), c("snn_snia_vs_nonia").alias("snn_snia_vs_nonia"),
-        c("snn_sn_vs_all").alias("snn_sn_vs_all"),
-        L.days_since_last_fold(L.lc_concat(cut)).alias("days_since_last"), fit.alias("_fit"))
-    return staged.select(
-        *[F.col(x) for x in staged.columns if not x.startswith("_")],
-        F.col("_fit.slope").alias("rate"), F.col("_fit.slope_var").alias("sigma_rate"),
-        F.col("_fit.n_fit").alias("n_fit"),
-        F.when(F.col("_fit.n_points") >= 2, F.col("_fit.last_mag")).alias("mag"),
-        F.when(F.col("_fit.n_points") >= 2, F.col("_fit.last_err")).alias("err_mag"),
+        *_alert_core(cut), "rf_snia_vs_nonia", "snn_snia_vs_nonia", "snn_sn_vs_all",
+        F.expr(L.days_since_last_sql(lc)).alias("days_since_last"), F.expr(fit).alias("_fit"))
+    return staged.selectExpr(
+        *[x for x in staged.columns if not x.startswith("_")],
+        "_fit.slope AS rate", "_fit.slope_var AS sigma_rate", "_fit.n_fit AS n_fit",
+        "CASE WHEN _fit.n_points >= 2 THEN _fit.last_mag END AS mag",
+        "CASE WHEN _fit.n_points >= 2 THEN _fit.last_err END AS err_mag",
     )
 
 
@@ -179,19 +175,18 @@ def kn_message_rows(alerts: DataFrame) -> DataFrame:
     """Alerts passing F11 with at least two same-band detections: last DC
     magnitude and the two-point rate (A5)."""
     kn = alerts.filter(FL.kn_candidates(alerts))
-    c = lambda n: resolve(kn, n)
-    tail = L.with_dc(L.lc_tail2(L.lc_same_band(L.lc_concat(kn), c("fid").cast("long"))))
+    lc = L.lc_concat_sql("prv_candidates", "candidate")
+    sb = L.same_band_sql(lc, "CAST(candidate.fid AS BIGINT)")
+    tail = L.with_dc_sql(f"slice({sb}, -2, 2)")
     staged = kn.select(
-        *_alert_core(kn),
-        c("rf_kn_vs_nonkn").alias("rf_kn_vs_nonkn"), c("rf_snia_vs_nonia").alias("rf_snia_vs_nonia"),
-        c("snn_snia_vs_nonia").alias("snn_snia_vs_nonia"), c("snn_sn_vs_all").alias("snn_sn_vs_all"),
-        L.days_since_last_fold(L.lc_concat(kn)).alias("days_since_last"),
-        F.when(tail.isNotNull(), F.struct(tail.alias("t"), two_point_rate(tail).alias("r"))).alias("_m"))
-    return (staged.filter(F.col("_m").isNotNull())
-            .select(*[F.col(x) for x in staged.columns if not x.startswith("_")],
-                    F.element_at(F.col("_m.t"), -1)["mag"].alias("mag"),
-                    F.element_at(F.col("_m.t"), -1)["err"].alias("err_mag"),
-                    F.col("_m.r.rate").alias("rate"), F.col("_m.r.rate_err").alias("rate_err")))
+        *_alert_core(kn), "rf_kn_vs_nonkn", "rf_snia_vs_nonia", "snn_snia_vs_nonia", "snn_sn_vs_all",
+        F.expr(L.days_since_last_sql(lc)).alias("days_since_last"), F.expr(tail).alias("_t"))
+    return (staged.filter("size(_t) >= 2")
+            .selectExpr(*[x for x in staged.columns if not x.startswith("_")],
+                        "_t[1].mag AS mag", "_t[1].err AS err_mag",
+                        "(_t[1].mag - _t[0].mag) / nullif(_t[1].jd - _t[0].jd, 0.0D) AS rate",
+                        "SQRT(POWER(_t[1].err, 2) + POWER(_t[0].err, 2)) / nullif(_t[1].jd - _t[0].jd, 0.0D)"
+                        " AS rate_err"))
 
 
 def gal_lat_col() -> F.Column:

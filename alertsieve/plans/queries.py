@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import lightcurve as L
 from ..functions import text as TX
 from ..functions.columns import flag, resolve
-from ..functions.photometry import dc_mag
+from ..functions.photometry import dc_mag_sql
 from ..functions.sky import galactic_lat
 from ..operators import classify as K
 from ..operators import filters as FL
@@ -149,9 +149,8 @@ def two_point_rate_q(spark: SparkSession, sf: str) -> DataFrame:
 @query("band_means")
 def band_means(spark: SparkSession, sf: str) -> DataFrame:
     a = alerts(spark, sf)
-    v = L.lc_valid(L.lc_concat(a))
-    return rounded(a.select("candid", L.band_mean(v, 1).alias("mean_g"),
-                            L.band_mean(v, 2).alias("mean_r")))
+    t = a.select("candid", F.expr(L.fold_orphan_sql(L.lc_concat_sql())).alias("t"))
+    return rounded(t.selectExpr("candid", "t.mean_g AS mean_g", "t.mean_r AS mean_r"))
 
 
 @query("galaxy_catalogue")
@@ -199,13 +198,10 @@ def lightcurve_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query("orphan_terms")
 def orphan_terms(spark: SparkSession, sf: str) -> DataFrame:
     a = alerts(spark, sf)
-    staged = a.select("candid", L.lc_valid(L.lc_concat(a)).alias("v"))
-    v = F.col("v")
-    return staged.select(
-        "candid",
-        L.lc_all_faint(v).alias("all_faint"), L.lc_exactly(v, 3).alias("exactly3"),
-        L.lc_span3(v).alias("span3"), L.valid_rate(v).alias("valid_rate"),
-        L.band_mean_color(v).alias("color_ok"), L.lc_no_known_sso(v).alias("no_known_sso"))
+    t = a.select("candid", F.expr(L.fold_orphan_sql(L.lc_concat_sql())).alias("t"))
+    return t.selectExpr("candid", "t.all_faint AS all_faint", "t.exactly3 AS exactly3", "t.span3 AS span3",
+                        "t.valid_rate AS valid_rate", "t.color_ok AS color_ok",
+                        "t.no_known_sso AS no_known_sso")
 
 
 # --- C1-C17 -----------------------------------------------------------------------
@@ -213,11 +209,9 @@ def orphan_terms(spark: SparkSession, sf: str) -> DataFrame:
 @query("photometry_columns")
 def photometry_columns(spark: SparkSession, sf: str) -> DataFrame:
     a = alerts(spark, sf)
-    c = lambda n: resolve(a, n)
-    dc = dc_mag(c("fid"), c("magpsf"), c("sigmapsf"), c("magnr"), c("sigmagnr"), c("magzpsci"),
-                c("isdiffpos"))
-    return rounded(a.select("candid", dc["mag"].alias("dc_mag"), dc["err"].alias("dc_err"),
-                            c("roid").cast("long").alias("roid_int")))
+    staged = a.select("candid", F.expr(dc_mag_sql("candidate.")).alias("dc"),
+                      resolve(a, "roid").cast("long").alias("roid_int"))
+    return rounded(staged.selectExpr("candid", "dc.mag AS dc_mag", "dc.err AS dc_err", "roid_int"))
 
 
 @query("astrometry_columns")

@@ -11,17 +11,30 @@ from ..operators.catalogue import build_galaxy_catalogue
 from ..sources import fixtures as FX
 
 
+# DataFrames are immutable logical plans: the input tables are built once per
+# (session, folder) and reused by every query (plan reuse, not data caching).
+_PLANS: dict = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FX.load_alerts(spark, sf_dir)
+    return _memo("alerts", spark, sf_dir, lambda: FX.load_alerts(spark, sf_dir))
 
 
 def galaxies(spark: SparkSession, sf_dir: str) -> DataFrame:
     # matching never relies on row order, so no sort here (saves a shuffle)
-    return build_galaxy_catalogue(FX.load_raw_galaxies(spark, sf_dir), sort=False)
+    return _memo("galaxies", spark, sf_dir,
+                 lambda: build_galaxy_catalogue(FX.load_raw_galaxies(spark, sf_dir), sort=False))
 
 
 def sky_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FX.load_sky_objects(spark, sf_dir)
+    return _memo("sky", spark, sf_dir, lambda: FX.load_sky_objects(spark, sf_dir))
 
 
 def r6(c):

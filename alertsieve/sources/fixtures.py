@@ -6,130 +6,119 @@ row-local projection; ``jdstarthist``, ``ndethist`` and ``prv_candidates`` need
 one window over the object's events, i.e. one shuffle on the object id.  Only
 the slim columns (event id, object id, time and the history point) travel
 through that shuffle; the remaining ~25 alert columns are recomputed from the
-event id afterwards.
+event id afterwards.  Predicates that only depend on the object id (e.g. the
+catalogue label) are pushed by Catalyst below the window, before the shuffle.
 
 On a production cluster alerts arrive with their history already packaged by
 the survey, so this adapter is a fixture, not a step of the filtering plan.
+
+Expressions are Spark SQL text (``selectExpr``): one JVM call per column
+instead of one per expression node.  ``D`` suffixes keep literals double (a
+bare ``100.0`` is a decimal in Spark SQL).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _d(x: float) -> Column:
-    return F.lit(float(x)).cast("double")
-
-
-def epoch_micros(df: DataFrame, name: str) -> Column:
+def epoch_micros_sql(df: DataFrame, name: str) -> str:
     """Microseconds since the epoch, independent of the session time zone."""
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
-    return F.unix_micros(F.col(name).cast("timestamp"))
+        return f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)"
+    return f"unix_micros(CAST(`{name}` AS TIMESTAMP))"
 
 
-def _object_number(events: DataFrame) -> Column:
-    k = F.get_json_object(F.col("props"), "$.k").cast("long")
-    return F.col("user_id") * 8 + k % 8
+def epoch_micros(df: DataFrame, name: str) -> Column:
+    return F.expr(epoch_micros_sql(df, name))
 
 
-def _history_fields(e: Column, jd: Column) -> dict[str, Column]:
+def _history_fields_sql(e: str = "event_id") -> dict[str, str]:
     """Measurement columns of event ``e`` (identical for the current point and
     for the same point seen later as history, except ``magpsf``)."""
     return {
-        "jd": jd,
-        "fid": (F.lit(1) + ((e * 13) % 101) % 2).cast("long"),
-        "magpsf": F.lit(16) + ((e * 7919) % 499) / _d(100.0),
-        "sigmapsf": _d(0.02) + ((e * 17) % 89) / _d(1000.0),
-        "magnr": F.lit(20) + (e % 31) / _d(10.0),
-        "sigmagnr": _d(0.02) + (e % 13) / _d(1000.0),
-        "magzpsci": F.lit(26) + (e % 5) / _d(10.0),
-        "isdiffpos": F.when(e % 7 == 0, F.lit("f")).otherwise(F.lit("t")),
-        "ssnamenr": F.when(e % 50 == 0, F.lit("Ceres"))
-                     .when(e % 50 == 1, F.lit(None).cast("string"))
-                     .otherwise(F.lit("null")),
+        "jd": "jd",
+        "fid": f"CAST(1 + (({e} * 13) % 101) % 2 AS BIGINT)",
+        "magpsf": f"16 + (({e} * 7919) % 499) / 100.0D",
+        "sigmapsf": f"0.02D + (({e} * 17) % 89) / 1000.0D",
+        "magnr": f"20 + ({e} % 31) / 10.0D",
+        "sigmagnr": f"0.02D + ({e} % 13) / 1000.0D",
+        "magzpsci": f"26 + ({e} % 5) / 10.0D",
+        "isdiffpos": f"CASE WHEN {e} % 7 = 0 THEN 'f' ELSE 't' END",
+        "ssnamenr": (f"CASE WHEN {e} % 50 = 0 THEN 'Ceres' WHEN {e} % 50 = 1 THEN CAST(NULL AS STRING) "
+                     f"ELSE 'null' END"),
     }
 
 
+_BY_OBJ = "PARTITION BY obj ORDER BY ts, event_id"
+
+
 def events_to_alerts(events: DataFrame) -> DataFrame:
     """events(event_id, ts, user_id, props, ...) -> alerts with schema ALERT."""
-    e = F.col("event_id")
-    jd = epoch_micros(events, "ts") / _d(86400000000.0) + _d(2440587.5)
-    slim = events.select(
-        e.alias("event_id"), F.col("ts"), _object_number(events).alias("obj"), jd.alias("jd"))
-
-    h = _history_fields(F.col("event_id"), F.col("jd"))
+    us = epoch_micros_sql(events, "ts")
+    slim = events.selectExpr(
+        "event_id", "ts", "user_id * 8 + CAST(get_json_object(props, '$.k') AS BIGINT) % 8 AS obj",
+        f"{us} / 86400000000.0D + 2440587.5D AS jd")
+    h = _history_fields_sql()
     # a point seen as history is a non-detection when event_id % 5 == 0
-    h_prev = dict(h)
-    h_prev["magpsf"] = F.when(F.col("event_id") % 5 == 0, F.lit(None).cast("double")).otherwise(h["magpsf"])
-    point = F.struct(*[c.alias(n) for n, c in h_prev.items()])
-
-    by_obj = Window.partitionBy("obj").orderBy("ts", "event_id")
-    upto_now = by_obj.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before_now = by_obj.rowsBetween(Window.unboundedPreceding, -1)
-    hist = slim.select(
+    h["magpsf"] = f"CASE WHEN event_id % 5 = 0 THEN CAST(NULL AS DOUBLE) ELSE {h['magpsf']} END"
+    point = "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in h.items()) + ")"
+    hist = slim.selectExpr(
         "event_id", "obj", "jd",
-        F.min("jd").over(upto_now).alias("jdstarthist"),
-        F.row_number().over(by_obj).cast("long").alias("ndethist"),
-        F.collect_list(point).over(before_now).alias("prv_candidates"),
+        f"min(jd) OVER ({_BY_OBJ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS jdstarthist",
+        f"CAST(row_number() OVER ({_BY_OBJ}) AS BIGINT) AS ndethist",
+        f"collect_list({point}) OVER ({_BY_OBJ} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        " AS prv_candidates",
     )
     return _project_alert(hist)
 
 
+# Catalogue label of an object by obj % 20 (FIXTURES.md).
+_CDS = ["Unknown"] * 9 + ["Galaxy", "Seyfert_1", "QSO", "RRLyr", "Candidate_YSO", "Candidate_TTau*",
+                          "SN", "Candidate_SN*", "Transient", "Fail"]
+
+
 def _project_alert(hist: DataFrame) -> DataFrame:
-    e = F.col("event_id")
-    obj = F.col("obj")
-    g = F.lit(1) + obj % 150
-    cur = _history_fields(e, F.col("jd"))
-    null_d = F.lit(None).cast("double")
-    cds_names = ["Unknown"] * 9 + ["Galaxy", "Seyfert_1", "QSO", "RRLyr", "Candidate_YSO",
-                                   "Candidate_TTau*", "SN", "Candidate_SN*", "Transient", "Fail"]
-    cds = F.element_at(F.array(*[F.lit(n) for n in cds_names]), (obj % 20 + 1).cast("int"))
-    roid_k = (e * 17) % 25
-    trk_k = (e * 29) % 40
-    rf_snia = ((e * 3571 + 1) % 971) / _d(971.0)
-    candidate = F.struct(
-        cur["jd"].alias("jd"),
-        F.col("jdstarthist"),
-        F.col("ndethist"),
-        F.when(e % 101 == 0, null_d).otherwise(((e * 7919 + 11) % 997) / _d(997.0)).alias("drb"),
-        (((e * 6151 + 5) % 991) / _d(991.0)).alias("classtar"),
-        cur["fid"].alias("fid"),
-        cur["magpsf"].alias("magpsf"),
-        cur["sigmapsf"].alias("sigmapsf"),
-        cur["magnr"].alias("magnr"),
-        cur["sigmagnr"].alias("sigmagnr"),
-        cur["magzpsci"].alias("magzpsci"),
-        cur["isdiffpos"].alias("isdiffpos"),
-        (((g * 7919) % 36000) / _d(100.0) + ((e % 7) - 3) * _d(0.002)).alias("ra"),
-        (F.lit(-30) + ((g * 4051) % 12000) / _d(100.0)).alias("dec"),
-        F.when(e % 11 == 0, _d(5.0)).when(e % 11 == 1, null_d)
-         .when(e % 11 == 2, _d(30.0)).otherwise(_d(-999.0)).alias("ssdistnr"),
-        cur["ssnamenr"].alias("ssnamenr"),
-        F.when(e % 8 == 0, F.lit(1525)).when(e % 8 == 1, F.lit(530))
-         .otherwise(F.lit(600) + e % 8).cast("long").alias("field"),
-        ((e % 53) / _d(4.0)).alias("neargaia"),
-        ((e % 47) / _d(4.0)).alias("distpsnr1"),
-    )
-    return hist.select(
-        e.alias("candid"),
-        F.concat(F.lit("OBJ"), F.lpad(obj.cast("string"), 8, "0")).alias("objectId"),
-        F.when(obj % 20 == 19, F.lit(None).cast("string")).otherwise(cds).alias("cdsxmatch"),
-        F.when(roid_k == 0, F.lit(3)).when(roid_k == 1, F.lit(2)).otherwise(F.lit(0))
-         .cast("long").alias("roid"),
-        F.when(e % 30 == 0, ((e * 37) % 89) / _d(89.0)).otherwise(_d(0.0)).alias("mulens"),
-        (((e * 5407 + 3) % 983) / _d(983.0)).alias("snn_snia_vs_nonia"),
-        (((e * 4799 + 7) % 977) / _d(977.0)).alias("snn_sn_vs_all"),
-        rf_snia.alias("rf_snia_vs_nonia"),
-        (((e * 2749 + 9) % 967) / _d(967.0)).alias("rf_kn_vs_nonkn"),
-        rf_snia.alias("rfscore"),
-        F.when(trk_k == 0, F.concat(F.lit("TRCK_"), e.cast("string")))
-         .when(trk_k == 1, F.lit(None).cast("string")).otherwise(F.lit("")).alias("tracklet"),
-        candidate.alias("candidate"),
-        F.col("prv_candidates"),
+    e = "event_id"
+    g = "(1 + obj % 150)"
+    cur = _history_fields_sql(e)
+    cds = "element_at(array(" + ", ".join(f"'{n}'" for n in _CDS) + "), CAST(obj % 20 + 1 AS INT))"
+    cand = {
+        "jd": "jd",
+        "jdstarthist": "jdstarthist",
+        "ndethist": "ndethist",
+        "drb": f"CASE WHEN {e} % 101 = 0 THEN CAST(NULL AS DOUBLE) ELSE (({e} * 7919 + 11) % 997) / 997.0D END",
+        "classtar": f"(({e} * 6151 + 5) % 991) / 991.0D",
+        "fid": cur["fid"], "magpsf": cur["magpsf"], "sigmapsf": cur["sigmapsf"], "magnr": cur["magnr"],
+        "sigmagnr": cur["sigmagnr"], "magzpsci": cur["magzpsci"], "isdiffpos": cur["isdiffpos"],
+        "ra": f"(({g} * 7919) % 36000) / 100.0D + (({e} % 7) - 3) * 0.002D",
+        "dec": f"-30 + (({g} * 4051) % 12000) / 100.0D",
+        "ssdistnr": (f"CASE WHEN {e} % 11 = 0 THEN 5.0D WHEN {e} % 11 = 1 THEN CAST(NULL AS DOUBLE) "
+                     f"WHEN {e} % 11 = 2 THEN 30.0D ELSE -999.0D END"),
+        "ssnamenr": cur["ssnamenr"],
+        "field": f"CAST(CASE WHEN {e} % 8 = 0 THEN 1525 WHEN {e} % 8 = 1 THEN 530 ELSE 600 + {e} % 8 END AS BIGINT)",
+        "neargaia": f"({e} % 53) / 4.0D",
+        "distpsnr1": f"({e} % 47) / 4.0D",
+    }
+    rf_snia = f"(({e} * 3571 + 1) % 971) / 971.0D"
+    return hist.selectExpr(
+        f"{e} AS candid",
+        "concat('OBJ', lpad(CAST(obj AS STRING), 8, '0')) AS objectId",
+        f"CASE WHEN obj % 20 = 19 THEN CAST(NULL AS STRING) ELSE {cds} END AS cdsxmatch",
+        f"CAST(CASE WHEN ({e} * 17) % 25 = 0 THEN 3 WHEN ({e} * 17) % 25 = 1 THEN 2 ELSE 0 END AS BIGINT) AS roid",
+        f"CASE WHEN {e} % 30 = 0 THEN (({e} * 37) % 89) / 89.0D ELSE 0.0D END AS mulens",
+        f"(({e} * 5407 + 3) % 983) / 983.0D AS snn_snia_vs_nonia",
+        f"(({e} * 4799 + 7) % 977) / 977.0D AS snn_sn_vs_all",
+        f"{rf_snia} AS rf_snia_vs_nonia",
+        f"(({e} * 2749 + 9) % 967) / 967.0D AS rf_kn_vs_nonkn",
+        f"{rf_snia} AS rfscore",
+        f"CASE WHEN ({e} * 29) % 40 = 0 THEN concat('TRCK_', CAST({e} AS STRING)) "
+        f"WHEN ({e} * 29) % 40 = 1 THEN CAST(NULL AS STRING) ELSE '' END AS tracklet",
+        "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in cand.items()) + ") AS candidate",
+        "prv_candidates",
     )
 
 
@@ -140,32 +129,31 @@ def load_alerts(spark, sf_dir: str) -> DataFrame:
 def customer_to_raw_galaxies(customer: DataFrame) -> DataFrame:
     """Raw galaxy table (input of ``build_galaxy_catalogue``) from ``customer``.
 
-    Names are written as byte-string reprs (``b'...'``) like a table exported
-    from HDF5, so the catalogue builder has to strip them.
+    Names are written as byte-string reprs (b'...') like a table exported from
+    HDF5, so the catalogue builder has to strip them.
     """
-    k = F.col("c_custkey")
-    dist = (F.lit(20) + (k * 31) % 240).cast("double")
-    return customer.select(
-        k.alias("galaxy_idx"),
-        F.concat(F.lit("b'PGC"), k.cast("string"), F.lit("'")).alias("HyperLEDA_name"),
-        F.concat(F.lit("b'J"), F.lpad(k.cast("string"), 8, "0"), F.lit("'")).alias("2MASS_name"),
-        (((k * 7919) % 36000) / _d(100.0)).alias("RA"),
-        (F.lit(-30) + ((k * 4051) % 12000) / _d(100.0)).alias("dec"),
-        dist.alias("dist"),
-        (dist / _d(10.0)).alias("dist_err"),
-        F.col("c_acctbal").cast("double").alias("stellarmass"),
-        (dist * 70 / _d(299792.458)).alias("z"),
+    dist = "CAST(20 + (c_custkey * 31) % 240 AS DOUBLE)"
+    quote = "'\\''"   # SQL string literal holding one single quote
+    return customer.selectExpr(
+        "c_custkey AS galaxy_idx",
+        f"concat('b', {quote}, 'PGC', CAST(c_custkey AS STRING), {quote}) AS HyperLEDA_name",
+        f"concat('b', {quote}, 'J', lpad(CAST(c_custkey AS STRING), 8, '0'), {quote}) AS `2MASS_name`",
+        "((c_custkey * 7919) % 36000) / 100.0D AS RA",
+        "-30 + ((c_custkey * 4051) % 12000) / 100.0D AS dec",
+        f"{dist} AS dist",
+        f"{dist} / 10.0D AS dist_err",
+        "CAST(c_acctbal AS DOUBLE) AS stellarmass",
+        f"{dist} * 70 / 299792.458D AS z",
     )
 
 
 def part_to_sky_objects(part: DataFrame) -> DataFrame:
     """Nearby-object catalogue (src_id, ra, dec, type) from ``part``."""
-    k = F.col("p_partkey")
-    return part.select(
-        k.alias("src_id"),
-        (((k * 7919) % 36000) / _d(100.0) + ((k % 5) - 2) * _d(0.0005)).alias("ra"),
-        (F.lit(-30) + ((k * 4051) % 12000) / _d(100.0)).alias("dec"),
-        (F.col("p_size") % 8).cast("long").alias("type"),
+    return part.selectExpr(
+        "p_partkey AS src_id",
+        "((p_partkey * 7919) % 36000) / 100.0D + ((p_partkey % 5) - 2) * 0.0005D AS ra",
+        "-30 + ((p_partkey * 4051) % 12000) / 100.0D AS dec",
+        "CAST(p_size % 8 AS BIGINT) AS type",
     )
 
 
