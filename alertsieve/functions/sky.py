@@ -81,3 +81,48 @@ def disc_cells(ra: Column, dec: Column, radius_rad: Column, cell_deg: float) ->
     zones = F.sequence(zmin, zmax)
     ras = F.array_distinct(F.transform(F.sequence(cmin, cmax), lambda c: F.pmod(c, F.lit(n_ra))))
     return F.flatten(F.transform(zones, lambda z: F.transform(ras, lambda c: z * n_ra + c)))
+
+
+# --- SQL text forms (one JVM call per expression) ------------------------------
+
+def _fd(x: float) -> str:
+    return f"{float(x)!r}D"
+
+
+def galactic_lat_sql(ra: str, dec: str) -> str:
+    dp = math.radians(GAL_POLE_DEC)
+    s = (f"SIN(RADIANS({dec})) * {_fd(math.sin(dp))} + COS(RADIANS({dec})) * {_fd(math.cos(dp))} "
+         f"* COS(RADIANS({ra}) - {_fd(math.radians(GAL_POLE_RA))})")
+    return f"DEGREES(ASIN(least(greatest({s}, -1.0D), 1.0D)))"
+
+
+def ang_sep_sql(ra1: str, dec1: str, ra2: str, dec2: str) -> str:
+    h = (f"POWER(SIN((RADIANS({dec2}) - RADIANS({dec1})) / 2), 2) + COS(RADIANS({dec1})) * COS(RADIANS({dec2})) "
+         f"* POWER(SIN((RADIANS({ra2}) - RADIANS({ra1})) / 2), 2)")
+    return f"(2.0D * ASIN(least(1.0D, SQRT({h}))))"
+
+
+def point_cell_sql(ra: str, dec: str, cell_deg: float) -> str:
+    n_ra = n_ra_cells(cell_deg)
+    c = _fd(cell_deg)
+    return (f"CAST(FLOOR((least(greatest({dec}, -90.0D), 90.0D) + 90.0D) / {c}) * {n_ra} "
+            f"+ pmod(FLOOR(pmod({ra}, 360.0D) / {c}), {n_ra}) AS BIGINT)")
+
+
+def disc_cells_sql(ra: str, dec: str, radius_rad: str, cell_deg: float) -> str:
+    """``disc_cells`` as SQL text."""
+    n_ra = n_ra_cells(cell_deg)
+    c = _fd(cell_deg)
+    r = f"(DEGREES({radius_rad}) * 1.000000001D + 1e-12D)"
+    lo, hi = f"({dec} - {r})", f"({dec} + {r})"
+    polar = f"({hi} >= 90.0D OR {lo} <= -90.0D)"
+    ratio = f"(SIN(RADIANS({r})) / COS(RADIANS({dec})))"
+    wide = f"({polar} OR {ratio} >= 1.0D)"
+    half = f"DEGREES(ASIN(least({ratio}, 1.0D)))"
+    zmin = f"CAST(FLOOR((greatest({lo}, -90.0D) + 90.0D) / {c}) AS BIGINT)"
+    zmax = f"CAST(FLOOR((least({hi}, 90.0D) + 90.0D) / {c}) AS BIGINT)"
+    cmin = f"CAST(CASE WHEN {wide} THEN 0 ELSE FLOOR(({ra} - {half}) / {c}) END AS BIGINT)"
+    cmax = (f"CAST(CASE WHEN {wide} OR ({half} * 2) >= {_fd(360.0 - cell_deg)} THEN {n_ra - 1} "
+            f"ELSE FLOOR(({ra} + {half}) / {c}) END AS BIGINT)")
+    ras = f"array_distinct(transform(sequence({cmin}, {cmax}), x -> pmod(x, {n_ra}L)))"
+    return f"flatten(transform(sequence({zmin}, {zmax}), z -> transform({ras}, x -> z * {n_ra} + x)))"

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import lightcurve as L
 from ..functions.columns import d, flag, has_column, resolve
-from ..functions.sky import galactic_lat
+from ..functions.sky import galactic_lat, galactic_lat_sql
 
 
 def gt(c: Column, v: float) -> Column:
@@ -133,7 +133,8 @@ def early_kn_cuts(df: DataFrame) -> Column:
 def rate_kn_cuts(df: DataFrame) -> Column:
     """F13, per-row part: cuts before the light-curve fit."""
     ssd = _dbl(df, "ssdistnr")
-    b = galactic_lat(_dbl(df, "ra"), _dbl(df, "dec"))
+    b = F.expr(galactic_lat_sql("CAST(candidate.ra AS DOUBLE)", "CAST(candidate.dec AS DOUBLE)")) \
+        if "candidate" in df.columns else galactic_lat(_dbl(df, "ra"), _dbl(df, "dec"))
     return (gt(_dbl(df, "drb"), 0.9) & gt(_dbl(df, "classtar"), 0.4) & lt(age(df), 14.0)
             & lt(_dbl(df, "ndethist"), 20.0) & (_c(df, "isdiffpos") == F.lit("t"))
             & (gt(ssd, 10.0) | lt(ssd, 0.0)) & gt(F.abs(b), 10.0)

@@ -16,7 +16,7 @@ from .. import schema as S
 from ..functions import lightcurve as L
 from ..functions.columns import d, resolve
 from ..functions.photometry import abs_mag, dc_mag_sql
-from ..functions.sky import ang_sep, galactic_lat
+from ..functions.sky import ang_sep_sql, galactic_lat
 from . import filters as FL
 from .skyjoin import DEFAULT_CELL_DEG, cone_join, explode_catalogue
 
@@ -46,7 +46,7 @@ def star_cells(sky_objects: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> Da
     stars = (sky_objects.filter(F.col("type").isin(S.STAR_TYPES))
              .select(F.col("src_id").alias("s_id"), F.col("ra").alias("s_ra"),
                      F.col("dec").alias("s_dec")))
-    r = d(math.radians(STAR_VETO_RADIUS_ARCSEC / 3600.0))
+    r = f"{math.radians(STAR_VETO_RADIUS_ARCSEC / 3600.0)!r}D"
     return explode_catalogue(stars, "s_ra", "s_dec", r, cell_deg, radius_name="s_radius")
 
 
@@ -85,20 +85,24 @@ def galaxy_cells(galaxies: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> Dat
         F.col("dec").alias("g_dec"), F.col("lum_dist").alias("g_lum_dist"),
         F.col("dist_err").alias("g_dist_err"), F.col("stellarmass").alias("g_stellarmass"),
         F.col("ang_dist").alias("g_ang_dist"))
-    radius = F.least(d(math.radians(HOST_MAX_SEP_DEG)), d(HOST_MAX_SEP_RAD_MPC) / F.col("g_ang_dist"))
+    radius = f"least({math.radians(HOST_MAX_SEP_DEG)!r}D, {HOST_MAX_SEP_RAD_MPC!r}D / g_ang_dist)"
     return explode_catalogue(g, "g_ra", "g_dec", radius, cell_deg, radius_name="g_radius")
 
 
+def _host_residual() -> str:
+    """J1 residual: 10 kpc projected and -17 < M < -15 (SQL text)."""
+    sep = ang_sep_sql("ra", "dec", "g_ra", "g_dec")
+    m_abs = "(mag - 25.0D - 5.0D * LOG10(g_lum_dist))"
+    lo, hi = HOST_ABS_MAG_RANGE
+    return (f"{sep} < {HOST_MAX_SEP_RAD_MPC!r}D / g_ang_dist AND {m_abs} > {lo!r}D AND {m_abs} < {hi!r}D")
+
+
 def host_match(cut: DataFrame, galaxies: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
     """(alert, galaxy) pairs within 2 deg and 10 kpc with -17 < M < -15."""
     cells = galaxy_cells(galaxies, cell_deg)
-    sep = ang_sep(F.col("ra"), F.col("dec"), F.col("g_ra"), F.col("g_dec"))
-    m_abs = abs_mag(F.col("mag"), F.col("g_lum_dist"))
-    extra = ((sep < d(HOST_MAX_SEP_RAD_MPC) / F.col("g_ang_dist"))
-             & (m_abs > d(HOST_ABS_MAG_RANGE[0])) & (m_abs < d(HOST_ABS_MAG_RANGE[1])))
     pairs = cone_join(cut, cells, "ra", "dec", "g_ra", "g_dec", how="inner",
-                      radius_name="g_radius", cell_deg=cell_deg, extra=extra)
-    return pairs.withColumn("abs_mag", abs_mag(F.col("mag"), F.col("g_lum_dist")))
+                      radius_name="g_radius", cell_deg=cell_deg, extra=_host_residual())
+    return pairs.withColumn("abs_mag", F.expr("mag - 25.0D - 5.0D * LOG10(g_lum_dist)"))
 
 
 def host_first(pairs: DataFrame) -> DataFrame:
@@ -107,19 +111,18 @@ def host_first(pairs: DataFrame) -> DataFrame:
     alert_cols = [c for c in pairs.columns if not c.startswith("g_") and c not in ("sep_rad", "abs_mag")]
     host_cols = ["g_lum_dist", "g_idx"] + [c for c in pairs.columns
                                            if c.startswith("g_") and c not in ("g_lum_dist", "g_idx")]
-    best = F.min(F.struct(*[F.col(c) for c in host_cols + ["sep_rad", "abs_mag"]])).alias("h")
-    return pairs.groupBy(*alert_cols).agg(best).select(*alert_cols, "h.*")
+    # group on the alert key only; the alert's other columns ride in the struct
+    best = F.min(F.struct(*[F.col(c) for c in host_cols + ["sep_rad", "abs_mag"]
+                            + [x for x in alert_cols if x != "candid"]])).alias("h")
+    return pairs.groupBy("candid").agg(best).select("candid", *[f"h.{x}" for x in alert_cols if x != "candid"],
+                                                    *[f"h.{x}" for x in host_cols + ["sep_rad", "abs_mag"]])
 
 
 def host_exists(cut: DataFrame, galaxies: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
     """J2s: alerts with at least one host (left semi with the J1 residual)."""
     cells = galaxy_cells(galaxies, cell_deg)
-    sep = ang_sep(F.col("ra"), F.col("dec"), F.col("g_ra"), F.col("g_dec"))
-    m_abs = abs_mag(F.col("mag"), F.col("g_lum_dist"))
-    extra = ((sep < d(HOST_MAX_SEP_RAD_MPC) / F.col("g_ang_dist"))
-             & (m_abs > d(HOST_ABS_MAG_RANGE[0])) & (m_abs < d(HOST_ABS_MAG_RANGE[1])))
     return cone_join(cut, cells, "ra", "dec", "g_ra", "g_dec", how="left_semi",
-                     radius_name="g_radius", cell_deg=cell_deg, extra=extra)
+                     radius_name="g_radius", cell_deg=cell_deg, extra=_host_residual())
 
 
 def early_kn_candidates(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFrame,

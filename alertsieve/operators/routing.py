@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import text as TX
 from ..functions.columns import d, flag
-from ..functions.sky import galactic_lat, proj_sep_kpc
+from ..functions.sky import galactic_lat_sql, proj_sep_kpc
 from . import filters as FL
 
 NOTIFY_COMMON = ["topic", "candid", "objectId", "obs_utc", "ra", "dec", "ra_hms", "dec_dms",
@@ -54,7 +54,7 @@ def _common(df: DataFrame, topic: str, fid: Column, days_first: Column) -> list[
     return [F.lit(topic).alias("topic"), F.col("candid"), F.col("objectId"),
             TX.jd_to_utc(F.col("jd")).alias("obs_utc"), F.col("ra"), F.col("dec"),
             TX.ra_hms(F.col("ra")).alias("ra_hms"), TX.dec_dms(F.col("dec")).alias("dec_dms"),
-            galactic_lat(F.col("ra"), F.col("dec")).alias("gal_lat"),
+            F.expr(galactic_lat_sql("ra", "dec")).alias("gal_lat"),
             TX.band_name(fid).alias("band"), F.col("mag"), F.col("err_mag"),
             days_first.alias("days_since_first"),
             TX.tns_link(F.col("ra"), F.col("dec")).alias("tns_link")]

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sky import ang_sep, disc_cells, point_cell
+from ..functions.sky import ang_sep_sql, disc_cells_sql, point_cell_sql
 
 CELL = "_cell"
 DEFAULT_CELL_DEG = 0.5
@@ -32,45 +32,57 @@ DEFAULT_CELL_DEG = 0.5
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 
-def explode_catalogue(cat: DataFrame, ra: str, dec: str, radius_rad: Column,
+def explode_catalogue(cat: DataFrame, ra: str, dec: str, radius_rad: Column | str,
                       cell_deg: float = DEFAULT_CELL_DEG, radius_name: str = "_radius") -> DataFrame:
     """Catalogue rows with their search radius, one row per touched cell."""
-    with_r = cat.withColumn(radius_name, radius_rad)
-    return with_r.withColumn(
-        CELL, F.explode(disc_cells(F.col(ra), F.col(dec), F.col(radius_name), cell_deg)))
+    r = F.expr(radius_rad) if isinstance(radius_rad, str) else radius_rad
+    with_r = cat.withColumn(radius_name, r)
+    return with_r.withColumn(CELL, F.explode(F.expr(disc_cells_sql(f"`{ra}`", f"`{dec}`", f"`{radius_name}`",
+                                                                   cell_deg))))
+
+
+_CHECKED: dict = {}
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when its measured row count is at most ``max_rows``;
-    otherwise ``df`` unchanged (shuffle join, AQE may still broadcast it)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    otherwise ``df`` unchanged (shuffle join on the cell id; AQE splits skewed
+    cells).  The count is one small job over the catalogue side, remembered
+    per session and plan (``semanticHash``) so repeated queries do not pay it."""
+    spark = df.sparkSession
+    key = (spark.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.count() <= max_rows
+    return F.broadcast(df) if _CHECKED[key] else df
 
 
 def cone_join(left: DataFrame, cat_cells: DataFrame, left_ra: str, left_dec: str,
               cat_ra: str, cat_dec: str, how: str = "inner",
               radius_name: str = "_radius", cell_deg: float = DEFAULT_CELL_DEG,
-              extra: Column | None = None, sep_name: str | None = "sep_rad",
+              extra: Column | str | None = None, sep_name: str | None = "sep_rad",
               broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``left`` rows to catalogue rows within the catalogue row's radius.
 
     ``cat_cells`` comes from ``explode_catalogue`` with the same ``cell_deg``;
     its column names must not clash with ``left``'s.  ``how`` is ``inner``
     (pairs, with the separation in ``sep_name``), ``left_semi`` (J2s: rows with
-    at least one match) or ``left_anti`` (J3: rows with none).
+    at least one match) or ``left_anti`` (J3: rows with none).  ``extra`` is a
+    residual predicate (Column or SQL text) evaluated inside the join.
     """
-    lc = left.withColumn(CELL + "_l", point_cell(F.col(left_ra), F.col(left_dec), cell_deg))
+    lc = left.withColumn(CELL + "_l", F.expr(point_cell_sql(f"`{left_ra}`", f"`{left_dec}`", cell_deg)))
     right = cat_cells
     if broadcast_max_rows is not None:
         right = checked_broadcast(cat_cells, broadcast_max_rows)
-    sep = ang_sep(lc[left_ra], lc[left_dec], right[cat_ra], right[cat_dec])
-    cond = (lc[CELL + "_l"] == right[CELL]) & (sep <= right[radius_name])
-    if extra is not None:
+    sep = ang_sep_sql(f"`{left_ra}`", f"`{left_dec}`", f"`{cat_ra}`", f"`{cat_dec}`")
+    cond_sql = f"{CELL}_l = {CELL} AND {sep} <= `{radius_name}`"
+    if isinstance(extra, str):
+        cond_sql += f" AND ({extra})"
+    cond = F.expr(cond_sql)
+    if extra is not None and not isinstance(extra, str):
         cond = cond & extra
     out = lc.join(right, cond, how)
     if how == "inner":
         if sep_name:
-            out = out.withColumn(sep_name, ang_sep(F.col(left_ra), F.col(left_dec),
-                                                   F.col(cat_ra), F.col(cat_dec)))
+            out = out.withColumn(sep_name, F.expr(sep))
         out = out.drop(CELL, radius_name)
     return out.drop(CELL + "_l")
