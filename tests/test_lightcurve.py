@@ -1,0 +1,91 @@
+"""Light-curve operators and folds against hand computations / numpy."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from alertsieve.functions import lightcurve as L
+from alertsieve.operators import filters as FL
+from alertsieve.operators import kilonova as KN
+from helpers import alert, alerts_df, point
+
+
+def test_orphan_terms_on_histories(spark):
+    young = dict(jd=2460010.0, jdstarthist=2460001.0)
+    rows = [
+        # exactly three valid points (one non-detection), faint, same band rising mag -> passes
+        alert(1, history=[point(2460001.0, 1, 18.5), point(2460003.0, 2, None), point(2460005.0, 1, 18.6)],
+              fid=1, magpsf=18.9, **young),
+        # a bright point fails "all faint"
+        alert(2, history=[point(2460001.0, 1, 17.5), point(2460005.0, 1, 18.6)], fid=1, magpsf=18.9, **young),
+        # four valid points fail "exactly three"
+        alert(3, history=[point(2460001.0, 1, 18.5), point(2460002.0, 1, 18.5), point(2460005.0, 1, 18.6)],
+              fid=1, magpsf=18.9, **young),
+        # a named solar-system object fails
+        alert(4, history=[point(2460001.0, 1, 18.5, ssnamenr="Ceres"), point(2460005.0, 1, 18.6)],
+              fid=1, magpsf=18.9, **young),
+        # span of 10 days fails (< 10 required)
+        alert(5, history=[point(2460000.0, 1, 18.5), point(2460005.0, 1, 18.6)], fid=1, magpsf=18.9,
+              jd=2460010.0, jdstarthist=2460000.0),
+        # g then r: m2 - m3 <= 0.3 passes; colour mean g - mean r >= 0 needs both bands
+        alert(6, history=[point(2460001.0, 1, 19.0), point(2460002.0, 1, 19.2)], fid=2, magpsf=19.0, **young),
+        # empty history: one valid point only
+        alert(7, history=[], magpsf=18.5, **young),
+    ]
+    df = alerts_df(spark, rows)
+    got = {r.candid: r.f for r in df.select("candid", F.coalesce(FL.orphan_grb(df), F.lit(False)).alias("f")).collect()}
+    # alert 1 has only band g -> colour NaN -> fails; alert 6 passes every term
+    assert got == {1: False, 2: False, 3: False, 4: False, 5: False, 6: True, 7: False}
+    t = df.select("candid", F.expr(L.fold_orphan_sql(L.lc_concat_sql())).alias("t")).collect()
+    terms = {r.candid: r.t for r in t}
+    assert terms[1].exactly3 and terms[1].span3 and terms[1].valid_rate and not terms[1].color_ok
+    assert not terms[2].all_faint and terms[4].no_known_sso is False and not terms[5].span3
+    assert terms[7].n_valid == 1 and terms[7].all_faint
+
+
+def test_days_since_last_and_same_band(spark):
+    rows = [alert(1, history=[point(2460001.0, 2, 18.0), point(2460002.0, 1, None)], jd=2460004.0, fid=1),
+            alert(2, history=[], jd=2460004.0)]
+    df = alerts_df(spark, rows)
+    out = {r.candid: r for r in df.select(
+        "candid", F.expr(L.days_since_last_sql(L.lc_concat_sql())).alias("dsl"),
+        F.size(L.lc_same_band(L.lc_concat(df))).alias("nsb")).collect()}
+    assert out[1].dsl == 3.0 and out[1].nsb == 1
+    assert out[2].dsl is None and out[2].nsb == 1
+
+
+def test_weighted_fit_matches_numpy(spark):
+    rng = np.random.default_rng(7)
+    rows, expect = [], {}
+    for i in range(20):
+        n = int(rng.integers(3, 9))
+        jd = np.sort(2460000 + rng.uniform(0, 10, n))
+        mag = 19 + 0.4 * (jd - jd[0]) + rng.normal(0, 0.05, n)
+        err = rng.uniform(0.02, 0.1, n)
+        pts = [{"jd": float(a), "mag": float(b), "err": float(c)} for a, b, c in zip(jd, mag, err)]
+        rows.append((i, pts))
+        w = 1 / err ** 2
+        (a, b), cov = np.polyfit(jd - jd[0], mag, 1, w=np.sqrt(w), cov="unscaled")
+        resid = mag - (a * (jd - jd[0]) + b)
+        chi2 = float(np.sum(w * resid ** 2))
+        expect[i] = (a, cov[0, 0] * chi2 / (n - 2), n)
+    df = spark.createDataFrame(rows, "id long, pts array<struct<jd:double,mag:double,err:double>>")
+    got = df.select("id", F.expr(L.fold_rate_sql("pts", 99.0, 0.0)).alias("f")).collect()
+    for r in got:
+        a, var, n = expect[r.id]
+        assert r.f.n_fit == n
+        assert abs(r.f.slope - a) < 1e-8
+        assert abs(r.f.slope_var - var) < 1e-8 * max(1.0, abs(var))
+
+
+def test_rate_fit_rules(spark):
+    # two same-band points: slope defined, variance undefined (n = 2)
+    base = dict(drb=0.95, classtar=0.9, ndethist=3, isdiffpos="t", ssdistnr=-999.0, ra=150.0, dec=40.0,
+                jd=2460003.0, jdstarthist=2460001.0, fid=1, magpsf=18.0)
+    rows = [alert(1, history=[point(2460001.0, 1, 17.0)], **base),
+            # span of 0.4 day: no fit
+            alert(2, history=[point(2460002.6, 1, 17.0)], **base),
+            # the older point is fainter than 21 after DC: only one point left -> no fit
+            alert(3, history=[point(2460001.0, 1, 25.0, magnr=25.0)], **base)]
+    fit = {r.candid: r for r in KN.rate_kn_fit(alerts_df(spark, rows)).collect()}
+    assert fit[1].rate is not None and fit[1].sigma_rate is None and fit[1].n_fit == 2
+    assert fit[2].rate is None and fit[3].rate is None
