@@ -80,3 +80,27 @@ def notification_sink(table_path: str):
             pass
         rows.write.mode("append").parquet(table_path)
     return sink
+
+
+def kilonova_stream(stream: DataFrame, galaxies: DataFrame, sky_objects: DataFrame) -> DataFrame:
+    """Catalogue filters on a stream: (topic, candid, objectId) rows.
+
+    Stream-static joins only (semi join to the host-galaxy cells, anti join to
+    the star cells, both broadcast after the size check); no aggregation and no
+    state, so append mode works without a watermark.
+    """
+    from ..operators import kilonova as KN
+    ekn = KN.early_kn_candidates(stream, galaxies, sky_objects, with_host=False)
+    rkn = KN.rate_based_kn_candidates(stream, sky_objects)
+    return (ekn.select(F.lit("early_kn_candidates").alias("topic"), "candid", "objectId")
+            .unionByName(rkn.select(F.lit("rate_based_kn_candidates").alias("topic"), "candid", "objectId")))
+
+
+def run_kilonova_stream(spark: SparkSession, alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFrame,
+                        run_dir: str | None = None) -> DataFrame:
+    base = run_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/kilonova-{uuid.uuid4().hex}"
+    alerts.write.mode("overwrite").parquet(f"{base}/in")
+    stream = read_alert_stream(spark, f"{base}/in", alerts.schema, max_files_per_trigger=4)
+    q = write_append(kilonova_stream(stream, galaxies, sky_objects), f"{base}/out", f"{base}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")

@@ -24,3 +24,15 @@ def test_topic_stream_partitioned(spark):
     got = sorted((r.topic, r.candid) for r in out.select("topic", "candid").collect())
     want = sorted((r.topic, r.candid) for r in route_topics(a).collect())
     assert got == want
+
+
+def test_kilonova_stream_equals_batch(spark):
+    from alertsieve.operators import kilonova as KN
+    from alertsieve.plans.tables import galaxies, sky_objects
+    from alertsieve.streaming.stream import run_kilonova_stream
+    sf = "/root/testdata/sf0.01"
+    a, g, s = alerts(spark, sf), galaxies(spark, sf), sky_objects(spark, sf)
+    got = sorted((r.topic, r.candid) for r in run_kilonova_stream(spark, a, g, s).collect())
+    want = sorted([("early_kn_candidates", r.candid) for r in KN.early_kn_candidates(a, g, s).collect()]
+                  + [("rate_based_kn_candidates", r.candid) for r in KN.rate_based_kn_candidates(a, s).collect()])
+    assert got == want and len(got) == 46 + 8
