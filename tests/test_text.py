@@ -34,8 +34,8 @@ def test_band_links_friday(spark):
 
 def test_dc_mag_signs_and_invalid_flux(spark):
     rows = [(1, 18.0, 0.05, 20.0, 0.02, 26.0, "t"), (2, 18.0, 0.05, 20.0, 0.02, 26.0, "1"),
-            (3, 18.0, 0.05, 20.0, 0.02, 26.0, "f"), (4, 20.0, 0.05, 20.0, 0.02, 26.0, "0"),
-            (5, None, 0.05, 20.0, 0.02, 26.0, "t")]
+            (3, 21.0, 0.05, 20.0, 0.02, 26.0, "f"), (4, 20.0, 0.05, 20.0, 0.02, 26.0, "0"),
+            (5, None, 0.05, 20.0, 0.02, 26.0, "t"), (6, 18.0, 0.05, 20.0, 0.02, 26.0, "f")]
     df = spark.createDataFrame(rows, "id long, magpsf double, sigmapsf double, magnr double, sigmagnr double, "
                                      "magzpsci double, isdiffpos string")
     c = [F.col(n) for n in ("magpsf", "sigmapsf", "magnr", "sigmagnr", "magzpsci", "isdiffpos")]
@@ -44,8 +44,9 @@ def test_dc_mag_signs_and_invalid_flux(spark):
     fr, fd = 10 ** (-0.4 * (20 - 26)), 10 ** (-0.4 * (18 - 26))
     assert abs(out[1].a.mag - (26 - 2.5 * math.log10(fr + fd))) < 1e-12
     assert out[1].a.mag == out[2].a.mag                      # 't' and '1' are both positive
-    assert abs(out[3].a.mag - (26 - 2.5 * math.log10(fd - fr if fr < fd else fr - fd))) < 1e-9 or \
-        out[3].a.mag is None
+    fd21 = 10 ** (-0.4 * (21 - 26))
+    assert abs(out[3].a.mag - (26 - 2.5 * math.log10(fr - fd21))) < 1e-9   # negative subtraction
+    assert out[6].a.mag is None                              # negative total flux -> NULL
     assert out[4].a.mag is None                              # zero total flux -> NULL, no error
     assert out[5].a.mag is None
     for r in out.values():                                   # SQL-text and Column forms agree
