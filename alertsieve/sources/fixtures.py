@@ -56,23 +56,91 @@ def _history_fields_sql(e: str = "event_id") -> dict[str, str]:
 _BY_OBJ = "PARTITION BY obj ORDER BY ts, event_id"
 
 
-def events_to_alerts(events: DataFrame) -> DataFrame:
-    """events(event_id, ts, user_id, props, ...) -> alerts with schema ALERT."""
+# An object with more events than this is "hot": its running counts are then
+# computed by the range-partitioned prefix scan instead of one window task.
+HOT_OBJECT_ROWS = 2_000_000
+
+
+def _slim_events(events: DataFrame) -> DataFrame:
     us = epoch_micros_sql(events, "ts")
-    slim = events.selectExpr(
+    return events.selectExpr(
         "event_id", "ts", "user_id * 8 + CAST(get_json_object(props, '$.k') AS BIGINT) % 8 AS obj",
         f"{us} / 86400000000.0D + 2440587.5D AS jd")
+
+
+def _history_point_sql() -> str:
     h = _history_fields_sql()
     # a point seen as history is a non-detection when event_id % 5 == 0
     h["magpsf"] = f"CASE WHEN event_id % 5 = 0 THEN CAST(NULL AS DOUBLE) ELSE {h['magpsf']} END"
-    point = "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in h.items()) + ")"
-    hist = slim.selectExpr(
-        "event_id", "obj", "jd",
-        f"min(jd) OVER ({_BY_OBJ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS jdstarthist",
-        f"CAST(row_number() OVER ({_BY_OBJ}) AS BIGINT) AS ndethist",
-        f"collect_list({point}) OVER ({_BY_OBJ} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-        " AS prv_candidates",
-    )
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in h.items()) + ")"
+
+
+def max_events_per_object(events: DataFrame) -> int:
+    """Size of the largest object (one partial aggregation, no skew)."""
+    row = _slim_events(events).groupBy("obj").count().agg(F.max("count").alias("m")).first()
+    return int(row["m"] or 0)
+
+
+def running_counts_skew_safe(slim: DataFrame, n_parts: int) -> DataFrame:
+    """(event_id, obj, jd, ts, jdstarthist, ndethist) without any per-object task.
+
+    Events are range-partitioned on (obj, ts, event_id): the sampler splits a
+    hot object's time range over many partitions, and partition i precedes
+    partition i+1 in that order.  Inside a partition ranks are local
+    (bounded groups); per (obj, partition) counts and first dates -- a table
+    of about #objects + #partitions rows -- are prefix-summed over partitions
+    and joined back as carry-in.  The partitioned slim events are checkpointed
+    (shared folder of ``spark.checkpoint.dir``) so both uses see the same
+    partition ids even if a stage is recomputed after an executor loss.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(slim.sparkSession)
+    r = (slim.repartitionByRange(n_parts, "obj", "ts", "event_id")
+         .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    local = r.selectExpr(
+        "event_id", "obj", "jd", "ts", "_pid",
+        "row_number() OVER (PARTITION BY obj, _pid ORDER BY ts, event_id) AS _lrank",
+        "min(jd) OVER (PARTITION BY obj, _pid ORDER BY ts, event_id "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _lmin")
+    carry = (r.groupBy("obj", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("jd").alias("_m"))
+             .selectExpr("obj", "_pid",
+                         "coalesce(sum(_n) OVER (PARTITION BY obj ORDER BY _pid "
+                         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _off",
+                         "min(_m) OVER (PARTITION BY obj ORDER BY _pid "
+                         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _cmin"))
+    return local.join(carry, ["obj", "_pid"]).selectExpr(
+        "event_id", "obj", "jd", "ts",
+        "CASE WHEN _cmin IS NULL THEN _lmin ELSE least(_cmin, _lmin) END AS jdstarthist",
+        "CAST(_off + _lrank AS BIGINT) AS ndethist")
+
+
+def events_to_alerts(events: DataFrame, skew_safe: bool | None = None,
+                     hot_object_rows: int = HOT_OBJECT_ROWS, n_parts: int | None = None) -> DataFrame:
+    """events(event_id, ts, user_id, props, ...) -> alerts with schema ALERT.
+
+    ``skew_safe=None`` measures the largest object first and picks the plain
+    per-object window when it fits a task, the range-partitioned prefix scan
+    otherwise.  The packaged history (``prv_candidates``) is always a
+    per-object window -- an alert packet holds every earlier alert of its
+    object -- and Catalyst drops that window when a query does not read it.
+    """
+    slim = _slim_events(events)
+    if skew_safe is None:
+        skew_safe = max_events_per_object(events) > hot_object_rows
+    point = _history_point_sql()
+    prv = (f"collect_list({point}) OVER ({_BY_OBJ} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+           " AS prv_candidates")
+    if skew_safe:
+        n_parts = n_parts or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hist = running_counts_skew_safe(slim, n_parts).selectExpr(
+            "event_id", "obj", "jd", "jdstarthist", "ndethist", prv)
+    else:
+        hist = slim.selectExpr(
+            "event_id", "obj", "jd",
+            f"min(jd) OVER ({_BY_OBJ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS jdstarthist",
+            f"CAST(row_number() OVER ({_BY_OBJ}) AS BIGINT) AS ndethist",
+            prv,
+        )
     return _project_alert(hist)
 
 
@@ -122,8 +190,8 @@ def _project_alert(hist: DataFrame) -> DataFrame:
     )
 
 
-def load_alerts(spark, sf_dir: str) -> DataFrame:
-    return events_to_alerts(spark.read.parquet(f"{sf_dir}/events.parquet"))
+def load_alerts(spark, sf_dir: str, skew_safe: bool | None = None) -> DataFrame:
+    return events_to_alerts(spark.read.parquet(f"{sf_dir}/events.parquet"), skew_safe)
 
 
 def customer_to_raw_galaxies(customer: DataFrame) -> DataFrame:
