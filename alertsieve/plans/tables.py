@@ -23,8 +23,30 @@ def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
     return _PLANS[key]
 
 
+def derived_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts derived from ``events`` (fixture adapter), not materialised."""
+    return _memo("derived", spark, sf_dir, lambda: FX.load_alerts(spark, sf_dir))
+
+
+def _materialise_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from ..sources.alerts import NIGHT, read_alerts, write_alerts
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/alert-table-{uuid.uuid4().hex}"
+    write_alerts(derived_alerts(spark, sf_dir), path, mode="overwrite")
+    return read_alerts(spark, path).drop(NIGHT)
+
+
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo("alerts", spark, sf_dir, lambda: FX.load_alerts(spark, sf_dir))
+    """The alert table every query reads.
+
+    Like a broker's alert store, it is written once (parquet partitioned by
+    night, in the shared folder named by ``spark.checkpoint.dir``) from the
+    events of ``sf_dir`` and then scanned by each query with predicate
+    pushdown and nested column pruning.  Written data also cuts the lineage:
+    a lost executor costs a re-read, not a re-run of the history window.
+    """
+    return _memo("alerts", spark, sf_dir, lambda: _materialise_alerts(spark, sf_dir))
 
 
 def galaxies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,11 +22,10 @@ def night_of(jd_col: str = "candidate.jd"):
 
 
 def write_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:
-    """Write alerts partitioned by night.  ``repartition(night)`` first keeps one
-    writer per night per task instead of many small files."""
-    (alerts.withColumn(NIGHT, night_of())
-     .repartition(NIGHT)
-     .write.mode(mode).partitionBy(NIGHT).parquet(path))
+    """Write alerts partitioned by night.  No repartition on the night: one
+    night can be a large share of the data, so every task writes its own slice
+    of each night it holds (the writer sorts by night within the task)."""
+    alerts.withColumn(NIGHT, night_of()).write.mode(mode).partitionBy(NIGHT).parquet(path)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
@@ -37,4 +36,4 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
 
 def write_topics(topics: DataFrame, path: str, mode: str = "append") -> None:
     """Route output (topic, candid, ...) -> one folder per topic."""
-    topics.repartition("topic").write.mode(mode).partitionBy("topic").parquet(path)
+    topics.write.mode(mode).partitionBy("topic").parquet(path)
