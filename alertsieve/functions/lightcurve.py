@@ -359,7 +359,9 @@ def fold_orphan_sql(lc: str) -> str:
               "'span3', coalesce(acc.n = 3 AND (acc.v2.jd - acc.v0.jd) < 10.0D, false), "
               f"'valid_rate', coalesce(acc.n = 3 AND {rate}, false), "
               f"'color_ok', coalesce(({mg}) - ({mr}) >= 0, false), "
-              f"'no_known_sso', acc.n_sso = 0, 'mean_g', {mg}, 'mean_r', {mr})")
+              f"'no_known_sso', acc.n_sso = 0, 'mean_g', {mg}, 'mean_r', {mr}, "
+              f"'all_terms', acc.n_bright = 0 AND acc.n = 3 AND (acc.v2.jd - acc.v0.jd) < 10.0D AND {rate} "
+              f"AND coalesce(({mg}) - ({mr}) >= 0, false) AND acc.n_sso = 0)")
     return f"aggregate({lc}, {init}, {merge}, {finish})"
 
 

@@ -27,6 +27,12 @@ FLAG_BUILDERS = {
     "roid2": FL.sso_candidates,
 }
 
+FLAG_FILTERS = {
+    "tracklet": "tracklet_candidates", "simbad": "simbad_candidates", "early_sn": "early_sn_candidates",
+    "sn": "sn_candidates", "microlensing": "microlensing_candidates", "kn": "kn_candidates",
+    "roid3": "sso_ztf_candidates", "roid2": "sso_candidates",
+}
+
 # Overwrite order of the reference (later entries win).
 PRIORITY = [
     ("microlensing", S.CLASS_MICROLENSING),
@@ -42,7 +48,11 @@ AMBIGUITY_FLAGS = ["microlensing", "sn", "roid2", "roid3"]
 
 def alert_flags(df: DataFrame) -> dict[str, Column]:
     """K1: the eight non-null flags."""
-    return {k: flag(b(df)) for k, b in FLAG_BUILDERS.items()}
+    out = {}
+    for k, builder in FLAG_BUILDERS.items():
+        sql = FL.filter_sql(FLAG_FILTERS[k], df)
+        out[k] = F.expr(f"coalesce({sql}, false)") if sql is not None else flag(builder(df))
+    return out
 
 
 def priority_class(flags: dict[str, Column]) -> Column:
@@ -70,8 +80,21 @@ def classify_from_flags(df: DataFrame, flags: dict[str, Column]) -> Column:
             .otherwise(priority_class(flags)))
 
 
+def classify_sql(df: DataFrame) -> str:
+    """K2-K5 as one SQL ``CASE`` (one JVM call)."""
+    fl = {k: f"coalesce({FL.filter_sql(n, df)}, false)" for k, n in FLAG_FILTERS.items()}
+    prio = "CASE " + " ".join(f"WHEN {fl[n]} THEN '{lab}'" for n, lab in reversed(PRIORITY)) \
+        + f" ELSE '{S.CLASS_UNKNOWN}' END"
+    namb = " + ".join(f"CAST({fl[n]} AS BIGINT)" for n in AMBIGUITY_FLAGS)
+    cds = FL.name_sql(df, "cdsxmatch")
+    return (f"CASE WHEN {fl['simbad']} THEN {cds} WHEN ({namb}) > 1 THEN '{S.CLASS_AMBIGUOUS}' "
+            f"ELSE {prio} END")
+
+
 def classify(df: DataFrame) -> Column:
     """K5: class label of every alert."""
+    if all(FL.filter_sql(n, df) is not None for n in FLAG_FILTERS.values()):
+        return F.expr(classify_sql(df))
     return classify_from_flags(df, alert_flags(df))
 
 

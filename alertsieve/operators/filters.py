@@ -19,6 +19,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions import lightcurve as L
@@ -42,114 +43,184 @@ def le(c: Column, v: float) -> Column:
     return c <= d(v)
 
 
-def _c(df: DataFrame, name: str) -> Column:
-    return resolve(df, name)
+# --- SQL text building blocks (one JVM call per predicate) --------------------
 
+def name_sql(df: DataFrame, name: str, struct: str = "candidate") -> str:
+    """SQL path of ``name``: top level first, then ``candidate.``."""
+    fields = {fl.name: fl for fl in df.schema.fields}
+    if name in fields:
+        return f"`{name}`"
+    if struct in fields and isinstance(fields[struct].dataType, T.StructType) \
+            and name in fields[struct].dataType.fieldNames():
+        return f"`{struct}`.`{name}`"
+    raise KeyError(f"column {name!r} not found at top level nor in {struct!r}")
 
-def _dbl(df: DataFrame, name: str) -> Column:
-    return resolve(df, name).cast("double")
+
+def _dbl(df: DataFrame, name: str) -> str:
+    return f"CAST({name_sql(df, name)} AS DOUBLE)"
+
+
+def _int(df: DataFrame, name: str) -> str:
+    return f"CAST({name_sql(df, name)} AS BIGINT)"
+
+
+def _lit(v: float) -> str:
+    return f"{float(v)!r}D"
+
+
+def gt_sql(x: str, v: float) -> str:
+    return f"({x} > {_lit(v)} AND NOT isnan({x}))"
+
+
+def _in(x: str, labels) -> str:
+    return f"{x} IN (" + ", ".join("'" + s.replace("'", "\\'") + "'" for s in labels) + ")"
+
+
+def age_sql(df: DataFrame) -> str:
+    return f"({_dbl(df, 'jd')} - {_dbl(df, 'jdstarthist')})"
 
 
 def age(df: DataFrame) -> Column:
-    return _dbl(df, "jd") - _dbl(df, "jdstarthist")
+    return F.expr(age_sql(df))
 
 
 # ---------------------------------------------------------------------------
-# label / score filters
+# label / score filters: `*_sql` gives the predicate text, the plain name the Column
 # ---------------------------------------------------------------------------
 
-def rrlyr(df: DataFrame) -> Column:
+def rrlyr_sql(df):
     """``cdsxmatch == 'RRLyr'``."""
-    return _c(df, "cdsxmatch") == F.lit(S.RRLYR_LABEL)
+    return f"{name_sql(df, 'cdsxmatch')} = '{S.RRLYR_LABEL}'"
 
 
-def yso_candidates(df: DataFrame) -> Column:
+def yso_candidates_sql(df):
     """YSO labels."""
-    return _c(df, "cdsxmatch").isin(S.YSO_LABELS)
+    return _in(name_sql(df, "cdsxmatch"), S.YSO_LABELS)
 
 
-def simbad_candidates(df: DataFrame) -> Column:
+def simbad_candidates_sql(df):
     """a catalogue label other than Unknown/Transient/Fail; a missing label passes."""
-    return ~flag(_c(df, "cdsxmatch").isin(S.SIMBAD_NOT_A_MATCH))
+    return f"NOT coalesce({_in(name_sql(df, 'cdsxmatch'), S.SIMBAD_NOT_A_MATCH)}, false)"
 
 
-def sso_ztf_candidates(df: DataFrame) -> Column:
+def sso_ztf_candidates_sql(df):
     """known solar-system object, ``int(roid) == 3``."""
-    return _c(df, "roid").cast("long") == 3
+    return f"{_int(df, 'roid')} = 3"
 
 
-def sso_candidates(df: DataFrame) -> Column:
+def sso_candidates_sql(df):
     """solar-system candidate, ``int(roid) == 2``."""
-    return _c(df, "roid").cast("long") == 2
+    return f"{_int(df, 'roid')} = 2"
 
 
-def tracklet_candidates(df: DataFrame) -> Column:
+def tracklet_candidates_sql(df):
     """tracklet id starting with ``TRCK_``."""
-    return _c(df, "tracklet").startswith(S.TRACKLET_PREFIX)
+    return f"startswith({name_sql(df, 'tracklet')}, '{S.TRACKLET_PREFIX}')"
 
 
-def microlensing_candidates(df: DataFrame) -> Column:
+def microlensing_candidates_sql(df):
     """``mulens > 0``."""
-    return gt(_dbl(df, "mulens"), 0.0)
+    return gt_sql(_dbl(df, "mulens"), 0.0)
 
 
-def snialike(df: DataFrame) -> Column:
+def snialike_sql(df):
     """F8: ``rfscore > 0 & cdsxmatch == 'Unknown' & neargaia > 5 & distpsnr1 > 5``."""
-    return (gt(_dbl(df, "rfscore"), 0.0) & (_c(df, "cdsxmatch") == F.lit("Unknown"))
-            & gt(_dbl(df, "neargaia"), 5.0) & gt(_dbl(df, "distpsnr1"), 5.0))
+    return (f"{gt_sql(_dbl(df, 'rfscore'), 0.0)} AND {name_sql(df, 'cdsxmatch')} = 'Unknown' "
+            f"AND {gt_sql(_dbl(df, 'neargaia'), 5.0)} AND {gt_sql(_dbl(df, 'distpsnr1'), 5.0)}")
 
 
-def _snn(df: DataFrame) -> Column:
-    return gt(_dbl(df, "snn_snia_vs_nonia"), 0.5) | gt(_dbl(df, "snn_sn_vs_all"), 0.5)
+def _snn_sql(df):
+    return f"({gt_sql(_dbl(df, 'snn_snia_vs_nonia'), 0.5)} OR {gt_sql(_dbl(df, 'snn_sn_vs_all'), 0.5)})"
 
 
-def sn_candidates(df: DataFrame) -> Column:
+def sn_candidates_sql(df):
     """SN candidates."""
-    return (_snn(df) & _c(df, "cdsxmatch").isin(S.SN_KEEP) & le(age(df), 90.0)
-            & gt(_dbl(df, "drb"), 0.5) & gt(_dbl(df, "classtar"), 0.4)
-            & (_c(df, "ndethist").cast("long") > 1) & (_c(df, "roid").cast("long") != 3))
+    return (f"{_snn_sql(df)} AND {_in(name_sql(df, 'cdsxmatch'), S.SN_KEEP)} AND {age_sql(df)} <= 90.0D "
+            f"AND {gt_sql(_dbl(df, 'drb'), 0.5)} AND {gt_sql(_dbl(df, 'classtar'), 0.4)} "
+            f"AND {_int(df, 'ndethist')} > 1 AND {_int(df, 'roid')} != 3")
 
 
-def early_sn_candidates(df: DataFrame) -> Column:
+def early_sn_candidates_sql(df):
     """early SN Ia candidates (no age and no solar-system cut)."""
-    return (_snn(df) & _c(df, "cdsxmatch").isin(S.SN_KEEP)
-            & gt(_dbl(df, "drb"), 0.5) & gt(_dbl(df, "classtar"), 0.4)
-            & (_c(df, "ndethist").cast("long") <= 20) & gt(_dbl(df, "rf_snia_vs_nonia"), 0.5))
+    return (f"{_snn_sql(df)} AND {_in(name_sql(df, 'cdsxmatch'), S.SN_KEEP)} "
+            f"AND {gt_sql(_dbl(df, 'drb'), 0.5)} AND {gt_sql(_dbl(df, 'classtar'), 0.4)} "
+            f"AND {_int(df, 'ndethist')} <= 20 AND {gt_sql(_dbl(df, 'rf_snia_vs_nonia'), 0.5)}")
 
 
-def kn_candidates(df: DataFrame) -> Column:
+def kn_candidates_sql(df):
     """kilonova candidates from the classifier score."""
-    return (gt(_dbl(df, "rf_kn_vs_nonkn"), 0.5) & gt(_dbl(df, "drb"), 0.5)
-            & gt(_dbl(df, "classtar"), 0.4) & lt(age(df), 20.0)
-            & lt(_dbl(df, "ndethist"), 20.0) & _c(df, "cdsxmatch").isin(S.KN_KEEP))
+    return (f"{gt_sql(_dbl(df, 'rf_kn_vs_nonkn'), 0.5)} AND {gt_sql(_dbl(df, 'drb'), 0.5)} "
+            f"AND {gt_sql(_dbl(df, 'classtar'), 0.4)} AND {age_sql(df)} < 20.0D "
+            f"AND {_dbl(df, 'ndethist')} < 20.0D AND {_in(name_sql(df, 'cdsxmatch'), S.KN_KEEP)}")
 
 
-def early_kn_cuts(df: DataFrame) -> Column:
+def early_kn_cuts_sql(df):
     """F12, per-row part: cuts before the host-galaxy match."""
-    return (gt(_dbl(df, "drb"), 0.5) & gt(_dbl(df, "classtar"), 0.4) & lt(age(df), 0.25)
-            & (_c(df, "roid").cast("long") != 3) & _c(df, "cdsxmatch").isin(S.KN_KEEP))
+    return (f"{gt_sql(_dbl(df, 'drb'), 0.5)} AND {gt_sql(_dbl(df, 'classtar'), 0.4)} "
+            f"AND {age_sql(df)} < 0.25D AND {_int(df, 'roid')} != 3 "
+            f"AND {_in(name_sql(df, 'cdsxmatch'), S.KN_KEEP)}")
 
 
-def rate_kn_cuts(df: DataFrame) -> Column:
+def rate_kn_cuts_sql(df):
     """F13, per-row part: cuts before the light-curve fit."""
     ssd = _dbl(df, "ssdistnr")
-    b = F.expr(galactic_lat_sql("CAST(candidate.ra AS DOUBLE)", "CAST(candidate.dec AS DOUBLE)")) \
-        if "candidate" in df.columns else galactic_lat(_dbl(df, "ra"), _dbl(df, "dec"))
-    return (gt(_dbl(df, "drb"), 0.9) & gt(_dbl(df, "classtar"), 0.4) & lt(age(df), 14.0)
-            & lt(_dbl(df, "ndethist"), 20.0) & (_c(df, "isdiffpos") == F.lit("t"))
-            & (gt(ssd, 10.0) | lt(ssd, 0.0)) & gt(F.abs(b), 10.0)
-            & _c(df, "cdsxmatch").isin(S.KN_KEEP))
+    b = galactic_lat_sql(_dbl(df, "ra"), _dbl(df, "dec"))
+    return (f"{gt_sql(_dbl(df, 'drb'), 0.9)} AND {gt_sql(_dbl(df, 'classtar'), 0.4)} "
+            f"AND {age_sql(df)} < 14.0D AND {_dbl(df, 'ndethist')} < 20.0D "
+            f"AND {name_sql(df, 'isdiffpos')} = 't' AND ({gt_sql(ssd, 10.0)} OR {ssd} < 0.0D) "
+            f"AND {gt_sql(f'abs({b})', 10.0)} AND {_in(name_sql(df, 'cdsxmatch'), S.KN_KEEP)}")
 
 
-def orphan_grb(df: DataFrame, lc: Column | None = None) -> Column:
+def orphan_grb_sql(df):
     """orphan GRB afterglow candidates (light-curve shape).
 
     The light curve is folded once (``fold_orphan``) into every term of the
     filter; the age cut is evaluated first so most rows never fold."""
+    lc = L.lc_concat_sql(name_sql(df, "prv_candidates"), "candidate")
+    t = L.fold_orphan_sql(lc)
+    young = f"{age_sql(df)} <= 30.0D"
+    return f"{young} AND CASE WHEN {young} THEN ({t}).all_terms END"
+
+
+_SQL_BUILDERS = {
+    "rrlyr": rrlyr_sql, "yso_candidates": yso_candidates_sql, "simbad_candidates": simbad_candidates_sql,
+    "sso_ztf_candidates": sso_ztf_candidates_sql, "sso_candidates": sso_candidates_sql,
+    "tracklet_candidates": tracklet_candidates_sql, "microlensing_candidates": microlensing_candidates_sql,
+    "snialike": snialike_sql, "sn_candidates": sn_candidates_sql, "early_sn_candidates": early_sn_candidates_sql,
+    "kn_candidates": kn_candidates_sql, "orphan_grb": orphan_grb_sql,
+}
+
+
+def _column(sql_builder):
+    def build(df: DataFrame) -> Column:
+        return F.expr(sql_builder(df))
+    build.__name__ = sql_builder.__name__[:-4]
+    build.__doc__ = sql_builder.__doc__
+    return build
+
+
+rrlyr = _column(rrlyr_sql)
+yso_candidates = _column(yso_candidates_sql)
+simbad_candidates = _column(simbad_candidates_sql)
+sso_ztf_candidates = _column(sso_ztf_candidates_sql)
+sso_candidates = _column(sso_candidates_sql)
+tracklet_candidates = _column(tracklet_candidates_sql)
+microlensing_candidates = _column(microlensing_candidates_sql)
+snialike = _column(snialike_sql)
+sn_candidates = _column(sn_candidates_sql)
+early_sn_candidates = _column(early_sn_candidates_sql)
+kn_candidates = _column(kn_candidates_sql)
+early_kn_cuts = _column(early_kn_cuts_sql)
+rate_kn_cuts = _column(rate_kn_cuts_sql)
+_orphan_grb_default = _column(orphan_grb_sql)
+
+
+def orphan_grb(df: DataFrame, lc: Column | None = None) -> Column:
+    """F14 (see ``orphan_grb_sql``); with an explicit ``lc`` Column the Column
+    form of the fold is used."""
     if lc is None and has_column(df, "prv_candidates") and "candidate" in df.columns:
-        t = F.expr(L.fold_orphan_sql(L.lc_concat_sql("prv_candidates", "candidate")))
-    else:
-        t = L.fold_orphan(lc if lc is not None else L.lc_concat(df))
+        return _orphan_grb_default(df)
+    t = L.fold_orphan(lc if lc is not None else L.lc_concat(df))
     young = le(age(df), 30.0)
     return young & F.when(young, t["all_faint"] & t["exactly3"] & t["span3"] & t["valid_rate"]
                           & t["color_ok"] & t["no_known_sso"])
@@ -208,6 +279,11 @@ ROW_FILTERS = [n for n in REGISTRY]           # per-row filters (no catalogue)
 CATALOGUE_FILTERS = ["early_kn_candidates", "rate_based_kn_candidates"]
 
 
+def filter_sql(name: str, df: DataFrame) -> str | None:
+    """SQL text of a built-in filter (None for user filters)."""
+    return _SQL_BUILDERS[name](df) if name in _SQL_BUILDERS and REGISTRY[name].builder is globals()[name] else None
+
+
 def get_filter(name: str) -> FilterSpec:
     """Look a filter up by name or dotted path (last component)."""
     key = name.rsplit(".", 1)[-1]

@@ -40,8 +40,11 @@ def route_topics(df: DataFrame, topics: list[str] | None = None,
     """
     topics = topics or [n for n in FL.ROW_FILTERS if FL.REGISTRY[n].topic]
     keep = keep or ["candid", "objectId"]
-    names = F.array(*[F.when(flag(FL.get_filter(t).builder(df)), F.lit(FL.get_filter(t).topic))
-                      for t in topics])
+    def one(t):
+        sql = FL.filter_sql(t, df)
+        pred = F.expr(f"coalesce({sql}, false)") if sql is not None else flag(FL.get_filter(t).builder(df))
+        return F.when(pred, F.lit(FL.get_filter(t).topic))
+    names = F.array(*[one(t) for t in topics])
     return (df.select(*keep, F.explode(F.filter(names, lambda x: x.isNotNull())).alias("topic"))
             .select("topic", *keep))
 
