@@ -84,3 +84,34 @@ def fmt_fixed(x: Column, decimals: int, signed: bool = False) -> Column:
 def strip_bytes_repr(name: Column) -> Column:
     """C17: "b'NGC 1234'" -> 'NGC 1234' (drop first two and the last character)."""
     return name.substr(F.lit(3), F.length(name) - 3)
+
+
+# --- SQL text forms (one JVM call each; same arithmetic as above) ----------------
+
+def jd_to_utc_sql(jd: str) -> str:
+    ms = f"CAST(round(({jd} - {JD_UNIX_EPOCH!r}D) * 86400000.0D) AS BIGINT)"
+    day = f"CAST(floor({ms} / 86400000) AS BIGINT)"
+    rem = f"({ms} - {day} * 86400000)"
+    return (f"format_string('%s %02d:%02d:%02d.%03d', CAST(date_from_unix_date(CAST({day} AS INT)) AS STRING), "
+            f"CAST({rem} / 3600000 AS BIGINT), CAST({rem} / 60000 AS BIGINT) % 60, "
+            f"CAST({rem} / 1000 AS BIGINT) % 60, {rem} % 1000)")
+
+
+def ra_hms_sql(ra: str) -> str:
+    cs = f"CAST(round({ra} / 15.0D * 360000.0D) AS BIGINT)"
+    return (f"format_string('%d %02d %05.2f', CAST({cs} / 360000 AS BIGINT), CAST({cs} / 6000 AS BIGINT) % 60, "
+            f"({cs} % 6000) / 100.0D)")
+
+
+def dec_dms_sql(dec: str) -> str:
+    ds = f"CAST(round(abs({dec}) * 36000.0D) AS BIGINT)"
+    return (f"format_string('%s%d %02d %04.1f', CASE WHEN {dec} < 0 THEN '-' ELSE '+' END, "
+            f"CAST({ds} / 36000 AS BIGINT), CAST({ds} / 600 AS BIGINT) % 60, ({ds} % 600) / 10.0D)")
+
+
+def band_name_sql(fid: str) -> str:
+    return "CASE " + " ".join(f"WHEN {fid} = {k} THEN '{v}'" for k, v in S.BAND_NAMES.items()) + " END"
+
+
+def tns_link_sql(ra: str, dec: str, template: str = TNS_SEARCH) -> str:
+    return f"format_string('{template}', {ra}, {dec})"

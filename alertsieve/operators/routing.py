@@ -54,13 +54,14 @@ def union_topics(parts: list[DataFrame]) -> DataFrame:
 
 
 def _common(df: DataFrame, topic: str, fid: Column, days_first: Column) -> list[Column]:
+    e = F.expr
     return [F.lit(topic).alias("topic"), F.col("candid"), F.col("objectId"),
-            TX.jd_to_utc(F.col("jd")).alias("obs_utc"), F.col("ra"), F.col("dec"),
-            TX.ra_hms(F.col("ra")).alias("ra_hms"), TX.dec_dms(F.col("dec")).alias("dec_dms"),
-            F.expr(galactic_lat_sql("ra", "dec")).alias("gal_lat"),
-            TX.band_name(fid).alias("band"), F.col("mag"), F.col("err_mag"),
+            e(TX.jd_to_utc_sql("jd")).alias("obs_utc"), F.col("ra"), F.col("dec"),
+            e(TX.ra_hms_sql("ra")).alias("ra_hms"), e(TX.dec_dms_sql("dec")).alias("dec_dms"),
+            e(galactic_lat_sql("ra", "dec")).alias("gal_lat"),
+            e(TX.band_name_sql("fid")).alias("band"), F.col("mag"), F.col("err_mag"),
             days_first.alias("days_since_first"),
-            TX.tns_link(F.col("ra"), F.col("dec")).alias("tns_link")]
+            e(TX.tns_link_sql("ra", "dec")).alias("tns_link")]
 
 
 def notify_kn(msg_rows: DataFrame) -> DataFrame:

@@ -45,6 +45,7 @@ _CHECKED: dict = {}
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    # returns a new (hinted) DataFrame when broadcasting, ``df`` itself otherwise
     """``broadcast(df)`` when its measured row count is at most ``max_rows``;
     otherwise ``df`` unchanged (shuffle join on the cell id; AQE splits skewed
     cells).  The count is one small job over the catalogue side, remembered
@@ -60,7 +61,8 @@ def cone_join(left: DataFrame, cat_cells: DataFrame, left_ra: str, left_dec: str
               cat_ra: str, cat_dec: str, how: str = "inner",
               radius_name: str = "_radius", cell_deg: float = DEFAULT_CELL_DEG,
               extra: Column | str | None = None, sep_name: str | None = "sep_rad",
-              broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+              broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+              salt_buckets: int = 1) -> DataFrame:
     """Join ``left`` rows to catalogue rows within the catalogue row's radius.
 
     ``cat_cells`` comes from ``explode_catalogue`` with the same ``cell_deg``;
@@ -68,13 +70,28 @@ def cone_join(left: DataFrame, cat_cells: DataFrame, left_ra: str, left_dec: str
     (pairs, with the separation in ``sep_name``), ``left_semi`` (J2s: rows with
     at least one match) or ``left_anti`` (J3: rows with none).  ``extra`` is a
     residual predicate (Column or SQL text) evaluated inside the join.
+
+    ``salt_buckets > 1`` (shuffle path only) spreads each cell over that many
+    join keys: every left row gets a salt from a hash of its columns, every
+    catalogue row is replicated once per salt.  Use it when AQE skew splitting
+    is off or insufficient; the result is identical.
     """
     lc = left.withColumn(CELL + "_l", F.expr(point_cell_sql(f"`{left_ra}`", f"`{left_dec}`", cell_deg)))
     right = cat_cells
+    broadcast = False
     if broadcast_max_rows is not None:
         right = checked_broadcast(cat_cells, broadcast_max_rows)
+        broadcast = right is not cat_cells
+    salted = salt_buckets > 1 and not broadcast
+    if salted:
+        lc = lc.withColumn("_salt_l", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]),
+                                             F.lit(salt_buckets)))
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                               F.lit(salt_buckets - 1).cast("long"))))
     sep = ang_sep_sql(f"`{left_ra}`", f"`{left_dec}`", f"`{cat_ra}`", f"`{cat_dec}`")
     cond_sql = f"{CELL}_l = {CELL} AND {sep} <= `{radius_name}`"
+    if salted:
+        cond_sql = f"_salt_l = _salt AND {cond_sql}"
     if isinstance(extra, str):
         cond_sql += f" AND ({extra})"
     cond = F.expr(cond_sql)
@@ -84,5 +101,5 @@ def cone_join(left: DataFrame, cat_cells: DataFrame, left_ra: str, left_dec: str
     if how == "inner":
         if sep_name:
             out = out.withColumn(sep_name, F.expr(sep))
-        out = out.drop(CELL, radius_name)
-    return out.drop(CELL + "_l")
+        out = out.drop(CELL, radius_name, "_salt")
+    return out.drop(CELL + "_l", "_salt_l")
