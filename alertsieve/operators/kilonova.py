@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -18,7 +18,7 @@ from ..functions.columns import d, resolve
 from ..functions.photometry import abs_mag, dc_mag_sql
 from ..functions.sky import ang_sep_sql, galactic_lat
 from . import filters as FL
-from .skyjoin import DEFAULT_CELL_DEG, cone_join, explode_catalogue
+from .skyjoin import DEFAULT_CELL_DEG, checked_broadcast, cone_join, explode_catalogue
 
 HOST_MAX_SEP_DEG = 2.0
 HOST_MAX_SEP_RAD_MPC = 0.01        # 10 kpc: sep[rad] < 0.01 / ang_dist[Mpc]
@@ -194,3 +194,68 @@ def kn_message_rows(alerts: DataFrame) -> DataFrame:
 
 def gal_lat_col() -> F.Column:
     return galactic_lat(F.col("ra"), F.col("dec"))
+
+
+# ---------------------------------------------------------------------------
+# one-pass flags: both catalogue filters as boolean columns (EXISTS subqueries
+# planned as broadcast existence joins -- one output row per alert, no
+# multiplication, no aggregation), next to every per-row flag.
+# ---------------------------------------------------------------------------
+
+def _exists_within(cells: DataFrame, cat_ra: str, cat_dec: str, radius: str,
+                   extra: Column | None = None, need: str | None = None) -> Column:
+    """EXISTS (catalogue row in the alert's cell within its radius [AND extra]).
+
+    Outer references use names that exist nowhere in the catalogue lineage
+    (``_a_cell``, ``_a_ra``, ``_a_dec``); the cell equality makes the existence
+    join an equi-join (hash probe), the separation is the residual."""
+    from ..functions.sky import ang_sep
+    ra_o, dec_o = F.col("_a_ra").outer(), F.col("_a_dec").outer()
+    cond = F.col("_cell") == F.col("_a_cell").outer()
+    if need is not None:          # cheap outer flag first: AND short-circuits the distance maths
+        cond = cond & F.col(need).outer()
+    if extra is not None:
+        cond = cond & extra
+    cond = cond & (ang_sep(ra_o, dec_o, F.col(cat_ra), F.col(cat_dec)) <= F.col(radius))
+    return checked_broadcast(cells).where(cond).exists()
+
+
+def catalogue_flags(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFrame,
+                    cell_deg: float = DEFAULT_CELL_DEG, keep: list[str] | None = None,
+                    extra: list[Column] | None = None) -> DataFrame:
+    """Alerts with ``f_early_kn_candidates`` and ``f_rate_based_kn_candidates``
+    (non-null booleans) computed in one pass, plus the columns in ``keep`` and
+    the (aliased) expressions in ``extra`` -- e.g. every per-row flag."""
+    from ..functions.sky import ang_sep, point_cell_sql
+    keep = keep or ["candid", "objectId"]
+    lc = L.lc_concat_sql("prv_candidates", "candidate")
+    fit = L.fold_rate_sql(L.with_dc_sql(L.same_band_sql(lc, "CAST(candidate.fid AS BIGINT)")),
+                          RATE_MAX_MAG, RATE_MIN_SPAN_DAYS)
+    rkn_cut = f"coalesce({FL.rate_kn_cuts_sql(alerts)}, false)"
+    extra = extra or []
+    staged = alerts.select(
+        *keep, *extra,
+        F.col("candidate.ra").cast("double").alias("_a_ra"), F.col("candidate.dec").cast("double").alias("_a_dec"),
+        F.expr(point_cell_sql("CAST(candidate.ra AS DOUBLE)", "CAST(candidate.dec AS DOUBLE)", cell_deg))
+        .alias("_a_cell"),
+        F.expr(f"coalesce({FL.early_kn_cuts_sql(alerts)}, false)").alias("_a_ekn_cut"),
+        F.expr(f"CASE WHEN coalesce({FL.early_kn_cuts_sql(alerts)}, false) THEN "
+               f"({dc_mag_sql('candidate.')}).mag END").alias("_a_mag"),
+        F.expr(f"{rkn_cut} AND coalesce(CASE WHEN {rkn_cut} THEN ({fit}).slope END > {RATE_MIN!r}D, false)")
+        .alias("_a_rkn_fast"))
+    m_abs = F.col("_a_mag").outer() - d(25.0) - d(5.0) * F.log10(F.col("g_lum_dist"))
+    host_extra = ((m_abs > d(HOST_ABS_MAG_RANGE[0])) & (m_abs < d(HOST_ABS_MAG_RANGE[1]))
+                  & (ang_sep(F.col("_a_ra").outer(), F.col("_a_dec").outer(), F.col("g_ra"), F.col("g_dec"))
+                     < d(HOST_MAX_SEP_RAD_MPC) / F.col("g_ang_dist")))
+    has_host = _exists_within(galaxy_cells(galaxies, cell_deg), "g_ra", "g_dec", "g_radius", host_extra,
+                              need="_a_ekn_cut")
+    out = [c for c in staged.columns if not c.startswith("_a_")]
+    hosted = staged.select("*", (F.col("_a_ekn_cut") & has_host).alias("_a_hosted"))
+    # the star veto is only probed for rows that could still pass a catalogue filter
+    need = hosted.select("*", (F.col("_a_hosted") | F.col("_a_rkn_fast")).alias("_a_need"))
+    near_star = _exists_within(star_cells(sky_objects, cell_deg), "s_ra", "s_dec", "s_radius", need="_a_need")
+    probed = need.select("*", (~near_star).alias("_a_no_star"))
+    return probed.select(
+        *out,
+        (F.col("_a_hosted") & F.col("_a_no_star")).alias("f_early_kn_candidates"),
+        (F.col("_a_rkn_fast") & F.col("_a_no_star")).alias("f_rate_based_kn_candidates"))

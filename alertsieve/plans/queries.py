@@ -117,21 +117,27 @@ def simbad_type_counts(spark: SparkSession, sf: str) -> DataFrame:
             .orderBy(F.desc("n"), F.asc("cdsxmatch")).limit(5))
 
 
+def _row_flag_cols(a: DataFrame, names) -> list:
+    out = []
+    for n in names:
+        sql = FL.filter_sql(n, a)
+        out.append((F.expr(f"coalesce({sql}, false)") if sql is not None
+                    else flag(FL.get_filter(n).builder(a))).alias("f_" + n))
+    return out
+
+
 @query("filter_counts")
 def filter_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """A3: count of every filter; per-row filters in one pass, plus the two
-    catalogue filters."""
+    """A3: count of every filter in ONE scan: per-row flags and both catalogue
+    flags (broadcast existence joins) as columns, then one aggregation."""
     a = alerts(spark, sf)
-    names = FL.ROW_FILTERS
-    one_pass = a.select(*[F.count_if(flag(FL.get_filter(n).builder(a))).alias(n) for n in names])
-    stacked = one_pass.select(F.explode(F.array(*[
+    names = FL.ROW_FILTERS + FL.CATALOGUE_FILTERS
+    flags = KN.catalogue_flags(a, galaxies(spark, sf), sky_objects(spark, sf), keep=["candid"],
+                               extra=_row_flag_cols(a, FL.ROW_FILTERS))
+    one_pass = flags.select(*[F.count_if(F.col("f_" + n)).alias(n) for n in names])
+    return one_pass.select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("filter"), F.col(n).cast("long").alias("n")) for n in names])).alias("s")
     ).select("s.*")
-    ekn = early_kn(spark, sf).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("early_kn_candidates").alias("filter"), "n")
-    rkn = rate_kn(spark, sf).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("rate_based_kn_candidates").alias("filter"), "n")
-    return stacked.unionByName(ekn).unionByName(rkn)
 
 
 @query("weighted_fit")
@@ -279,17 +285,16 @@ def scan_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(read_catalogue(spark, path, "csv"))
 
 
-def _all_topics(spark: SparkSession, sf: str) -> DataFrame:
-    a = alerts(spark, sf)
-    rows = R.route_topics(a)
-    ekn = early_kn(spark, sf).select(F.lit("early_kn_candidates").alias("topic"), "candid", "objectId")
-    rkn = rate_kn(spark, sf).select(F.lit("rate_based_kn_candidates").alias("topic"), "candid", "objectId")
-    return R.union_topics([rows, ekn, rkn])
-
-
 @query("route_topics")
 def route_topics(spark: SparkSession, sf: str) -> DataFrame:
-    return _all_topics(spark, sf)
+    """S5 in ONE scan: every topic flag as a column (catalogue topics through
+    broadcast existence joins), exploded to (topic, candid, objectId)."""
+    a = alerts(spark, sf)
+    topics = [n for n in FL.ROW_FILTERS if FL.REGISTRY[n].topic] + FL.CATALOGUE_FILTERS
+    flags = KN.catalogue_flags(a, galaxies(spark, sf), sky_objects(spark, sf), keep=["candid", "objectId"],
+                               extra=_row_flag_cols(a, [n for n in topics if n in FL.ROW_FILTERS]))
+    names = F.array(*[F.when(F.col("f_" + t), F.lit(t)) for t in topics])
+    return flags.select(F.explode(F.filter(names, lambda x: x.isNotNull())).alias("topic"), "candid", "objectId")
 
 
 @query("notify_kn")
