@@ -153,13 +153,6 @@ def _null_d() -> Column:
     return F.lit(None).cast("double")
 
 
-def fold_valid_pair(lc: Column) -> Column:
-    """struct(prev_jd, last_jd) of the last two valid points, any band."""
-    init = F.struct(_null_d().alias("prev_jd"), _null_d().alias("last_jd"))
-    return F.aggregate(lc, init, lambda acc, p: F.when(
-        is_valid(p), F.struct(acc["last_jd"].alias("prev_jd"), p["jd"].alias("last_jd"))).otherwise(acc))
-
-
 def days_since_last_fold(lc: Column) -> Column:
     """L8 as a single pass: NULL with fewer than two valid points."""
     return F.aggregate(

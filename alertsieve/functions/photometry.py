@@ -62,46 +62,12 @@ def two_point_rate(pts: Column) -> Column:
     )
 
 
-def weighted_fit(df: DataFrame, pts: str, out: str = "fit") -> DataFrame:
-    """Weighted straight line ``mag = a jd + b`` over array column ``pts``
-    (struct(jd, mag, err)), added as struct column ``out(slope, slope_var, n)``.
-
-    Weights ``1/err^2``; x is centred on the first point's jd.  ``slope_var`` is
-    the slope variance scaled by the reduced chi-square (the convention of a
-    least-squares fit with relative sigmas); NULL when n <= 2 where that scale
-    is undefined (A4).  The sums, the line and the residuals are computed in
-    successive projections so no lambda re-evaluates another array fold.
-    """
-    p = F.col(pts)
-    x0 = F.element_at(p, 1)["jd"]
-    zero = d(0.0)
-    sums = F.aggregate(
-        p,
-        F.struct(zero.alias("sw"), zero.alias("sx"), zero.alias("sy"),
-                 zero.alias("sxx"), zero.alias("sxy")),
-        lambda acc, q: F.struct(
-            (acc["sw"] + d(1.0) / F.pow(q["err"], 2)).alias("sw"),
-            (acc["sx"] + (q["jd"] - x0) / F.pow(q["err"], 2)).alias("sx"),
-            (acc["sy"] + q["mag"] / F.pow(q["err"], 2)).alias("sy"),
-            (acc["sxx"] + F.pow(q["jd"] - x0, 2) / F.pow(q["err"], 2)).alias("sxx"),
-            (acc["sxy"] + (q["jd"] - x0) * q["mag"] / F.pow(q["err"], 2)).alias("sxy"),
-        ),
-    )
-    s1 = df.withColumn("_wf_s", sums)
-    s = F.col("_wf_s")
-    den = F.nullif(s["sw"] * s["sxx"] - s["sx"] * s["sx"], zero)
-    s2 = s1.withColumn("_wf_den", den).withColumn(
-        "_wf_a", (s["sw"] * s["sxy"] - s["sx"] * s["sy"]) / F.col("_wf_den"))
-    s3 = s2.withColumn("_wf_b", (s["sy"] - F.col("_wf_a") * s["sx"]) / s["sw"])
-    chi2 = F.aggregate(
-        p, zero,
-        lambda acc, q: acc + F.pow(q["mag"] - F.col("_wf_a") * (q["jd"] - x0) - F.col("_wf_b"), 2)
-        / F.pow(q["err"], 2))
-    n = F.size(p)
-    var = F.when(n > 2, s["sw"] / F.col("_wf_den") * chi2 / (n - 2))
-    return s3.withColumn(out, F.struct(F.col("_wf_a").alias("slope"), var.alias("slope_var"),
-                                       n.cast("long").alias("n"))) \
-        .drop("_wf_s", "_wf_den", "_wf_a", "_wf_b")
+def weighted_fit(pts: Column, max_mag: float = 99.0, min_span: float = 0.0) -> Column:
+    """A4: weighted straight-line fit ``mag = a jd + b`` over ``pts``
+    (array of struct(jd, mag, err)) in one pass; see ``lightcurve.fold_rate``
+    for the returned struct (slope, slope_var, n_fit, span, ok, ...)."""
+    from .lightcurve import fold_rate
+    return fold_rate(pts, max_mag, min_span)
 
 
 def dc_mag_sql(prefix: str = "") -> str:

@@ -104,3 +104,35 @@ def run_kilonova_stream(spark: SparkSession, alerts: DataFrame, galaxies: DataFr
     q = write_append(kilonova_stream(stream, galaxies, sky_objects), f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+def channel_rows(batch: DataFrame, galaxies: DataFrame, sky_objects: DataFrame) -> DataFrame:
+    """(topic, candid, channel) rows of one (micro-)batch of alerts: the three
+    kilonova notification tables and their channels.  Inside ``foreachBatch``
+    the micro-batch is a static DataFrame, so the host choice (an aggregation
+    over matched pairs) is allowed here."""
+    from functools import reduce
+    from ..operators import kilonova as KN
+    kn = R.notify_kn(KN.kn_message_rows(batch))
+    ekn = R.notify_early_kn(KN.early_kn_candidates(batch, galaxies, sky_objects))
+    rkn = R.notify_rate_kn(KN.rate_based_kn_candidates(batch, sky_objects))
+    return reduce(lambda x, y: x.unionByName(y), [R.notify_channels(n) for n in (kn, ekn, rkn)])
+
+
+def run_notification_stream(spark: SparkSession, alerts: DataFrame, galaxies: DataFrame,
+                            sky_objects: DataFrame, run_dir: str | None = None) -> tuple[str, object]:
+    """Alerts stream -> channel rows appended idempotently by ``foreachBatch``.
+    Returns (table path, sink function) so callers can replay a batch."""
+    base = run_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/notify-{uuid.uuid4().hex}"
+    alerts.write.mode("overwrite").parquet(f"{base}/in")
+    stream = read_alert_stream(spark, f"{base}/in", alerts.schema, max_files_per_trigger=4)
+    table = f"{base}/channels"
+    write_rows = notification_sink(table)
+
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        write_rows(channel_rows(batch, galaxies, sky_objects), epoch_id)
+
+    q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return table, sink

@@ -89,3 +89,38 @@ def test_rate_fit_rules(spark):
     fit = {r.candid: r for r in KN.rate_kn_fit(alerts_df(spark, rows)).collect()}
     assert fit[1].rate is not None and fit[1].sigma_rate is None and fit[1].n_fit == 2
     assert fit[2].rate is None and fit[3].rate is None
+
+
+def test_column_api_equals_sql_forms(spark):
+    """The composable Column functions and the SQL-text forms agree exactly."""
+    from alertsieve.functions.photometry import two_point_rate, weighted_fit
+    young = dict(jd=2460010.0, jdstarthist=2460001.0)
+    rows = [alert(1, history=[point(2460001.0, 1, 19.0), point(2460002.0, 1, 19.2),
+                              point(2460004.0, 2, 18.1), point(2460005.0, 1, None)], fid=1, magpsf=19.6, **young),
+            alert(2, history=[point(2460001.0, 1, 19.0), point(2460002.0, 1, 19.2)], fid=2, magpsf=19.0, **young),
+            alert(3, history=[], **young)]
+    df = alerts_df(spark, rows)
+    lc_c = L.lc_concat(df)
+    lc_s = F.expr(L.lc_concat_sql())
+    same_c = L.with_dc(L.lc_same_band(lc_c))
+    same_s = F.expr(L.with_dc_sql(L.same_band_sql(L.lc_concat_sql(), "CAST(candidate.fid AS BIGINT)")))
+    out = df.select(
+        "candid",
+        L.fold_orphan(lc_c).alias("oc"), F.expr(L.fold_orphan_sql(L.lc_concat_sql())).alias("os"),
+        L.fold_rate(same_c).alias("rc"), F.expr(L.fold_rate_sql(L.with_dc_sql(
+            L.same_band_sql(L.lc_concat_sql(), "CAST(candidate.fid AS BIGINT)")))).alias("rs"),
+        weighted_fit(same_c, 21.0, 0.5).alias("wf"),
+        L.days_since_last(lc_c).alias("dc"), L.days_since_last_fold(lc_c).alias("df"),
+        F.expr(L.days_since_last_sql(L.lc_concat_sql())).alias("ds"),
+        two_point_rate(L.lc_tail2(same_c)).alias("tp"),
+        same_c.alias("sc"), same_s.alias("ss"), lc_c.alias("lcc"), lc_s.alias("lcs")).collect()
+    for r in out:
+        o_c, o_s = r.oc.asDict(), r.os.asDict()
+        o_s.pop("all_terms")
+        assert o_c == o_s
+        assert r.rc == r.rs and r.wf == r.rs
+        assert r.dc == r.df == r.ds
+        assert r.sc == r.ss and r.lcc == r.lcs
+    by = {r.candid: r for r in out}
+    assert by[1].rc.n_points == 3 and by[1].tp.rate is not None
+    assert by[3].tp is None or by[3].tp.rate is None
