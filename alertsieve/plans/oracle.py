@@ -406,6 +406,7 @@ FROM a"""
         else:
             q[n] = A + f"\nSELECT candid, objectId FROM a WHERE {PRED[n]}"
     q["filter_by_path"] = q["sn_candidates"]
+    q["sn_candidates_pandas_udf"] = q["sn_candidates"]
     q["user_filter_pandas"] = q["yso_candidates"]
 
     q["early_kn_candidates"] = _with(ALERTS_CTE, GALAXY_CTE, SKY_CTE, EKN_CUT_CTE, HOST_PAIRS_CTE,
@@ -417,6 +418,7 @@ FROM a"""
     q["classify_steps"] = A + f"\nSELECT candid, {PRIO} AS priority_class, {NAMB} AS n_conflicts, {CLASS} AS class FROM a"
     q["classify"] = A + f"\nSELECT candid, objectId, {CLASS} AS class FROM a"
     q["stream_alerts"] = q["classify"]
+    q["classify_pandas_udf"] = q["classify"]
     q["class_counts"] = A + f""", c AS (SELECT {CLASS} AS class FROM a)
 SELECT class, CAST(count(*) AS BIGINT) AS n FROM c GROUP BY class ORDER BY n DESC, class ASC NULLS FIRST LIMIT 10"""
     q["simbad_type_counts"] = A + f"""
