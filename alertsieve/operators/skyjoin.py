@@ -16,7 +16,9 @@ the zones idea, the sky is cut into cells of ``cell_deg``:
 Planning: the catalogue side is broadcast only after its exploded row count
 has been measured below ``broadcast_max_rows``; otherwise both sides are
 shuffled on the cell id and AQE's skew-join handling splits hot cells (many
-alerts of one object share a cell).
+alerts of one object share a cell); ``salt_buckets`` adds explicit salting.
+For flags as columns (no row multiplication) see ``kilonova.catalogue_flags``,
+which runs the same cell test as broadcast existence joins.
 """
 
 from __future__ import annotations

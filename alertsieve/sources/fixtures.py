@@ -2,12 +2,14 @@
 
 The test data holds no alerts, so one ``events`` row becomes one alert (see
 FIXTURES.md for the rules).  Everything except the per-object history is a
-row-local projection; ``jdstarthist``, ``ndethist`` and ``prv_candidates`` need
-one window over the object's events, i.e. one shuffle on the object id.  Only
-the slim columns (event id, object id, time and the history point) travel
-through that shuffle; the remaining ~25 alert columns are recomputed from the
-event id afterwards.  Predicates that only depend on the object id (e.g. the
-catalogue label) are pushed by Catalyst below the window, before the shuffle.
+row-local projection.  ``jdstarthist`` and ``ndethist`` come from one window
+over the object's events when the largest object fits a task, and from a
+range-partitioned prefix scan otherwise (``running_counts_skew_safe``);
+``prv_candidates`` is a window per object, dropped by Catalyst when unread.
+Only the slim columns (event id, object id, time and the history point)
+travel through the shuffle; the remaining ~25 alert columns are recomputed
+from the event id afterwards.  Predicates that only depend on the object id
+(e.g. the catalogue label) are pushed by Catalyst below the window.
 
 On a production cluster alerts arrive with their history already packaged by
 the survey, so this adapter is a fixture, not a step of the filtering plan.
