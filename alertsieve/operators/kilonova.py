@@ -220,19 +220,19 @@ def _exists_within(cells: DataFrame, cat_ra: str, cat_dec: str, radius: str,
     return checked_broadcast(cells).where(cond).exists()
 
 
-def catalogue_flags(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFrame,
-                    cell_deg: float = DEFAULT_CELL_DEG, keep: list[str] | None = None,
-                    extra: list[Column] | None = None) -> DataFrame:
-    """Alerts with ``f_early_kn_candidates`` and ``f_rate_based_kn_candidates``
-    (non-null booleans) computed in one pass, plus the columns in ``keep`` and
-    the (aliased) expressions in ``extra`` -- e.g. every per-row flag."""
+def _probe_catalogues(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFrame,
+                      cell_deg: float, keep: list[str], extra: list[Column]) -> DataFrame:
+    """One scan of ``alerts`` with both catalogue filters evaluated as
+    broadcast existence joins.  Internal columns start with ``_a_``:
+    ``_a_hosted`` / ``_a_no_star`` / ``_a_rkn_fast``, the same-band DC fold
+    ``_a_fold`` (shared by the kn and rate-kn magnitudes), ``_a_mag`` (DC
+    magnitude of the newest point, for rows passing the early-kn cuts)."""
     from ..functions.sky import ang_sep, point_cell_sql
-    keep = keep or ["candid", "objectId"]
     lc = L.lc_concat_sql("prv_candidates", "candidate")
-    fit = L.fold_rate_sql(L.with_dc_sql(L.same_band_sql(lc, "CAST(candidate.fid AS BIGINT)")),
-                          RATE_MAX_MAG, RATE_MIN_SPAN_DAYS)
     rkn_cut = f"coalesce({FL.rate_kn_cuts_sql(alerts)}, false)"
-    extra = extra or []
+    kn = f"coalesce({FL.kn_candidates_sql(alerts)}, false)"
+    fold = L.fold_rate_sql(L.with_dc_sql(L.same_band_sql(lc, "CAST(candidate.fid AS BIGINT)")),
+                           RATE_MAX_MAG, RATE_MIN_SPAN_DAYS)
     staged = alerts.select(
         *keep, *extra,
         F.col("candidate.ra").cast("double").alias("_a_ra"), F.col("candidate.dec").cast("double").alias("_a_dec"),
@@ -241,21 +241,53 @@ def catalogue_flags(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFra
         F.expr(f"coalesce({FL.early_kn_cuts_sql(alerts)}, false)").alias("_a_ekn_cut"),
         F.expr(f"CASE WHEN coalesce({FL.early_kn_cuts_sql(alerts)}, false) THEN "
                f"({dc_mag_sql('candidate.')}).mag END").alias("_a_mag"),
-        F.expr(f"{rkn_cut} AND coalesce(CASE WHEN {rkn_cut} THEN ({fit}).slope END > {RATE_MIN!r}D, false)")
-        .alias("_a_rkn_fast"))
+        F.expr(rkn_cut).alias("_a_rkn_cut"), F.expr(kn).alias("_a_kn"),
+        F.expr(f"CASE WHEN {rkn_cut} OR {kn} THEN {fold} END").alias("_a_fold"))
+    fast = staged.select("*", F.expr(f"_a_rkn_cut AND coalesce(_a_fold.slope > {RATE_MIN!r}D, false)")
+                         .alias("_a_rkn_fast"))
     m_abs = F.col("_a_mag").outer() - d(25.0) - d(5.0) * F.log10(F.col("g_lum_dist"))
     host_extra = ((m_abs > d(HOST_ABS_MAG_RANGE[0])) & (m_abs < d(HOST_ABS_MAG_RANGE[1]))
                   & (ang_sep(F.col("_a_ra").outer(), F.col("_a_dec").outer(), F.col("g_ra"), F.col("g_dec"))
                      < d(HOST_MAX_SEP_RAD_MPC) / F.col("g_ang_dist")))
     has_host = _exists_within(galaxy_cells(galaxies, cell_deg), "g_ra", "g_dec", "g_radius", host_extra,
                               need="_a_ekn_cut")
-    out = [c for c in staged.columns if not c.startswith("_a_")]
-    hosted = staged.select("*", (F.col("_a_ekn_cut") & has_host).alias("_a_hosted"))
+    hosted = fast.select("*", (F.col("_a_ekn_cut") & has_host).alias("_a_hosted"))
     # the star veto is only probed for rows that could still pass a catalogue filter
     need = hosted.select("*", (F.col("_a_hosted") | F.col("_a_rkn_fast")).alias("_a_need"))
     near_star = _exists_within(star_cells(sky_objects, cell_deg), "s_ra", "s_dec", "s_radius", need="_a_need")
-    probed = need.select("*", (~near_star).alias("_a_no_star"))
+    return need.select("*", (~near_star).alias("_a_no_star"))
+
+
+def catalogue_flags(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFrame,
+                    cell_deg: float = DEFAULT_CELL_DEG, keep: list[str] | None = None,
+                    extra: list[Column] | None = None) -> DataFrame:
+    """Alerts with ``f_early_kn_candidates`` and ``f_rate_based_kn_candidates``
+    (non-null booleans) computed in one pass, plus the columns in ``keep`` and
+    the (aliased) expressions in ``extra`` -- e.g. every per-row flag."""
+    keep = keep or ["candid", "objectId"]
+    probed = _probe_catalogues(alerts, galaxies, sky_objects, cell_deg, keep, extra or [])
+    out = [c for c in probed.columns if not c.startswith("_a_")]
     return probed.select(
         *out,
         (F.col("_a_hosted") & F.col("_a_no_star")).alias("f_early_kn_candidates"),
         (F.col("_a_rkn_fast") & F.col("_a_no_star")).alias("f_rate_based_kn_candidates"))
+
+
+def kilonova_topic_rows(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFrame,
+                        cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """(topic, candid, objectId, jd, ra, dec, mag, field) for every kilonova
+    notification -- kn (with at least two same-band detections), early kn and
+    rate kn -- from ONE scan; ``mag`` is the magnitude each message quotes."""
+    keep = ["candid", "objectId"]
+    extra = [F.col("candidate.jd").cast("double").alias("jd"), F.col("candidate.field").cast("long").alias("field")]
+    p = _probe_catalogues(alerts, galaxies, sky_objects, cell_deg, keep, extra)
+    last = "CASE WHEN _a_fold.n_points >= 2 THEN _a_fold.last_mag END"
+    rows = (f"filter(array("
+            f"CASE WHEN _a_kn AND _a_fold.n_points >= 2 THEN named_struct('topic', 'kn_candidates', 'mag', {last}) END, "
+            f"CASE WHEN _a_hosted AND _a_no_star THEN named_struct('topic', 'early_kn_candidates', 'mag', _a_mag) END, "
+            f"CASE WHEN _a_rkn_fast AND _a_no_star THEN named_struct('topic', 'rate_based_kn_candidates', "
+            f"'mag', {last}) END), x -> x IS NOT NULL)")
+    return p.select("candid", "objectId", "jd", "field", F.col("_a_ra").alias("ra"), F.col("_a_dec").alias("dec"),
+                    F.explode(F.expr(rows)).alias("t")).select(
+        F.col("t.topic").alias("topic"), "candid", "objectId", "jd", "ra", "dec", F.col("t.mag").alias("mag"),
+        "field")

@@ -118,3 +118,13 @@ def notify_channels(notes: DataFrame, as_of: Column | None = None,
     if enabled is not None:
         out = out.filter(F.col("channel").isin(list(enabled)))
     return out
+
+
+def channels_one_pass(topic_rows: DataFrame, as_of: Column | None = None,
+                      enabled: list[str] | None = None) -> DataFrame:
+    """S7 from ``kilonova.kilonova_topic_rows`` (one scan for all three
+    kilonova topics): only the inputs of the channel rules are computed."""
+    notes = topic_rows.select(
+        "topic", "candid", "mag", "field",
+        F.expr(TX.jd_to_utc_sql("jd")).alias("obs_utc"), F.expr(galactic_lat_sql("ra", "dec")).alias("gal_lat"))
+    return notify_channels(notes, as_of, enabled)

@@ -316,12 +316,10 @@ def notify_rate_kn(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("notify_channels")
 def notify_channels(spark: SparkSession, sf: str) -> DataFrame:
-    a = alerts(spark, sf)
-    kn = R.notify_kn(KN.kn_message_rows(a))
-    ekn = R.notify_early_kn(KN.early_kn_candidates(a, galaxies(spark, sf), sky_objects(spark, sf)))
-    rkn = R.notify_rate_kn(KN.rate_based_kn_candidates(a, sky_objects(spark, sf)))
-    parts = [R.notify_channels(n) for n in (kn, ekn, rkn)]
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    """S7 in ONE scan: the three kilonova topics with the magnitude each
+    message quotes, then the channel rules."""
+    rows = KN.kilonova_topic_rows(alerts(spark, sf), galaxies(spark, sf), sky_objects(spark, sf))
+    return R.channels_one_pass(rows)
 
 
 @query("stream_alerts")
