@@ -202,8 +202,14 @@ def gal_lat_col() -> F.Column:
 # multiplication, no aggregation), next to every per-row flag.
 # ---------------------------------------------------------------------------
 
+# salt buckets for existence probes that cannot be broadcast (AQE's skew-join
+# splitting does not apply to existence joins)
+EXISTS_SALT_BUCKETS = 16
+
+
 def _exists_within(cells: DataFrame, cat_ra: str, cat_dec: str, radius: str,
-                   extra: Column | None = None, need: str | None = None) -> Column:
+                   extra: Column | None = None, need: str | None = None,
+                   salt_buckets: int = EXISTS_SALT_BUCKETS) -> Column:
     """EXISTS (catalogue row in the alert's cell within its radius [AND extra]).
 
     Outer references use names that exist nowhere in the catalogue lineage
@@ -217,7 +223,14 @@ def _exists_within(cells: DataFrame, cat_ra: str, cat_dec: str, radius: str,
     if extra is not None:
         cond = cond & extra
     cond = cond & (ang_sep(ra_o, dec_o, F.col(cat_ra), F.col(cat_dec)) <= F.col(radius))
-    return checked_broadcast(cells).where(cond).exists()
+    side = checked_broadcast(cells)
+    if side is cells and salt_buckets > 1:
+        # too large to broadcast: spread each cell over `salt_buckets` join keys;
+        # every catalogue row is replicated once per salt, so any salt finds it
+        side = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                              F.lit(salt_buckets - 1).cast("long"))))
+        cond = cond & (F.col("_salt") == F.col("_a_salt").outer())
+    return side.where(cond).exists()
 
 
 def _probe_catalogues(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFrame,
@@ -238,6 +251,7 @@ def _probe_catalogues(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataF
         F.col("candidate.ra").cast("double").alias("_a_ra"), F.col("candidate.dec").cast("double").alias("_a_dec"),
         F.expr(point_cell_sql("CAST(candidate.ra AS DOUBLE)", "CAST(candidate.dec AS DOUBLE)", cell_deg))
         .alias("_a_cell"),
+        F.expr(f"pmod(xxhash64(candid), {EXISTS_SALT_BUCKETS})").alias("_a_salt"),
         F.expr(f"coalesce({FL.early_kn_cuts_sql(alerts)}, false)").alias("_a_ekn_cut"),
         F.expr(f"CASE WHEN coalesce({FL.early_kn_cuts_sql(alerts)}, false) THEN "
                f"({dc_mag_sql('candidate.')}).mag END").alias("_a_mag"),

@@ -53,6 +53,7 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
     cells).  The count is one small job over the catalogue side, remembered
     per session and plan (``semanticHash``) so repeated queries do not pay it."""
     spark = df.sparkSession
+    max_rows = int(spark.conf.get("alertsieve.broadcast.maxRows", str(max_rows)))
     key = (spark.sparkContext.applicationId, df.semanticHash(), max_rows)
     if key not in _CHECKED:
         _CHECKED[key] = df.count() <= max_rows

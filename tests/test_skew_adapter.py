@@ -22,3 +22,24 @@ def test_skew_safe_counts_equal_window(spark):
 def test_auto_choice_uses_window_for_small_objects(spark):
     ev = spark.read.parquet(f"{SF01}/events.parquet")
     assert FX.max_events_per_object(ev) < FX.HOT_OBJECT_ROWS
+
+
+def test_one_pass_flags_salted_path_equals_broadcast(spark):
+    """With broadcasting disabled by the size bound, the existence probes use
+    the salted shuffle path and give the same flags."""
+    from alertsieve.operators import kilonova as KN
+    from alertsieve.plans.tables import alerts, galaxies, sky_objects
+    a, g, s = alerts(spark, SF01), galaxies(spark, SF01), sky_objects(spark, SF01)
+    want = sorted(map(tuple, KN.catalogue_flags(a, g, s).collect()))
+    spark.conf.set("alertsieve.broadcast.maxRows", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = KN.catalogue_flags(a, g, s)
+        got = sorted(map(tuple, df.collect()))
+    finally:
+        spark.conf.unset("alertsieve.broadcast.maxRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert got == want
+    assert sum(r[2] for r in got) == 46 and sum(r[3] for r in got) == 8
