@@ -80,15 +80,21 @@ def classify_from_flags(df: DataFrame, flags: dict[str, Column]) -> Column:
             .otherwise(priority_class(flags)))
 
 
-def classify_sql(df: DataFrame) -> str:
-    """K2-K5 as one SQL ``CASE`` (one JVM call)."""
+def classify_parts_sql(df: DataFrame) -> dict[str, str]:
+    """SQL text of K2 (``priority``), K3 (``n_conflicts``) and K2-K4 (``class``)."""
     fl = {k: f"coalesce({FL.filter_sql(n, df)}, false)" for k, n in FLAG_FILTERS.items()}
     prio = "CASE " + " ".join(f"WHEN {fl[n]} THEN '{lab}'" for n, lab in reversed(PRIORITY)) \
         + f" ELSE '{S.CLASS_UNKNOWN}' END"
-    namb = " + ".join(f"CAST({fl[n]} AS BIGINT)" for n in AMBIGUITY_FLAGS)
+    namb = "(" + " + ".join(f"CAST({fl[n]} AS BIGINT)" for n in AMBIGUITY_FLAGS) + ")"
     cds = FL.name_sql(df, "cdsxmatch")
-    return (f"CASE WHEN {fl['simbad']} THEN {cds} WHEN ({namb}) > 1 THEN '{S.CLASS_AMBIGUOUS}' "
-            f"ELSE {prio} END")
+    cls = (f"CASE WHEN {fl['simbad']} THEN {cds} WHEN {namb} > 1 THEN '{S.CLASS_AMBIGUOUS}' "
+           f"ELSE {prio} END")
+    return {"priority": prio, "n_conflicts": namb, "class": cls, **{"f_" + k: v for k, v in fl.items()}}
+
+
+def classify_sql(df: DataFrame) -> str:
+    """K2-K5 as one SQL ``CASE`` (one JVM call)."""
+    return classify_parts_sql(df)["class"]
 
 
 def classify(df: DataFrame) -> Column:

@@ -18,7 +18,7 @@ from ..functions import lightcurve as L
 from ..functions import text as TX
 from ..functions.columns import flag, resolve
 from ..functions.photometry import dc_mag_sql
-from ..functions.sky import galactic_lat
+from ..functions.sky import galactic_lat, galactic_lat_sql
 from ..operators import classify as K
 from ..operators import filters as FL
 from ..operators import kilonova as KN
@@ -88,10 +88,9 @@ def alert_flags(spark: SparkSession, sf: str) -> DataFrame:
 @query("classify_steps")
 def classify_steps(spark: SparkSession, sf: str) -> DataFrame:
     a = alerts(spark, sf)
-    fl = K.alert_flags(a)
-    return a.select("candid", K.priority_class(fl).alias("priority_class"),
-                    K.ambiguity_count(fl).alias("n_conflicts"),
-                    K.classify_from_flags(a, fl).alias("class"))
+    p = K.classify_parts_sql(a)
+    return a.selectExpr("candid", f"{p['priority']} AS priority_class", f"{p['n_conflicts']} AS n_conflicts",
+                        f"{p['class']} AS class")
 
 
 @query("classify")
@@ -177,27 +176,22 @@ def object_classes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("lightcurve_summary")
 def lightcurve_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """L1-L9 per alert; each array is staged once, then read by plain column refs."""
     a = alerts(spark, sf)
-    lc = L.lc_concat(a)
-    staged = a.select("candid", "candidate.jd", "candidate.jdstarthist", lc.alias("lc"))
-    lc = F.col("lc")
-    last = L.lc_last(lc)
-    sb = L.lc_same_band(lc)
-    tail = L.lc_tail2(sb)
-    dc_sb = L.with_dc(sb)
-    bright = L.lc_outlier_cut(dc_sb)
-    return rounded(staged.select(
-        "candid",
-        F.size(lc).cast("long").alias("n_lc"),
-        F.size(L.lc_valid(lc)).cast("long").alias("n_valid"),
-        last["jd"].alias("last_jd"), last["fid"].alias("last_fid"),
-        last["isdiffpos"].alias("last_isdiffpos"),
-        F.size(sb).cast("long").alias("n_same_band"),
-        (F.element_at(tail, 2)["magpsf"] - F.element_at(tail, 1)["magpsf"]).alias("tail2_dmag"),
-        F.size(bright).cast("long").alias("n_bright"),
-        L.lc_span(bright).alias("bright_span"),
-        L.days_since_last(lc).alias("days_since_last"),
-        L.days_since_first(F.col("jd"), F.col("jdstarthist")).alias("days_since_first"),
+    staged = a.selectExpr("candid", "candidate.jd AS jd", "candidate.jdstarthist AS jdstarthist",
+                          f"{L.lc_concat_sql()} AS lc")
+    s2 = staged.selectExpr("*", f"filter(lc, p -> {L.valid_sql('p')}) AS v",
+                           f"{L.same_band_sql('lc', 'element_at(lc, -1).fid')} AS sb")
+    s3 = s2.selectExpr("*", f"filter({L.with_dc_sql('sb')}, q -> q.mag < 21.0D) AS bright")
+    return rounded(s3.selectExpr(
+        "candid", "CAST(size(lc) AS BIGINT) AS n_lc", "CAST(size(v) AS BIGINT) AS n_valid",
+        "element_at(lc, -1).jd AS last_jd", "element_at(lc, -1).fid AS last_fid",
+        "element_at(lc, -1).isdiffpos AS last_isdiffpos", "CAST(size(sb) AS BIGINT) AS n_same_band",
+        "CASE WHEN size(sb) >= 2 THEN element_at(sb, -1).magpsf - element_at(sb, -2).magpsf END AS tail2_dmag",
+        "CAST(size(bright) AS BIGINT) AS n_bright",
+        "try_element_at(bright, -1).jd - try_element_at(bright, 1).jd AS bright_span",
+        f"{L.days_since_last_sql('lc')} AS days_since_last",
+        "CAST(jd AS DOUBLE) - CAST(jdstarthist AS DOUBLE) AS days_since_first",
     ), exact=("last_jd", "bright_span", "days_since_last", "days_since_first"))
 
 
@@ -223,23 +217,22 @@ def photometry_columns(spark: SparkSession, sf: str) -> DataFrame:
 @query("astrometry_columns")
 def astrometry_columns(spark: SparkSession, sf: str) -> DataFrame:
     a = alerts(spark, sf)
-    ra, dec = F.col("candidate.ra"), F.col("candidate.dec")
-    return rounded(a.select("candid", galactic_lat(ra, dec).alias("gal_lat"),
-                            TX.ra_hms(ra).alias("ra_hms"), TX.dec_dms(dec).alias("dec_dms")))
+    ra, dec = "candidate.ra", "candidate.dec"
+    return rounded(a.selectExpr("candid", f"{galactic_lat_sql(ra, dec)} AS gal_lat",
+                                f"{TX.ra_hms_sql(ra)} AS ra_hms", f"{TX.dec_dms_sql(dec)} AS dec_dms"))
 
 
 @query("text_columns")
 def text_columns(spark: SparkSession, sf: str) -> DataFrame:
     a = alerts(spark, sf)
-    jd = F.col("candidate.jd")
-    utc = TX.jd_to_utc(jd)
-    return a.select(
-        "candid", utc.alias("obs_utc"), TX.band_name(F.col("candidate.fid")).alias("band"),
-        TX.is_friday(F.to_date(F.substring(utc, 1, 10))).alias("is_friday"),
-        TX.portal_link(F.col("objectId")).alias("portal_link"),
-        TX.tns_link(F.col("candidate.ra"), F.col("candidate.dec")).alias("tns_link"),
-        TX.fmt_fixed(F.col("candidate.magpsf"), 2).alias("mag_text"),
-        TX.fmt_fixed(F.col("candidate.dec"), 7, signed=True).alias("dec_text"))
+    utc = a.selectExpr("*", f"{TX.jd_to_utc_sql('candidate.jd')} AS obs_utc")
+    return utc.selectExpr(
+        "candid", "obs_utc", f"{TX.band_name_sql('candidate.fid')} AS band",
+        "dayofweek(to_date(substring(obs_utc, 1, 10))) = 6 AS is_friday",
+        f"concat('{TX.PORTAL_BASE}', objectId) AS portal_link",
+        f"{TX.tns_link_sql('candidate.ra', 'candidate.dec')} AS tns_link",
+        "format_string('%.2f', candidate.magpsf) AS mag_text",
+        "format_string('%+.7f', candidate.dec) AS dec_text")
 
 
 # --- J1-J3 --------------------------------------------------------------------------
