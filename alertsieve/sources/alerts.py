@@ -22,10 +22,15 @@ def night_of(jd_col: str = "candidate.jd"):
 
 
 def write_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:
-    """Write alerts partitioned by night.  No repartition on the night: one
-    night can be a large share of the data, so every task writes its own slice
-    of each night it holds (the writer sorts by night within the task)."""
-    alerts.withColumn(NIGHT, night_of()).write.mode(mode).partitionBy(NIGHT).parquet(path)
+    """Write alerts partitioned by night.
+
+    A range partition on (night, candid) first gives every task a contiguous
+    slice: a large night is split over many tasks (no hot task), and each task
+    touches one or two night folders, so the file count stays near
+    #tasks + #nights instead of #tasks x #nights.  AQE sizes the partitions."""
+    (alerts.withColumn(NIGHT, night_of())
+     .repartitionByRange(NIGHT, "candid")
+     .write.mode(mode).partitionBy(NIGHT).parquet(path))
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
@@ -36,4 +41,4 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
 
 def write_topics(topics: DataFrame, path: str, mode: str = "append") -> None:
     """Route output (topic, candid, ...) -> one folder per topic."""
-    topics.write.mode(mode).partitionBy("topic").parquet(path)
+    topics.repartitionByRange("topic", "candid").write.mode(mode).partitionBy("topic").parquet(path)
