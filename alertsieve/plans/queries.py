@@ -318,8 +318,14 @@ def notify_channels(spark: SparkSession, sf: str) -> DataFrame:
 @query("stream_alerts")
 def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     """The alerts as a stream (availableNow) -> classify -> parquet sink."""
+    from ..schema import ALERT
+    from ..sources.alerts import NIGHT
     from ..streaming.stream import run_classification_stream
-    return run_classification_stream(spark, alerts(spark, sf))
+    from pyspark.sql import types as T
+    from .tables import alert_table_path
+    schema = T.StructType(ALERT.fields + [T.StructField(NIGHT, T.LongType())])
+    # stream the stored, night-partitioned alert table itself (no second copy)
+    return run_classification_stream(spark, source_path=alert_table_path(spark, sf), source_schema=schema)
 
 
 # --- U1-U3 --------------------------------------------------------------------------

@@ -28,13 +28,21 @@ def derived_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo("derived", spark, sf_dir, lambda: FX.load_alerts(spark, sf_dir))
 
 
+def alert_table_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the written alert table (written on first use)."""
+    def build():
+        import uuid
+        from ..session import ensure_checkpoint_dir
+        from ..sources.alerts import write_alerts
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/alert-table-{uuid.uuid4().hex}"
+        write_alerts(derived_alerts(spark, sf_dir), path, mode="overwrite")
+        return path
+    return _memo("alert_path", spark, sf_dir, build)
+
+
 def _materialise_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import uuid
-    from ..session import ensure_checkpoint_dir
-    from ..sources.alerts import NIGHT, read_alerts, write_alerts
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/alert-table-{uuid.uuid4().hex}"
-    write_alerts(derived_alerts(spark, sf_dir), path, mode="overwrite")
-    return read_alerts(spark, path).drop(NIGHT)
+    from ..sources.alerts import NIGHT, read_alerts
+    return read_alerts(spark, alert_table_path(spark, sf_dir)).drop(NIGHT)
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

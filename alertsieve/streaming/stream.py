@@ -45,13 +45,17 @@ def write_append(df: DataFrame, out_path: str, ckpt: str, partition_by: list[str
     return w.start()
 
 
-def run_classification_stream(spark: SparkSession, alerts: DataFrame, run_dir: str | None = None) -> DataFrame:
-    """Materialise ``alerts`` as the stream's input files (the broker's packets),
-    run the stateless classification stream to completion (availableNow) and
-    return the sink table."""
+def run_classification_stream(spark: SparkSession, alerts: DataFrame | None = None, run_dir: str | None = None,
+                              source_path: str | None = None, source_schema=None) -> DataFrame:
+    """Run the stateless classification stream to completion (availableNow)
+    and return the sink table.  The source is an alert folder (``source_path``,
+    e.g. the night-partitioned alert table), or ``alerts`` written as the
+    stream's input files."""
     base = run_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    alerts.write.mode("overwrite").parquet(f"{base}/in")
-    stream = read_alert_stream(spark, f"{base}/in", alerts.schema, max_files_per_trigger=4)
+    if source_path is None:
+        alerts.write.mode("overwrite").parquet(f"{base}/in")
+        source_path, source_schema = f"{base}/in", alerts.schema
+    stream = read_alert_stream(spark, source_path, source_schema, max_files_per_trigger=4)
     q = write_append(classify_stream(stream), f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
