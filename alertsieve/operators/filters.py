@@ -292,8 +292,22 @@ def get_filter(name: str) -> FilterSpec:
     return REGISTRY[key]
 
 
-def apply_filter(df: DataFrame, name: str) -> DataFrame:
-    """Keep the alerts for which filter ``name`` is true."""
+def apply_filter(df: DataFrame, name: str, galaxies: DataFrame | None = None,
+                 sky_objects: DataFrame | None = None) -> DataFrame:
+    """Keep the alerts for which filter ``name`` (or dotted path) is true.
+
+    The two catalogue filters need their catalogues: ``galaxies`` (prepared
+    galaxy catalogue) for ``early_kn_candidates`` and ``sky_objects`` (nearby
+    objects with a type) for both.  They return the alert rows unchanged
+    (computed as existence-join flags on the alert rows themselves)."""
+    key = name.rsplit(".", 1)[-1]
+    if key in CATALOGUE_FILTERS:
+        from . import kilonova as KN
+        if sky_objects is None or (key == "early_kn_candidates" and galaxies is None):
+            raise ValueError(f"{key} needs the catalogues: galaxies=..., sky_objects=...")
+        # one pass over the full alert rows: broadcast existence joins, no join back
+        flagged = KN.catalogue_flags(df, galaxies, sky_objects, keep=list(df.columns))
+        return flagged.filter(F.col("f_" + key)).select(*df.columns)
     return df.filter(get_filter(name).builder(df))
 
 

@@ -263,9 +263,12 @@ def _probe_catalogues(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataF
     host_extra = ((m_abs > d(HOST_ABS_MAG_RANGE[0])) & (m_abs < d(HOST_ABS_MAG_RANGE[1]))
                   & (ang_sep(F.col("_a_ra").outer(), F.col("_a_dec").outer(), F.col("g_ra"), F.col("g_dec"))
                      < d(HOST_MAX_SEP_RAD_MPC) / F.col("g_ang_dist")))
-    has_host = _exists_within(galaxy_cells(galaxies, cell_deg), "g_ra", "g_dec", "g_radius", host_extra,
-                              need="_a_ekn_cut")
-    hosted = fast.select("*", (F.col("_a_ekn_cut") & has_host).alias("_a_hosted"))
+    if galaxies is not None:
+        has_host = _exists_within(galaxy_cells(galaxies, cell_deg), "g_ra", "g_dec", "g_radius", host_extra,
+                                  need="_a_ekn_cut")
+        hosted = fast.select("*", (F.col("_a_ekn_cut") & has_host).alias("_a_hosted"))
+    else:                            # no galaxy catalogue: the early-kn filter cannot pass
+        hosted = fast.select("*", F.lit(False).alias("_a_hosted"))
     # the star veto is only probed for rows that could still pass a catalogue filter
     need = hosted.select("*", (F.col("_a_hosted") | F.col("_a_rkn_fast")).alias("_a_need"))
     near_star = _exists_within(star_cells(sky_objects, cell_deg), "s_ra", "s_dec", "s_radius", need="_a_need")

@@ -80,3 +80,14 @@ def test_registry_paths_and_unknown(spark):
     assert FL.get_filter("some.module.path.rrlyr").name == "rrlyr"
     with pytest.raises(KeyError):
         FL.get_filter("nope")
+
+
+def test_apply_filter_catalogue_filters(spark):
+    from alertsieve.plans.tables import alerts, galaxies, sky_objects
+    from conftest import SF001
+    a, g, s = alerts(spark, SF001), galaxies(spark, SF001), sky_objects(spark, SF001)
+    assert FL.apply_filter(a, "early_kn_candidates", galaxies=g, sky_objects=s).count() == 3
+    got = FL.apply_filter(a, "pkg.rate_based_kn_candidates", sky_objects=s)
+    assert got.count() == 2 and got.columns == a.columns
+    with pytest.raises(ValueError):
+        FL.apply_filter(a, "early_kn_candidates")
