@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from .. import schema as S
 from ..functions import lightcurve as L
 from ..functions.columns import d, flag, has_column, resolve
-from ..functions.sky import galactic_lat, galactic_lat_sql
+from ..functions.sky import galactic_lat_sql
 
 
 def gt(c: Column, v: float) -> Column:

@@ -7,7 +7,6 @@ names match the DuckDB oracle in ``plans/oracle.py``.  Doubles are rounded to
 
 from __future__ import annotations
 
-from functools import reduce
 
 import pandas as pd
 
@@ -18,7 +17,7 @@ from ..functions import lightcurve as L
 from ..functions import text as TX
 from ..functions.columns import flag, resolve
 from ..functions.photometry import dc_mag_sql
-from ..functions.sky import galactic_lat, galactic_lat_sql
+from ..functions.sky import galactic_lat_sql
 from ..operators import classify as K
 from ..operators import filters as FL
 from ..operators import kilonova as KN

@@ -1,9 +1,7 @@
 """Per-row filters on hand-made edge rows: NULL, NaN and exact boundaries."""
 
-import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from alertsieve.functions.columns import flag
 from alertsieve.operators import filters as FL

@@ -1,6 +1,5 @@
 """Filter and class counts on the derived alerts equal the expected counts."""
 
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF001

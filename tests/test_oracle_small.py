@@ -1,6 +1,5 @@
 """Every registered query equals its DuckDB oracle on the sf0.001 tables."""
 
-import os
 import math
 
 import duckdb

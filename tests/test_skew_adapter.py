@@ -1,6 +1,5 @@
 """The range-partitioned prefix scan gives the same alerts as the per-object window."""
 
-from pyspark.sql import functions as F
 
 from alertsieve.operators.classify import classify
 from alertsieve.sources import fixtures as FX

@@ -1,10 +1,8 @@
 """A stream of alerts classified with availableNow equals the batch result."""
 
-import uuid
 
 from alertsieve.operators.classify import classify
 from alertsieve.plans.tables import alerts
-from alertsieve.session import ensure_checkpoint_dir
 from alertsieve.streaming.stream import run_classification_stream, run_topic_stream
 from alertsieve.operators.routing import route_topics
 from conftest import SF001
