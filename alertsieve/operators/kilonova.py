@@ -41,8 +41,23 @@ def _alert_core(df: DataFrame) -> list:
 # star / QSO veto
 # ---------------------------------------------------------------------------
 
+# cell tables are pure functions of (catalogue plan, cell size): build each once
+_CELLS: dict = {}
+
+
+def _cells_memo(kind: str, cat: DataFrame, cell_deg: float, build):
+    key = (kind, id(cat), cell_deg)
+    if key not in _CELLS or _CELLS[key][0] is not cat:
+        _CELLS[key] = (cat, build())
+    return _CELLS[key][1]
+
+
 def star_cells(sky_objects: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
     """Vetoing objects only (filter before exploding), one row per touched cell."""
+    return _cells_memo("stars", sky_objects, cell_deg, lambda: _star_cells(sky_objects, cell_deg))
+
+
+def _star_cells(sky_objects: DataFrame, cell_deg: float) -> DataFrame:
     stars = (sky_objects.filter(F.col("type").isin(S.STAR_TYPES))
              .select(F.col("src_id").alias("s_id"), F.col("ra").alias("s_ra"),
                      F.col("dec").alias("s_dec")))
@@ -79,6 +94,11 @@ def early_kn_cut_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def galaxy_cells(galaxies: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """Host-galaxy search discs (J1 radius), one row per touched cell."""
+    return _cells_memo("galaxies", galaxies, cell_deg, lambda: _galaxy_cells(galaxies, cell_deg))
+
+
+def _galaxy_cells(galaxies: DataFrame, cell_deg: float) -> DataFrame:
     g = galaxies.select(
         F.col("galaxy_idx").alias("g_idx"), F.col("HyperLEDA_name").alias("g_hyperleda"),
         F.col("`2MASS_name`").alias("g_2mass"), F.col("ra").alias("g_ra"),
