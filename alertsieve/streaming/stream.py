@@ -31,8 +31,26 @@ def classify_stream(stream: DataFrame) -> DataFrame:
     return stream.select("candid", "objectId", K.classify(stream).alias("class"))
 
 
-def topic_stream(stream: DataFrame) -> DataFrame:
-    return R.route_topics(stream)
+def topic_stream(stream: DataFrame, galaxies: DataFrame | None = None,
+                 sky_objects: DataFrame | None = None) -> DataFrame:
+    """(topic, candid, objectId) rows of a stream.  With the catalogues, all
+    topics -- the two catalogue filters as stream-static broadcast existence
+    joins -- in one pass; without, the per-row topics."""
+    if sky_objects is None:
+        return R.route_topics(stream)
+    from ..operators import filters as FL
+    from ..operators import kilonova as KN
+    from ..functions.columns import flag
+    topics = [n for n in FL.ROW_FILTERS if FL.REGISTRY[n].topic]
+    extra = []
+    for n in topics:
+        sql = FL.filter_sql(n, stream)
+        extra.append((F.expr(f"coalesce({sql}, false)") if sql is not None
+                      else flag(FL.get_filter(n).builder(stream))).alias("f_" + n))
+    topics += FL.CATALOGUE_FILTERS
+    flags = KN.catalogue_flags(stream, galaxies, sky_objects, keep=["candid", "objectId"], extra=extra)
+    names = F.array(*[F.when(F.col("f_" + t), F.lit(t)) for t in topics])
+    return flags.select(F.explode(F.filter(names, lambda x: x.isNotNull())).alias("topic"), "candid", "objectId")
 
 
 def write_append(df: DataFrame, out_path: str, ckpt: str, partition_by: list[str] | None = None,
@@ -61,12 +79,14 @@ def run_classification_stream(spark: SparkSession, alerts: DataFrame | None = No
     return spark.read.parquet(f"{base}/out")
 
 
-def run_topic_stream(spark: SparkSession, alerts: DataFrame, run_dir: str | None = None) -> DataFrame:
+def run_topic_stream(spark: SparkSession, alerts: DataFrame, run_dir: str | None = None,
+                     galaxies: DataFrame | None = None, sky_objects: DataFrame | None = None) -> DataFrame:
     """Same, writing one folder per topic (``partitionBy('topic')``)."""
     base = run_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/topics-{uuid.uuid4().hex}"
     alerts.write.mode("overwrite").parquet(f"{base}/in")
     stream = read_alert_stream(spark, f"{base}/in", alerts.schema, max_files_per_trigger=4)
-    q = write_append(topic_stream(stream), f"{base}/out", f"{base}/ckpt", partition_by=["topic"])
+    q = write_append(topic_stream(stream, galaxies, sky_objects), f"{base}/out", f"{base}/ckpt",
+                     partition_by=["topic"])
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 

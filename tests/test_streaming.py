@@ -48,3 +48,14 @@ def test_notification_stream_idempotent(spark):
     assert got == want and len(got) == 1116
     sink(a, 999)                       # a replayed batch adds nothing
     assert spark.read.parquet(table).count() == len(got)
+
+
+def test_all_topics_stream_one_pass(spark):
+    from alertsieve.plans.queries import route_topics as route_all
+    from alertsieve.plans.tables import galaxies, sky_objects
+    sf = "/root/testdata/sf0.01"
+    a = alerts(spark, sf)
+    out = run_topic_stream(spark, a, galaxies=galaxies(spark, sf), sky_objects=sky_objects(spark, sf))
+    got = sorted((r.topic, r.candid) for r in out.select("topic", "candid").collect())
+    want = sorted((r.topic, r.candid) for r in route_all(spark, sf).collect())
+    assert got == want and len(got) == 10474
