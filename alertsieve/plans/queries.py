@@ -324,7 +324,8 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     from .tables import alert_table_path
     schema = T.StructType(ALERT.fields + [T.StructField(NIGHT, T.LongType())])
     # stream the stored, night-partitioned alert table itself (no second copy)
-    return run_classification_stream(spark, source_path=alert_table_path(spark, sf), source_schema=schema)
+    return run_classification_stream(spark, source_path=alert_table_path(spark, sf), source_schema=schema,
+                                     max_files_per_trigger=16)
 
 
 # --- U1-U3 --------------------------------------------------------------------------

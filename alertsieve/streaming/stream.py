@@ -64,7 +64,8 @@ def write_append(df: DataFrame, out_path: str, ckpt: str, partition_by: list[str
 
 
 def run_classification_stream(spark: SparkSession, alerts: DataFrame | None = None, run_dir: str | None = None,
-                              source_path: str | None = None, source_schema=None) -> DataFrame:
+                              source_path: str | None = None, source_schema=None,
+                              max_files_per_trigger: int | None = 4) -> DataFrame:
     """Run the stateless classification stream to completion (availableNow)
     and return the sink table.  The source is an alert folder (``source_path``,
     e.g. the night-partitioned alert table), or ``alerts`` written as the
@@ -73,7 +74,7 @@ def run_classification_stream(spark: SparkSession, alerts: DataFrame | None = No
     if source_path is None:
         alerts.write.mode("overwrite").parquet(f"{base}/in")
         source_path, source_schema = f"{base}/in", alerts.schema
-    stream = read_alert_stream(spark, source_path, source_schema, max_files_per_trigger=4)
+    stream = read_alert_stream(spark, source_path, source_schema, max_files_per_trigger=max_files_per_trigger)
     q = write_append(classify_stream(stream), f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
