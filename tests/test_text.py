@@ -51,3 +51,15 @@ def test_dc_mag_signs_and_invalid_flux(spark):
     assert out[5].a.mag is None
     for r in out.values():                                   # SQL-text and Column forms agree
         assert (r.a.mag, r.a.err) == (r.b.mag, r.b.err)
+
+
+def test_column_helpers(spark):
+    from alertsieve.functions.columns import as_double, as_int, label_eq, label_in, prefix_match
+    df = spark.createDataFrame([(1, "SN", "TRCK_1", 3.7, float("nan")), (2, None, None, -3.7, 1.0)],
+                               "id long, lab string, trk string, x double, y double")
+    r = {x.id: x for x in df.select(
+        "id", label_in(F.col("lab"), ["SN", "Galaxy"]).alias("i"), label_eq(F.col("lab"), "SN").alias("e"),
+        prefix_match(F.col("trk"), "TRCK_").alias("p"), as_int(F.col("x")).alias("n"),
+        as_double(F.col("y")).alias("d")).collect()}
+    assert (r[1].i, r[1].e, r[1].p, r[1].n, r[1].d) == (True, True, True, 3, None)   # NaN -> NULL
+    assert (r[2].i, r[2].e, r[2].p, r[2].n, r[2].d) == (False, False, False, -3, 1.0)  # truncation toward 0
