@@ -119,8 +119,8 @@ def _row_flag_cols(a: DataFrame, names) -> list:
     out = []
     for n in names:
         sql = FL.filter_sql(n, a)
-        out.append((F.expr(f"coalesce({sql}, false)") if sql is not None
-                    else flag(FL.get_filter(n).builder(a))).alias("f_" + n))
+        out.append(F.expr(f"coalesce({sql}, false) AS f_{n}") if sql is not None
+                   else flag(FL.get_filter(n).builder(a)).alias("f_" + n))
     return out
 
 
@@ -132,10 +132,9 @@ def filter_counts(spark: SparkSession, sf: str) -> DataFrame:
     names = FL.ROW_FILTERS + FL.CATALOGUE_FILTERS
     flags = KN.catalogue_flags(a, galaxies(spark, sf), sky_objects(spark, sf), keep=["candid"],
                                extra=_row_flag_cols(a, FL.ROW_FILTERS))
-    one_pass = flags.select(*[F.count_if(F.col("f_" + n)).alias(n) for n in names])
-    return one_pass.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("filter"), F.col(n).cast("long").alias("n")) for n in names])).alias("s")
-    ).select("s.*")
+    one_pass = flags.selectExpr(*[f"count_if(f_{n}) AS {n}" for n in names])
+    rows = ", ".join(f"named_struct('filter', '{n}', 'n', CAST({n} AS BIGINT))" for n in names)
+    return one_pass.selectExpr(f"inline(array({rows}))")
 
 
 @query("weighted_fit")
@@ -285,8 +284,8 @@ def route_topics(spark: SparkSession, sf: str) -> DataFrame:
     topics = [n for n in FL.ROW_FILTERS if FL.REGISTRY[n].topic] + FL.CATALOGUE_FILTERS
     flags = KN.catalogue_flags(a, galaxies(spark, sf), sky_objects(spark, sf), keep=["candid", "objectId"],
                                extra=_row_flag_cols(a, [n for n in topics if n in FL.ROW_FILTERS]))
-    names = F.array(*[F.when(F.col("f_" + t), F.lit(t)) for t in topics])
-    return flags.select(F.explode(F.filter(names, lambda x: x.isNotNull())).alias("topic"), "candid", "objectId")
+    names = ", ".join(f"CASE WHEN f_{t} THEN '{t}' END" for t in topics)
+    return flags.selectExpr(f"explode(filter(array({names}), x -> x IS NOT NULL)) AS topic", "candid", "objectId")
 
 
 @query("notify_kn")
