@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import lightcurve as L
-from ..functions.columns import d, resolve
+from ..functions.columns import d
 from ..functions.photometry import abs_mag, dc_mag_sql
 from ..functions.sky import ang_sep_sql, galactic_lat
 from . import filters as FL
@@ -30,11 +30,12 @@ RATE_MIN_SPAN_DAYS = 0.5
 
 
 def _alert_core(df: DataFrame) -> list:
-    c = lambda n: resolve(df, n)
-    return [c("candid").alias("candid"), c("objectId").alias("objectId"),
-            c("ra").cast("double").alias("ra"), c("dec").cast("double").alias("dec"),
-            c("jd").cast("double").alias("jd"), c("jdstarthist").cast("double").alias("jdstarthist"),
-            c("fid").cast("long").alias("fid")]
+    n = lambda x: FL.name_sql(df, x)
+    return [F.expr(f"{n('candid')} AS candid"), F.expr(f"{n('objectId')} AS objectId"),
+            F.expr(f"CAST({n('ra')} AS DOUBLE) AS ra"), F.expr(f"CAST({n('dec')} AS DOUBLE) AS dec"),
+            F.expr(f"CAST({n('jd')} AS DOUBLE) AS jd"),
+            F.expr(f"CAST({n('jdstarthist')} AS DOUBLE) AS jdstarthist"),
+            F.expr(f"CAST({n('fid')} AS BIGINT) AS fid")]
 
 
 # ---------------------------------------------------------------------------
@@ -132,10 +133,11 @@ def host_first(pairs: DataFrame) -> DataFrame:
     host_cols = ["g_lum_dist", "g_idx"] + [c for c in pairs.columns
                                            if c.startswith("g_") and c not in ("g_lum_dist", "g_idx")]
     # group on the alert key only; the alert's other columns ride in the struct
-    best = F.min(F.struct(*[F.col(c) for c in host_cols + ["sep_rad", "abs_mag"]
-                            + [x for x in alert_cols if x != "candid"]])).alias("h")
-    return pairs.groupBy("candid").agg(best).select("candid", *[f"h.{x}" for x in alert_cols if x != "candid"],
-                                                    *[f"h.{x}" for x in host_cols + ["sep_rad", "abs_mag"]])
+    fields = host_cols + ["sep_rad", "abs_mag"] + [x for x in alert_cols if x != "candid"]
+    best = F.expr("min(struct(" + ", ".join(f"`{c}`" for c in fields) + ")) AS h")
+    return pairs.groupBy("candid").agg(best).selectExpr(
+        "candid", *[f"h.`{x}` AS `{x}`" for x in alert_cols if x != "candid"],
+        *[f"h.`{x}` AS `{x}`" for x in host_cols + ["sep_rad", "abs_mag"]])
 
 
 def host_exists(cut: DataFrame, galaxies: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
