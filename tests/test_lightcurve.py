@@ -124,3 +124,17 @@ def test_column_api_equals_sql_forms(spark):
     by = {r.candid: r for r in out}
     assert by[1].rc.n_points == 3 and by[1].tp.rate is not None
     assert by[3].tp is None or by[3].tp.rate is None
+
+
+def test_nan_history_magnitude_is_a_non_detection(spark):
+    """NaN and NULL magnitudes in the history are both non-detections."""
+    young = dict(jd=2460010.0, jdstarthist=2460001.0, fid=1, magpsf=19.0)
+    hist = lambda m: [point(2460001.0, 1, 18.6), point(2460003.0, 1, m), point(2460005.0, 1, 18.8)]
+    rows = [alert(1, history=hist(None), **young), alert(2, history=hist(float("nan")), **young)]
+    df = alerts_df(spark, rows)
+    out = {r.candid: r for r in df.select(
+        "candid", F.expr(L.fold_orphan_sql(L.lc_concat_sql())).alias("o"),
+        F.expr(L.fold_rate_sql(L.with_dc_sql(L.same_band_sql(L.lc_concat_sql(), "CAST(candidate.fid AS BIGINT)"))))
+        .alias("r"), F.expr(L.days_since_last_sql(L.lc_concat_sql())).alias("d")).collect()}
+    assert out[1].o == out[2].o and out[1].r == out[2].r and out[1].d == out[2].d
+    assert out[1].o.n_valid == 3 and out[1].r.n_points == 3
