@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import chat_format, exact_dedup, pii
+from . import chat_format, decontaminate, exact_dedup, pii
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                        table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        decontaminate.is_contaminated().alias("contaminated"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,4 +55,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_list(F.col("spans")).alias("spans"))
 
 
-Q = {f.__name__: f for f in (op6_exact_dedup, op7_chat_format, op10_pii)}
+Q = {f.__name__: f for f in (op2_decontaminate, op6_exact_dedup, op7_chat_format, op10_pii)}

@@ -41,3 +41,42 @@ def pii_row(text):
     spans = base_pii(text)
     n = [sum(s[3] == k for s in spans) for k in ("email", "ip", "card", "phone")]
     return n + [sha(",".join(f"{k}:{a}:{b}" for a, _, b, k in spans))]
+
+
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def lower(text):
+    return (text or "").encode().translate(_LOWER).decode()
+
+
+def alnum_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+
+
+def spaced_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+
+
+def decontaminate(docs, items):
+    """{doc_id: (n_words, n_hit, n_items, items_sha256, contaminated)}; ids unique."""
+    windows = {}
+    for item, text in items:
+        w = alnum_words(text)
+        n = min(13, len(w))
+        for i in range(len(w) - n + 1 if w else 0):
+            windows.setdefault(tuple(w[i:i + n]), set()).add(item)
+    sizes = sorted({len(x) for x in windows})
+    out = {}
+    for doc, text in docs:
+        w = alnum_words(text)
+        hit, found = set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                got = windows.get(tuple(w[i:i + n]))
+                if got:
+                    hit.update(range(i, i + n))
+                    found |= got
+        out[doc] = (len(w), len(hit), len(found), sha(",".join(sorted(map(str, found)))),
+                    len(hit) > 0 and 20 * len(hit) >= len(w))
+    return out
