@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import chat_format, decontaminate, exact_dedup, pii
+from . import chat_format, decontaminate, exact_dedup, near_dedup, pii
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,14 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all documents."""
+    near = near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_dedup.component_ids(near).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of ``documents``, dropped rows included."""
     digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
@@ -55,4 +63,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_list(F.col("spans")).alias("spans"))
 
 
-Q = {f.__name__: f for f in (op2_decontaminate, op6_exact_dedup, op7_chat_format, op10_pii)}
+Q = {f.__name__: f for f in (op2_decontaminate, op4_near_dedup, op6_exact_dedup, op7_chat_format, op10_pii)}

@@ -80,3 +80,36 @@ def decontaminate(docs, items):
         out[doc] = (len(w), len(hit), len(found), sha(",".join(sorted(map(str, found)))),
                     len(hit) > 0 and 20 * len(hit) >= len(w))
     return out
+
+
+def shingles(text, n=5):
+    w = spaced_words(text)
+    if not w:
+        return set()
+    return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))}
+
+
+def near_components(docs):
+    """{doc_id: (n_shingles, component_id)}; ids unique."""
+    sets = {i: shingles(t) for i, t in docs}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    by = {}
+    for i, s in sets.items():
+        for x in s:
+            by.setdefault(x, []).append(i)
+    seen = set()
+    for ids in by.values():
+        for k, a in enumerate(ids):
+            for b in ids[k + 1:]:
+                if (a, b) not in seen:
+                    seen.add((a, b))
+                    both = len(sets[a] & sets[b])
+                    if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                        x, y = sorted((find(a), find(b)))
+                        root[y] = x
+    return {i: (len(sets[i]), find(i)) for i in sets}
