@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import chat_format, decontaminate, exact_dedup, near_dedup, pii
+from . import chat_format, decontaminate, exact_dedup, line_dedup, mixing, near_dedup, pii
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without the boilerplate lines of their hosts."""
+    return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all documents."""
     near = near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -53,6 +58,13 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "formatted_chars", "valid")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents taken into the mixture, one row per epoch."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("mix_domain").alias("domain"), "lang", "source", F.col("mix_tokens").alias("n_tokens"),
+        F.col("mix_epoch").alias("epoch"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -63,4 +75,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_list(F.col("spans")).alias("spans"))
 
 
-Q = {f.__name__: f for f in (op2_decontaminate, op4_near_dedup, op6_exact_dedup, op7_chat_format, op10_pii)}
+Q = {f.__name__: f for f in (op2_decontaminate, op3_line_dedup, op4_near_dedup, op6_exact_dedup, op7_chat_format, op8_mixing,
+                              op10_pii)}
