@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
-from . import chat_format, decontaminate, exact_dedup, line_dedup, mixing, near_dedup, pii
+from .common import crc_bucket, table
+from . import chat_format, decontaminate, exact_dedup, line_dedup, mixing, near_dedup, pii, toxicity
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """The model learned from labels of rows whose crc32 modulo 3 is not 1."""
+    labels = table(spark, sf_dir, "labels").filter(crc_bucket("doc_id", 3) != 1)
+    return toxicity.fit(docs, labels)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.with_scores(docs.select("doc_id", "text"), toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"), "n_hits")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,5 +89,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_list(F.col("spans")).alias("spans"))
 
 
-Q = {f.__name__: f for f in (op2_decontaminate, op3_line_dedup, op4_near_dedup, op6_exact_dedup, op7_chat_format, op8_mixing,
+Q = {f.__name__: f for f in (op1_toxicity, op2_decontaminate, op3_line_dedup, op4_near_dedup, op6_exact_dedup, op7_chat_format, op8_mixing,
                               op10_pii)}
