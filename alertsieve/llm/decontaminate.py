@@ -186,8 +186,9 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
                   item_text: str = "text") -> DataFrame:
     """One row per document: the columns of ``docs`` but its text, ``n_words``, ``n_hit`` (words
     inside an occurrence of a window), ``items`` (ids, sorted as strings) and ``spans``
-    array<struct<start, end>> (word positions, merged)."""
-    spark = docs.sparkSession
+    array<struct<start, end>> (word positions, merged).  A column of ``docs`` with one of these
+    names is replaced."""
+    spark, docs = docs.sparkSession, docs.drop("n_words", "n_hit", "items", "spans")
     id_type = items.schema[item_key].dataType.simpleString()
     fps = stored(items.select(F.col(item_key).alias("item_id"), F.col(item_text).alias("t"))
                  .mapInArrow(_item_rows, f"item_id {id_type}, fp long, short int, ctx binary"), "bench-fp")

@@ -98,7 +98,8 @@ def _order_key(seed: str) -> Column:
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", domain: str = DOMAIN, weights=WEIGHTS,
         budget: tuple[int, int] = BUDGET, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The taken documents, one row for each epoch that has them: the columns of ``docs``, and
-    mix_domain, mix_tokens, mix_epoch."""
+    mix_domain, mix_tokens, mix_epoch (columns of ``docs`` with these names are replaced)."""
+    docs = docs.drop("mix_domain", "mix_tokens", "mix_epoch")
     blank = lambda c: F.coalesce(c, F.lit(""))
     ident = F.concat_ws("|", blank(F.col(key).cast("string")), F.md5(blank(F.col(text)).cast("binary")))
     leaf = [blank(F.expr(domain)).alias("domain"), blank(F.col("lang")).alias("lang"),
