@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_bitmap, key_bitmap
+from .common import in_bitmap, key_bitmap, stored
 
 PREFIX_CHARS = 256
 BITMAP_BITS = 20
@@ -40,7 +40,10 @@ def _split(docs: DataFrame, key: str, text: str, carry: list[Column], prefix_cha
     survivor = F.coalesce(F.col("_prefix").isNotNull() & by_prefix, F.lit(False))
     singles = prefixed.filter(~survivor).drop("_body")
     rest = prefixed.filter(survivor).withColumn("_hash", F.sha2("_body", 256)).drop("_body")
-    groups = rest.groupBy("_hash").agg(F.max("_key").alias("_keep"), F.count(F.lit(1)).alias("_n"))
+    # written first: the join to a stored table is two plain shuffles, which Spark can split
+    # where one text holds a large share of the rows
+    groups = stored(rest.groupBy("_hash").agg(F.max("_key").alias("_keep"), F.count(F.lit(1)).alias("_n")),
+                    "exact-groups")
     return singles, rest, groups
 
 
