@@ -55,7 +55,7 @@ def drop_boilerplate(pages: DataFrame, url: str = "url", html: str = "html", rat
                      min_pages: int = MIN_PAGES) -> DataFrame:
     """The columns of ``pages`` but its html, and: host, n_lines, n_dropped, text (kept lines);
     columns of ``pages`` with these names are replaced."""
-    pages = pages.drop("host", "n_lines", "n_dropped", "text")
+    pages = pages.drop(*[c for c in ("host", "n_lines", "n_dropped", "text") if c not in (url, html)])
     names = [c for c in pages.columns if c != html]
     safe = [f"c{i}" for i in range(len(names))]
     rows = pages.select(*[F.col(f"`{c}`").alias(s) for c, s in zip(names, safe)],
