@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +54,27 @@ def in_bitmap(bitmap: Column, bits: int, *cols) -> Column:
     slot = bitmap_slot(bits, *cols)
     word = F.element_at(bitmap, (F.shiftright(slot, 6) + 1).cast("int"))
     return F.getbit(word, slot.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+class KeyFilter:
+    """A bitmap of fixed size over long keys, for use inside tasks: ``passes`` is true for every
+    key of ``keys`` and, rarely, for another.  At most ``2 ** (bits - 6)`` words reach the
+    driver and are broadcast, whatever the number of keys."""
+
+    def __init__(self, keys: DataFrame, col: str, bits: int):
+        spark, self.bits = keys.sparkSession, bits
+        slots = keys.select(F.explode(F.array(*[F.shiftrightunsigned(col, at).bitwiseAND(F.lit((1 << bits) - 1))
+                                                for at in (0, 64 - bits)])).alias("s"))
+        words = (slots.groupBy(F.shiftright("s", 6).alias("w"))
+                 .agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 as int)))").alias("v")).toArrow())
+        bitmap = np.zeros(1 << (bits - 6), dtype=np.int64)
+        bitmap[words["w"].to_numpy()] = words["v"].to_numpy()
+        self._bitmap = spark.sparkContext.broadcast(bitmap)
+
+    def passes(self, keys: np.ndarray) -> np.ndarray:
+        bitmap, u = self._bitmap.value, keys.view(np.uint64)
+        mask, out = np.uint64((1 << self.bits) - 1), np.ones(len(keys), bool)
+        for at in (0, 64 - self.bits):
+            s = ((u >> np.uint64(at)) & mask).astype(np.int64)
+            out &= ((bitmap[s >> 6] >> (s & 63)) & 1) == 1
+        return out

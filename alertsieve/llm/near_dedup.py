@@ -10,7 +10,7 @@
    lists make the groups.  Classes that share any list share a group, and a group is written as
    its rows, never as pairs.
 4. Inside a group, the overlap of two sketches bounds the estimate from their union sketch; what
-   passes is verified on the full sets.  A group returns a spanning forest of its links.
+   passes is verified on the full sets.  A group returns its links as stars, one per component.
    Groups over ``BLOCK`` members are cut by set size (sets that can be linked have similar sizes)
    and into pairs of blocks, so no task holds more than two blocks of sets.
 5. Components of the links, in Spark.
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash as W
-from .common import bitmap_slot, in_bitmap, key_bitmap, stored
+from .common import KeyFilter, stored
 from .components import components
 
 WORDS, SKETCH, RUN = 5, 48, 3
@@ -83,10 +83,27 @@ def _class_rows(words: int, sketch: int, run: int):
     return work
 
 
-def _set_rows(words: int):
+def _list_rows(listed: KeyFilter):
+    """(key, class, n, of) of the keys that more than one class has."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, data, offsets in W.chunks(b.column(0)):
+            keys = b.column("keys")
+            flat = keys.flatten().to_numpy()
+            row = np.repeat(np.arange(b.num_rows), keys.value_lengths().to_numpy())
+            at = np.flatnonzero(listed.passes(flat))
+            row = pa.array(row[at])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat[at]), b.column("class").take(row), b.column("n").take(row), b.column("of").take(row)],
+                names=["key", "class", "n", "of"])
+    return work
+
+
+def _set_rows(words: int, wanted: KeyFilter):
+    """(class, hashes) of the documents whose key hash is wanted."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.flatnonzero(wanted.passes(b.column(0).to_numpy()))
+            for _, data, offsets in W.chunks(b.column(1).take(pa.array(at))):
                 sets = [s for s in _sets(data, offsets, words) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_class_id(s) for s in sets], pa.binary()),
@@ -119,7 +136,7 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _links(sets: list[np.ndarray], sketch: int, threshold: tuple[int, int]) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the sets."""
+    """The links among the sets as stars: (first member of a component, another member)."""
     num, den = threshold
     size = np.array([len(s) for s in sets])
     kept = np.minimum(size, sketch)
@@ -134,22 +151,23 @@ def _links(sets: list[np.ndarray], sketch: int, threshold: tuple[int, int]) -> l
     linked = may[np.ix_(some, some)] & (den * both >= num * union)
     out, todo = [], set(range(len(some)))
     while todo:
-        stack = [todo.pop()]
+        first = min(todo)
+        todo.remove(first)
+        stack = [first]
         while stack:
-            i = stack.pop()
-            for j in np.flatnonzero(linked[i]):
+            for j in np.flatnonzero(linked[stack.pop()]):
                 if j in todo:
                     todo.remove(j)
                     stack.append(int(j))
-                    out.append((int(some[i]), int(some[j])))
+                    out.append((int(some[first]), int(some[j])))
     return out
 
 
 def _verify(sketch: int, threshold: tuple[int, int]):
     def work(group: pa.Table) -> pa.Table:
-        ids = group.column("class").to_pylist()
-        sets = [np.frombuffer(x, dtype=W.U) for x in group.column("hashes").to_pylist()]
-        pairs = _links(sets, sketch, threshold) if len(sets) > 1 else []
+        sets = dict(zip(group.column("class").to_pylist(), group.column("hashes").to_pylist()))
+        ids = sorted(sets)  # the first member of a component is its smallest class
+        pairs = _links([np.frombuffer(sets[i], dtype=W.U) for i in ids], sketch, threshold) if len(ids) > 1 else []
         return pa.table({"a": pa.array([ids[i] for i, _ in pairs], pa.binary()),
                          "b": pa.array([ids[j] for _, j in pairs], pa.binary())})
     return work
@@ -168,66 +186,58 @@ def classes(docs: DataFrame, text: str = "text", words: int = WORDS, sketch: int
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                     sketch: int = SKETCH, run: int = RUN, threshold: tuple[int, int] = THRESHOLD,
                     block: int = BLOCK, carry: list | None = None) -> DataFrame:
-    """One row per document: key, the columns ``carry``, class, n (shingles) and component (the
-    smallest class reachable; the class itself where nothing is linked)."""
+    """One row per document: key, the columns ``carry``, class, n (shingles), component (the
+    smallest class reachable; NULL for the empty set) and component_id (the smallest key of the
+    component, its own included)."""
     base = docs.select(F.col(f"`{key}`").alias("_key"), *(carry or []), F.col(f"`{text}`").alias("_text"))
     rows = stored(classes(base, "_text", words, sketch, run), "near-rows")
-    some = rows.filter("class IS NOT NULL")
-    one = some.groupBy("class").agg(F.first("keys").alias("keys"), F.min("_key").alias("_key"))
+    one = stored(rows.filter("class IS NOT NULL").groupBy("class")
+                 .agg(F.first("keys").alias("keys"), F.first("n").alias("n"), F.min("_key").alias("_low"))
+                 .withColumn("of", F.xxhash64("_low")), "near-classes")
 
     # inverted lists: which keys more than one class has, and the smallest class of each
     lists = stored(one.select("class", F.explode("keys").alias("key")).groupBy("key")
                    .agg(F.count(F.lit(1)).alias("c"), F.min("class").alias("pivot")).filter("c > 1")
                    .select("key", "pivot"), "near-lists")
-    listed = key_bitmap(lists, ["key"], BITMAP_BITS)
-    members = (one.select("class", F.explode("keys").alias("key"))
-               .filter(in_bitmap(listed, BITMAP_BITS, "key")).join(lists, "key")
-               .select("pivot", "class").distinct())
+    members = (one.select("keys", "class", "n", "of")
+               .mapInArrow(_list_rows(KeyFilter(lists, "key", BITMAP_BITS)), "key long, class binary, n long, of long")
+               .join(lists, "key").groupBy("pivot", "class").agg(F.first("n").alias("n"), F.first("of").alias("of")))
     members = stored(members, "near-groups")  # a pivot is a member of its own group
 
     # full sets of the classes that are in a group, read again from one document of each
-    grouped = members.select("class").distinct()
-    wanted = key_bitmap(some.join(grouped, "class", "left_semi").groupBy("class").agg(F.min("_key").alias("_key")),
-                        ["_key"], BITMAP_BITS)
-    sets = (base.filter(in_bitmap(wanted, BITMAP_BITS, "_key")).select("_text")
-            .mapInArrow(_set_rows(words), "class binary, hashes binary"))
-    sets = sets.join(grouped, "class", "left_semi").groupBy("class").agg(F.first("hashes").alias("hashes"))
-
-    placed = _blocks(members, some.groupBy("class").agg(F.first("n").alias("n")), threshold, block)
-    sets = stored(sets, "near-sets")
-    links = (placed.join(sets, "class").groupBy("pivot", "size", "i", "j")
+    wanted = KeyFilter(members.select("of"), "of", BITMAP_BITS)
+    sets = base.select(F.xxhash64("_key").alias("of"), "_text").mapInArrow(
+        _set_rows(words, wanted), "class binary, hashes binary")
+    links = (_blocks(members, threshold, block).join(sets, "class").groupBy("pivot", "size", "i", "j")
              .applyInArrow(_verify(sketch, threshold), "a binary, b binary"))
-    roots = stored(components(links), "near-roots")
-    return (rows.drop("keys").join(roots, rows["class"] == roots["node"], "left")
-            .withColumn("component", F.coalesce("root", "class")).drop("node", "root")
-            .withColumnRenamed("_key", key))
+    roots = components(links)
+
+    # the smallest key of every component of more than one class, then of every class
+    linked = one.select("class", "_low").join(roots.withColumnRenamed("node", "class"), "class")
+    lows = linked.groupBy("root").agg(F.min("_low").alias("_least"))
+    linked = linked.drop("_low").join(lows, "root")
+    named = stored(one.select("class", "_low").join(linked, "class", "left")
+                   .select("class", F.coalesce("root", "class").alias("component"),
+                           F.when(F.col("root").isNull(), F.col("_low")).otherwise(F.col("_least"))
+                           .alias("component_id")), "near-named")
+    return (rows.drop("keys").join(named, "class", "left")
+            .withColumn("component_id", F.coalesce("component_id", "_key")).withColumnRenamed("_key", key))
 
 
-def _blocks(members: DataFrame, sizes: DataFrame, threshold: tuple[int, int], block: int) -> DataFrame:
+def _blocks(members: DataFrame, threshold: tuple[int, int], block: int) -> DataFrame:
     """(pivot, size, i, j, class): the tasks a member takes part in.  A group of up to ``block``
     members is one task; a larger one is cut by set size, then into pairs of blocks."""
     step = math.log(threshold[1] / threshold[0]) * (1 + 1e-9)
-    count = stored(members.groupBy("pivot").agg(F.count(F.lit(1)).alias("c")), "near-counts")
-    rows = members.join(count, "pivot")
-    zero = F.lit(0).alias
-    small = rows.filter(F.col("c") <= block).select("pivot", zero("size"), zero("i"), zero("j"), "class")
+    rows = members.join(members.groupBy("pivot").agg(F.count(F.lit(1)).alias("c")), "pivot")
     # sets whose sizes allow a link are in the same size step or in neighbouring ones
     level = F.floor(F.log(F.col("n").cast("double")) / step).cast("int")
-    large = (rows.filter(F.col("c") > block).join(sizes, "class")
-             .select("pivot", "class", F.explode(F.array(level, level + 1)).alias("size")))
-    large = stored(large, "near-large")
-    parts = stored(large.groupBy("pivot", "size").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("parts")), "near-parts")
-    mine = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
-    cut = (large.join(parts, ["pivot", "size"]).withColumn("mine", mine)
-           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-           .select("pivot", (F.col("size") + 1).alias("size"), F.least("mine", "other").alias("i"),
-                   F.greatest("mine", "other").alias("j"), "class"))
-    return small.unionByName(cut)
-
-
-def component_ids(near: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``near`` with ``component_id``: the smallest key of the component, itself included."""
-    low = stored(near.filter("component IS NOT NULL").groupBy("component").agg(F.min(key).alias("_low")), "near-low")
-    return (near.join(low, "component", "left")
-            .withColumn("component_id", F.coalesce("_low", F.col(key))).drop("_low"))
+    rows = stored(rows.select("pivot", "class", F.explode(F.when(F.col("c") <= block, F.array(F.lit(-1)))
+                                                          .otherwise(F.array(level, level + 1))).alias("size")),
+                  "near-cut")
+    parts = (rows.filter("size >= 0").groupBy("pivot", "size")
+             .agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("parts")))
+    mine = F.pmod(F.xxhash64("class"), F.coalesce("parts", F.lit(1))).cast("int")
+    return (rows.join(stored(parts, "near-parts"), ["pivot", "size"], "left").withColumn("mine", mine)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+            .select("pivot", "size", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+                    "class"))

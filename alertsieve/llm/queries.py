@@ -40,7 +40,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all documents."""
     near = near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return near_dedup.component_ids(near).select(
+    return near.select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
