@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc_bucket, table
-from . import chat_format, decontaminate, exact_dedup, line_dedup, mixing, near_dedup, pii, toxicity
+from . import chat_format, decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, near_dedup, pii, token_counts, toxicity
 
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
@@ -45,6 +45,14 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model and base scores of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm_scoring.score_documents(docs, crc_bucket("doc_id", 10) != 0)
+    return scored.select("doc_id", (crc_bucket("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of ``documents``, dropped rows included."""
     digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
@@ -79,6 +87,27 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("mix_epoch").alias("epoch"))
 
 
+def edits_of(text) -> list:
+    """Two edits of every document, taken from its own text: its first word over seven characters
+    at a third, and its last 40 characters again at two thirds."""
+    n = F.length(text)
+    kind = "struct<pos:int,del:int,ins:string>"
+    one = F.struct(F.floor(n / 3).alias("pos"), F.lit(7).alias("del"), F.substring_index(text, " ", 1).alias("ins"))
+    two = F.struct(F.floor(n * 2 / 3).alias("pos"), F.lit(0).alias("del"), F.right(text, F.lit(40)).alias("ins"))
+    return F.array(one.cast(kind), two.cast(kind))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after two edits, and the characters encoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = token_counts.token_trees(docs).withColumn("n_before", F.col("n_tokens"))
+    body = F.coalesce("text", F.lit(""))
+    edited = token_counts.apply_edits(trees.withColumn("edits", edits_of(body)).withColumn("n_chars", F.length(body)))
+    return edited.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "n_before",
+                         F.col("n_tokens").alias("n_after"), F.length("text").cast("long").alias("n_chars_after"),
+                         F.col("n_again").alias("n_encoded_again"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -89,5 +118,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_list(F.col("spans")).alias("spans"))
 
 
-Q = {f.__name__: f for f in (op1_toxicity, op2_decontaminate, op3_line_dedup, op4_near_dedup, op6_exact_dedup, op7_chat_format, op8_mixing,
-                              op10_pii)}
+Q = {f.__name__: f for f in (op1_toxicity, op2_decontaminate, op3_line_dedup, op4_near_dedup, op5_lm_scoring, op6_exact_dedup, op7_chat_format, op8_mixing,
+                              op9_token_counts, op10_pii)}

@@ -113,3 +113,26 @@ def near_components(docs):
                         x, y = sorted((find(a), find(b)))
                         root[y] = x
     return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def edited(text, edits):
+    """The text after edits (pos, del, ins), from the last position to the first."""
+    text = text or ""
+    for pos, gone, added in sorted(edits, key=lambda e: -e[0]):
+        pos = min(max(pos, 0), len(text))
+        text = text[:pos] + added + text[pos + max(gone, 0):]
+    return text
+
+
+def base_scores(docs):
+    """{doc_id: (n_tokens, n_known, train_tokens, base_score)}; ids unique."""
+    import math
+    from collections import Counter
+    tokens = {i: spaced_words(t) + [None] for i, t in docs}
+    c = Counter()
+    for i, w in tokens.items():
+        if crc_mod(i, 10) != 0:
+            c.update(w)
+    n, v = sum(c.values()), len(c)
+    return {i: (len(w), sum(c[x] > 0 for x in w), n,
+                sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)) for i, w in tokens.items()}
