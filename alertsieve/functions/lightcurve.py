@@ -218,8 +218,10 @@ def fold_orphan(lc: Column) -> Column:
 def fold_rate(dc_pts: Column, max_mag: float = 21.0, min_span: float = 0.5) -> Column:
     """Rate statistics over same-band DC points (struct(jd, mag, err)) in one pass.
 
-    Points brighter than ``max_mag`` enter a weighted straight-line fit (A4;
-    weights 1/err^2, x and y centred on the first kept point).  Returns
+    Points brighter than ``max_mag`` with a positive error enter a weighted
+    straight-line fit (A4; weights 1/err^2, x and y centred on the first kept
+    point); a point without an error, or with error 0, has no weight and is
+    left out of the fit, its count and its span.  Returns
     struct(n_points, n_fit, span, ok, slope, slope_var, last_mag, last_err):
     ``ok`` = at least two kept points spanning more than ``min_span`` days;
     ``slope_var`` is the slope variance scaled by chi2/(n-2) (NULL for n <= 2);
@@ -233,10 +235,10 @@ def fold_rate(dc_pts: Column, max_mag: float = 21.0, min_span: float = 0.5) -> C
                     _null_d().alias("last_mag"), _null_d().alias("last_err"))
 
     def merge(acc, q):
-        keep = q["mag"] < d(max_mag)
+        keep = (q["mag"] < d(max_mag)) & (q["err"] > 0) & ~F.isnan(q["err"])
         x0 = F.coalesce(acc["x0"], q["jd"])
         y0 = F.coalesce(acc["y0"], q["mag"])
-        w = d(1.0) / F.pow(q["err"], 2)
+        w = d(1.0) / F.nullif(F.pow(q["err"], 2), d(0.0))
         x = q["jd"] - x0
         y = q["mag"] - y0
         fit = F.struct(
@@ -278,6 +280,10 @@ _CASTS = {"jd": "DOUBLE", "fid": "BIGINT", "magpsf": "DOUBLE", "sigmapsf": "DOUB
           "sigmagnr": "DOUBLE", "magzpsci": "DOUBLE", "isdiffpos": "STRING", "ssnamenr": "STRING"}
 
 
+#: Columns of one measurement.
+POINT_NAMES = list(_CASTS)
+
+
 def _point_sql(src: str) -> str:
     return "named_struct(" + ", ".join(f"'{f}', CAST({src}.{f} AS {t})" for f, t in _CASTS.items()) + ")"
 
@@ -365,10 +371,10 @@ def fold_rate_sql(dc_pts: str, max_mag: float = 21.0, min_span: float = 0.5) ->
             "'syy', 0.0D, 'last_mag', CAST(NULL AS DOUBLE), 'last_err', CAST(NULL AS DOUBLE))")
     x0 = "coalesce(acc.x0, q.jd)"
     y0 = "coalesce(acc.y0, q.mag)"
-    w = "(1.0D / POWER(q.err, 2))"
+    w = "(1.0D / nullif(POWER(q.err, 2), 0.0D))"
     x = f"(q.jd - {x0})"
     y = f"(q.mag - {y0})"
-    merge = (f"(acc, q) -> CASE WHEN coalesce(q.mag < {float(max_mag)!r}D, false) THEN named_struct("
+    merge = (f"(acc, q) -> CASE WHEN coalesce(q.mag < {float(max_mag)!r}D AND q.err > 0 AND NOT isnan(q.err), false) THEN named_struct("
              f"'np', acc.np + 1L, 'n', acc.n + 1L, 'x0', {x0}, 'y0', {y0}, 'x_last', q.jd, "
              f"'sw', acc.sw + {w}, 'sx', acc.sx + {w} * {x}, 'sy', acc.sy + {w} * {y}, "
              f"'sxx', acc.sxx + {w} * {x} * {x}, 'sxy', acc.sxy + {w} * {x} * {y}, "

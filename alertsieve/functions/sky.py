@@ -15,13 +15,26 @@ GAL_POLE_RA = 192.85948
 GAL_POLE_DEC = 27.12825
 
 
+def known(*cols: Column) -> Column:
+    """True where every column is neither NULL nor NaN."""
+    out = F.lit(True)
+    for c in cols:
+        out = out & c.isNotNull() & ~F.isnan(c)
+    return out
+
+
+def known_sql(*xs: str) -> str:
+    return "(" + " AND ".join(f"{x} IS NOT NULL AND NOT isnan({x})" for x in xs) + ")"
+
+
 def galactic_lat(ra: Column, dec: Column) -> Column:
-    """Galactic latitude b in degrees of (ra, dec) in degrees."""
+    """Galactic latitude b in degrees of (ra, dec) in degrees (C2); NULL when either is
+    missing (NULL or NaN)."""
     dp = math.radians(GAL_POLE_DEC)
     r, dd = F.radians(ra), F.radians(dec)
     s = (F.sin(dd) * d(math.sin(dp))
          + F.cos(dd) * d(math.cos(dp)) * F.cos(r - d(math.radians(GAL_POLE_RA))))
-    return F.degrees(F.asin(F.least(F.greatest(s, d(-1.0)), d(1.0))))
+    return F.when(known(ra, dec), F.degrees(F.asin(F.least(F.greatest(s, d(-1.0)), d(1.0)))))
 
 
 def ang_sep(ra1: Column, dec1: Column, ra2: Column, dec2: Column) -> Column:
@@ -33,8 +46,10 @@ def ang_sep(ra1: Column, dec1: Column, ra2: Column, dec2: Column) -> Column:
 
 
 def ang_dist(dist: Column, z: Column) -> Column:
-    """Angular-diameter distance ``dist / (1+z)^2``."""
-    return dist / F.pow(d(1.0) + z, 2)
+    """Angular-diameter distance ``dist / (1+z)^2`` (C6); NULL when an input is missing (NULL
+    or NaN) or the result is not positive."""
+    out = dist / F.nullif(F.pow(d(1.0) + z, 2), d(0.0))
+    return F.when(known(dist, z) & (out > 0), out)
 
 
 def proj_sep_kpc(sep_rad: Column, ang_dist_mpc: Column) -> Column:
@@ -93,7 +108,7 @@ def galactic_lat_sql(ra: str, dec: str) -> str:
     dp = math.radians(GAL_POLE_DEC)
     s = (f"SIN(RADIANS({dec})) * {_fd(math.sin(dp))} + COS(RADIANS({dec})) * {_fd(math.cos(dp))} "
          f"* COS(RADIANS({ra}) - {_fd(math.radians(GAL_POLE_RA))})")
-    return f"DEGREES(ASIN(least(greatest({s}, -1.0D), 1.0D)))"
+    return f"(CASE WHEN {known_sql(ra, dec)} THEN DEGREES(ASIN(least(greatest({s}, -1.0D), 1.0D))) END)"
 
 
 def ang_sep_sql(ra1: str, dec1: str, ra2: str, dec2: str) -> str:

@@ -48,7 +48,17 @@ def write_catalogue(cat: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def read_catalogue(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a prepared galaxy catalogue with its declared schema."""
-    if fmt == "csv":
-        return spark.read.schema(GALAXY).option("header", True).csv(path)
-    return spark.read.schema(GALAXY).parquet(path)
+    """Read a prepared galaxy catalogue with its declared types.
+
+    CSV columns are taken by their header names, in any order; a catalogue without
+    ``galaxy_idx`` has none in the result either (ties between hosts are then broken by
+    name and position, see ``kilonova.host_first``)."""
+    if fmt != "csv":
+        return spark.read.schema(GALAXY).parquet(path)
+    raw = spark.read.option("header", True).csv(path)
+    there = {c.lower(): c for c in raw.columns}
+    missing = [f.name for f in GALAXY.fields if f.name.lower() not in there and f.name != "galaxy_idx"]
+    if missing:
+        raise ValueError(f"catalogue {path} has no column {', '.join(missing)}; it has {', '.join(raw.columns)}")
+    return raw.select(*[F.col(f"`{there[f.name.lower()]}`").cast(f.dataType).alias(f.name)
+                        for f in GALAXY.fields if f.name.lower() in there])

@@ -14,7 +14,9 @@ join, see ``operators/kilonova.py``: here only their per-row cuts live.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import importlib
+import inspect
+from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +25,7 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions import lightcurve as L
-from ..functions.columns import d, flag, has_column, resolve
+from ..functions.columns import d, flag, resolve
 from ..functions.sky import galactic_lat_sql
 
 
@@ -56,6 +58,19 @@ def name_sql(df: DataFrame, name: str, struct: str = "candidate") -> str:
     raise KeyError(f"column {name!r} not found at top level nor in {struct!r}")
 
 
+def current_sql(df: DataFrame, struct: str = "candidate") -> str:
+    """SQL of the newest measurement as a struct: the column ``candidate``, or for flat
+    alerts a struct of the top-level columns."""
+    if struct in df.columns:
+        return f"`{struct}`"
+    return "named_struct(" + ", ".join(f"'{x}', {name_sql(df, x)}" for x in L.POINT_NAMES) + ")"
+
+
+def measure_prefix(df: DataFrame, struct: str = "candidate") -> str:
+    """Prefix of the newest measurement's columns: ``candidate.``, or nothing for flat alerts."""
+    return f"{struct}." if struct in df.columns else ""
+
+
 def _dbl(df: DataFrame, name: str) -> str:
     return f"CAST({name_sql(df, name)} AS DOUBLE)"
 
@@ -176,7 +191,7 @@ def orphan_grb_sql(df):
 
     The light curve is folded once (``fold_orphan``) into every term of the
     filter; the age cut is evaluated first so most rows never fold."""
-    lc = L.lc_concat_sql(name_sql(df, "prv_candidates"), "candidate")
+    lc = L.lc_concat_sql(name_sql(df, "prv_candidates"), current_sql(df))
     t = L.fold_orphan_sql(lc)
     young = f"{age_sql(df)} <= 30.0D"
     return f"{young} AND CASE WHEN {young} THEN ({t}).all_terms END"
@@ -218,9 +233,9 @@ _orphan_grb_default = _column(orphan_grb_sql)
 def orphan_grb(df: DataFrame, lc: Column | None = None) -> Column:
     """F14 (see ``orphan_grb_sql``); with an explicit ``lc`` Column the Column
     form of the fold is used."""
-    if lc is None and has_column(df, "prv_candidates") and "candidate" in df.columns:
+    if lc is None:
         return _orphan_grb_default(df)
-    t = L.fold_orphan(lc if lc is not None else L.lc_concat(df))
+    t = L.fold_orphan(lc)
     young = le(age(df), 30.0)
     return young & F.when(young, t["all_faint"] & t["exactly3"] & t["span3"] & t["valid_rate"]
                           & t["color_ok"] & t["no_known_sso"])
@@ -235,47 +250,48 @@ class FilterSpec:
     name: str
     builder: Callable[[DataFrame], Column]
     topic: str | None
-    columns: list[str] = field(default_factory=list)
-    uses_catalogue: bool = False
 
 
 REGISTRY: dict[str, FilterSpec] = {}
 
 
-def register_filter(name: str, builder: Callable[[DataFrame], Column], topic: str | None = None,
-                    columns: list[str] | None = None, uses_catalogue: bool = False) -> FilterSpec:
+def register_filter(name: str, builder: Callable[[DataFrame], Column], topic: str | None = None) -> FilterSpec:
     """Add (or replace) a filter.  ``builder`` maps the alert DataFrame to a
     boolean Column; a vectorised pandas UDF applied to resolved columns is the
-    escape hatch for logic that has no column expression."""
-    spec = FilterSpec(name, builder, topic if topic is not None else name, list(columns or []),
-                      uses_catalogue)
+    escape hatch for logic that has no column expression.  Its topic (the name,
+    if not given) is routed from then on."""
+    spec = FilterSpec(name, builder, topic if topic is not None else name)
     REGISTRY[name] = spec
     return spec
 
 
-for _name, _fn, _cols in [
-    ("rrlyr", rrlyr, ["cdsxmatch"]),
-    ("yso_candidates", yso_candidates, ["cdsxmatch"]),
-    ("simbad_candidates", simbad_candidates, ["cdsxmatch"]),
-    ("sso_ztf_candidates", sso_ztf_candidates, ["roid"]),
-    ("sso_candidates", sso_candidates, ["roid"]),
-    ("tracklet_candidates", tracklet_candidates, ["tracklet"]),
-    ("microlensing_candidates", microlensing_candidates, ["mulens"]),
-    ("snialike", snialike, ["rfscore", "cdsxmatch", "neargaia", "distpsnr1"]),
-    ("sn_candidates", sn_candidates, ["cdsxmatch", "snn_snia_vs_nonia", "snn_sn_vs_all", "drb",
-                                      "classtar", "jd", "jdstarthist", "roid", "ndethist"]),
-    ("early_sn_candidates", early_sn_candidates, ["cdsxmatch", "snn_snia_vs_nonia", "snn_sn_vs_all",
-                                                  "rf_snia_vs_nonia", "ndethist", "drb", "classtar"]),
-    ("kn_candidates", kn_candidates, ["rf_kn_vs_nonkn", "drb", "classtar", "jd", "jdstarthist",
-                                      "ndethist", "cdsxmatch"]),
-    ("orphan_grb", orphan_grb, ["jd", "jdstarthist", "prv_candidates"]),
-]:
-    register_filter(_name, _fn, columns=_cols)
+def unregister_filter(name: str) -> None:
+    """Take a user filter out of the registry; built-in ones stay."""
+    if name in ROW_FILTERS:
+        raise ValueError(f"{name} is a built-in filter")
+    REGISTRY.pop(name, None)
+
+
+for _fn in (rrlyr, yso_candidates, simbad_candidates, sso_ztf_candidates, sso_candidates, tracklet_candidates,
+            microlensing_candidates, snialike, sn_candidates, early_sn_candidates, kn_candidates, orphan_grb):
+    register_filter(_fn.__name__, _fn)
 
 # snialike is not a distributed topic
 REGISTRY["snialike"].topic = None
 
-ROW_FILTERS = [n for n in REGISTRY]           # per-row filters (no catalogue)
+ROW_FILTERS = [n for n in REGISTRY]           # the built-in per-row filters (no catalogue)
+
+
+def row_filters() -> list[str]:
+    """All per-row filters registered now: the built-in ones and the users'."""
+    return list(REGISTRY)
+
+
+def row_topics() -> list[str]:
+    """The per-row filters registered now whose topic is distributed."""
+    return [n for n in REGISTRY if REGISTRY[n].topic]
+
+
 CATALOGUE_FILTERS = ["early_kn_candidates", "rate_based_kn_candidates"]
 
 
@@ -285,11 +301,39 @@ def filter_sql(name: str, df: DataFrame) -> str | None:
 
 
 def get_filter(name: str) -> FilterSpec:
-    """Look a filter up by name or dotted path (last component)."""
-    key = name.rsplit(".", 1)[-1]
-    if key not in REGISTRY:
-        raise KeyError(f"unknown filter {name!r}; known: {sorted(REGISTRY)}")
-    return REGISTRY[key]
+    """The filter of a name, or of the dotted path of a function in any importable module.
+
+    A path is imported as it stands; one that doesn't lead to a function is an error.  The
+    function either takes the alerts (one parameter) and returns a boolean Column, or takes
+    columns by their names and returns a boolean ``pd.Series``; then it runs as a vectorised
+    pandas UDF over those columns."""
+    if "." not in name:
+        if name not in REGISTRY:
+            raise KeyError(f"unknown filter {name!r}; known: {sorted(REGISTRY)}")
+        return REGISTRY[name]
+    module, _, attr = name.rpartition(".")
+    try:
+        fn = getattr(importlib.import_module(module), attr)
+    except (ImportError, AttributeError) as e:
+        raise KeyError(f"no filter at {name!r}: {e}") from e
+    for spec in REGISTRY.values():
+        if spec.builder is fn:
+            return spec
+    if not callable(fn):
+        raise KeyError(f"{name!r} is not a function")
+    params = list(inspect.signature(fn).parameters)
+    if len(params) == 1 and params[0] in ("df", "alerts"):
+        return FilterSpec(attr, fn, attr)
+    from .user_filters import pandas_builder
+    return FilterSpec(attr, pandas_builder(fn, params), attr)
+
+
+def _catalogue_filter(name: str) -> str | None:
+    """The catalogue filter that a name or path means."""
+    if name in CATALOGUE_FILTERS:
+        return name
+    module, _, attr = name.rpartition(".")
+    return attr if attr in CATALOGUE_FILTERS and module == f"{__package__}.kilonova" else None
 
 
 def apply_filter(df: DataFrame, name: str, galaxies: DataFrame | None = None,
@@ -298,20 +342,21 @@ def apply_filter(df: DataFrame, name: str, galaxies: DataFrame | None = None,
 
     The two catalogue filters need their catalogues: ``galaxies`` (prepared
     galaxy catalogue) for ``early_kn_candidates`` and ``sky_objects`` (nearby
-    objects with a type) for both.  They return the alert rows unchanged
-    (computed as existence-join flags on the alert rows themselves)."""
-    key = name.rsplit(".", 1)[-1]
-    if key in CATALOGUE_FILTERS:
-        from . import kilonova as KN
-        if sky_objects is None or (key == "early_kn_candidates" and galaxies is None):
-            raise ValueError(f"{key} needs the catalogues: galaxies=..., sky_objects=...")
-        # one pass over the full alert rows: broadcast existence joins, no join back
-        flagged = KN.catalogue_flags(df, galaxies, sky_objects, keep=list(df.columns))
-        return flagged.filter(F.col("f_" + key)).select(*df.columns)
-    return df.filter(get_filter(name).builder(df))
+    objects with a type) for both.  They return the alert rows unchanged; their
+    cheap cuts come first and reach the scan, and only rows that pass them
+    meet a catalogue, each once."""
+    key = _catalogue_filter(name)
+    if key is None:
+        return df.filter(get_filter(name).builder(df))
+    from . import kilonova as KN
+    if sky_objects is None or (key == "early_kn_candidates" and galaxies is None):
+        raise ValueError(f"{key} needs the catalogues: galaxies=..., sky_objects=...")
+    if key == "early_kn_candidates":
+        return KN.early_kn_rows(df, galaxies, sky_objects)
+    return KN.rate_kn_rows(df, sky_objects)
 
 
 def with_flags(df: DataFrame, names: list[str] | None = None, prefix: str = "f_") -> DataFrame:
     """Add one non-null boolean column per filter in a single projection."""
-    names = names or ROW_FILTERS
+    names = names or row_filters()
     return df.select("*", *[flag(get_filter(n).builder(df)).alias(prefix + n) for n in names])

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import lightcurve as L
 from ..functions.columns import d
-from ..functions.photometry import abs_mag, dc_mag_sql
-from ..functions.sky import ang_sep_sql, galactic_lat
+from ..functions.photometry import dc_mag_sql
+from ..functions.sky import ang_sep_sql
 from . import filters as FL
 from .skyjoin import DEFAULT_CELL_DEG, checked_broadcast, cone_join, explode_catalogue
 
@@ -73,13 +73,6 @@ def star_veto(alerts: DataFrame, sky_objects: DataFrame, ra: str = "ra", dec: st
                      how="left_anti", radius_name="s_radius", cell_deg=cell_deg)
 
 
-def star_neighbours(alerts: DataFrame, sky_objects: DataFrame, ra: str = "ra", dec: str = "dec",
-                    cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
-    """Alerts with at least one vetoing object within 5 arcsec (left semi)."""
-    return cone_join(alerts, star_cells(sky_objects, cell_deg), ra, dec, "s_ra", "s_dec",
-                     how="left_semi", radius_name="s_radius", cell_deg=cell_deg)
-
-
 # ---------------------------------------------------------------------------
 # early kilonova: host galaxy match (J1, J2, J2s) + veto
 # ---------------------------------------------------------------------------
@@ -87,8 +80,8 @@ def star_neighbours(alerts: DataFrame, sky_objects: DataFrame, ra: str = "ra", d
 def early_kn_cut_alerts(alerts: DataFrame) -> DataFrame:
     """F12 cuts, then the DC magnitude of the survivors."""
     cut = alerts.filter(FL.early_kn_cuts(alerts))
-    staged = cut.select(*_alert_core(cut), F.col("candidate.field").cast("long").alias("field"),
-                        F.expr(dc_mag_sql("candidate.")).alias("_dc"))
+    staged = cut.select(*_alert_core(cut), F.expr(f"CAST({FL.name_sql(cut, 'field')} AS BIGINT) AS field"),
+                        F.expr(dc_mag_sql(FL.measure_prefix(cut))).alias("_dc"))
     return (staged.selectExpr(*[x for x in staged.columns if x != "_dc"], "_dc.mag AS mag",
                               "_dc.err AS err_mag")
             .filter(F.col("mag").isNotNull()))
@@ -100,44 +93,49 @@ def galaxy_cells(galaxies: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> Dat
 
 
 def _galaxy_cells(galaxies: DataFrame, cell_deg: float) -> DataFrame:
+    index = F.col("galaxy_idx") if "galaxy_idx" in galaxies.columns else F.lit(None).cast("long")
     g = galaxies.select(
-        F.col("galaxy_idx").alias("g_idx"), F.col("HyperLEDA_name").alias("g_hyperleda"),
+        index.alias("g_idx"), F.col("HyperLEDA_name").alias("g_hyperleda"),
         F.col("`2MASS_name`").alias("g_2mass"), F.col("ra").alias("g_ra"),
         F.col("dec").alias("g_dec"), F.col("lum_dist").alias("g_lum_dist"),
         F.col("dist_err").alias("g_dist_err"), F.col("stellarmass").alias("g_stellarmass"),
-        F.col("ang_dist").alias("g_ang_dist"))
+        # a galaxy without a usable distance has no host radius: it can't match
+        F.expr("CASE WHEN ang_dist > 0 AND NOT isnan(ang_dist) THEN CAST(ang_dist AS DOUBLE) END")
+        .alias("g_ang_dist")).filter("g_ang_dist IS NOT NULL")
     radius = f"least({math.radians(HOST_MAX_SEP_DEG)!r}D, {HOST_MAX_SEP_RAD_MPC!r}D / g_ang_dist)"
     return explode_catalogue(g, "g_ra", "g_dec", radius, cell_deg, radius_name="g_radius")
 
 
-def _host_residual() -> str:
+def _host_residual(ra: str = "ra", dec: str = "dec", mag: str = "mag") -> str:
     """J1 residual: 10 kpc projected and -17 < M < -15 (SQL text)."""
-    sep = ang_sep_sql("ra", "dec", "g_ra", "g_dec")
-    m_abs = "(mag - 25.0D - 5.0D * LOG10(g_lum_dist))"
+    sep = ang_sep_sql(ra, dec, "g_ra", "g_dec")
+    m_abs = f"({mag} - 25.0D - 5.0D * LOG10(g_lum_dist))"
     lo, hi = HOST_ABS_MAG_RANGE
     return (f"{sep} < {HOST_MAX_SEP_RAD_MPC!r}D / g_ang_dist AND {m_abs} > {lo!r}D AND {m_abs} < {hi!r}D")
 
 
 def host_match(cut: DataFrame, galaxies: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
-    """(alert, galaxy) pairs within 2 deg and 10 kpc with -17 < M < -15."""
+    """(alert, galaxy) pairs within 2 deg and 10 kpc with -17 < M < -15.  Rows of ``cut``
+    are numbered (``_alert``), so alerts that repeat an id stay apart."""
     cells = galaxy_cells(galaxies, cell_deg)
+    cut = cut.withColumn("_alert", F.monotonically_increasing_id())
     pairs = cone_join(cut, cells, "ra", "dec", "g_ra", "g_dec", how="inner",
                       radius_name="g_radius", cell_deg=cell_deg, extra=_host_residual())
     return pairs.withColumn("abs_mag", F.expr("mag - 25.0D - 5.0D * LOG10(g_lum_dist)"))
 
 
 def host_first(pairs: DataFrame) -> DataFrame:
-    """One host per alert, the nearest to Earth (smallest lum_dist, then
-    smallest galaxy index).  Partial aggregation runs before the shuffle."""
-    alert_cols = [c for c in pairs.columns if not c.startswith("g_") and c not in ("sep_rad", "abs_mag")]
+    """One host per alert row of ``host_match``, the nearest to Earth: smallest lum_dist,
+    then galaxy index, names and position (a missing value comes first).  Partial aggregation
+    runs before the shuffle."""
+    alert_cols = [c for c in pairs.columns if not c.startswith("g_") and c not in ("sep_rad", "abs_mag", "_alert")]
     host_cols = ["g_lum_dist", "g_idx"] + [c for c in pairs.columns
                                            if c.startswith("g_") and c not in ("g_lum_dist", "g_idx")]
-    # group on the alert key only; the alert's other columns ride in the struct
-    fields = host_cols + ["sep_rad", "abs_mag"] + [x for x in alert_cols if x != "candid"]
+    # group on the alert row only; its columns ride in the struct
+    fields = host_cols + ["sep_rad", "abs_mag"] + alert_cols
     best = F.expr("min(struct(" + ", ".join(f"`{c}`" for c in fields) + ")) AS h")
-    return pairs.groupBy("candid").agg(best).selectExpr(
-        "candid", *[f"h.`{x}` AS `{x}`" for x in alert_cols if x != "candid"],
-        *[f"h.`{x}` AS `{x}`" for x in host_cols + ["sep_rad", "abs_mag"]])
+    return pairs.groupBy("_alert").agg(best).selectExpr(
+        *[f"h.`{x}` AS `{x}`" for x in alert_cols], *[f"h.`{x}` AS `{x}`" for x in host_cols + ["sep_rad", "abs_mag"]])
 
 
 def host_exists(cut: DataFrame, galaxies: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
@@ -159,10 +157,42 @@ def early_kn_candidates(alerts: DataFrame, galaxies: DataFrame, sky_objects: Dat
     return star_veto(hosted, sky_objects, cell_deg=cell_deg)
 
 
+def early_kn_rows(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFrame,
+                  cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """F12 as a filter: the alert rows, unchanged.  Cuts first, then a semi join with the host
+    galaxies and an anti join with the stars, each on the rows that are left."""
+    n = lambda x: f"CAST({FL.name_sql(alerts, x)} AS DOUBLE)"
+    cut = alerts.filter(FL.early_kn_cuts(alerts)).selectExpr(
+        "*", f"{n('ra')} AS _f_ra", f"{n('dec')} AS _f_dec",
+        f"({dc_mag_sql(FL.measure_prefix(alerts))}).mag AS _f_mag").filter("_f_mag IS NOT NULL")
+    hosted = cone_join(cut, galaxy_cells(galaxies, cell_deg), "_f_ra", "_f_dec", "g_ra", "g_dec", how="left_semi",
+                       radius_name="g_radius", cell_deg=cell_deg, extra=_host_residual("_f_ra", "_f_dec", "_f_mag"))
+    return star_veto(hosted, sky_objects, "_f_ra", "_f_dec", cell_deg).drop("_f_ra", "_f_dec", "_f_mag")
+
+
+def rate_kn_rows(alerts: DataFrame, sky_objects: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """F13 as a filter: the alert rows, unchanged.  Cuts, then the fit, then the star veto."""
+    n = lambda x: f"CAST({FL.name_sql(alerts, x)} AS DOUBLE)"
+    cut = alerts.filter(FL.rate_kn_cuts(alerts)).selectExpr(
+        "*", f"{n('ra')} AS _f_ra", f"{n('dec')} AS _f_dec", f"({_fit_sql(alerts)}).slope AS _f_rate")
+    fast = cut.filter(F.col("_f_rate") > d(RATE_MIN))
+    return star_veto(fast, sky_objects, "_f_ra", "_f_dec", cell_deg).drop("_f_ra", "_f_dec", "_f_rate")
+
+
 # ---------------------------------------------------------------------------
 # rate-based kilonova
 # ---------------------------------------------------------------------------
 
+def _lc_sql(alerts: DataFrame) -> str:
+    return L.lc_concat_sql(FL.name_sql(alerts, "prv_candidates"), FL.current_sql(alerts))
+
+
+def _fit_sql(alerts: DataFrame) -> str:
+    """The fold of the same-band DC light curve (A4, A5)."""
+    fid = f"CAST({FL.name_sql(alerts, 'fid')} AS BIGINT)"
+    return L.fold_rate_sql(L.with_dc_sql(L.same_band_sql(_lc_sql(alerts), fid)), RATE_MAX_MAG, RATE_MIN_SPAN_DAYS)
+
+
 def rate_kn_fit(alerts: DataFrame) -> DataFrame:
     """F13 cuts, then the same-band DC light curve and its weighted slope (A4).
 
@@ -171,12 +201,9 @@ def rate_kn_fit(alerts: DataFrame) -> DataFrame:
     filter on ``rate`` pushed below this projection stays linear in size.
     """
     cut = alerts.filter(FL.rate_kn_cuts(alerts))
-    lc = L.lc_concat_sql("prv_candidates", "candidate")
-    fit = L.fold_rate_sql(L.with_dc_sql(L.same_band_sql(lc, "CAST(candidate.fid AS BIGINT)")),
-                          RATE_MAX_MAG, RATE_MIN_SPAN_DAYS)
     staged = cut.select(
         *_alert_core(cut), "rf_snia_vs_nonia", "snn_snia_vs_nonia", "snn_sn_vs_all",
-        F.expr(L.days_since_last_sql(lc)).alias("days_since_last"), F.expr(fit).alias("_fit"))
+        F.expr(L.days_since_last_sql(_lc_sql(cut))).alias("days_since_last"), F.expr(_fit_sql(cut)).alias("_fit"))
     return staged.selectExpr(
         *[x for x in staged.columns if not x.startswith("_")],
         "_fit.slope AS rate", "_fit.slope_var AS sigma_rate", "_fit.n_fit AS n_fit",
@@ -200,8 +227,8 @@ def kn_message_rows(alerts: DataFrame) -> DataFrame:
     """Alerts passing F11 with at least two same-band detections: last DC
     magnitude and the two-point rate (A5)."""
     kn = alerts.filter(FL.kn_candidates(alerts))
-    lc = L.lc_concat_sql("prv_candidates", "candidate")
-    sb = L.same_band_sql(lc, "CAST(candidate.fid AS BIGINT)")
+    lc = _lc_sql(kn)
+    sb = L.same_band_sql(lc, f"CAST({FL.name_sql(kn, 'fid')} AS BIGINT)")
     tail = L.with_dc_sql(f"slice({sb}, -2, 2)")
     staged = kn.select(
         *_alert_core(kn), "rf_kn_vs_nonkn", "rf_snia_vs_nonia", "snn_snia_vs_nonia", "snn_sn_vs_all",
@@ -214,10 +241,6 @@ def kn_message_rows(alerts: DataFrame) -> DataFrame:
                         " AS rate_err"))
 
 
-def gal_lat_col() -> F.Column:
-    return galactic_lat(F.col("ra"), F.col("dec"))
-
-
 # ---------------------------------------------------------------------------
 # one-pass flags: both catalogue filters as boolean columns (EXISTS subqueries
 # planned as broadcast existence joins -- one output row per alert, no
@@ -230,8 +253,7 @@ EXISTS_SALT_BUCKETS = 16
 
 
 def _exists_within(cells: DataFrame, cat_ra: str, cat_dec: str, radius: str,
-                   extra: Column | None = None, need: str | None = None,
-                   salt_buckets: int = EXISTS_SALT_BUCKETS) -> Column:
+                   extra: Column | None = None, need: str | None = None) -> Column:
     """EXISTS (catalogue row in the alert's cell within its radius [AND extra]).
 
     Outer references use names that exist nowhere in the catalogue lineage
@@ -246,11 +268,11 @@ def _exists_within(cells: DataFrame, cat_ra: str, cat_dec: str, radius: str,
         cond = cond & extra
     cond = cond & (ang_sep(ra_o, dec_o, F.col(cat_ra), F.col(cat_dec)) <= F.col(radius))
     side = checked_broadcast(cells)
-    if side is cells and salt_buckets > 1:
-        # too large to broadcast: spread each cell over `salt_buckets` join keys;
-        # every catalogue row is replicated once per salt, so any salt finds it
+    if side is cells:
+        # too large to broadcast: spread each cell over as many join keys as ``_a_salt`` has
+        # values; every catalogue row is replicated once per salt, so any salt finds it
         side = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                              F.lit(salt_buckets - 1).cast("long"))))
+                                                              F.lit(EXISTS_SALT_BUCKETS - 1).cast("long"))))
         cond = cond & (F.col("_salt") == F.col("_a_salt").outer())
     return side.where(cond).exists()
 
@@ -263,20 +285,19 @@ def _probe_catalogues(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataF
     ``_a_fold`` (shared by the kn and rate-kn magnitudes), ``_a_mag`` (DC
     magnitude of the newest point, for rows passing the early-kn cuts)."""
     from ..functions.sky import ang_sep, point_cell_sql
-    lc = L.lc_concat_sql("prv_candidates", "candidate")
+    n = lambda x: FL.name_sql(alerts, x)
+    ra_sql, dec_sql = f"CAST({n('ra')} AS DOUBLE)", f"CAST({n('dec')} AS DOUBLE)"
     rkn_cut = f"coalesce({FL.rate_kn_cuts_sql(alerts)}, false)"
     kn = f"coalesce({FL.kn_candidates_sql(alerts)}, false)"
-    fold = L.fold_rate_sql(L.with_dc_sql(L.same_band_sql(lc, "CAST(candidate.fid AS BIGINT)")),
-                           RATE_MAX_MAG, RATE_MIN_SPAN_DAYS)
+    fold = _fit_sql(alerts)
     staged = alerts.select(
         *keep, *extra,
-        F.col("candidate.ra").cast("double").alias("_a_ra"), F.col("candidate.dec").cast("double").alias("_a_dec"),
-        F.expr(point_cell_sql("CAST(candidate.ra AS DOUBLE)", "CAST(candidate.dec AS DOUBLE)", cell_deg))
-        .alias("_a_cell"),
-        F.expr(f"pmod(xxhash64(candid), {EXISTS_SALT_BUCKETS})").alias("_a_salt"),
+        F.expr(f"{ra_sql} AS _a_ra"), F.expr(f"{dec_sql} AS _a_dec"),
+        F.expr(point_cell_sql(ra_sql, dec_sql, cell_deg)).alias("_a_cell"),
+        F.expr(f"pmod(xxhash64({n('candid')}), {EXISTS_SALT_BUCKETS})").alias("_a_salt"),
         F.expr(f"coalesce({FL.early_kn_cuts_sql(alerts)}, false)").alias("_a_ekn_cut"),
         F.expr(f"CASE WHEN coalesce({FL.early_kn_cuts_sql(alerts)}, false) THEN "
-               f"({dc_mag_sql('candidate.')}).mag END").alias("_a_mag"),
+               f"({dc_mag_sql(FL.measure_prefix(alerts))}).mag END").alias("_a_mag"),
         F.expr(rkn_cut).alias("_a_rkn_cut"), F.expr(kn).alias("_a_kn"),
         F.expr(f"CASE WHEN {rkn_cut} OR {kn} THEN {fold} END").alias("_a_fold"))
     fast = staged.select("*", F.expr(f"_a_rkn_cut AND coalesce(_a_fold.slope > {RATE_MIN!r}D, false)")
@@ -318,7 +339,12 @@ def kilonova_topic_rows(alerts: DataFrame, galaxies: DataFrame, sky_objects: Dat
     notification -- kn (with at least two same-band detections), early kn and
     rate kn -- from ONE scan; ``mag`` is the magnitude each message quotes."""
     keep = ["candid", "objectId"]
-    extra = [F.col("candidate.jd").cast("double").alias("jd"), F.col("candidate.field").cast("long").alias("field")]
+    # only rows that can pass one of the three filters meet the catalogues
+    may = " OR ".join(f"coalesce({sql(alerts)}, false)" for sql in (
+        FL.kn_candidates_sql, FL.early_kn_cuts_sql, FL.rate_kn_cuts_sql))
+    alerts = alerts.filter(may)
+    extra = [F.expr(f"CAST({FL.name_sql(alerts, 'jd')} AS DOUBLE) AS jd"),
+             F.expr(f"CAST({FL.name_sql(alerts, 'field')} AS BIGINT) AS field")]
     p = _probe_catalogues(alerts, galaxies, sky_objects, cell_deg, keep, extra)
     last = "CASE WHEN _a_fold.n_points >= 2 THEN _a_fold.last_mag END"
     rows = (f"filter(array("

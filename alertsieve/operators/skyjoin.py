@@ -13,8 +13,8 @@ the zones idea, the sky is cut into cells of ``cell_deg``:
   join.  Every (alert, source) pair meets at most once because the alert sits
   in one cell.
 
-Planning: the catalogue side is broadcast only after its exploded row count
-has been measured below ``broadcast_max_rows``; otherwise both sides are
+Planning: the catalogue side is broadcast only after its exploded size
+has been measured below ``broadcast_max_bytes``; otherwise both sides are
 shuffled on the cell id and AQE's skew-join handling splits hot cells (many
 alerts of one object share a cell); ``salt_buckets`` adds explicit salting.
 For flags as columns (no row multiplication) see ``kilonova.catalogue_flags``,
@@ -25,13 +25,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.sky import ang_sep_sql, disc_cells_sql, point_cell_sql
 
 CELL = "_cell"
 DEFAULT_CELL_DEG = 0.5
-# ~64 bytes per slim catalogue row: 2M rows stay well below 200 MB per executor
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+#: Most bytes of a broadcast catalogue side.
+DEFAULT_BROADCAST_MAX_BYTES = 128 << 20
 
 
 def explode_catalogue(cat: DataFrame, ra: str, dec: str, radius_rad: Column | str,
@@ -46,25 +47,33 @@ def explode_catalogue(cat: DataFrame, ra: str, dec: str, radius_rad: Column | st
 _CHECKED: dict = {}
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    # returns a new (hinted) DataFrame when broadcasting, ``df`` itself otherwise
-    """``broadcast(df)`` when its measured row count is at most ``max_rows``;
-    otherwise ``df`` unchanged (shuffle join on the cell id; AQE splits skewed
-    cells).  The count is one small job over the catalogue side, remembered
-    per session and plan (``semanticHash``) so repeated queries do not pay it."""
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of ``df`` in memory: eight per fixed-width value plus the text, and a row header."""
+    wide = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    text = F.sum(sum(wide, F.lit(0)).cast("long"))
+    rows, chars = df.agg(F.count(F.lit(1)), F.coalesce(text, F.lit(0))).first()
+    return rows * (16 + 8 * len(df.columns)) + chars
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its measured size is at most ``max_bytes`` (or the session's
+    ``alertsieve.broadcast.maxBytes``); otherwise ``df`` itself (shuffle join on the cell id;
+    AQE splits skewed cells).  The size is one small job, remembered for the plan and the files
+    it reads, so a catalogue that has grown is measured again."""
     spark = df.sparkSession
-    max_rows = int(spark.conf.get("alertsieve.broadcast.maxRows", str(max_rows)))
-    key = (spark.sparkContext.applicationId, df.semanticHash(), max_rows)
+    max_bytes = int(spark.conf.get("alertsieve.broadcast.maxBytes", str(max_bytes)))
+    key = (spark.sparkContext.applicationId, df.semanticHash(), frozenset(df.inputFiles()))
     if key not in _CHECKED:
-        _CHECKED[key] = df.count() <= max_rows
-    return F.broadcast(df) if _CHECKED[key] else df
+        _CHECKED[key] = measured_bytes(df)
+    return F.broadcast(df) if _CHECKED[key] <= max_bytes else df
 
 
 def cone_join(left: DataFrame, cat_cells: DataFrame, left_ra: str, left_dec: str,
               cat_ra: str, cat_dec: str, how: str = "inner",
               radius_name: str = "_radius", cell_deg: float = DEFAULT_CELL_DEG,
               extra: Column | str | None = None, sep_name: str | None = "sep_rad",
-              broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+              broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
               salt_buckets: int = 1) -> DataFrame:
     """Join ``left`` rows to catalogue rows within the catalogue row's radius.
 
@@ -82,8 +91,8 @@ def cone_join(left: DataFrame, cat_cells: DataFrame, left_ra: str, left_dec: str
     lc = left.withColumn(CELL + "_l", F.expr(point_cell_sql(f"`{left_ra}`", f"`{left_dec}`", cell_deg)))
     right = cat_cells
     broadcast = False
-    if broadcast_max_rows is not None:
-        right = checked_broadcast(cat_cells, broadcast_max_rows)
+    if broadcast_max_bytes is not None:
+        right = checked_broadcast(cat_cells, broadcast_max_bytes)
         broadcast = right is not cat_cells
     salted = salt_buckets > 1 and not broadcast
     if salted:

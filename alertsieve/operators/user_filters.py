@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,11 +20,16 @@ from ..functions.columns import resolve
 from .filters import FilterSpec, register_filter
 
 
-def register_pandas_filter(name: str, fn: Callable, columns: list[str],
-                           topic: str | None = None) -> FilterSpec:
-    udf = F.pandas_udf(fn, returnType=T.BooleanType())
+def pandas_builder(fn: Callable, columns: list[str]) -> Callable[[DataFrame], Column]:
+    """Filter builder of a vectorised pandas function over the named columns."""
+    def call(*series: pd.Series) -> pd.Series:
+        return fn(*series)
+
+    def builder(df: DataFrame) -> Column:
+        return F.pandas_udf(call, returnType=T.BooleanType())(*[resolve(df, c) for c in columns])
+    return builder
 
-    def builder(df: DataFrame):
-        return udf(*[resolve(df, c) for c in columns])
 
-    return register_filter(name, builder, topic, columns)
+def register_pandas_filter(name: str, fn: Callable, columns: list[str],
+                           topic: str | None = None) -> FilterSpec:
+    return register_filter(name, pandas_builder(fn, columns), topic)

@@ -106,7 +106,7 @@ g AS (
     substring(HyperLEDA_name, 3, length(HyperLEDA_name) - 3) AS HyperLEDA_name,
     substring("2MASS_name", 3, length("2MASS_name") - 3) AS "2MASS_name",
     RA AS ra, dec, dist AS lum_dist, dist_err, stellarmass,
-    dist / pow(1.0::DOUBLE + z, 2) AS ang_dist
+    CASE WHEN dist > 0 AND NOT isnan(z) THEN dist / nullif(pow(1.0::DOUBLE + z, 2), 0) END AS ang_dist
   FROM graw WHERE dist < 230.0::DOUBLE
 )"""
 
@@ -143,7 +143,8 @@ def gal_lat_sql(ra: str, dec: str) -> str:
     dp = math.radians(GAL_POLE_DEC)
     s = (f"sin(radians({dec})) * {_f(math.sin(dp))} + cos(radians({dec})) * {_f(math.cos(dp))} "
          f"* cos(radians({ra}) - {_f(math.radians(GAL_POLE_RA))})")
-    return f"degrees(asin(least(greatest({s}, -1.0::DOUBLE), 1.0::DOUBLE)))"
+    known = " AND ".join(f"{x} IS NOT NULL AND NOT isnan({x})" for x in (ra, dec))
+    return f"(CASE WHEN {known} THEN degrees(asin(least(greatest({s}, -1.0::DOUBLE), 1.0::DOUBLE))) END)"
 
 
 def sep_sql(ra1: str, dec1: str, ra2: str, dec2: str) -> str:
@@ -226,7 +227,7 @@ pairs AS (
 ),
 hm AS (
   SELECT * FROM pairs
-  WHERE sep_rad <= least(radians(2.0::DOUBLE), 0.01::DOUBLE / ang_dist) AND sep_rad < 0.01::DOUBLE / ang_dist
+  WHERE ang_dist > 0 AND sep_rad <= least(radians(2.0::DOUBLE), 0.01::DOUBLE / ang_dist) AND sep_rad < 0.01::DOUBLE / ang_dist
     AND abs_mag > -17.0::DOUBLE AND abs_mag < -15.0::DOUBLE
 ),
 hf AS (
@@ -256,7 +257,7 @@ r1 AS (
   FROM rc
 ),
 r2 AS (
-  SELECT r1.*, list_filter(dcp, lambda q: q.mag < 21.0::DOUBLE) AS pts FROM r1
+  SELECT r1.*, list_filter(dcp, lambda q: q.mag < 21.0::DOUBLE AND q.err > 0 AND NOT isnan(q.err)) AS pts FROM r1
 ),
 r3 AS (
   SELECT r2.*,
@@ -341,24 +342,44 @@ def _common_notify(topic: str, days_first: str) -> str:
             f"{r6('dec')} AS dec, {ra_hms_sql('ra')} AS ra_hms, {dec_dms_sql('dec')} AS dec_dms, "
             f"{r6(gal_lat_sql('ra', 'dec'))} AS gal_lat, {BAND.format(f='fid')} AS band, "
             f"{r6('mag')} AS mag, {r6('err_mag')} AS err_mag, {r6(days_first)} AS days_since_first, "
-            f"{TNS.format(ra='ra', dec='dec')} AS tns_link")
+            f"{TNS.format(ra='ra', dec='dec')} AS tns_link, "
+            f"'https://alerts.example.org/' || objectId AS portal_link, "
+            f"printf('%.2f ± %.2f', mag, err_mag) AS mag_text, printf('%.7f %+.7f', ra, dec) AS coords_text, "
+            f"printf('%.7f', {gal_lat_sql('ra', 'dec')}) AS gal_lat_text")
+
+
+_SCORES = "printf('%.2f, %.2f, %.2f', rf_snia_vs_nonia, snn_snia_vs_nonia, snn_sn_vs_all)"
+_SINCE = ("printf('%.1f days', days_since_last) AS since_last_text, "
+          "printf('%.1f days', jd - jdstarthist) AS since_first_text")
 
 
 NOTIFY_KN = f"SELECT {_common_notify('kn_candidates', 'jd - jdstarthist')}, {r6('rf_kn_vs_nonkn')} AS rf_kn_vs_nonkn, " \
             f"{r6('rf_snia_vs_nonia')} AS rf_snia_vs_nonia, {r6('snn_snia_vs_nonia')} AS snn_snia_vs_nonia, " \
             f"{r6('snn_sn_vs_all')} AS snn_sn_vs_all, {r6('days_since_last')} AS days_since_last, " \
-            f"{r6('rate')} AS rate, {r6('rate_err')} AS rate_err FROM kmsg"
+            f"{r6('rate')} AS rate, {r6('rate_err')} AS rate_err, printf('%.2f', rf_kn_vs_nonkn) AS score_text, " \
+            f"{_SCORES} AS other_scores_text, {_SINCE}, " \
+            f"printf('(%.2f ± %.2f) mag/day', rate, rate_err) AS rate_text FROM kmsg"
 
 NOTIFY_EKN = f"SELECT {_common_notify('early_kn_candidates', '(jd - jdstarthist) * 24.0::DOUBLE')}, field, " \
              f"HyperLEDA_name AS host_hyperleda_name, \"2MASS_name\" AS host_2mass_name, " \
              f"{r6('lum_dist')} AS host_lum_dist, {r6('dist_err')} AS host_dist_err, {r6('g_ra')} AS host_ra, " \
              f"{r6('g_dec')} AS host_dec, {r6('stellarmass')} AS host_stellarmass, " \
-             f"{r6('sep_rad * ang_dist * 1000.0::DOUBLE')} AS proj_sep_kpc, {r6('abs_mag')} AS abs_mag FROM ekn"
+             f"{r6('sep_rad * ang_dist * 1000.0::DOUBLE')} AS proj_sep_kpc, {r6('abs_mag')} AS abs_mag, " \
+             f"printf('%.1f hours', (jd - jdstarthist) * 24.0::DOUBLE) AS since_first_text, " \
+             f"HyperLEDA_name || ' / ' || \"2MASS_name\" AS host_text, " \
+             f"printf('(%.2f ± %.2f) Mpc', lum_dist, dist_err) AS host_dist_text, " \
+             f"printf('%.7f %+.7f', g_ra, g_dec) AS host_coords_text, printf('%.2f', stellarmass) AS host_mass_text, " \
+             f"printf('%.2f kpc, M = %.2f', sep_rad * ang_dist * 1000.0::DOUBLE, abs_mag) AS match_text FROM ekn"
 
 NOTIFY_RKN = f"SELECT {_common_notify('rate_based_kn_candidates', 'jd - jdstarthist')}, " \
              f"{r6('rf_snia_vs_nonia')} AS rf_snia_vs_nonia, {r6('snn_snia_vs_nonia')} AS snn_snia_vs_nonia, " \
              f"{r6('snn_sn_vs_all')} AS snn_sn_vs_all, {r6('days_since_last')} AS days_since_last, " \
-             f"{r6('rate')} AS rate, {r6('sigma_rate')} AS sigma_rate FROM rkn"
+             f"{r6('rate')} AS rate, {r6('sigma_rate')} AS sigma_rate, {_SCORES} AS scores_text, {_SINCE}, " \
+             f"printf('(%.2f ± %.2f) mag/day', rate, sigma_rate) AS rate_text FROM rkn"
+
+
+_AMATEUR = {"kn_candidates": "amateur_kn", "early_kn_candidates": "amateur_early_kn",
+            "rate_based_kn_candidates": "amateur_rate_kn"}
 
 
 def _channels(src: str, topic: str, has_field: bool) -> str:
@@ -369,7 +390,7 @@ def _channels(src: str, topic: str, has_field: bool) -> str:
     survey = "field IN (1525, 530, 482, 1476, 388, 1433)" if has_field else "false"
     return (f"SELECT '{topic}' AS topic, candid, 'main' AS channel FROM {src} "
             f"UNION ALL SELECT '{topic}', candid, 'broker' FROM {src} "
-            f"UNION ALL SELECT '{topic}', candid, 'amateur' FROM {src} WHERE {amateur} "
+            f"UNION ALL SELECT '{topic}', candid, '{_AMATEUR[topic]}' FROM {src} WHERE {amateur} "
             f"UNION ALL SELECT '{topic}', candid, 'survey_field' FROM {src} WHERE coalesce({survey}, false)")
 
 
@@ -499,6 +520,11 @@ SELECT candid, galaxy_idx, round(sep_rad, 6) AS sep_rad, round(abs_mag, 6) AS ab
         " UNION ALL SELECT 'early_kn_candidates', candid, objectId FROM ekn" \
         " UNION ALL SELECT 'rate_based_kn_candidates', candid, objectId FROM rkn"
 
+    q["filter_by_user_path"] = A + """
+SELECT candid, objectId FROM a WHERE cdsxmatch IN ('SN', 'Candidate_SN*') AND jd - jdstarthist <= 30.0::DOUBLE"""
+    q["route_user_topic"] = A + f", av AS (SELECT a.*, {ORPHAN_V} AS v FROM a)\n" + topics + \
+        " UNION ALL SELECT 'user_bright', candid, objectId FROM av WHERE magpsf < 17.0::DOUBLE"
+
     q["notify_kn"] = _with(ALERTS_CTE, KN_MSG_CTE) + "\n" + NOTIFY_KN
     q["notify_early_kn"] = _with(ALERTS_CTE, GALAXY_CTE, SKY_CTE, EKN_CUT_CTE, HOST_PAIRS_CTE,
                                  EKN_FINAL_CTE) + "\n" + NOTIFY_EKN

@@ -31,10 +31,9 @@ def derived_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alert_table_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the written alert table (written on first use)."""
     def build():
-        import uuid
-        from ..session import ensure_checkpoint_dir
+        from ..session import run_folder
         from ..sources.alerts import write_alerts
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/alert-table-{uuid.uuid4().hex}"
+        path = run_folder(spark, "alert-table")
         write_alerts(derived_alerts(spark, sf_dir), path, mode="overwrite")
         return path
     return _memo("alert_path", spark, sf_dir, build)

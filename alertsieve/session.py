@@ -4,45 +4,82 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "alertsieve",
               shuffle_partitions: int | None = None) -> SparkSession:
-    """Local session for tests/bench; on a cluster the existing session is reused."""
-    master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-    parts = shuffle_partitions or int(os.environ.get("BENCH_CPUS", "8"))
-    builder = (
-        SparkSession.builder.master(master).appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    """The active session as it is, or a new local one for tests and bench.
+
+    An existing session belongs to its owner: none of its settings is changed."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        cpus = os.environ.get("BENCH_CPUS", "8")
+        spark = (
+            SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
+            .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
+            .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+            .config("spark.sql.session.timeZone", "UTC")
+            .config("spark.driver.memory", "16g")
+            .getOrCreate()
+        )
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """All tasks run inside this driver process (``local[...]``, not ``local-cluster``)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``, registered with Spark.
 
-    On a cluster this setting names a shared (HDFS/S3/...) folder and is left
-    alone.  Only when it is unset -- local tests -- a fresh scratch folder is
-    created and registered.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    Where the setting is missing, a local master gets a scratch folder; any other master
+    is an error, since executors would each write to a disk of their own."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not is_local(spark):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="alertsieve-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
+    return path.rstrip("/")
+
+
+#: Folders written by this process, by application.
+_FOLDERS: dict[str, list[str]] = {}
+
+
+def run_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name inside the shared folder, remembered for ``clear_run_folders``."""
+    path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whichever store the path names."""
+    target, fs = _hadoop_path(spark, path)
+    return bool(fs.exists(target))
+
+
+def clear_run_folders(spark: SparkSession) -> int:
+    """Delete the folders that ``run_folder`` named for this application, and only those.
+
+    For the end of a job: DataFrames and streams that read them can't be used afterwards."""
+    gone = 0
+    for path in _FOLDERS.pop(spark.sparkContext.applicationId, []):
+        target, fs = _hadoop_path(spark, path)
+        gone += bool(fs.delete(target, True))
+    return gone

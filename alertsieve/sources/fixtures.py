@@ -2,10 +2,9 @@
 
 The test data holds no alerts, so one ``events`` row becomes one alert (see
 FIXTURES.md for the rules).  Everything except the per-object history is a
-row-local projection.  ``jdstarthist`` and ``ndethist`` come from one window
-over the object's events when the largest object fits a task, and from a
-range-partitioned prefix scan otherwise (``running_counts_skew_safe``);
-``prv_candidates`` is a window per object, dropped by Catalyst when unread.
+row-local projection.  ``jdstarthist``, ``ndethist`` and ``prv_candidates``
+come from a range-partitioned prefix scan (``object_history``), the same for
+objects of any size.
 Only the slim columns (event id, object id, time and the history point)
 travel through the shuffle; the remaining ~25 alert columns are recomputed
 from the event id afterwards.  Predicates that only depend on the object id
@@ -25,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 
 def epoch_micros_sql(df: DataFrame, name: str) -> str:
     """Microseconds since the epoch, independent of the session time zone."""
@@ -55,14 +56,6 @@ def _history_fields_sql(e: str = "event_id") -> dict[str, str]:
     }
 
 
-_BY_OBJ = "PARTITION BY obj ORDER BY ts, event_id"
-
-
-# An object with more events than this is "hot": its running counts are then
-# computed by the range-partitioned prefix scan instead of one window task.
-HOT_OBJECT_ROWS = 2_000_000
-
-
 def _slim_events(events: DataFrame) -> DataFrame:
     us = epoch_micros_sql(events, "ts")
     return events.selectExpr(
@@ -77,73 +70,46 @@ def _history_point_sql() -> str:
     return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in h.items()) + ")"
 
 
-def max_events_per_object(events: DataFrame) -> int:
-    """Size of the largest object (one partial aggregation, no skew)."""
-    row = _slim_events(events).groupBy("obj").count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
-
-
-def running_counts_skew_safe(slim: DataFrame, n_parts: int) -> DataFrame:
-    """(event_id, obj, jd, ts, jdstarthist, ndethist) without any per-object task.
+def object_history(slim: DataFrame, n_parts: int) -> DataFrame:
+    """(event_id, obj, jd, jdstarthist, ndethist, prv_candidates), no task owning an object.
 
     Events are range-partitioned on (obj, ts, event_id): the sampler splits a
-    hot object's time range over many partitions, and partition i precedes
-    partition i+1 in that order.  Inside a partition ranks are local
-    (bounded groups); per (obj, partition) counts and first dates -- a table
-    of about #objects + #partitions rows -- are prefix-summed over partitions
-    and joined back as carry-in.  The partitioned slim events are checkpointed
-    (shared folder of ``spark.checkpoint.dir``) so both uses see the same
-    partition ids even if a stage is recomputed after an executor loss.
+    large object's time range over many partitions, and partition i precedes
+    partition i+1 in that order.  Inside a partition rank, first date and
+    history are local; what an object's earlier partitions hold -- count,
+    first date, points, one row per (object, partition) -- is carried in.  The
+    partitioned slim events are checkpointed (shared folder of
+    ``spark.checkpoint.dir``) so both uses see the same partition ids even if
+    a stage is recomputed after an executor loss.  Every alert carries all
+    earlier points of its object, so the history itself is quadratic in an
+    object's events by definition; Catalyst drops it when it is not read.
     """
-    from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(slim.sparkSession)
     r = (slim.repartitionByRange(n_parts, "obj", "ts", "event_id")
          .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    by = "PARTITION BY obj, _pid ORDER BY ts, event_id"
+    point = _history_point_sql()
     local = r.selectExpr(
-        "event_id", "obj", "jd", "ts", "_pid",
-        "row_number() OVER (PARTITION BY obj, _pid ORDER BY ts, event_id) AS _lrank",
-        "min(jd) OVER (PARTITION BY obj, _pid ORDER BY ts, event_id "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _lmin")
-    carry = (r.groupBy("obj", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("jd").alias("_m"))
-             .selectExpr("obj", "_pid",
-                         "coalesce(sum(_n) OVER (PARTITION BY obj ORDER BY _pid "
-                         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _off",
-                         "min(_m) OVER (PARTITION BY obj ORDER BY _pid "
-                         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _cmin"))
+        "event_id", "obj", "jd", "_pid", f"row_number() OVER ({by}) AS _rank",
+        f"min(jd) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _first",
+        f"collect_list({point}) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _points")
+    held = r.selectExpr("obj", "_pid", "jd", f"named_struct('ts', ts, 'e', event_id, 'p', {point}) AS q").groupBy(
+        "obj", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("jd").alias("_m"),
+                           F.array_sort(F.collect_list("q")).alias("_q"))
+    before = "OVER (PARTITION BY obj ORDER BY _pid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    carry = held.selectExpr("obj", "_pid", f"coalesce(sum(_n) {before}, 0) AS _count", f"min(_m) {before} AS _start",
+                            f"flatten(collect_list(transform(_q, x -> x.p)) {before}) AS _earlier")
     return local.join(carry, ["obj", "_pid"]).selectExpr(
-        "event_id", "obj", "jd", "ts",
-        "CASE WHEN _cmin IS NULL THEN _lmin ELSE least(_cmin, _lmin) END AS jdstarthist",
-        "CAST(_off + _lrank AS BIGINT) AS ndethist")
-
+        "event_id", "obj", "jd",
+        "CASE WHEN _start IS NULL THEN _first ELSE least(_start, _first) END AS jdstarthist",
+        "CAST(_count + _rank AS BIGINT) AS ndethist",
+        "concat(coalesce(_earlier, array()), coalesce(_points, array())) AS prv_candidates")
 
-def events_to_alerts(events: DataFrame, skew_safe: bool | None = None,
-                     hot_object_rows: int = HOT_OBJECT_ROWS, n_parts: int | None = None) -> DataFrame:
-    """events(event_id, ts, user_id, props, ...) -> alerts with schema ALERT.
 
-    ``skew_safe=None`` measures the largest object first and picks the plain
-    per-object window when it fits a task, the range-partitioned prefix scan
-    otherwise.  The packaged history (``prv_candidates``) is always a
-    per-object window -- an alert packet holds every earlier alert of its
-    object -- and Catalyst drops that window when a query does not read it.
-    """
-    slim = _slim_events(events)
-    if skew_safe is None:
-        skew_safe = max_events_per_object(events) > hot_object_rows
-    point = _history_point_sql()
-    prv = (f"collect_list({point}) OVER ({_BY_OBJ} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-           " AS prv_candidates")
-    if skew_safe:
-        n_parts = n_parts or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        hist = running_counts_skew_safe(slim, n_parts).selectExpr(
-            "event_id", "obj", "jd", "jdstarthist", "ndethist", prv)
-    else:
-        hist = slim.selectExpr(
-            "event_id", "obj", "jd",
-            f"min(jd) OVER ({_BY_OBJ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS jdstarthist",
-            f"CAST(row_number() OVER ({_BY_OBJ}) AS BIGINT) AS ndethist",
-            prv,
-        )
-    return _project_alert(hist)
+def events_to_alerts(events: DataFrame, n_parts: int | None = None) -> DataFrame:
+    """events(event_id, ts, user_id, props, ...) -> alerts with schema ALERT."""
+    n_parts = n_parts or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _project_alert(object_history(_slim_events(events), n_parts))
 
 
 # Catalogue label of an object by obj % 20 (FIXTURES.md).
@@ -192,8 +158,8 @@ def _project_alert(hist: DataFrame) -> DataFrame:
     )
 
 
-def load_alerts(spark, sf_dir: str, skew_safe: bool | None = None) -> DataFrame:
-    return events_to_alerts(spark.read.parquet(f"{sf_dir}/events.parquet"), skew_safe)
+def load_alerts(spark, sf_dir: str) -> DataFrame:
+    return events_to_alerts(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def customer_to_raw_galaxies(customer: DataFrame) -> DataFrame:

@@ -4,20 +4,19 @@ Every filter and the classifier are functions of one row, so the streaming
 plan is stateless: ``readStream -> flags -> class -> topics -> writeStream``
 in append mode, no watermark needed.  The catalogue filters join the stream
 to a static, cell-exploded catalogue (a stream-static join keeps no state).
-Notification rows are appended with ``foreachBatch`` keyed on
-(topic, candid, channel) so a replayed micro-batch does not duplicate them.
+Notification rows are appended with ``foreachBatch``, keyed on (topic, candid,
+channel) within an observation date, so a replayed micro-batch does not
+duplicate them.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import classify as K
 from ..operators import routing as R
-from ..session import ensure_checkpoint_dir
+from ..session import path_exists, run_folder
 
 
 def read_alert_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -41,15 +40,16 @@ def topic_stream(stream: DataFrame, galaxies: DataFrame | None = None,
     from ..operators import filters as FL
     from ..operators import kilonova as KN
     from ..functions.columns import flag
-    topics = [n for n in FL.ROW_FILTERS if FL.REGISTRY[n].topic]
+    topics = FL.row_topics()
     extra = []
     for n in topics:
         sql = FL.filter_sql(n, stream)
         extra.append((F.expr(f"coalesce({sql}, false)") if sql is not None
                       else flag(FL.get_filter(n).builder(stream))).alias("f_" + n))
-    topics += FL.CATALOGUE_FILTERS
+    label = {t: FL.REGISTRY[t].topic for t in topics} | {t: t for t in FL.CATALOGUE_FILTERS}
+    topics = topics + FL.CATALOGUE_FILTERS
     flags = KN.catalogue_flags(stream, galaxies, sky_objects, keep=["candid", "objectId"], extra=extra)
-    names = F.array(*[F.when(F.col("f_" + t), F.lit(t)) for t in topics])
+    names = F.array(*[F.when(F.col("f_" + t), F.lit(label[t])) for t in topics])
     return flags.select(F.explode(F.filter(names, lambda x: x.isNotNull())).alias("topic"), "candid", "objectId")
 
 
@@ -70,7 +70,7 @@ def run_classification_stream(spark: SparkSession, alerts: DataFrame | None = No
     and return the sink table.  The source is an alert folder (``source_path``,
     e.g. the night-partitioned alert table), or ``alerts`` written as the
     stream's input files."""
-    base = run_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = run_dir or run_folder(spark, "stream")
     if source_path is None:
         alerts.write.mode("overwrite").parquet(f"{base}/in")
         source_path, source_schema = f"{base}/in", alerts.schema
@@ -83,7 +83,7 @@ def run_classification_stream(spark: SparkSession, alerts: DataFrame | None = No
 def run_topic_stream(spark: SparkSession, alerts: DataFrame, run_dir: str | None = None,
                      galaxies: DataFrame | None = None, sky_objects: DataFrame | None = None) -> DataFrame:
     """Same, writing one folder per topic (``partitionBy('topic')``)."""
-    base = run_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/topics-{uuid.uuid4().hex}"
+    base = run_dir or run_folder(spark, "topics")
     alerts.write.mode("overwrite").parquet(f"{base}/in")
     stream = read_alert_stream(spark, f"{base}/in", alerts.schema, max_files_per_trigger=4)
     q = write_append(topic_stream(stream, galaxies, sky_objects), f"{base}/out", f"{base}/ckpt",
@@ -92,18 +92,26 @@ def run_topic_stream(spark: SparkSession, alerts: DataFrame, run_dir: str | None
     return spark.read.parquet(f"{base}/out")
 
 
+#: Key of a notification row; rows are stored by observation date.
+NOTE_KEY = ["topic", "candid", "channel"]
+OBS_DATE = "obs_date"
+
+
 def notification_sink(table_path: str):
-    """``foreachBatch`` function appending notification rows idempotently:
-    rows already written for (topic, candid, channel) are skipped."""
+    """``foreachBatch`` function appending notification rows once: rows of a batch that repeat
+    (topic, candid, channel) are written once, and rows already written are skipped.  The table
+    is partitioned by observation date, and only the dates of the batch are read again, so a
+    batch costs the same however long the history is."""
     def sink(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumn("epoch_id", F.lit(epoch_id))
-        try:
-            done = spark.read.parquet(table_path).select("topic", "candid", "channel")
-            rows = rows.join(done, ["topic", "candid", "channel"], "left_anti")
-        except Exception:  # first batch: table does not exist yet
-            pass
-        rows.write.mode("append").parquet(table_path)
+        rows = (batch.withColumn(OBS_DATE, F.coalesce(OBS_DATE, F.lit("unknown"))).dropDuplicates(NOTE_KEY)
+                .withColumn("epoch_id", F.lit(epoch_id)))
+        if path_exists(spark, table_path):
+            dates = [r[0] for r in rows.select(OBS_DATE).distinct().collect()]
+            done = (spark.read.schema(rows.schema).parquet(table_path)
+                    .filter(F.col(OBS_DATE).isin(dates)).select(*NOTE_KEY))
+            rows = rows.join(done, NOTE_KEY, "left_anti")
+        rows.write.mode("append").partitionBy(OBS_DATE).parquet(table_path)
     return sink
 
 
@@ -123,7 +131,7 @@ def kilonova_stream(stream: DataFrame, galaxies: DataFrame, sky_objects: DataFra
 
 def run_kilonova_stream(spark: SparkSession, alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFrame,
                         run_dir: str | None = None) -> DataFrame:
-    base = run_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/kilonova-{uuid.uuid4().hex}"
+    base = run_dir or run_folder(spark, "kilonova")
     alerts.write.mode("overwrite").parquet(f"{base}/in")
     stream = read_alert_stream(spark, f"{base}/in", alerts.schema, max_files_per_trigger=4)
     q = write_append(kilonova_stream(stream, galaxies, sky_objects), f"{base}/out", f"{base}/ckpt")
@@ -132,7 +140,7 @@ def run_kilonova_stream(spark: SparkSession, alerts: DataFrame, galaxies: DataFr
 
 
 def channel_rows(batch: DataFrame, galaxies: DataFrame, sky_objects: DataFrame) -> DataFrame:
-    """(topic, candid, channel) rows of one (micro-)batch of alerts: the three
+    """(topic, candid, obs_date, channel) rows of one (micro-)batch of alerts: the three
     kilonova notification tables and their channels.  Inside ``foreachBatch``
     the micro-batch is a static DataFrame, so the host choice (an aggregation
     over matched pairs) is allowed here."""
@@ -141,14 +149,15 @@ def channel_rows(batch: DataFrame, galaxies: DataFrame, sky_objects: DataFrame)
     kn = R.notify_kn(KN.kn_message_rows(batch))
     ekn = R.notify_early_kn(KN.early_kn_candidates(batch, galaxies, sky_objects))
     rkn = R.notify_rate_kn(KN.rate_based_kn_candidates(batch, sky_objects))
-    return reduce(lambda x, y: x.unionByName(y), [R.notify_channels(n) for n in (kn, ekn, rkn)])
+    dated = [n.withColumn(OBS_DATE, F.substring("obs_utc", 1, 10)) for n in (kn, ekn, rkn)]
+    return reduce(lambda x, y: x.unionByName(y), [R.notify_channels(n, keep=[OBS_DATE]) for n in dated])
 
 
 def run_notification_stream(spark: SparkSession, alerts: DataFrame, galaxies: DataFrame,
                             sky_objects: DataFrame, run_dir: str | None = None) -> tuple[str, object]:
     """Alerts stream -> channel rows appended idempotently by ``foreachBatch``.
     Returns (table path, sink function) so callers can replay a batch."""
-    base = run_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/notify-{uuid.uuid4().hex}"
+    base = run_dir or run_folder(spark, "notify")
     alerts.write.mode("overwrite").parquet(f"{base}/in")
     stream = read_alert_stream(spark, f"{base}/in", alerts.schema, max_files_per_trigger=4)
     table = f"{base}/channels"

@@ -75,9 +75,10 @@ def test_snialike(spark):
 
 
 def test_registry_paths_and_unknown(spark):
-    assert FL.get_filter("some.module.path.rrlyr").name == "rrlyr"
-    with pytest.raises(KeyError):
-        FL.get_filter("nope")
+    assert FL.get_filter("alertsieve.operators.filters.rrlyr").name == "rrlyr"
+    for unknown in ("nope", "some.module.path.rrlyr", "alertsieve.operators.filters.nope"):
+        with pytest.raises(KeyError):
+            FL.get_filter(unknown)
 
 
 def test_apply_filter_catalogue_filters(spark):
@@ -85,7 +86,7 @@ def test_apply_filter_catalogue_filters(spark):
     from conftest import SF001
     a, g, s = alerts(spark, SF001), galaxies(spark, SF001), sky_objects(spark, SF001)
     assert FL.apply_filter(a, "early_kn_candidates", galaxies=g, sky_objects=s).count() == 3
-    got = FL.apply_filter(a, "pkg.rate_based_kn_candidates", sky_objects=s)
+    got = FL.apply_filter(a, "alertsieve.operators.kilonova.rate_based_kn_candidates", sky_objects=s)
     assert got.count() == 2 and got.columns == a.columns
     with pytest.raises(ValueError):
         FL.apply_filter(a, "early_kn_candidates")

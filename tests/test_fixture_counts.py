@@ -2,6 +2,8 @@
 
 
 import __spark_entry__ as E
+from alertsieve.plans.oracle import oracle_sql
+from alertsieve.plans.queries import Q
 from conftest import SF001
 
 EXPECTED_SF001 = {"rrlyr": 45, "yso_candidates": 103, "simbad_candidates": 450, "sso_ztf_candidates": 40,
@@ -23,4 +25,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(Q) == set(oracle_sql())
+    assert set(Q) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())

@@ -5,7 +5,8 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from alertsieve.plans.oracle import oracle_sql
+from alertsieve.plans.queries import Q
 from conftest import SF001
 
 TABLES = ["customer", "part", "events"]
@@ -30,10 +31,10 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF001)
-    res = con.execute(E.oracle_sql()[name])
+    df = Q[name](spark, SF001)
+    res = con.execute(oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert canon(df.columns, df.collect()) == canon(dcols, res.fetchall())

@@ -1,4 +1,4 @@
-"""The range-partitioned prefix scan gives the same alerts as the per-object window."""
+"""The range-partitioned prefix scan gives the same alerts as a window per object."""
 
 
 from alertsieve.operators.classify import classify
@@ -6,21 +6,27 @@ from alertsieve.sources import fixtures as FX
 from conftest import SF01
 
 
-def test_skew_safe_counts_equal_window(spark):
-    ev = spark.read.parquet(f"{SF01}/events.parquet")
-    plain = FX.events_to_alerts(ev, skew_safe=False)
-    # 64 range partitions of ~160 events: most objects straddle partition borders
-    safe = FX.events_to_alerts(ev, skew_safe=True, n_parts=64)
-    cols = ["candid", "candidate.jdstarthist", "candidate.ndethist"]
-    assert sorted(map(tuple, plain.select(*cols).collect())) == sorted(map(tuple, safe.select(*cols).collect()))
-    got = sorted(map(tuple, safe.select("candid", classify(safe).alias("c")).collect()))
-    want = sorted(map(tuple, plain.select("candid", classify(plain).alias("c")).collect()))
-    assert got == want
+def _by_window(ev):
+    """The per-object window that the prefix scan must equal."""
+    slim = FX._slim_events(ev)
+    by = "PARTITION BY obj ORDER BY ts, event_id"
+    return FX._project_alert(slim.selectExpr(
+        "event_id", "obj", "jd", f"min(jd) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS jdstarthist",
+        f"CAST(row_number() OVER ({by}) AS BIGINT) AS ndethist",
+        f"collect_list({FX._history_point_sql()}) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        " AS prv_candidates"))
 
 
-def test_auto_choice_uses_window_for_small_objects(spark):
+def test_prefix_scan_equals_window(spark):
     ev = spark.read.parquet(f"{SF01}/events.parquet")
-    assert FX.max_events_per_object(ev) < FX.HOT_OBJECT_ROWS
+    plain = _by_window(ev)
+    # 64 range partitions of ~160 events: most objects straddle partition borders
+    safe = FX.events_to_alerts(ev, n_parts=64)
+    cols = ["candid", "candidate.jdstarthist", "candidate.ndethist", "CAST(prv_candidates AS STRING)"]
+    assert sorted(map(tuple, plain.selectExpr(*cols).collect())) == sorted(map(tuple, safe.selectExpr(*cols).collect()))
+    got = sorted(map(tuple, safe.select("candid", classify(safe).alias("c")).collect()), key=str)
+    want = sorted(map(tuple, plain.select("candid", classify(plain).alias("c")).collect()), key=str)
+    assert got == want
 
 
 def test_one_pass_flags_salted_path_equals_broadcast(spark):
@@ -30,14 +36,14 @@ def test_one_pass_flags_salted_path_equals_broadcast(spark):
     from alertsieve.plans.tables import alerts, galaxies, sky_objects
     a, g, s = alerts(spark, SF01), galaxies(spark, SF01), sky_objects(spark, SF01)
     want = sorted(map(tuple, KN.catalogue_flags(a, g, s).collect()))
-    spark.conf.set("alertsieve.broadcast.maxRows", "0")
+    spark.conf.set("alertsieve.broadcast.maxBytes", "-1")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         df = KN.catalogue_flags(a, g, s)
         got = sorted(map(tuple, df.collect()))
     finally:
-        spark.conf.unset("alertsieve.broadcast.maxRows")
+        spark.conf.unset("alertsieve.broadcast.maxBytes")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert got == want

@@ -51,7 +51,7 @@ def test_inner_semi_anti_equal_brute_force(spark):
 def test_shuffle_path_equals_broadcast_path(spark):
     left, cat, L, C = make(spark, seed=5)
     cells = explode_catalogue(C, "c_ra", "c_dec", F.col("c_r"), 0.5, radius_name="c_rad")
-    a = cone_join(L, cells, "ra", "dec", "c_ra", "c_dec", radius_name="c_rad", broadcast_max_rows=0)
+    a = cone_join(L, cells, "ra", "dec", "c_ra", "c_dec", radius_name="c_rad", broadcast_max_bytes=0)
     b = cone_join(L, cells, "ra", "dec", "c_ra", "c_dec", radius_name="c_rad")
     assert sorted(map(tuple, a.select("id", "cid").collect())) == sorted(map(tuple, b.select("id", "cid").collect()))
 
@@ -60,10 +60,10 @@ def test_salted_shuffle_path_equals_brute_force(spark):
     left, cat, L, C = make(spark, seed=11)
     truth = {(i, j) for i, ra, de in left for j, cra, cde, r in cat if sep(ra, de, cra, cde) <= r}
     cells = explode_catalogue(C, "c_ra", "c_dec", F.col("c_r"), 0.5, radius_name="c_rad")
-    pairs = cone_join(L, cells, "ra", "dec", "c_ra", "c_dec", radius_name="c_rad", broadcast_max_rows=0,
+    pairs = cone_join(L, cells, "ra", "dec", "c_ra", "c_dec", radius_name="c_rad", broadcast_max_bytes=0,
                       salt_buckets=4)
     assert {(r.id, r.cid) for r in pairs.select("id", "cid").collect()} == truth
     anti = cone_join(L, cells, "ra", "dec", "c_ra", "c_dec", how="left_anti", radius_name="c_rad",
-                     broadcast_max_rows=0, salt_buckets=4)
+                     broadcast_max_bytes=0, salt_buckets=4)
     assert {r.id for r in anti.collect()} == {i for i, _, _ in left} - {i for i, _ in truth}
     assert "_salt_l" not in anti.columns and "_salt" not in pairs.columns
