@@ -36,3 +36,25 @@ def test_pushdown_and_pruning(spark):
     # the classifier is one projection: no exchange, no Python
     p = plan(a.select("candid", classify(a).alias("class")))
     assert "Exchange" not in p and "Python" not in p and "ArrowEval" not in p
+
+
+def test_public_catalogue_filters_push_their_cuts(spark):
+    """The cuts reach the scan and each catalogue is joined once, broadcast or not."""
+    import contextlib
+    import io
+    from alertsieve.operators import filters as FL
+    from alertsieve.plans.tables import alerts, galaxies, sky_objects
+    a, g, s = alerts(spark, SF001), galaxies(spark, SF001), sky_objects(spark, SF001)
+    for limit in ("134217728", "-1"):
+        spark.conf.set("alertsieve.broadcast.maxBytes", limit)
+        try:
+            for name, joins in (("early_kn_candidates", 2), ("rate_based_kn_candidates", 1)):
+                df = FL.apply_filter(a, name, galaxies=g, sky_objects=s)
+                buf = io.StringIO()
+                with contextlib.redirect_stdout(buf):
+                    df.explain("formatted")
+                plan = buf.getvalue().split("== Initial Plan ==")[-1]
+                assert "PushedFilters: []" not in plan.split("alert-table")[1].split("ReadSchema")[0]
+                assert plan.count("Join type: Left") == joins or plan.count("LeftSemi") + plan.count("LeftAnti") >= joins
+        finally:
+            spark.conf.unset("alertsieve.broadcast.maxBytes")

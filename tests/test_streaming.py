@@ -59,3 +59,41 @@ def test_all_topics_stream_one_pass(spark):
     got = sorted((r.topic, r.candid) for r in out.select("topic", "candid").collect())
     want = sorted((r.topic, r.candid) for r in route_all(spark, sf).collect())
     assert got == want and len(got) == 10474
+
+
+def _notes(spark, rows):
+    return spark.createDataFrame(rows, "topic string, candid long, channel string, obs_date string")
+
+
+def test_sink_writes_repeats_once_and_reads_only_its_dates(spark):
+    from alertsieve.session import run_folder
+    from alertsieve.streaming.stream import notification_sink
+    table = run_folder(spark, "sink")
+    sink = notification_sink(table)
+    sink(_notes(spark, [("kn", 1, "main", "2024-01-01")] * 3 + [("kn", 2, "main", None)]), 0)
+    assert spark.read.parquet(table).count() == 2
+    sink(_notes(spark, [("kn", 1, "main", "2024-01-01"), ("kn", 1, "broker", "2024-01-01"), ("kn", 2, "main", None)]), 1)
+    assert spark.read.parquet(table).count() == 3
+
+
+def test_sink_reports_an_unreadable_table(spark):
+    import pytest
+    from alertsieve.session import run_folder
+    from alertsieve.streaming.stream import notification_sink
+    table = run_folder(spark, "sink")
+    spark.createDataFrame([("not a table",)], "x string").write.text(f"{table}/obs_date=2024-01-01")
+    with pytest.raises(Exception):
+        notification_sink(table)(_notes(spark, [("kn", 1, "main", "2024-01-01")]), 0)
+
+
+def test_catalogue_csv_by_header_without_index(spark):
+    from alertsieve.operators.catalogue import read_catalogue
+    from alertsieve.session import run_folder
+    path = run_folder(spark, "csv")
+    (spark.createDataFrame([("PGC1", "J1", 10.0, -30.0, 50.0, 2.0, 9.5, 48.0)],
+                           "HyperLEDA_name string, `2MASS_name` string, ra double, dec double, lum_dist double, "
+                           "dist_err double, stellarmass double, ang_dist double")
+     .write.option("header", True).csv(path))
+    row = read_catalogue(spark, path, "csv").first()
+    assert (row.ra, row.dec, row.lum_dist, row.dist_err, row.ang_dist) == (10.0, -30.0, 50.0, 2.0, 48.0)
+    assert "galaxy_idx" not in row.asDict()
