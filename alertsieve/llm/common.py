@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertsieve.session import ensure_checkpoint_dir
+from alertsieve.session import run_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +23,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back: the lineage ends
     there, and every later reader sees the same rows whichever executor is lost."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = run_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
