@@ -15,8 +15,9 @@ from .common import stored
 
 
 def _with_low(pairs: DataFrame) -> DataFrame:
-    """pairs (u, v) with m: the smallest of u and its neighbours."""
-    low = pairs.groupBy("u").agg(F.min("v").alias("m"))
+    """pairs (u, v) with m: the smallest of u and its neighbours.  The minimum is written first:
+    the join back is then two plain shuffles, which Spark splits where one node has many links."""
+    low = stored(pairs.groupBy("u").agg(F.min("v").alias("m")), "star")
     return pairs.join(low, "u").withColumn("m", F.least("u", "m"))
 
 
