@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.columns import resolve
+from .classify import PRIORITY
 
 
 def _make_udfs():
@@ -24,9 +25,7 @@ def _make_udfs():
     this package on their path."""
     sn_keep, kn_keep = list(S.SN_KEEP), list(S.KN_KEEP)
     not_match, prefix = list(S.SIMBAD_NOT_A_MATCH), S.TRACKLET_PREFIX
-    order = [("microlensing", S.CLASS_MICROLENSING), ("sn", S.CLASS_SN), ("early_sn", S.CLASS_EARLY_SN),
-             ("kn", S.CLASS_KN), ("roid2", S.CLASS_SSO_CANDIDATE), ("tracklet", S.CLASS_TRACKLET),
-             ("roid3", S.CLASS_SSO_MPC)]
+    order = list(PRIORITY)
     unknown, ambiguous = S.CLASS_UNKNOWN, S.CLASS_AMBIGUOUS
 
     def flags(cds, roid, mulens, snn1, snn2, rf_snia, ndet, drb, classtar, jd, jdstart, rf_kn, tracklet):

@@ -14,13 +14,16 @@ from ..sources import fixtures as FX
 # DataFrames are immutable logical plans: the input tables are built once per
 # (session, folder) and reused by every query (plan reuse, not data caching).
 _PLANS: dict = {}
+_SOURCE = {"derived": "events", "alert_path": "events", "alerts": "events", "galaxies": "customer", "sky": "part"}
 
 
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    """The plan built for a folder, for as long as its tables have the same files."""
     key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
+    files = frozenset(spark.read.parquet(f"{sf_dir}/{_SOURCE[kind]}.parquet").inputFiles())
+    if key not in _PLANS or _PLANS[key][0] != files:
+        _PLANS[key] = files, build()
+    return _PLANS[key][1]
 
 
 def derived_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
