@@ -188,28 +188,57 @@ def _blocks(texts, end):
     return LM._layout(ids, np.array([len(t) for t in texts]), end)
 
 
+def _probabilities(score, z, target, pad):
+    out = np.zeros(z.shape)
+    out[1:] = score(z, np.where(target == pad, 0, target))
+    return out
+
+
 def test_windows_score_every_id_once_and_see_no_future():
     r = np.random.default_rng(0)
     end, texts = 40, [r.integers(0, 40, n) for n in (0, 1, 15, 16, 17, 100)]
-    prev, cur, target, where = _blocks(texts, end)
+    z, target, where = _blocks(texts, end)
     flat = target.ravel()[where]
     assert list(flat[:149]) == list(np.concatenate(texts)) and set(flat[149:]) == {end} and len(flat) == 149 + 6
-    p = A.new_params(np.full(41, 1 / 41))
-    score = A.Scorer(p)
-    full = score(prev, cur, np.where(target == end + 1, 0, target)).ravel()[where]
-    # a changed id changes nothing before it
+    assert (target != end + 1).sum() == len(flat) and len(set(where)) == len(where)
+    score = A.Scorer(A.new_params(np.full(41, 1 / 41)))
+    full = _probabilities(score, z, target, end + 1).ravel()[where]
+    # a changed id changes nothing before it, and a text nothing in another
     texts[5][60] = (texts[5][60] + 1) % 40
-    prev, cur, target, where = _blocks(texts, end)
-    new = score(prev, cur, np.where(target == end + 1, 0, target)).ravel()[where]
+    z, target, where = _blocks(texts, end)
+    new = _probabilities(score, z, target, end + 1).ravel()[where]
     at = 49 + 60
     assert np.allclose(new[:at], full[:at]) and not np.allclose(new[at + 1:at + 20], full[at + 1:at + 20])
+    assert np.allclose(new[149:154], full[149:154])
+
+
+def test_inputs_are_the_ids_before():
+    texts = [[5, 6], list(range(16)), []]
+    z, target, where = _blocks(texts, 30)
+    for row, goal in zip(z, target):
+        for a, b, c in zip(row[1:], goal[:-1], goal[1:]):
+            assert a == b or c == 31  # an input is the target before it
+    assert list(z[1][:3]) == [30, 5, 6] and list(target[1][:3]) == [5, 6, 30]
+
+
+def test_word_hashes_tell_words_apart_anywhere():
+    enc = LM._Encoder(LM.read_vocabulary())
+    odd = "a b a thonre the thonre\u00a0 x \u00a0 y\u00a0z \u3000 a é中 a"
+    ids = enc.ids(odd.encode())
+    words = odd.encode().lower().split()
+    first = np.flatnonzero(enc.begins[ids])
+    assert len(first) == len(words)
+    h = LM._word_hashes(ids, first)
+    assert {w: set(h[[i for i, x in enumerate(words) if x == w]]) for w in words}.keys() == set(words)
+    assert len(set(h)) == len(set(words))
+    other = enc.ids(b"zz zz a thonre")
+    assert LM._word_hashes(other, np.flatnonzero(enc.begins[other]))[2] == h[0]
 
 
 def test_distribution_sums_to_one():
-    p = A.new_params(np.full(30, 1 / 30))
-    r = np.random.default_rng(1)
-    prev, cur = r.integers(0, 30, (4, 16)), r.integers(0, 30, (4, 16))
-    total = sum(A.Scorer(p)(prev, cur, np.full((4, 16), v)) for v in range(30))
+    score = A.Scorer(A.new_params(np.full(30, 1 / 30)))
+    rows = np.random.default_rng(1).integers(0, 30, (5, 16))
+    total = sum(score(rows, np.full((5, 16), v)) for v in range(30))
     assert np.allclose(total, 1, atol=1e-4)
 
 
@@ -218,10 +247,12 @@ def test_gradients_match_differences():
     r = np.random.default_rng(2)
     prev, cur, target = (r.integers(0, 12, (3, 16)) for _ in range(3))
     prev[0] = 12  # padding
+    rows = np.stack([prev, cur], axis=1).reshape(-1, 16)
+    goal = np.stack([target, target], axis=1).reshape(-1, 16)
     weight = (r.random((3, 16)) < 0.8).astype(np.float32)
 
     def loss(p):
-        prob = A.Scorer(p)(prev, cur, target)
+        prob = A.Scorer(p)(rows, goal)[0::2]
         return -float((np.log(prob) * weight).sum() / weight.sum())
     seen = {}
     tr = A.Trainer(A.new_params(uni), uni)
@@ -255,7 +286,7 @@ def test_training_beats_unigram():
     for _ in range(3):
         for at in range(0, 3000, 64):
             tr.step(prev[at:at + 64], cur[at:at + 64], target[at:at + 64], np.ones((len(cur[at:at + 64]), 16), np.float32))
-    held = np.log(A.Scorer(tr.p)(prev[3000:], cur[3000:], target[3000:])).mean()
+    held = np.log(A.Scorer(tr.p)(ids[3000:], np.roll(ids.ravel(), -1).reshape(-1, 16)[3000:])).mean()
     assert held > np.log(uni[target[3000:]]).mean() + 1.0
 
 
