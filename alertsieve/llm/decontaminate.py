@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash as W
-from .common import stored
+from .common import KeyFilter, stored
 
 #: Words of a window; K-grams; K-grams per winnowing window (K + WINDOW - 1 = SPAN).
 SPAN, K = 13, 8
@@ -96,34 +96,9 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(cols[3], pa.binary())], names=["item_id", "fp", "short", "ctx"])
 
 
-def _slots(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    u = fp.view(W.U)
-    mask = W.U((1 << BITMAP_BITS) - 1)
-    return (u & mask).astype(np.int64), ((u >> W.U(40)) & mask).astype(np.int64)
-
-
-def _bitmap(fps: DataFrame) -> np.ndarray:
-    """The fixed-size bitmap of all fingerprints (two bits each), gathered as at most
-    2**(BITMAP_BITS - 6) words whatever the number of fingerprints."""
-    mask = (1 << BITMAP_BITS) - 1
-    both = fps.select(F.explode(F.array(F.col("fp").bitwiseAND(F.lit(mask)),
-                                        F.shiftrightunsigned("fp", 40).bitwiseAND(F.lit(mask)))).alias("s"))
-    words = (both.groupBy(F.shiftright("s", 6).alias("w"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 as int)))").alias("v")).toArrow())
-    out = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.int64)
-    out[words["w"].to_numpy()] = words["v"].to_numpy()
-    return out
-
-
-def _passes(bitmap: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    a, b = _slots(fp)
-    bit = lambda s: (bitmap[s >> 6] >> (s & 63)) & 1
-    return (bit(a) & bit(b)) == 1
-
-
-def _candidates(bitmap, shorts: list[int]):
+def _candidates(known: KeyFilter, shorts: list[int]):
+    """Word counts and the fingerprints that the benchmark may have, with their surroundings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
         for b in batches:
             for at, data, offsets in W.chunks(b.column(b.num_columns - 1)):
                 h, first = W.words(data, offsets, W.ALNUM)
@@ -131,12 +106,12 @@ def _candidates(bitmap, shorts: list[int]):
                 text_of = np.repeat(np.arange(len(n_words)), n_words)
                 g, keep = _winnow(h, first)
                 pos = np.flatnonzero(keep)
-                pos = pos[_passes(bits, _signed(g[pos]))]
+                pos = pos[known.passes(_signed(g[pos]))]
                 ctx = _context(h, first, text_of[pos], pos, 1) if len(pos) else np.zeros((0, SPAN + SIDE), W.U)
                 parts = [(text_of[pos], _signed(g[pos]), pos - first[text_of[pos]], [c.tobytes() for c in ctx])]
                 for n in shorts:
                     f = _short_hash(W.ngrams(h, n), n)
-                    p = np.flatnonzero(_passes(bits, _signed(f)))
+                    p = np.flatnonzero(known.passes(_signed(f)))
                     p = p[text_of[p] == text_of[p + n - 1]]
                     parts.append((text_of[p], _signed(f[p]), p - first[text_of[p]], [None] * len(p)))
                 text = np.concatenate([x[0] for x in parts])
@@ -188,11 +163,11 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
     inside an occurrence of a window), ``items`` (ids, sorted as strings) and ``spans``
     array<struct<start, end>> (word positions, merged).  A column of ``docs`` with one of these
     names is replaced."""
-    spark, docs = docs.sparkSession, docs.drop("n_words", "n_hit", "items", "spans")
+    docs = docs.drop("n_words", "n_hit", "items", "spans")
     id_type = items.schema[item_key].dataType.simpleString()
     fps = stored(items.select(F.col(item_key).alias("item_id"), F.col(item_text).alias("t"))
                  .mapInArrow(_item_rows, f"item_id {id_type}, fp long, short int, ctx binary"), "bench-fp")
-    bitmap = spark.sparkContext.broadcast(_bitmap(fps))
+    known = KeyFilter(fps, "fp", BITMAP_BITS)
     shorts = sorted(r[0] for r in fps.filter("short > 0").select("short").distinct().collect())
 
     names = [c for c in docs.columns if c != text]
@@ -200,7 +175,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
                        F.monotonically_increasing_id().alias("uid"), F.col(f"`{text}`").alias("t"))
     found = stored(rows.mapInArrow(
-        _candidates(bitmap, shorts),
+        _candidates(known, shorts),
         f"{fields}{', ' if fields else ''}uid long, n_words long, hits array<struct<fp:long,pos:int,ctx:binary>>"), "doc-fp")
 
     # one row per fingerprint and surroundings, with the items that have them

@@ -94,7 +94,8 @@ l AS (SELECT rid, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS
 bad AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT rid) AS n FROM l GROUP BY ALL)
   JOIN (SELECT host, count(*) AS pages FROM p GROUP BY ALL) USING (host)
   WHERE pages >= {min_pages} AND n * {ratio[1]} > pages * {ratio[0]}),
-k AS (SELECT rid, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n FROM l ANTI JOIN bad USING (host, line) GROUP BY rid)
+k AS (SELECT rid, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n
+  FROM l ANTI JOIN bad USING (host, line) GROUP BY rid)
 SELECT page_id, url, host, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIGINT AS n_dropped,
   coalesce(text, '') AS text FROM p LEFT JOIN k USING (rid)
 """

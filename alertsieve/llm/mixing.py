@@ -68,7 +68,8 @@ def share(children: DataFrame, parent: list[str], budget: str = "budget", cap: s
     given = F.col(budget) - F.coalesce(F.sum(F.when(F.col("_full") == 1, F.col(cap))).over(whole), F.lit(0))
     open_weight = F.sum(F.when(F.col("_full") == 0, F.col(weight))).over(whole)
     rows = rows.withColumn("_given", given).withColumn("_open", open_weight)
-    part = F.expr(f"cast(cast({weight} AS decimal(20,0)) * cast(greatest(_given, 0) AS decimal(18,0)) div _open AS bigint)")
+    part = F.expr(f"cast(cast({weight} AS decimal(20,0)) * cast(greatest(_given, 0) AS decimal(18,0)) div _open"
+                  " AS bigint)")
     return (rows.withColumn("alloc", F.when(F.col("_full") == 1, F.col(cap)).otherwise(F.least(F.col(cap), part)))
             .drop("_before", "_rest", "_left", "_full", "_given", "_open", budget))
 

@@ -118,5 +118,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_list(F.col("spans")).alias("spans"))
 
 
-Q = {f.__name__: f for f in (op1_toxicity, op2_decontaminate, op3_line_dedup, op4_near_dedup, op5_lm_scoring, op6_exact_dedup, op7_chat_format, op8_mixing,
-                              op9_token_counts, op10_pii)}
+Q = {f.__name__: f for f in (
+    op1_toxicity, op2_decontaminate, op3_line_dedup, op4_near_dedup, op5_lm_scoring, op6_exact_dedup,
+    op7_chat_format, op8_mixing, op9_token_counts, op10_pii)}
