@@ -127,9 +127,10 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     if len(column) == 0:
         return out.astype(np.int64)
     column = np.cumsum(np.concatenate(([0], (column[1:] != column[:-1]).astype(np.int64))))
-    for at in range(0, int(column[-1]) + 1, 8192):
-        lo, hi = np.searchsorted(column, [at, at + 8192])
-        x = np.zeros((n, 8192), dtype=np.float32)
+    width = 2048
+    for at in range(0, int(column[-1]) + 1, width):
+        lo, hi = np.searchsorted(column, [at, at + width])
+        x = np.zeros((n, width), dtype=np.float32)
         x[owner[lo:hi], column[lo:hi] - at] = 1
         out += x @ x.T
     return out.astype(np.int64)

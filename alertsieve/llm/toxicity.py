@@ -38,6 +38,8 @@ STEMS = range(4, 10)
 #: A term needs that many toxic rows, that share of them, and that part of its rows toxic.
 MIN_ROWS, MIN_SHARE, MIN_PURITY = 5, 0.005, 0.98
 REJECT = 0.7
+#: Rows that a task turns into Python strings at once.
+PIECE = 256
 
 #: Letters of other scripts by the Latin letter they look like.
 LOOKALIKES = {
@@ -138,6 +140,13 @@ def _term_sets(text: str) -> tuple[set, set]:
     return terms, words
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time: a batch's texts are not all turned into Python strings at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, PIECE):
+            yield b.slice(at, PIECE)
+
+
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = [Counter(), Counter()]
 
@@ -149,11 +158,11 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count[0].clear()
         count[1].clear()
         return out
-    for b in batches:
+    for b in _pieces(batches):
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if text:
                 count[toxic].update(_term_sets(fold(text))[0])
-            if len(count[0]) + len(count[1]) > 500_000:
+            if len(count[0]) + len(count[1]) > 200_000:
                 yield flush()
     yield flush()
 
@@ -161,7 +170,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _term_words(terms: set[str]):
     """Words of toxic rows that some candidate covers, each with the word before it."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _pieces(batches):
             rows = []
             for text in b.column(0).to_pylist():
                 words = _WORD.findall(fold(text)) if text else []
@@ -176,7 +185,7 @@ def _phrases(model: Model):
     """Two-word phrases around hits, per label."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)
-        for b in batches:
+        for b in _pieces(batches):
             out = []
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 t = fold(text or "")
@@ -195,7 +204,7 @@ def _phrases(model: Model):
 def _features(model: Model):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)
-        for b in batches:
+        for b in _pieces(batches):
             found = [matcher.features(fold(t)) if t else (0.0, 0, 0) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(1), pa.array([f[0] for f in found], pa.float64()),
@@ -289,7 +298,8 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", score: str =
     def scored(texts: pa.Array) -> pa.Array:
         if not matcher:
             matcher[0] = Matcher(model)
-        s, n = score_texts(matcher[0], texts.to_pylist())
-        return pa.StructArray.from_arrays([pa.array(s), pa.array(n)], names=["score", "hits"])
+        made = [score_texts(matcher[0], texts.slice(at, PIECE).to_pylist()) for at in range(0, max(len(texts), 1), PIECE)]
+        return pa.StructArray.from_arrays([pa.array(np.concatenate([m[i] for m in made])) for i in range(2)],
+                                          names=["score", "hits"])
     return (docs.withColumn("_tox", scored(F.col(f"`{text}`")))
             .withColumn(score, F.col("_tox.score")).withColumn(hits, F.col("_tox.hits")).drop("_tox"))

@@ -15,8 +15,9 @@ import pyarrow as pa
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPAN = 1 << 16
-#: Bytes of text worked on at once; one longer text is still one piece.
-CHUNK_BYTES = 1 << 21
+#: Bytes of text worked on at once (just under a power of two, as the tables of powers are as long
+#: as one); one longer text is still one piece.
+CHUNK_BYTES = (1 << 20) - 1024
 
 
 def mix(x: np.ndarray) -> np.ndarray:
