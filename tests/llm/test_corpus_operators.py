@@ -4,6 +4,8 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,3 +300,45 @@ def test_frequent_table_and_rare_words():
     got = t.counts(h)
     assert ((got == n) | (got == 0)).all() and (got > 0).mean() > 0.9
     assert (t.counts(r.integers(1, 2**63, 1000).astype(np.uint64)) == 0).all()
+
+
+class _Sent:
+    """Stands for a broadcast value in this process."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def test_every_block_of_every_training_text_is_trained_on(monkeypatch):
+    vocab = LM.read_vocabulary()
+    end = max(vocab.values()) + 1
+    texts = [text(i, n) for i, n in enumerate([1] * 40 + [3, 15, 16, 200, 3000])] + [None, ""]
+    learn = [i % 10 != 0 for i in range(len(texts))]
+    m = len(texts)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(m), pa.int64()), pa.array(range(m), pa.int64()), pa.array(learn),
+         pa.array(np.random.default_rng(0).integers(-2**62, 2**62, m)), pa.array(texts, pa.string())], names=list("kuldt"))
+    rows = list(LM._gather(_Sent(vocab), end, np.uint16)(iter([batch])))
+    encoder = LM._Encoder(vocab)
+    want = np.zeros(end + 1, np.int64)
+    for t, use in zip(texts, learn):
+        if use:
+            want[:end] += np.bincount(encoder.ids((t or "").encode().lower()), minlength=end)[:end]
+            want[end] += 1
+    ids = LM._Ids(want)
+    seen = []
+
+    class Recorder:
+        def __init__(self, *args, **kw):
+            self.seen = 0
+
+        def step(self, prev, cur, target, weight):
+            assert len(target) <= LM.STEP
+            seen.append(target[weight > 0])
+    monkeypatch.setattr(A, "Trainer", Recorder)
+    docs = [b.filter((pc.field("kind") == LM._DOC) & (pc.field("n") >= 0)) for b in rows]
+    for r in range(len(LM.ROUNDS)):
+        mine = [b.filter(pc.field("n") == r).select(["ids"]) for b in docs]
+        list(LM._local_steps(_Sent(A.new_params(ids.unigram)), _Sent(ids), r, np.uint16)(iter(mine)))
+    got = np.bincount(np.concatenate(seen), minlength=LM.MODEL_IDS)
+    assert (got == np.bincount(ids.to[:end + 1], want, LM.MODEL_IDS)).all()
