@@ -342,3 +342,40 @@ def test_every_block_of_every_training_text_is_trained_on(monkeypatch):
         list(LM._local_steps(_Sent(A.new_params(ids.unigram)), _Sent(ids), r, np.uint16)(iter(mine)))
     got = np.bincount(np.concatenate(seen), minlength=LM.MODEL_IDS)
     assert (got == np.bincount(ids.to[:end + 1], want, LM.MODEL_IDS)).all()
+
+
+def test_word_probabilities_share_one_in_every_context():
+    """Words 'a' and 'ab' of equal chance, 0 and 1 the ids of ' a' and 'b', and the exact model of them."""
+    end, a, b = 2, 0, 1
+    ids = LM._Ids(np.array([8.0, 4.0, 2.0]))
+    assert list(ids.to[:3]) == [a, b, end]
+    p = A.new_params(ids.unigram)
+    for name in ("x", "wq", "wk", "wv", "wr", "wo", "wp"):
+        getattr(p, name)[:] = 0
+    p.comp[:] = 0
+    for i, after in ((a, {a: 0.4, b: 0.5, end: 0.1}), (b, {a: 0.8, end: 0.2}), (end, {a: 0.8, end: 0.2})):
+        p.x[i, i] = p.wr[i, i] = 1
+        p.wp[i, i] = 50
+        for j, chance in after.items():
+            p.comp[j, i] = chance
+    texts = [()]
+    for n in range(1, 13):
+        texts += [(a, *t) for t in np.ndindex(*[2] * (n - 1))]
+    begins = np.array([True, False])
+    words = [LM._word_hashes(np.array(w), np.array([0])) for w in ([a], [a, b], [a, b, b])]
+    table = LM._Frequent(np.concatenate(words), np.array([40, 40, 1]))
+
+    def total(counts, n, n_texts):
+        rows = pa.RecordBatch.from_arrays(
+            [pa.array(range(len(texts))), pa.array(range(len(texts))),
+             pa.array([np.array(t, np.uint16).tobytes() for t in texts], pa.binary())], names=["k", "uid", "ids"])
+        out = next(LM._score(_Sent(p), _Sent(ids), _Sent(counts), _Sent(begins), n, end, n_texts, np.uint16)(iter([rows])))
+        lp = dict(zip(texts, out.column("score").to_numpy()))
+        known = [not x for x in out.column("later").to_pylist()]
+        return lp, sum(10 ** v for (t, v), k in zip(lp.items(), known) if k)
+    lp, mass = total(table, 101, 20)
+    assert 0.7 < mass <= 1 + 1e-6
+    half = lambda x, c: np.log10(0.5 * x + 0.5 * c / 101)
+    assert lp[()] == pytest.approx(half(0.2, 20), abs=1e-4)
+    assert lp[(a,)] == pytest.approx(half(0.4, 40) + half(0.2, 20), abs=1e-4)
+    assert lp[(a, b, a)] == pytest.approx(2 * half(0.4, 40) + half(0.2, 20), abs=1e-4)
