@@ -99,18 +99,31 @@ def _list_rows(listed: KeyFilter):
 
 
 def _set_rows(words: int, wanted: KeyFilter):
-    """(class, hashes) of the documents whose key hash is wanted."""
+    """(of, class, hashes) of the texts whose key hash is wanted."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = np.flatnonzero(wanted.passes(b.column(0).to_numpy()))
-            for _, data, offsets in W.chunks(b.column(1).take(pa.array(at))):
-                sets = [s for s in _sets(data, offsets, words) if len(s)]
+            b = b.take(pa.array(np.flatnonzero(wanted.passes(b.column(0).to_numpy()))))
+            for at, data, offsets in W.chunks(b.column(1)):
+                sets = _sets(data, offsets, words)
+                some = [i for i, s in enumerate(sets) if len(s)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_class_id(s) for s in sets], pa.binary()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["class", "hashes"])
+                    [b.column(0).take(pa.array([at + i for i in some], pa.int64())),
+                     pa.array([_class_id(sets[i]) for i in some], pa.binary()),
+                     pa.array([sets[i].tobytes() for i in some], pa.binary())], names=["of", "class", "hashes"])
     return work
 
 
+def _class_sets(texts: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """(class, hashes), one row of every class of ``members``, from texts (key hash, text).
+
+    The bitmap only thins the texts.  Rows that repeat a key are merged in tasks before the shuffle,
+    and the join keeps one key hash of every class, so copies of a class go no further."""
+    one = members.select("of", "class").distinct()
+    sets = texts.mapInArrow(_set_rows(words, KeyFilter(one, "of", BITMAP_BITS)), "of long, class binary, hashes binary")
+    return (sets.groupBy("of", "class").agg(F.first("hashes").alias("hashes"))
+            .join(one, ["of", "class"], "left_semi").select("class", "hashes"))
+
+
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections of the sets, from the hashes that two or more of them have."""
     n = len(sets)
@@ -206,9 +219,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     members = stored(members, "near-groups")  # a pivot is a member of its own group
 
     # full sets of the classes that are in a group, read again from one document of each
-    wanted = KeyFilter(members.select("of"), "of", BITMAP_BITS)
-    sets = base.select(F.xxhash64("_key").alias("of"), "_text").mapInArrow(
-        _set_rows(words, wanted), "class binary, hashes binary")
+    sets = _class_sets(base.select(F.xxhash64("_key").alias("of"), "_text"), members, words)
     links = (_blocks(members, threshold, block).join(sets, "class").groupBy("pivot", "size", "i", "j")
              .applyInArrow(_verify(sketch, threshold), "a binary, b binary"))
     roots = components(links)

@@ -104,3 +104,23 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.root for r in components(df).collect()}
     assert all(got[f"{i:03}"] == "000" for i in range(61)) and all(got[f"{i}"] == "200" for i in range(200, 230))
     assert components(df.limit(0)).count() == 0
+
+
+def test_near_copies_of_a_class_meet_once(spark, monkeypatch):
+    made = N._verify
+
+    def once(*args):
+        work = made(*args)
+
+        def checked(group):
+            ids = group.column("class").to_pylist()
+            assert len(ids) == len(set(ids)), "copies of a class in one task"
+            return work(group)
+        return checked
+    monkeypatch.setattr(N, "_verify", once)
+    monkeypatch.setattr(N, "BITMAP_BITS", 6)  # a full map: every row passes
+    rows = _cluster(20)
+    rows += [(2000 + i, rows[0][1]) for i in range(60)]
+    docs = docs_df(spark, rows)
+    assert near(docs) == brute.near_components(rows)
+    assert N.near_duplicates(docs.unionByName(docs)).count() == 2 * len(rows)
