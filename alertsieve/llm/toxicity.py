@@ -1,7 +1,8 @@
 """Toxicity: a weighted lexicon found by Aho-Corasick in folded text, normalised by length.
 
 Folding lowers the case, drops invisible characters, maps look-alike letters of other scripts
-and digits or signs standing for letters to one skeleton (``l``, ``i`` and ``1`` share one).
+and digits or signs standing for letters to one skeleton (``l``, ``i`` and ``1`` share one);
+those behind a letter count both as letters and as what they are.
 The lexicon is learned from labelled rows: candidates are words and word beginnings that stand
 in toxic rows behind many different words and stay out of clean rows, with the log odds of their
 row counts as weights.  Two-word phrases with an entry in it that clean rows use are
@@ -47,14 +48,18 @@ LOOKALIKES = {
     "m": "м", "n": "ո", "o": "оοσ", "p": "рρ", "q": "ԛ", "s": "ѕ", "t": "тτ", "u": "υ", "v": "ν", "w": "ԝω",
     "x": "хχ", "y": "уγ", "z": "ᴢ",
 }
-#: Digits and signs standing for letters, before a letter.
-STANDINS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "|": "i"}
+#: Digits and signs standing for letters.
+STANDINS = {"0": "o", "1": "i", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
+            "@": "a", "$": "s", "|": "i", "+": "t", "!": "i"}
 INVISIBLE = "­​‌‍⁠﻿"
 _MAP = {ord(c): latin for latin, cs in LOOKALIKES.items() for c in cs} | {ord(c): None for c in INVISIBLE}
 _MAP |= {0xFF41 + i: chr(97 + i) for i in range(26)} | {ord("l"): "i"}
 _MAP |= {k: "i" for k, v in _MAP.items() if v == "l"}
 _ASCII = str.maketrans("l", "i")
-_STANDIN = re.compile(r"[013457@$|]+(?=[^\W\d_])")
+#: Before a letter; behind one, where signs may also be what they are, so terms are looked for in all forms.
+_STANDIN = re.compile(r"[0-9@$|]+(?=[^\W\d_])")
+_BEHIND = re.compile(r"(?<=[^\W\d_])[0-9@$|+]+|\++(?=[^\W\d_])")
+_SIGNS = re.compile(r"(?<=[^\W\d_])[0-9@$|+!]+|[+!]+(?=[^\W\d_])")
 _STANDIN_MAP = str.maketrans(STANDINS)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -65,6 +70,17 @@ def fold(text: str) -> str:
     return _STANDIN.sub(lambda m: m[0].translate(_STANDIN_MAP), t)
 
 
+def forms(folded: str) -> list[str]:
+    """The folded text, and what else it may stand for when a word's last letters are written as digits
+    or signs.  All are equally long; digits and signs without a letter beside them stay."""
+    out = [folded]
+    for pattern in (_BEHIND, _SIGNS):
+        t = pattern.sub(lambda m: m[0].translate(_STANDIN_MAP), folded)
+        if t not in out:
+            out.append(t)
+    return out
+
+
 @dataclass
 class Model:
     """Terms with weights (a trailing ``$``: the whole word), exception phrases, curve."""
@@ -96,18 +112,19 @@ class Matcher:
         if not len(self.automaton):
             return []
         best, spared = {}, []
-        for last, (n, kinds) in self.automaton.iter(text):
-            start, end = last - n + 1, last + 1
-            if start and text[start - 1].isalpha():
-                continue
-            ends = end == len(text) or not text[end].isalpha()
-            for term in kinds:
-                if term is None:
-                    if ends:
-                        spared.append((start, end))
-                elif ends or term[-1] != "$":
-                    if start not in best or best[start][0] < end:
-                        best[start] = (end, term)
+        for form in forms(text):
+            for last, (n, kinds) in self.automaton.iter(form):
+                start, end = last - n + 1, last + 1
+                if start and form[start - 1].isalpha():
+                    continue
+                ends = end == len(form) or not form[end].isalpha()
+                for term in kinds:
+                    if term is None:
+                        if ends:
+                            spared.append((start, end))
+                    elif ends or term[-1] != "$":
+                        if start not in best or best[start][0] < end:
+                            best[start] = (end, term)
         return [(s, e, t) for s, (e, t) in sorted(best.items())
                 if not any(a <= s and e <= b for a, b in spared)]
 

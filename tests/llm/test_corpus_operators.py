@@ -78,6 +78,21 @@ def test_lexicon_finds_folded_words(spark, model):
     assert all(0 <= s <= 1 for s in got)
 
 
+def test_lexicon_finds_word_ends_written_as_digits_or_signs(spark, model):
+    clean = text(1, 50)
+    bad = ["moron5", "MORON$", "m0r0n5", "moron5!", "m0r0n$.", "!oserly", "morons!", "morons+"]
+    good = ["100 200 7$ @", "55 $$ +! 8", "moro 5", "xmoron5"]
+    got = scores(spark, model, [f"{clean} {b} {clean}" for b in bad] + [f"{clean} {g} {clean}" for g in good])
+    assert min(got[:len(bad)]) >= T.REJECT and max(got[len(bad):]) < 0.5
+    words = ["idiot", "worthless", "bastard", "bigot", "crazy"]
+    m = T.Matcher(T.Model(terms={T.fold(w) + "$": 1.0 for w in words}))
+    for t in ("idiot", "idio7", "idi07", "idi0+", "idi0+!", "!diot", "worthles$", "worthle55", "8astard", "ba5tard",
+              "bi90t", "bi6ot", "cra2y", "you idio7, yes", "idiot!you", "worthless!"):
+        assert len(m.hits(T.fold(t))) == 1, t
+    for t in ("", "7", "1d10 7", "idio 7", "1 2 $ +!", "worthle 55"):
+        assert m.hits(T.fold(t)) == [], t
+
+
 def test_exception_phrases_spare_a_hit(spark, model):
     clean = text(2, 50)
     got = scores(spark, model, [f"{clean} white scumbag {clean}", f"{clean} morons scumbag {clean}"])
