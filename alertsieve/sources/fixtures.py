@@ -71,7 +71,7 @@ def _history_point_sql() -> str:
 
 
 def object_history(slim: DataFrame, n_parts: int) -> DataFrame:
-    """(event_id, obj, jd, jdstarthist, ndethist, prv_candidates), no task owning an object.
+    """(event_id, obj, jd, jdstarthist, ndethist, prv_candidates), ranks and dates with no task owning an object.
 
     Events are range-partitioned on (obj, ts, event_id): the sampler splits a
     large object's time range over many partitions, and partition i precedes
@@ -82,7 +82,8 @@ def object_history(slim: DataFrame, n_parts: int) -> DataFrame:
     ``spark.checkpoint.dir``) so both uses see the same partition ids even if
     a stage is recomputed after an executor loss.  Every alert carries all
     earlier points of its object, so the history itself is quadratic in an
-    object's events by definition; Catalyst drops it when it is not read.
+    object's events by definition; Catalyst drops it when it is not read.  When it
+    is read, the carried points of one object meet in one task (the window by obj).
     """
     ensure_checkpoint_dir(slim.sparkSession)
     r = (slim.repartitionByRange(n_parts, "obj", "ts", "event_id")
