@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc_bucket, table
-from . import chat_format, decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, near_dedup, pii, token_counts, toxicity
+from . import chat_format, conversation_repair, decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, near_dedup, pii, token_counts, toxicity
 
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
@@ -118,6 +118,30 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_list(F.col("spans")).alias("spans"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns as the contract damages them; a dropped turn stays as a row that only names its conversation."""
+    space = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"),
+                    F.coalesce(F.col("turn").cast("string"), space))
+    text = F.coalesce("text", space)
+    rows = turns.select("conv_id", "turn", F.coalesce("role", space).alias("role"), text.alias("text"),
+                        (F.crc32(name.cast("binary")) % 20).alias("harm"))
+    copies = (F.when(F.col("harm") == 0, F.array(F.lit(True))).when(F.col("harm") == 3, F.array(F.lit(False), F.lit(False)))
+              .otherwise(F.array(F.lit(False))))
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("harm") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text")).alias("text"), F.explode(copies).alias("gone"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation."""
+    turns = damaged(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    made = conversation_repair.repair_digests(turns, gone=F.col("gone"))
+    return made.select(F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost",
+                       "audit", "repaired_sha256")
+
+
 Q = {f.__name__: f for f in (
     op1_toxicity, op2_decontaminate, op3_line_dedup, op4_near_dedup, op5_lm_scoring, op6_exact_dedup,
-    op7_chat_format, op8_mixing, op9_token_counts, op10_pii)}
+    op7_chat_format, op8_mixing, op9_token_counts, op10_pii, op12_conversation_repair)}
