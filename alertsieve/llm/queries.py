@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc_bucket, table
-from . import chat_format, conversation_repair, decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, near_dedup, pii, token_counts, toxicity
+from . import (chat_format, conversation_repair, decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, near_dedup,
+               pii, quality_rules, token_counts, toxicity, vector_codes)
 
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
@@ -118,6 +119,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_list(F.col("spans")).alias("spans"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code of every vector, with the errors of its label."""
+    coded, codebook = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(coded).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error",
+        F.lit(vector_codes.codebook_digest(codebook)).alias("codebooks_sha256"))
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Turns as the contract damages them; a dropped turn stays as a row that only names its conversation."""
     space = F.lit(" ")
@@ -142,6 +151,16 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "audit", "repaired_sha256")
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and certified rules on every document."""
+    rows = quality_rules.counted(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    settings = quality_rules.fit(rows, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(rows, settings).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.array_join("rejected_by", ",").alias("rejected_by"))
+
+
 Q = {f.__name__: f for f in (
     op1_toxicity, op2_decontaminate, op3_line_dedup, op4_near_dedup, op5_lm_scoring, op6_exact_dedup,
-    op7_chat_format, op8_mixing, op9_token_counts, op10_pii, op12_conversation_repair)}
+    op7_chat_format, op8_mixing, op9_token_counts, op10_pii, op11_vector_codes,
+    op12_conversation_repair, op13_quality_rules)}

@@ -1,0 +1,115 @@
+"""Vector codes against plain k-means in integers."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from alertsieve.llm import queries as Q
+from alertsieve.llm import vector_codes as V
+
+SCHEMA = "vec_id long, embedding array<float>, label int, entry int, ids string"
+
+
+def expected(rows):
+    """{vec_id: (code, error, label_error)} and the codebooks' digest; ids unique."""
+    kept = sorted((i, v, lab) for i, v, lab in rows if v is not None and all(x is not None and math.isfinite(x) for x in v))
+    if not kept:
+        return {}, None
+    width = len(kept[0][1]) // 8
+    parts = [[[math.floor(4096 * float(np.float32(x))) for x in v[p * width:(p + 1) * width]] for _, v, _ in kept] for p in range(8)]
+    codes, errors, books = [[] for _ in kept], [0] * len(kept), []
+    for xs in parts:
+        book = [list(x) for x in xs[:16]]
+
+        def nearest(x):
+            return min((sum((a - b) ** 2 for a, b in zip(x, e)), k) for k, e in enumerate(book))
+        for _ in range(6):
+            own = [nearest(x)[1] for x in xs]
+            for k in range(len(book)):
+                mine = [x for x, o in zip(xs, own) if o == k]
+                if mine:
+                    book[k] = [sum(c) // len(mine) for c in zip(*mine)]
+        for at, x in enumerate(xs):
+            d, k = nearest(x)
+            codes[at].append(k)
+            errors[at] += d
+        books += [c for e in book for c in e]
+    labels = {}
+    for (_, _, lab), e in zip(kept, errors):
+        labels[lab] = labels.get(lab, 0) + e
+    digest = hashlib.sha256(",".join(map(str, books)).encode()).hexdigest()
+    return {i: (bytes(c).hex(), e, labels[lab]) for (i, _, lab), c, e in zip(kept, codes, errors)}, digest
+
+
+def run(spark, rows, tmp_path):
+    data = [(i, v, lab, 1, "x") for i, v, lab in rows]
+    spark.createDataFrame(data, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = Q.op11_vector_codes(spark, str(tmp_path)).collect()
+    return {r.vec_id: (r.code, r.error, r.label_error) for r in got}, {r.codebooks_sha256 for r in got}, len(got)
+
+
+def vectors(seed, n, dims=16):
+    r = random.Random(seed)
+    middle = [[r.gauss(0, 0.3) for _ in range(dims)] for _ in range(6)]
+    return [(i, [m + r.gauss(0, 0.05) for m in r.choice(middle)], r.choice([None, 1, 2, 3])) for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [1, 9, 16, 400])
+def test_query_equals_plain_kmeans(spark, tmp_path, monkeypatch, n):
+    monkeypatch.setattr(V, "BLOCK", 150)
+    rows = vectors(n, n)
+    rows += [(1000 + k, list(rows[0][1]), 7) for k in range(60)]  # copies: a ball of radius 0
+    nan, inf = float("nan"), float("inf")
+    bad = [(2000, None, 1), (2001, [0.1] * 15 + [None], 1), (2002, [nan] * 16, 2), (2003, [0.1] * 15 + [-inf], 2)]
+    codes, digest = expected(rows)
+    assert run(spark, rows + bad, tmp_path) == (codes, {digest}, len(rows))
+
+
+def test_ties_go_to_the_lower_entry(spark, tmp_path):
+    step = 1 / 4096
+    rows = [(i, [(i % 5) * 2 * step] * 8, 1) for i in range(40)] + [(100 + i, [(2 * (i % 4) + 1) * step] * 8, 2) for i in range(90)]
+    codes, digest = expected(rows)
+    assert run(spark, rows, tmp_path) == (codes, {digest}, len(rows))
+
+
+def test_empty_and_unusable_tables(spark, tmp_path):
+    assert run(spark, [], tmp_path / "a") == ({}, set(), 0)
+    assert run(spark, [(1, None, 1), (2, [None] * 8, 1)], tmp_path / "b") == ({}, set(), 0)
+
+
+def test_odd_widths_repeated_ids_and_large_components(spark):
+    rows = [(1, [0.5, 0.25, 1.0], 1), (1, [0.5], None), (None, [3e38] * 3, None), (2, [], 1), (None, [-3e38] * 3, 2)]
+    got, book = V.compress(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    assert book.shape == (8, 5, 1) and got.count() == 5
+    assert got.filter("error = 0").count() == 5  # every row is an entry of its own
+
+
+def test_anchors_trees_are_whole():
+    x = np.random.default_rng(1).integers(-500, 500, (700, 8, 3))
+    x[:200] = x[0]
+    trees = V.build(x)
+    d = x.shape[2]
+    for part in range(8):
+        assert (x[trees["order"][part], part] == trees["points"][part]).all()
+        assert sorted(trees["order"][part]) == list(range(700))
+    for k in range(len(trees["part"])):
+        inside = trees["points"][trees["part"][k]][trees["begin"][k]:trees["end"][k]]
+        assert (inside.sum(axis=0) == trees["sums"][k]).all() and len(inside) > 0
+        assert np.sqrt(((inside - inside.mean(axis=0)) ** 2).sum(axis=1)).max() <= trees["radius"][k] + 1e-6
+    leaves = trees["leaf"] == 1
+    assert (np.bincount(trees["part"][leaves], trees["end"][leaves] - trees["begin"][leaves]) == 700).all()
+    assert trees["sums"].shape[1] == d
+
+
+def test_whole_balls_spare_points():
+    r = np.random.default_rng(2)
+    middle = r.integers(-4000, 4000, (16, 8, 4))
+    x = middle[r.integers(0, 16, 2000)] + r.integers(-40, 40, (2000, 8, 4))
+    book = np.ascontiguousarray(middle.transpose(1, 0, 2))
+    stats = {}
+    entry, counts, sums = V.owners(V.build(x), book, stats)
+    assert counts.sum() == 2000 * 8 and (sums.sum(axis=(1)) == x.sum(axis=0)).all()
+    assert stats["compared"] < 2000 * 8 // 10
