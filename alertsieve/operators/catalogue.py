@@ -9,6 +9,7 @@ from ..functions.columns import d
 from ..functions.sky import ang_dist
 from ..functions.text import strip_bytes_repr
 from ..schema import GALAXY
+from ..session import names_in, touch
 
 CATALOGUE_COLUMNS = ["HyperLEDA_name", "2MASS_name", "RA", "dec", "dist", "dist_err", "z",
                      "stellarmass"]
@@ -62,3 +63,33 @@ def read_catalogue(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
         raise ValueError(f"catalogue {path} has no column {', '.join(missing)}; it has {', '.join(raw.columns)}")
     return raw.select(*[F.col(f"`{there[f.name.lower()]}`").cast(f.dataType).alias(f.name)
                         for f in GALAXY.fields if f.name.lower() in there])
+
+
+# --- versions: a catalogue that is replaced while streams run ---------------------
+
+PUBLISHED = "_published"
+
+
+def publish_catalogue(cat: DataFrame, path: str) -> str:
+    """Write ``cat`` as the next version below ``path`` and make it the current one; its name.
+
+    Versions are never changed.  A version counts from the moment its record, an empty file, is there, so a
+    write that breaks off is never read."""
+    spark = cat.sparkSession
+    there = [x for x in names_in(spark, path) if x.startswith("v")]
+    version = f"v{1 + max((int(x[1:]) for x in there), default=0):08d}"
+    cat.write.parquet(f"{path}/{version}")
+    touch(spark, f"{path}/{PUBLISHED}/{version}")
+    return version
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """The last published version."""
+    versions = names_in(spark, f"{path}/{PUBLISHED}")
+    if not versions:
+        raise ValueError(f"no catalogue is published at {path}")
+    return versions[-1]
+
+
+def read_version(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+    return spark.read.parquet(f"{path}/{version or current_version(spark, path)}")

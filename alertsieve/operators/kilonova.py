@@ -18,6 +18,7 @@ from ..functions.columns import d
 from ..functions.photometry import dc_mag_sql
 from ..functions.sky import ang_sep_sql
 from . import filters as FL
+from .levelcells import index_catalogue, level_join, nearest
 from .skyjoin import DEFAULT_CELL_DEG, checked_broadcast, cone_join, explode_catalogue
 
 HOST_MAX_SEP_DEG = 2.0
@@ -92,42 +93,67 @@ def galaxy_cells(galaxies: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> Dat
     return _cells_memo("galaxies", galaxies, cell_deg, lambda: _galaxy_cells(galaxies, cell_deg))
 
 
-def _galaxy_cells(galaxies: DataFrame, cell_deg: float) -> DataFrame:
+HOST_RADIUS = f"least({math.radians(HOST_MAX_SEP_DEG)!r}D, {HOST_MAX_SEP_RAD_MPC!r}D / g_ang_dist)"
+#: Order of hosts: nearest to Earth, then index, names and position (a missing value comes first).
+HOST_ORDER = ["g_lum_dist", "g_idx", "g_hyperleda", "g_2mass", "g_ra", "g_dec", "g_dist_err", "g_stellarmass", "g_ang_dist"]
+
+
+def _hosts(galaxies: DataFrame) -> DataFrame:
+    """Galaxies that can be hosts.  One without a usable distance has no host radius: it can't match."""
     index = F.col("galaxy_idx") if "galaxy_idx" in galaxies.columns else F.lit(None).cast("long")
-    g = galaxies.select(
+    return galaxies.select(
         index.alias("g_idx"), F.col("HyperLEDA_name").alias("g_hyperleda"),
         F.col("`2MASS_name`").alias("g_2mass"), F.col("ra").alias("g_ra"),
         F.col("dec").alias("g_dec"), F.col("lum_dist").alias("g_lum_dist"),
         F.col("dist_err").alias("g_dist_err"), F.col("stellarmass").alias("g_stellarmass"),
-        # a galaxy without a usable distance has no host radius: it can't match
         F.expr("CASE WHEN ang_dist > 0 AND NOT isnan(ang_dist) THEN CAST(ang_dist AS DOUBLE) END")
         .alias("g_ang_dist")).filter("g_ang_dist IS NOT NULL")
-    radius = f"least({math.radians(HOST_MAX_SEP_DEG)!r}D, {HOST_MAX_SEP_RAD_MPC!r}D / g_ang_dist)"
-    return explode_catalogue(g, "g_ra", "g_dec", radius, cell_deg, radius_name="g_radius")
 
 
-def _host_residual(ra: str = "ra", dec: str = "dec", mag: str = "mag") -> str:
-    """J1 residual: 10 kpc projected and -17 < M < -15 (SQL text)."""
-    sep = ang_sep_sql(ra, dec, "g_ra", "g_dec")
-    m_abs = f"({mag} - 25.0D - 5.0D * LOG10(g_lum_dist))"
+def _galaxy_cells(galaxies: DataFrame, cell_deg: float) -> DataFrame:
+    return explode_catalogue(_hosts(galaxies), "g_ra", "g_dec", HOST_RADIUS, cell_deg, radius_name="g_radius")
+
+
+def host_index(galaxies: DataFrame) -> DataFrame:
+    """Host-galaxy search discs in cells that fit their radii (``levelcells``)."""
+    return _cells_memo("hosts", galaxies, 0.0, lambda: index_catalogue(
+        _hosts(galaxies), "g_ra", "g_dec", HOST_RADIUS, radius_name="g_radius"))
+
+
+def _host_residual(ra: str = "ra", dec: str = "dec", mag: str = "mag", host: str = "") -> str:
+    """J1 residual: 10 kpc projected and -17 < M < -15 (SQL text); ``host`` is the prefix of the galaxy's columns."""
+    sep = ang_sep_sql(ra, dec, f"{host}g_ra", f"{host}g_dec")
+    m_abs = f"({mag} - 25.0D - 5.0D * LOG10({host}g_lum_dist))"
     lo, hi = HOST_ABS_MAG_RANGE
-    return (f"{sep} < {HOST_MAX_SEP_RAD_MPC!r}D / g_ang_dist AND {m_abs} > {lo!r}D AND {m_abs} < {hi!r}D")
+    return (f"{sep} < {HOST_MAX_SEP_RAD_MPC!r}D / {host}g_ang_dist AND {m_abs} > {lo!r}D AND {m_abs} < {hi!r}D")
+
 
+_ABS_MAG = "mag - 25.0D - 5.0D * LOG10(g_lum_dist)"
 
-def host_match(cut: DataFrame, galaxies: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+
+def host_match(cut: DataFrame, galaxies: DataFrame) -> DataFrame:
     """(alert, galaxy) pairs within 2 deg and 10 kpc with -17 < M < -15.  Rows of ``cut``
     are numbered (``_alert``), so alerts that repeat an id stay apart."""
-    cells = galaxy_cells(galaxies, cell_deg)
     cut = cut.withColumn("_alert", F.monotonically_increasing_id())
-    pairs = cone_join(cut, cells, "ra", "dec", "g_ra", "g_dec", how="inner",
-                      radius_name="g_radius", cell_deg=cell_deg, extra=_host_residual())
-    return pairs.withColumn("abs_mag", F.expr("mag - 25.0D - 5.0D * LOG10(g_lum_dist)"))
+    pairs = level_join(cut, host_index(galaxies), "ra", "dec", "g_ra", "g_dec", radius_name="g_radius",
+                       extra=_host_residual())
+    return pairs.withColumn("abs_mag", F.expr(_ABS_MAG))
+
+
+def nearest_host(cut: DataFrame, galaxies: DataFrame) -> DataFrame:
+    """One host per alert row, the first in ``HOST_ORDER`` of those that match as in ``host_match``.
+
+    Every alert row meets the folded cells of the catalogue and chooses inside the row: no aggregation and no exchange
+    behind the join, so the host choice also runs on a stream in append mode."""
+    within = f"{ang_sep_sql('ra', 'dec', 's.g_ra', 's.g_dec')} <= {HOST_RADIUS.replace('g_ang_dist', 's.g_ang_dist')}"
+    met = nearest(cut, host_index(galaxies), HOST_ORDER, "ra", "dec", f"{within} AND {_host_residual(host='s.')}")
+    flat = met.select(*[F.col(f"`{c}`") for c in cut.columns], *[F.col(f"_source.{c}").alias(c) for c in HOST_ORDER])
+    return flat.withColumn("sep_rad", F.expr(ang_sep_sql("ra", "dec", "g_ra", "g_dec"))).withColumn("abs_mag", F.expr(_ABS_MAG))
 
 
 def host_first(pairs: DataFrame) -> DataFrame:
-    """One host per alert row of ``host_match``, the nearest to Earth: smallest lum_dist,
-    then galaxy index, names and position (a missing value comes first).  Partial aggregation
-    runs before the shuffle."""
+    """J2 from a table of pairs: one host per alert row of ``host_match``, the same as ``nearest_host`` finds without
+    the pairs.  Partial aggregation runs before the shuffle."""
     alert_cols = [c for c in pairs.columns if not c.startswith("g_") and c not in ("sep_rad", "abs_mag", "_alert")]
     host_cols = ["g_lum_dist", "g_idx"] + [c for c in pairs.columns
                                            if c.startswith("g_") and c not in ("g_lum_dist", "g_idx")]
@@ -151,7 +177,7 @@ def early_kn_candidates(alerts: DataFrame, galaxies: DataFrame, sky_objects: Dat
     alert carries its chosen host (for notifications)."""
     cut = early_kn_cut_alerts(alerts)
     if with_host:
-        hosted = host_first(host_match(cut, galaxies, cell_deg))
+        hosted = nearest_host(cut, galaxies)
     else:
         hosted = host_exists(cut, galaxies, cell_deg)
     return star_veto(hosted, sky_objects, cell_deg=cell_deg)

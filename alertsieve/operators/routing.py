@@ -141,10 +141,13 @@ def notify_channels(notes: DataFrame, as_of: Column | None = None,
 
 
 def channels_one_pass(topic_rows: DataFrame, as_of: Column | None = None,
-                      enabled: list[str] | None = None) -> DataFrame:
+                      enabled: list[str] | None = None, obs_date: str | None = None) -> DataFrame:
     """S7 from ``kilonova.kilonova_topic_rows`` (one scan for all three
-    kilonova topics): only the inputs of the channel rules are computed."""
+    kilonova topics): only the inputs of the channel rules are computed.  ``obs_date`` names
+    a column for the date of the observation."""
     notes = topic_rows.select(
         "topic", "candid", "mag", "field",
         F.expr(TX.jd_to_utc_sql("jd")).alias("obs_utc"), F.expr(galactic_lat_sql("ra", "dec")).alias("gal_lat"))
-    return notify_channels(notes, as_of, enabled)
+    if obs_date:
+        notes = notes.withColumn(obs_date, F.substring("obs_utc", 1, 10))
+    return notify_channels(notes, as_of, enabled, keep=[obs_date] if obs_date else None)

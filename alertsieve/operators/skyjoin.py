@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.sky import ang_sep_sql, disc_cells_sql, point_cell_sql
+from ..session import file_marks
 
 CELL = "_cell"
 DEFAULT_CELL_DEG = 0.5
@@ -47,6 +48,14 @@ def explode_catalogue(cat: DataFrame, ra: str, dec: str, radius_rad: Column | st
 _CHECKED: dict = {}
 
 
+def plan_key(df: DataFrame) -> tuple:
+    """What a measured figure of ``df`` holds for: the plan and the files it reads, with their length and
+    time of change."""
+    spark = df.sparkSession
+    folders = sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()})
+    return spark.sparkContext.applicationId, df.semanticHash(), tuple(file_marks(spark, f) for f in folders)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Bytes of ``df`` in memory: eight per fixed-width value plus the text, and a row header."""
     wide = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
@@ -56,16 +65,17 @@ def measured_bytes(df: DataFrame) -> int:
     return rows * (16 + 8 * len(df.columns)) + chars
 
 
-def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES, size=None) -> DataFrame:
     """``broadcast(df)`` when its measured size is at most ``max_bytes`` (or the session's
     ``alertsieve.broadcast.maxBytes``); otherwise ``df`` itself (shuffle join on the cell id;
     AQE splits skewed cells).  The size is one small job, remembered for the plan and the files
-    it reads, so a catalogue that has grown is measured again."""
+    it reads, so a catalogue that has grown is measured again.  ``size`` measures ``df`` where its columns
+    are more than numbers and text."""
     spark = df.sparkSession
     max_bytes = int(spark.conf.get("alertsieve.broadcast.maxBytes", str(max_bytes)))
-    key = (spark.sparkContext.applicationId, df.semanticHash(), frozenset(df.inputFiles()))
+    key = plan_key(df)
     if key not in _CHECKED:
-        _CHECKED[key] = measured_bytes(df)
+        _CHECKED[key] = size() if size else measured_bytes(df)
     return F.broadcast(df) if _CHECKED[key] <= max_bytes else df
 
 

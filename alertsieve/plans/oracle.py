@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 
 from ..functions.sky import GAL_POLE_DEC, GAL_POLE_RA
+from ..sources.fixtures import _CDS as CDS_NAMES
+from .queries import REGION
 
 
 def _f(x: float) -> str:
@@ -432,6 +434,8 @@ FROM a"""
 
     q["early_kn_candidates"] = _with(ALERTS_CTE, GALAXY_CTE, SKY_CTE, EKN_CUT_CTE, HOST_PAIRS_CTE,
                                      EKN_FINAL_CTE) + "\nSELECT candid, objectId, galaxy_idx FROM ekn"
+    q["stream_early_kn"] = _with(ALERTS_CTE, GALAXY_CTE, SKY_CTE, EKN_CUT_CTE, HOST_PAIRS_CTE,
+                                 EKN_FINAL_CTE) + "\nSELECT candid, objectId, galaxy_idx, round(abs_mag, 6) AS abs_mag FROM ekn"
     q["rate_based_kn_candidates"] = _with(ALERTS_CTE, SKY_CTE, RATE_FIT_CTE) + \
         "\nSELECT candid, objectId, round(rate, 6) AS rate FROM rkn"
 
@@ -511,6 +515,10 @@ SELECT candid, galaxy_idx, round(sep_rad, 6) AS sep_rad, round(abs_mag, 6) AS ab
   round(sep_rad * ang_dist * 1000.0::DOUBLE, 6) AS proj_sep_kpc FROM hm"""
     q["host_first"] = H + "\nSELECT candid, galaxy_idx, round(lum_dist, 6) AS lum_dist FROM hf"
     q["host_exists"] = H + "\nSELECT DISTINCT candid FROM hm"
+    ra0, dec0, radius = REGION
+    q["cone_alerts"] = _with(ALERTS_CTE, SKY_CTE) + f"""
+SELECT candid, objectId FROM a x WHERE {sep_sql('x.ra', 'x.dec', f'{ra0}::DOUBLE', f'{dec0}::DOUBLE')} <= {math.radians(radius)!r}
+  AND NOT {_star_near('x')}"""
     q["star_veto"] = _with(ALERTS_CTE, SKY_CTE) + f"\nSELECT candid FROM a x WHERE NOT {_star_near('x')}"
 
     topics = " UNION ALL ".join(
@@ -534,4 +542,18 @@ SELECT candid, objectId FROM a WHERE cdsxmatch IN ('SN', 'Candidate_SN*') AND jd
                                      _channels("kmsg", "kn_candidates", False),
                                      _channels("ekn", "early_kn_candidates", True),
                                      _channels("rkn", "rate_based_kn_candidates", False)])
+    for name in ("class_counts", "filter_counts", "object_classes"):
+        q[f"nightly_{name}"] = q[name]
+    q["nightly_label_counts"] = q["simbad_type_counts"]
+    q["notify_stream"] = q["notify_channels"]
+    q["star_veto_bucketed"] = q["star_veto"]
+    names = "['" + "', '".join(CDS_NAMES) + "']"
+    cds = lambda k: f"{names}[CAST(p_partkey * {k} % 19 + 1 AS INT)]"
+    within = lambda x, low, width: f"x.{x} >= {low} AND x.{x} < {low} + {width}::DOUBLE"
+    q["route_rules"] = A + f"""
+SELECT 'rule_' || p_partkey AS topic, candid FROM a x, part WHERE CASE p_partkey % 3
+  WHEN 0 THEN x.cdsxmatch = {cds(1)} AND {within('magpsf', '16 + (p_partkey * 37 % 450) / 100.0::DOUBLE', 0.05)}
+  WHEN 1 THEN x.cdsxmatch IN ({cds(7)}, {cds(11)}) AND {within('rf_snia_vs_nonia', '(p_partkey * 13 % 90) / 100.0::DOUBLE', 0.01)}
+  ELSE {within('classtar', '(p_partkey * 17 % 95) / 100.0::DOUBLE', 0.005)}
+    AND {within('drb', '(p_partkey * 29 % 80) / 100.0::DOUBLE', 0.1)} END"""
     return q

@@ -24,7 +24,7 @@ from ..operators import kilonova as KN
 from ..operators import routing as R
 from ..operators.catalogue import build_galaxy_catalogue, read_catalogue, write_catalogue
 from ..sources import fixtures as FX
-from .tables import alerts, galaxies, rounded, sky_objects
+from .tables import alerts, clustered_table_path, galaxies, nightly_path, rounded, sky_objects
 
 Q = {}
 
@@ -229,8 +229,8 @@ def text_columns(spark: SparkSession, sf: str) -> DataFrame:
         "dayofweek(to_date(substring(obs_utc, 1, 10))) = 6 AS is_friday",
         f"concat('{TX.PORTAL_BASE}', objectId) AS portal_link",
         f"{TX.tns_link_sql('candidate.ra', 'candidate.dec')} AS tns_link",
-        "format_string('%.2f', candidate.magpsf) AS mag_text",
-        "format_string('%+.7f', candidate.dec) AS dec_text")
+        f"{TX.message_sql('%.2f', 'candidate.magpsf')} AS mag_text",
+        f"{TX.message_sql('%+.7f', 'candidate.dec')} AS dec_text")
 
 
 # --- J1-J3 --------------------------------------------------------------------------
@@ -245,7 +245,7 @@ def host_match(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("host_first")
 def host_first(spark: SparkSession, sf: str) -> DataFrame:
-    h = KN.host_first(KN.host_match(KN.early_kn_cut_alerts(alerts(spark, sf)), galaxies(spark, sf)))
+    h = KN.nearest_host(KN.early_kn_cut_alerts(alerts(spark, sf)), galaxies(spark, sf))
     return rounded(h.select("candid", F.col("g_idx").alias("galaxy_idx"),
                             F.col("g_lum_dist").alias("lum_dist")))
 
@@ -263,6 +263,20 @@ def star_veto(spark: SparkSession, sf: str) -> DataFrame:
     return KN.star_veto(a, sky_objects(spark, sf)).select("candid")
 
 
+#: Centre (degrees) and radius of the region of ``cone_alerts``.
+REGION = (50.0, 28.9, 4.0)
+
+
+@query("cone_alerts")
+def cone_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """S1/J3 on the clustered table: the alerts of a region that have no star/QSO-type object within 5 arcsec."""
+    from ..sources.clustered import read_clustered
+    ra, dec, radius = REGION
+    a = read_clustered(spark, clustered_table_path(spark, sf), ra, dec, radius).select(
+        "candid", "objectId", F.col("candidate.ra").alias("ra"), F.col("candidate.dec").alias("dec"))
+    return KN.star_veto(a, sky_objects(spark, sf)).select("candid", "objectId")
+
+
 # --- S2-S7 --------------------------------------------------------------------------
 
 @query("scan_catalogue")
@@ -326,6 +340,68 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
                                      max_files_per_trigger=16)
 
 
+@query("stream_early_kn")
+def stream_early_kn(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 on a stream: the early kilonova candidates with their hosts, in append mode."""
+    from ..streaming.stream import run_early_kn_stream
+    from .tables import alert_table_path
+    out = run_early_kn_stream(spark, alert_table_path(spark, sf), galaxies(spark, sf), sky_objects(spark, sf))
+    return rounded(out.select("candid", "objectId", F.col("g_idx").alias("galaxy_idx"), "abs_mag"))
+
+
+@query("notify_stream")
+def notify_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The alert table as a stream -> notification rows with published catalogue versions, committed once."""
+    from pyspark.sql import types as T
+    from ..operators.catalogue import publish_catalogue
+    from ..schema import ALERT
+    from ..session import run_folder
+    from ..sources.alerts import NIGHT
+    from ..streaming.stream import read_notifications, run_versioned_stream
+    from .tables import alert_table_path
+    base = run_folder(spark, "catalogues")
+    publish_catalogue(galaxies(spark, sf), f"{base}/galaxies")
+    publish_catalogue(sky_objects(spark, sf), f"{base}/sky")
+    schema = T.StructType(ALERT.fields + [T.StructField(NIGHT, T.LongType())])
+    table = run_versioned_stream(spark, alert_table_path(spark, sf), schema, f"{base}/galaxies", f"{base}/sky",
+                                 max_files_per_trigger=16)
+    return read_notifications(spark, table).select("topic", "candid", "channel")
+
+
+# --- counts by night (A1, A2, A3, A8), kept up to date --------------------------------
+
+def _nightly(name: str, column: str):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        from ..operators import nightly as N
+        return getattr(N, column)(spark, nightly_path(spark, sf))
+    run.__name__ = name
+    return run
+
+
+for _n in ("class_counts", "label_counts", "filter_counts", "object_classes"):
+    Q[f"nightly_{_n}"] = _nightly(f"nightly_{_n}", _n)
+
+
+# --- tables stored by cell, rules as data -----------------------------------------------
+
+@query("star_veto_bucketed")
+def star_veto_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """J3 over every alert by tables stored by cell: the join has no exchange and nothing is broadcast."""
+    from ..operators import bucketed as B
+    a = alerts(spark, sf).select("candid", F.col("candidate.ra").alias("ra"), F.col("candidate.dec").alias("dec"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    points = B.store_points(a, "ra", "dec", buckets=buckets)
+    stars = B.store_catalogue(KN.star_cells(sky_objects(spark, sf)), buckets=buckets)
+    return B.bucket_join(points, stars, "ra", "dec", "s_ra", "s_dec", "left_anti", radius_name="s_radius").select("candid")
+
+
+@query("route_rules")
+def route_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """User rules given as a table, all routed in one scan through an index over their conjuncts."""
+    from ..operators.rule_index import route_rules as route
+    return route(alerts(spark, sf), FX.load_rules(spark, sf), ["candid"])
+
+
 # --- U1-U3 --------------------------------------------------------------------------
 
 @query("filter_by_path")

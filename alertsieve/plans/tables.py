@@ -8,21 +8,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.catalogue import build_galaxy_catalogue
+from ..session import file_marks, run_folder
 from ..sources import fixtures as FX
 
 
 # DataFrames are immutable logical plans: the input tables are built once per
 # (session, folder) and reused by every query (plan reuse, not data caching).
 _PLANS: dict = {}
-_SOURCE = {"derived": "events", "alert_path": "events", "alerts": "events", "galaxies": "customer", "sky": "part"}
+_SOURCE = {"derived": "events", "alert_path": "events", "alerts": "events", "clustered": "events", "nightly": "events",
+           "galaxies": "customer", "sky": "part"}
 
 
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
-    """The plan built for a folder, for as long as its tables have the same files."""
+    """The plan built for a folder, for as long as its table has the same files, of the same length
+    and time of change.  One listing by the file system; the table isn't opened."""
     key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
-    files = frozenset(spark.read.parquet(f"{sf_dir}/{_SOURCE[kind]}.parquet").inputFiles())
-    if key not in _PLANS or _PLANS[key][0] != files:
-        _PLANS[key] = files, build()
+    marks = file_marks(spark, f"{sf_dir}/{_SOURCE[kind]}.parquet")
+    if key not in _PLANS or _PLANS[key][0] != marks:
+        _PLANS[key] = marks, build()
     return _PLANS[key][1]
 
 
@@ -34,7 +37,6 @@ def derived_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alert_table_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the written alert table (written on first use)."""
     def build():
-        from ..session import run_folder
         from ..sources.alerts import write_alerts
         path = run_folder(spark, "alert-table")
         write_alerts(derived_alerts(spark, sf_dir), path, mode="overwrite")
@@ -59,6 +61,24 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo("alerts", spark, sf_dir, lambda: _materialise_alerts(spark, sf_dir))
 
 
+def clustered_table_path(spark: SparkSession, sf_dir: str, files: int = 128) -> str:
+    """Folder of the alert table clustered by sky position and night (written on first use)."""
+    def build():
+        from ..sources.clustered import write_clustered
+        path = run_folder(spark, "clustered")
+        write_clustered(alerts(spark, sf_dir), path, files)
+        return path
+    return _memo("clustered", spark, sf_dir, build)
+
+
+def nightly_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the counts by night of the alert table, brought up to date."""
+    from ..operators.nightly import refresh
+    path = _memo("nightly", spark, sf_dir, lambda: run_folder(spark, "nightly"))
+    refresh(spark, alert_table_path(spark, sf_dir), path, galaxies(spark, sf_dir), sky_objects(spark, sf_dir))
+    return path
+
+
 def galaxies(spark: SparkSession, sf_dir: str) -> DataFrame:
     # matching never relies on row order, so no sort here (saves a shuffle)
     return _memo("galaxies", spark, sf_dir,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -74,6 +75,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target))
 
 
+def _text_of(spark: SparkSession, statuses) -> str:
+    """File statuses as text, in one call."""
+    return spark.sparkContext._jvm.scala.runtime.ScalaRunTime.stringOf(statuses)
+
+
+def file_marks(spark: SparkSession, path: str) -> str:
+    """Path, length and modification time of a file, or of the files of a folder and its direct
+    sub-folders, as one text: it changes when a table is written again, also under the same names."""
+    target, fs = _hadoop_path(spark, path)
+    seen = _text_of(spark, fs.globStatus(target))
+    if "isDirectory=true" in seen:
+        for pattern in ("*", "*/*"):
+            inner = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, pattern)
+            seen += _text_of(spark, fs.globStatus(inner))
+    return re.sub(r"access_time=\d+", "", seen)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file; its folders are made."""
+    target, fs = _hadoop_path(spark, path)
+    fs.create(target, False).close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names directly inside a folder, in order; none where there is no such folder."""
+    target, fs = _hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder and what is in it; whether it was there."""
+    target, fs = _hadoop_path(spark, path)
+    return bool(fs.delete(target, True))
+
+
 def clear_run_folders(spark: SparkSession) -> int:
     """Delete the folders that ``run_folder`` named for this application, and only those.
 

@@ -76,14 +76,16 @@ def object_history(slim: DataFrame, n_parts: int) -> DataFrame:
     Events are range-partitioned on (obj, ts, event_id): the sampler splits a
     large object's time range over many partitions, and partition i precedes
     partition i+1 in that order.  Inside a partition rank, first date and
-    history are local; what an object's earlier partitions hold -- count,
-    first date, points, one row per (object, partition) -- is carried in.  The
-    partitioned slim events are checkpointed (shared folder of
-    ``spark.checkpoint.dir``) so both uses see the same partition ids even if
+    history are local.  An object that lies in several partitions is cut into pieces, one
+    per partition; at most one such object crosses each border, so there are fewer of them than partitions.
+    Every piece is sent to the object's later partitions, where its points are put in front of the
+    alerts' own: grouped by (object, partition), so a task holds the points of one partition and
+    one history, never an object's pieces for all its partitions.  Windows by object see the counts and first dates of pieces
+    alone.  The partitioned slim events are checkpointed (shared folder of
+    ``spark.checkpoint.dir``) so all uses see the same partition ids even if
     a stage is recomputed after an executor loss.  Every alert carries all
     earlier points of its object, so the history itself is quadratic in an
-    object's events by definition; Catalyst drops it when it is not read.  When it
-    is read, the carried points of one object meet in one task (the window by obj).
+    object's events by definition; Catalyst drops it when it is not read.
     """
     ensure_checkpoint_dir(slim.sparkSession)
     r = (slim.repartitionByRange(n_parts, "obj", "ts", "event_id")
@@ -94,17 +96,24 @@ def object_history(slim: DataFrame, n_parts: int) -> DataFrame:
         "event_id", "obj", "jd", "_pid", f"row_number() OVER ({by}) AS _rank",
         f"min(jd) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _first",
         f"collect_list({point}) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _points")
-    held = r.selectExpr("obj", "_pid", "jd", f"named_struct('ts', ts, 'e', event_id, 'p', {point}) AS q").groupBy(
-        "obj", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("jd").alias("_m"),
-                           F.array_sort(F.collect_list("q")).alias("_q"))
+    crossing = (r.groupBy("obj").agg(F.min("_pid").alias("_low"), F.max("_pid").alias("_last"))
+                .filter("_last > _low").select("obj", "_last"))
+    pieces = r.join(F.broadcast(crossing), "obj")  # fewer rows than partitions
     before = "OVER (PARTITION BY obj ORDER BY _pid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    carry = held.selectExpr("obj", "_pid", f"coalesce(sum(_n) {before}, 0) AS _count", f"min(_m) {before} AS _start",
-                            f"flatten(collect_list(transform(_q, x -> x.p)) {before}) AS _earlier")
-    return local.join(carry, ["obj", "_pid"]).selectExpr(
+    counts = (pieces.groupBy("obj", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("jd").alias("_m"))
+              .selectExpr("obj", "_pid", f"sum(_n) {before} AS _count", f"min(_m) {before} AS _start"))
+    held = (pieces.selectExpr("obj", "_pid", "_last", f"named_struct('ts', ts, 'e', event_id, 'p', {point}) AS q")
+            .groupBy("obj", "_pid", "_last").agg(F.array_sort(F.collect_list("q")).alias("_q")))
+    sent = held.selectExpr("obj", "_pid AS _from", "transform(_q, x -> x.p) AS _piece",
+                           "explode(filter(sequence(_pid, _last), x -> x > _pid)) AS _to")
+    earlier = (sent.groupBy("obj", F.col("_to").alias("_pid"))
+               .agg(F.array_sort(F.collect_list(F.struct("_from", "_piece"))).alias("_e"))
+               .selectExpr("obj", "_pid", "flatten(transform(_e, x -> x._piece)) AS _earlier"))
+    return (local.join(counts, ["obj", "_pid"], "left").join(earlier, ["obj", "_pid"], "left").selectExpr(
         "event_id", "obj", "jd",
         "CASE WHEN _start IS NULL THEN _first ELSE least(_start, _first) END AS jdstarthist",
-        "CAST(_count + _rank AS BIGINT) AS ndethist",
-        "concat(coalesce(_earlier, array()), coalesce(_points, array())) AS prv_candidates")
+        "CAST(coalesce(_count, 0) + _rank AS BIGINT) AS ndethist",
+        "concat(coalesce(_earlier, array()), coalesce(_points, array())) AS prv_candidates"))
 
 
 def events_to_alerts(events: DataFrame, n_parts: int | None = None) -> DataFrame:
@@ -200,3 +209,28 @@ def load_raw_galaxies(spark, sf_dir: str) -> DataFrame:
 
 def load_sky_objects(spark, sf_dir: str) -> DataFrame:
     return part_to_sky_objects(spark.read.parquet(f"{sf_dir}/part.parquet"))
+
+
+def part_to_rules(part: DataFrame) -> DataFrame:
+    """User rules (``rule_index.RULES``), one per row of ``part``: a label and a magnitude, two labels and a score, or two
+    scores (FIXTURES.md)."""
+    p = "p_partkey"
+    names = "array(" + ", ".join(f"'{n}'" for n in _CDS) + ")"
+
+    def label(k: int) -> str:
+        return f"element_at({names}, CAST({p} * {k} % 19 + 1 AS INT))"
+
+    def span(column: str, low: str, width: float) -> str:
+        return f"named_struct('column', '{column}', 'low', {low}, 'high', {low} + {width!r}D)"
+    return part.selectExpr(
+        f"concat('rule_', CAST({p} AS STRING)) AS topic",
+        f"CASE {p} % 3 WHEN 0 THEN map('cdsxmatch', array({label(1)})) WHEN 1 THEN map('cdsxmatch', array({label(7)}, {label(11)})) "
+        "ELSE CAST(map() AS MAP<STRING, ARRAY<STRING>>) END AS labels",
+        f"CASE {p} % 3 WHEN 0 THEN array({span('magpsf', f'16 + ({p} * 37 % 450) / 100.0D', 0.05)}) "
+        f"WHEN 1 THEN array({span('rf_snia_vs_nonia', f'({p} * 13 % 90) / 100.0D', 0.01)}) "
+        f"ELSE array({span('classtar', f'({p} * 17 % 95) / 100.0D', 0.005)}, {span('drb', f'({p} * 29 % 80) / 100.0D', 0.1)}) "
+        "END AS ranges")
+
+
+def load_rules(spark, sf_dir: str) -> DataFrame:
+    return part_to_rules(spark.read.parquet(f"{sf_dir}/part.parquet"))

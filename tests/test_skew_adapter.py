@@ -29,6 +29,29 @@ def test_prefix_scan_equals_window(spark):
     assert got == want
 
 
+def test_hot_object_is_never_gathered(spark):
+    """One object holds a third of the events over 64 partitions: the history is that of the window per object, and no
+    window or exchange by object alone carries points."""
+    from pyspark.sql import functions as F
+    ev = spark.read.parquet(f"{SF01}/events.parquet").filter("event_id % 8 = 0")
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 24 == 0, F.lit(7)).otherwise(F.col("user_id")))
+    hot = hot.withColumn("props", F.when(F.col("user_id") == 7, F.lit('{"k": 1}')).otherwise(F.col("props")))
+    got = FX.object_history(FX._slim_events(hot), 64)
+    by = "PARTITION BY obj ORDER BY ts, event_id"
+    want = FX._slim_events(hot).selectExpr(
+        "event_id", "obj", "jd", f"min(jd) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS jdstarthist",
+        f"CAST(row_number() OVER ({by}) AS BIGINT) AS ndethist",
+        f"collect_list({FX._history_point_sql()}) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        " AS prv_candidates")
+    rows = lambda df: sorted((r.event_id, r.jdstarthist, r.ndethist, str(r.prv_candidates)) for r in df.collect())
+    assert rows(got) == rows(want)
+    assert got.groupBy("obj").count().agg(F.max("count")).first()[0] > hot.count() / 3.5
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if "Window [" in line and "collect_list" in line:
+            assert "_pid" in line.rsplit("], [", 2)[1], line  # points: by object and partition
+
+
 def test_one_pass_flags_salted_path_equals_broadcast(spark):
     """With broadcasting disabled by the size bound, the existence probes use
     the salted shuffle path and give the same flags."""
