@@ -44,3 +44,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .select("e.*").filter("u != v").distinct(), "links")
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def relabel(rows: DataFrame, roots: DataFrame, column: str = "class") -> DataFrame:
+    """``rows`` and ``root``: the root of their node, or the node itself where it has no link."""
+    named = roots.select(F.col("node").alias(column), "root")
+    return rows.join(named, column, "left").withColumn("root", F.coalesce("root", column))

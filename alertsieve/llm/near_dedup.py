@@ -9,11 +9,15 @@
 3. Every list names its smallest class as its pivot; the distinct (pivot, member) rows of all
    lists make the groups.  Classes that share any list share a group, and a group is written as
    its rows, never as pairs.
-4. Inside a group, the overlap of two sketches bounds the estimate from their union sketch; what
-   passes is verified on the full sets.  A group returns its links as stars, one per component.
-   Groups over ``BLOCK`` members are cut by set size (sets that can be linked have similar sizes)
-   and into pairs of blocks, so no task holds more than two blocks of sets.
-5. Components of the links, in Spark.
+4. Two members of a group are compared by the estimate from their union sketch (the values of both that are not above
+   the smaller of their largest retained values: the k smallest of the union at least); what passes is verified
+   on the full sets.  A task gets classes with the component that they are known to belong to, looks only at pairs of
+   different components, and returns one link for each component that it joins to another: never a pair twice over.
+5. Groups over ``BLOCK`` members go first.  They are cut by set size (sets that can be linked have similar
+   sizes) and into blocks; ``HUBS`` members that share most list entries with others join every block, so a block
+   is linked to the rest of its group through them (A).  Members outside the component of the chief hub then meet all blocks
+   (B).  What is left of the small groups, those with two components or more, comes last (C).  No task holds more than two blocks of sets.
+6. Components of the links, in Spark, after each of these steps.
 
 Defined results: NULL, empty and word-free texts have the empty set and are linked with nothing;
 a text of fewer words than the n-gram is one shingle; rows that repeat an id count as documents
@@ -33,15 +37,15 @@ from pyspark.sql import functions as F
 
 from . import wordhash as W
 from .common import KeyFilter, stored
-from .components import components
+from .components import components, relabel
 
 WORDS, SKETCH, RUN = 5, 48, 3
 #: Jaccard similarity of a link, as a fraction of integers.
 THRESHOLD = (85, 100)
-#: A pair is verified when its sketches share this part of the shorter one (mean for a link at
-#: the threshold: 0.85, spread 0.05).
-ESTIMATE = 0.45
-BLOCK = 512
+#: A pair is verified when its estimate lies at most so many standard deviations of the estimate of a pair at the
+#: threshold below the threshold (0.46 at k = 48).
+SPREAD = 7.5
+BLOCK, HUBS = 512, 16
 BITMAP_BITS = 22
 _RANDOM = W.mix(np.arange(1, 3, dtype=W.U) * W.U(0x632BE59BD9B4E019))
 
@@ -149,41 +153,70 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _links(sets: list[np.ndarray], sketch: int, threshold: tuple[int, int]) -> list[tuple[int, int]]:
-    """The links among the sets as stars: (first member of a component, another member)."""
+def _estimates(sketches: list[np.ndarray], whole: np.ndarray) -> np.ndarray:
+    """Jaccard estimates of all pairs from their union sketches; exact where both sketches are ``whole`` sets."""
+    both = _overlaps(sketches)
+    last = np.array([s[-1] for s in sketches])
+    last[whole] = np.iinfo(np.uint64).max
+    upto = np.minimum(last[:, None], last[None, :])
+    # how many retained values of i are at most upto[i, j]: all that both keep are among them
+    within = np.stack([np.searchsorted(s, upto[i], side="right") for i, s in enumerate(sketches)])
+    return both / np.maximum(within + within.T - both, 1)
+
+
+def _joins(sets: list[np.ndarray], root: np.ndarray, ask: np.ndarray, sketch: int,
+           threshold: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links between components: (first root, another root) for every further root that linked pairs of sets join
+    to it.  ``ask`` says which pairs count."""
     num, den = threshold
     size = np.array([len(s) for s in sets])
-    kept = np.minimum(size, sketch)
-    may = _overlaps([s[:sketch] for s in sets]) >= ESTIMATE * np.minimum(kept[:, None], kept[None, :])
-    may &= den * np.minimum(size[:, None], size[None, :]) >= num * np.maximum(size[:, None], size[None, :])
-    np.fill_diagonal(may, False)
+    same = root[:, None] == root[None, :]
+    may = ask & ~same & (den * np.minimum(size[:, None], size[None, :]) >= num * np.maximum(size[:, None], size[None, :]))
+    if not may.any():
+        return []
+    j = num / den
+    least = j - SPREAD * math.sqrt(j * (1 - j) / sketch)
+    may &= _estimates([s[:sketch] for s in sets], size <= sketch) >= least
     some = np.flatnonzero(may.any(axis=1))
     if len(some) == 0:
         return []
     both = _overlaps([sets[i] for i in some])
     union = size[some][:, None] + size[some][None, :] - both
     linked = may[np.ix_(some, some)] & (den * both >= num * union)
+    near = linked | same[np.ix_(some, some)]
     out, todo = [], set(range(len(some)))
     while todo:
         first = min(todo)
         todo.remove(first)
-        stack = [first]
+        stack, roots = [first], {int(root[some[first]])}
         while stack:
-            for j in np.flatnonzero(linked[stack.pop()]):
-                if j in todo:
-                    todo.remove(j)
-                    stack.append(int(j))
-                    out.append((int(some[first]), int(some[j])))
+            for k in np.flatnonzero(near[stack.pop()]):
+                if k in todo:
+                    todo.remove(k)
+                    stack.append(int(k))
+                    roots.add(int(root[some[k]]))
+        low = min(roots)
+        out += [(low, r) for r in sorted(roots) if r != low]
     return out
 
 
 def _verify(sketch: int, threshold: tuple[int, int]):
+    """Rows (class, root, asks, hashes) -> links (a, b) of roots.  A row that ``asks`` meets all, any other only
+    those that do."""
     def work(group: pa.Table) -> pa.Table:
-        sets = dict(zip(group.column("class").to_pylist(), group.column("hashes").to_pylist()))
-        ids = sorted(sets)  # the first member of a component is its smallest class
-        pairs = _links([np.frombuffer(sets[i], dtype=W.U) for i in ids], sketch, threshold) if len(ids) > 1 else []
-        return pa.table({"a": pa.array([ids[i] for i, _ in pairs], pa.binary()),
-                         "b": pa.array([ids[j] for _, j in pairs], pa.binary())})
+        root, asks, sets = {}, {}, {}
+        for c, r, q, h in zip(*[group.column(x).to_pylist() for x in ("class", "root", "asks", "hashes")]):
+            root[c], sets[c], asks[c] = r, h, q or asks.get(c, False)
+        ids = sorted(sets)
+        names = sorted(set(root.values()))  # the first root of a component is its smallest
+        number = {r: i for i, r in enumerate(names)}
+        who = np.array([asks[i] for i in ids])
+        pairs = []
+        if len(names) > 1 and who.any():
+            pairs = _joins([np.frombuffer(sets[i], dtype=W.U) for i in ids], np.array([number[root[i]] for i in ids]),
+                           who[:, None] | who[None, :], sketch, threshold)
+        return pa.table({"a": pa.array([names[i] for i, _ in pairs], pa.binary()),
+                         "b": pa.array([names[j] for _, j in pairs], pa.binary())})
     return work
 
 
@@ -211,18 +244,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
     # inverted lists: which keys more than one class has, and the smallest class of each
     lists = stored(one.select("class", F.explode("keys").alias("key")).groupBy("key")
-                   .agg(F.count(F.lit(1)).alias("c"), F.min("class").alias("pivot")).filter("c > 1")
-                   .select("key", "pivot"), "near-lists")
+                   .agg(F.count(F.lit(1)).alias("c"), F.min("class").alias("pivot")).filter("c > 1"), "near-lists")
     members = (one.select("keys", "class", "n", "of")
                .mapInArrow(_list_rows(KeyFilter(lists, "key", BITMAP_BITS)), "key long, class binary, n long, of long")
-               .join(lists, "key").groupBy("pivot", "class").agg(F.first("n").alias("n"), F.first("of").alias("of")))
+               .join(lists, "key").groupBy("pivot", "class")
+               .agg(F.first("n").alias("n"), F.first("of").alias("of"), F.sum("c").alias("shared")))
     members = stored(members, "near-groups")  # a pivot is a member of its own group
 
     # full sets of the classes that are in a group, read again from one document of each
     sets = _class_sets(base.select(F.xxhash64("_key").alias("of"), "_text"), members, words)
-    links = (_blocks(members, threshold, block).join(sets, "class").groupBy("pivot", "size", "i", "j")
-             .applyInArrow(_verify(sketch, threshold), "a binary, b binary"))
-    roots = components(links)
+    roots = _linked(members, sets, sketch, threshold, block)
 
     # the smallest key of every component of more than one class, then of every class
     linked = one.select("class", "_low").join(roots.withColumnRenamed("node", "class"), "class")
@@ -236,21 +267,73 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
             .withColumn("component_id", F.coalesce("component_id", "_key")).withColumnRenamed("_key", key))
 
 
-def _blocks(members: DataFrame, threshold: tuple[int, int], block: int) -> DataFrame:
-    """(pivot, size, i, j, class): the tasks a member takes part in.  A group of up to ``block``
-    members is one task; a larger one is cut by set size, then into pairs of blocks."""
-    step = math.log(threshold[1] / threshold[0]) * (1 + 1e-9)
+def _linked(members: DataFrame, sets: DataFrame, sketch: int, threshold: tuple[int, int], block: int) -> DataFrame:
+    """(node, root) of every class that is linked with another, from the groups (pivot, class, n, shared)."""
+    def links(rows: DataFrame, by: list[str], label: str) -> DataFrame:
+        found = (rows.join(sets, "class").groupBy(*by)
+                 .applyInArrow(_verify(sketch, threshold), "a binary, b binary"))
+        return stored(found.distinct(), label)
+
     count = stored(members.groupBy("pivot").agg(F.count(F.lit(1)).alias("c")), "near-counts")
-    rows = members.join(count, "pivot")
-    # sets whose sizes allow a link are in the same size step or in neighbouring ones
+    small, roots, found = members, None, None
+    if not count.filter(F.col("c") > block).isEmpty():
+        sets = stored(sets, "near-sets")  # read by every step
+        small = members.join(count.filter(F.col("c") <= block), "pivot").drop("c")
+        large = stored(_cut(members.join(count.filter(F.col("c") > block), "pivot"), threshold, block), "near-cut")
+        by = ["pivot", "size", "block"]
+        chief, hubs = _hubs(large)
+        own = large.select(*by, "class").union(hubs.select(*by, "class")).distinct()
+        found = links(own.withColumn("root", F.col("class")).withColumn("asks", F.lit(True)), by, "near-links-a")
+        roots = stored(components(found), "near-roots-a")
+
+        # members outside the component of their group's chief hub meet every block of the group
+        known = relabel(large, roots)
+        chief = relabel(chief, roots).select("pivot", "size", F.col("root").alias("chief"))
+        known = stored(known.join(chief, ["pivot", "size"]).withColumn("asks", F.col("root") != F.col("chief")), "near-known")
+        rests = stored(known.filter("asks").groupBy("pivot", "size")
+                       .agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("rests")), "near-rests")
+        if not rests.isEmpty():
+            left = known.join(rests, ["pivot", "size"])
+            rest = F.pmod(F.xxhash64("class", F.lit(1)), F.col("rests")).cast("int")
+            columns = ["pivot", "size", "block", "rest", "class", "root", "asks"]
+            asking = (left.filter("asks").withColumn("rest", rest)
+                      .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+            asked = (left.withColumn("rest", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)))
+                     .withColumn("asks", F.lit(False)))
+            more = links(asking.select(*columns).union(asked.select(*columns)), [*by, "rest"], "near-links-b")
+            roots = stored(components(_stars(roots).union(more)), "near-roots-b")
+    if roots is None:
+        rows = small.select("pivot", "class").withColumn("root", F.col("class"))
+    else:
+        rows = relabel(small.select("pivot", "class"), roots)
+        open_ = stored(rows.groupBy("pivot").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+                       .filter("x != y").select("pivot"), "near-open")
+        rows = rows.join(open_, "pivot")
+    last = links(rows.withColumn("asks", F.lit(True)), ["pivot"], "near-links-c")
+    return components(last if roots is None else _stars(roots).union(last))
+
+
+def _stars(roots: DataFrame) -> DataFrame:
+    return roots.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _cut(members: DataFrame, threshold: tuple[int, int], block: int) -> DataFrame:
+    """Members of large groups by (pivot, size, block), each in two size steps: sets whose sizes allow a link are in the
+    same step or in neighbouring ones.  ``parts`` is the number of blocks of a step."""
+    step = math.log(threshold[1] / threshold[0]) * (1 + 1e-9)
     level = F.floor(F.log(F.col("n").cast("double")) / step).cast("int")
-    rows = stored(rows.select("pivot", "class", F.explode(F.when(F.col("c") <= block, F.array(F.lit(-1)))
-                                                          .otherwise(F.array(level, level + 1))).alias("size")),
-                  "near-cut")
-    parts = (rows.filter("size >= 0").groupBy("pivot", "size")
-             .agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("parts")))
-    mine = F.pmod(F.xxhash64("class"), F.coalesce("parts", F.lit(1))).cast("int")
-    return (rows.join(stored(parts, "near-parts"), ["pivot", "size"], "left").withColumn("mine", mine)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
-            .select("pivot", "size", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                    "class"))
+    rows = members.select("pivot", "class", "shared", F.explode(F.array(level, level + 1)).alias("size"))
+    parts = stored(rows.groupBy("pivot", "size")
+                   .agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("parts")), "near-parts")
+    return (rows.join(parts, ["pivot", "size"])
+            .withColumn("block", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")))
+
+
+def _hubs(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pivot, size, class) of the chief hub of every step, and its ``HUBS`` hubs, one row for each block: the members
+    that share most list entries, the best of every hash bucket."""
+    best = F.max(F.struct("shared", "class", "parts")).alias("h")
+    bucket = F.pmod(F.xxhash64("class", F.lit(2)), F.lit(HUBS)).alias("bucket")
+    some = stored(large.groupBy("pivot", "size", bucket).agg(best).select("pivot", "size", "h.*"), "near-hubs")
+    chief = some.groupBy("pivot", "size").agg(best).select("pivot", "size", "h.class")
+    return chief, some.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))

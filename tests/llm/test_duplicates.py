@@ -1,16 +1,21 @@
 """Exact and near duplicates against brute force, and their odd cases."""
 
 import hashlib
+import random
 
-import brute
-SF001 = "/root/testdata/sf0.001"
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+import brute
+
 from alertsieve.llm import exact_dedup as E
 from alertsieve.llm import near_dedup as N
 from alertsieve.llm.components import components
 from llm_helpers import docs_df, text, words
 
+SF001 = "/root/testdata/sf0.001"
+
 
 def test_exact_groups(spark, odd_rows, odd_docs):
     rows = odd_rows + [(None, ""), (16, "one two"), (16, "one two")]
@@ -124,3 +129,65 @@ def test_near_copies_of_a_class_meet_once(spark, monkeypatch):
     docs = docs_df(spark, rows)
     assert near(docs) == brute.near_components(rows)
     assert N.near_duplicates(docs.unionByName(docs)).count() == 2 * len(rows)
+
+
+def test_links_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    """Near copies of one text in one group of many blocks: every step returns links in proportion to the copies."""
+    made, kept = {}, N.stored
+
+    def counted(df, label):
+        out = kept(df, label)
+        if label.startswith("near-links"):
+            made[label] = out.count()
+        return out
+    monkeypatch.setattr(N, "stored", counted)
+    base, total = words(3, 150), {}
+    for n in (150, 600):
+        rows = []
+        for i in range(n):
+            w = base[:]
+            for j in range(1 + i % 4):
+                w[(i * 13 + j * 29) % 150] = f"w{i}x{j}"
+            rows.append((i, " ".join(w)))
+        made.clear()
+        got = near(docs_df(spark, rows), block=32)
+        assert len({c for _, c in got.values()}) < 5
+        if n == 150:
+            assert got == brute.near_components(rows)
+        assert {"near-links-a", "near-links-c"} <= set(made)
+        total[n] = sum(made.values())
+    assert total[600] < 6 * total[150] and total[600] < 8 * 600, total
+
+
+def test_union_sketch_estimate():
+    """Exact for sets that fit a sketch; near the similarity for larger ones."""
+    r = np.random.default_rng(1)
+    pool = r.integers(0, 1 << 63, 4000).astype(np.uint64)
+    for size, k in ((30, 48), (1500, 48), (1500, 400)):
+        a = np.sort(pool[:size])
+        b = np.sort(np.concatenate([pool[:int(size * 0.9)], pool[3000:3000 + size - int(size * 0.9)]]))
+        j = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        got = N._estimates([a[:k], b[:k]], np.array([size <= k] * 2))[0, 1]
+        assert got == pytest.approx(j, abs=1e-12 if size <= k else 4 * np.sqrt(j * (1 - j) / k))
+
+
+@pytest.mark.parametrize("low, high", [(0.85, 0.9)])
+def test_recall_of_sets_beyond_the_sketch(spark, low, high):
+    """Pairs of 300-word texts (296 shingles against a sketch of 48) just over the threshold: all are found."""
+    r, rows = random.Random(9), []
+    for i in range(150):
+        w = words(5000 + i, 300)
+        v, j = w[:], 1.0
+        while True:
+            u = v[:]
+            u[r.randrange(300)] = f"n{i}x{len(rows)}x{r.randrange(10**6)}"
+            s, t = brute.shingles(" ".join(w)), brute.shingles(" ".join(u))
+            if len(s & t) / len(s | t) < low:
+                break
+            v = u
+        s, t = brute.shingles(" ".join(w)), brute.shingles(" ".join(v))
+        j = len(s & t) / len(s | t)
+        assert low <= j <= high
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+    got = near(docs_df(spark, rows))
+    assert all(got[2 * i + 1][1] == 2 * i for i in range(150))
