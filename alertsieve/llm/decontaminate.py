@@ -2,18 +2,20 @@
 
 Of every window of consecutive k-gram hashes the smallest is kept as a fingerprint, so any two
 texts that share ``SPAN`` words in a row share a fingerprint at the same place of that span.
-Fingerprints of documents and benchmark items are joined; each hit carries the few words around
-it on both sides and is extended word by word.  Items shorter than a span count as one window
-and are found by the hash of the whole item.
+A fingerprint is extended to every span of ``SPAN`` words around it.  Spans of the benchmark are reduced to
+distinct (fingerprint, span hash) rows, so a document's span meets at most one of them: a k-gram that many
+texts share inside different surroundings joins nothing.  Spans that meet are hits, and hits that
+touch or overlap grow together.  The ids of items come last, joined to distinct (document, span) rows.
+Items shorter than a span count as one window and are found by the hash of the whole item.
 
-Documents send a fingerprint to the join only if a bitmap of fixed size (``BITMAP_BITS``),
-built over the benchmark, lets it pass; that bitmap is all that is broadcast, whatever the
-size of the benchmark, and a larger benchmark only lets more fingerprints through.
+Documents send a span to the join only if a bitmap of fixed size (``BITMAP_BITS``),
+built over the benchmark's spans, lets it pass; that bitmap is all that is broadcast, whatever the
+size of the benchmark, and a larger benchmark only lets more spans through.
 
 Defined results: NULL and word-free texts have no words and no hits; an item without words
 never occurs; items with a NULL id hit words but are not listed; rows that repeat an item or a
-document each get the full answer.  Equal words are taken by their 64-bit hashes, all words of
-a window being compared.
+document each get the full answer.  Equal words and k-grams are taken by their 64-bit hashes, equal spans by that
+of all their words and that of the k-gram in them.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ WINDOW = SPAN - K + 1
 SIDE = SPAN - K
 BITMAP_BITS = 24
 
-_HIT = pa.struct([("fp", pa.int64()), ("pos", pa.int32()), ("ctx", pa.binary())])
+_HIT = pa.struct([("fp", pa.int64()), ("span", pa.int64()), ("start", pa.int32()), ("size", pa.int32())])
 
 
 def _winnow(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,13 +59,12 @@ def _winnow(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return g, (high == g) & (high != 0)
 
 
-def _context(h: np.ndarray, first: np.ndarray, text: np.ndarray, pos: np.ndarray, pad: int) -> np.ndarray:
-    """Word hashes SIDE before to SIDE behind the k-gram at ``pos``; ``pad`` outside the text."""
-    at = pos[:, None] + np.arange(-SIDE, K + SIDE)[None, :]
-    lo, hi = first[text][:, None], first[text + 1][:, None]
-    out = h[np.clip(at, 0, len(h) - 1)]
-    out[(at < lo) | (at >= hi)] = pad
-    return out
+def _spans(h: np.ndarray, first: np.ndarray, text: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of the k-grams at ``pos``, first word) of all spans around them inside their texts."""
+    which = np.repeat(np.arange(len(pos)), SIDE + 1)
+    start = (pos[:, None] - np.arange(SIDE + 1)[None, :]).ravel()
+    inside = (start >= first[text[which]]) & (start + SPAN <= first[text[which] + 1])
+    return which[inside], start[inside]
 
 
 def _short_hash(g: np.ndarray, n: int) -> np.ndarray:
@@ -83,21 +84,21 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text_of = np.repeat(np.arange(len(n_words)), n_words)
             g, keep = _winnow(h, first)
             pos = np.flatnonzero(keep)
-            ctx = _context(h, first, text_of[pos], pos, 2) if len(pos) else np.zeros((0, SPAN + SIDE), W.U)
-            rows = [(ids[at + int(t)].as_py(), int(f), 0, c.tobytes())
-                    for t, f, c in zip(text_of[pos], _signed(g[pos]), ctx)]
+            which, start = _spans(h, first, text_of[pos], pos)
+            whole = W.ngrams(h, SPAN)
+            parts = [(text_of[pos[which]], _signed(g[pos[which]]), _signed(whole[start]), np.full(len(start), SPAN))]
             for t in np.flatnonzero((n_words > 0) & (n_words < SPAN)):
                 n = int(n_words[t])
-                f = _short_hash(W.ngrams(h[first[t]:first[t + 1]], n), n)
-                rows.append((ids[at + int(t)].as_py(), int(_signed(f)[0]), n, b""))
-            cols = list(zip(*rows)) if rows else [[], [], [], []]
+                f = _signed(_short_hash(W.ngrams(h[first[t]:first[t + 1]], n), n))
+                parts.append((np.array([t]), f, f, np.array([n])))
+            text, fp, span, size = (np.concatenate(x) for x in zip(*parts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], ids.type), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
-                 pa.array(cols[3], pa.binary())], names=["item_id", "fp", "short", "ctx"])
+                [ids.take(pa.array(at + text)), pa.array(fp), pa.array(span), pa.array(size.astype(np.int32))],
+                names=["item_id", "fp", "span", "size"])
 
 
 def _candidates(known: KeyFilter, shorts: list[int]):
-    """Word counts and the fingerprints that the benchmark may have, with their surroundings."""
+    """Word counts and the spans that the benchmark may have."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at, data, offsets in W.chunks(b.column(b.num_columns - 1)):
@@ -106,22 +107,22 @@ def _candidates(known: KeyFilter, shorts: list[int]):
                 text_of = np.repeat(np.arange(len(n_words)), n_words)
                 g, keep = _winnow(h, first)
                 pos = np.flatnonzero(keep)
-                pos = pos[known.passes(_signed(g[pos]))]
-                ctx = _context(h, first, text_of[pos], pos, 1) if len(pos) else np.zeros((0, SPAN + SIDE), W.U)
-                parts = [(text_of[pos], _signed(g[pos]), pos - first[text_of[pos]], [c.tobytes() for c in ctx])]
+                which, start = _spans(h, first, text_of[pos], pos)
+                span = _signed(W.ngrams(h, SPAN)[start])
+                some = known.passes(span)
+                which, start, span = which[some], start[some], span[some]
+                parts = [(text_of[start], _signed(g[pos[which]]), span, start, np.full(len(start), SPAN))]
                 for n in shorts:
-                    f = _short_hash(W.ngrams(h, n), n)
-                    p = np.flatnonzero(known.passes(_signed(f)))
+                    f = _signed(_short_hash(W.ngrams(h, n), n))
+                    p = np.flatnonzero(known.passes(f))
                     p = p[text_of[p] == text_of[p + n - 1]]
-                    parts.append((text_of[p], _signed(f[p]), p - first[text_of[p]], [None] * len(p)))
-                text = np.concatenate([x[0] for x in parts])
+                    parts.append((text_of[p], f[p], f[p], p, np.full(len(p), n)))
+                text, fp, span, start, size = (np.concatenate(x) for x in zip(*parts))
+                start = (start - first[text]).astype(np.int32)
                 order = np.argsort(text, kind="stable")
-                fp = np.concatenate([x[1] for x in parts])[order]
-                at_pos = np.concatenate([x[2] for x in parts])[order].astype(np.int32)
-                ctxs = [c for x in parts for c in x[3]]
                 hits = pa.StructArray.from_arrays(
-                    [pa.array(fp), pa.array(at_pos), pa.array([ctxs[i] for i in order], pa.binary())],
-                    fields=list(_HIT))
+                    [pa.array(fp[order]), pa.array(span[order]), pa.array(start[order]),
+                     pa.array(size[order].astype(np.int32))], fields=list(_HIT))
                 ends = np.searchsorted(text[order], np.arange(len(n_words) + 1)).astype(np.int32)
                 rows = b.slice(at, len(n_words))
                 yield pa.RecordBatch.from_arrays(
@@ -131,32 +132,6 @@ def _candidates(known: KeyFilter, shorts: list[int]):
     return run
 
 
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matched runs of a span or more around every joined fingerprint."""
-    width = SPAN + SIDE
-    for b in batches:
-        n = b.num_rows
-        if n == 0:
-            continue
-        pos = b.column("pos").to_numpy(zero_copy_only=False).astype(np.int64)
-        short = b.column("short").to_numpy(zero_copy_only=False)
-        start, end, ok = pos.copy(), pos + short, short > 0
-        long = np.flatnonzero(short == 0)
-        if len(long):
-            take = lambda name: np.frombuffer(
-                b"".join(b.column(name).take(pa.array(long)).to_pylist()), dtype=W.U).reshape(-1, width)
-            same = take("ctx") == take("item_ctx")
-            left = np.cumprod(same[:, SIDE - 1::-1], axis=1).sum(axis=1)
-            right = np.cumprod(same[:, SIDE + K:], axis=1).sum(axis=1)
-            start[long], end[long] = pos[long] - left, pos[long] + K + right
-            ok[long] = same[:, SIDE:SIDE + K].all(axis=1) & (left + right + K >= SPAN)
-        keep = pa.array(np.flatnonzero(ok))
-        yield pa.RecordBatch.from_arrays(
-            [b.column("uid").take(keep), b.column("items").take(keep),
-             pa.array(start[ok].astype(np.int32)), pa.array(end[ok].astype(np.int32))],
-            names=["uid", "items", "start", "end"])
-
-
 def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id",
                   item_text: str = "text") -> DataFrame:
     """One row per document: the columns of ``docs`` but its text, ``n_words``, ``n_hit`` (words
@@ -166,9 +141,9 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
     docs = docs.drop("n_words", "n_hit", "items", "spans")
     id_type = items.schema[item_key].dataType.simpleString()
     fps = stored(items.select(F.col(item_key).alias("item_id"), F.col(item_text).alias("t"))
-                 .mapInArrow(_item_rows, f"item_id {id_type}, fp long, short int, ctx binary"), "bench-fp")
-    known = KeyFilter(fps, "fp", BITMAP_BITS)
-    shorts = sorted(r[0] for r in fps.filter("short > 0").select("short").distinct().collect())
+                 .mapInArrow(_item_rows, f"item_id {id_type}, fp long, span long, size int"), "bench-fp")
+    known = KeyFilter(fps, "span", BITMAP_BITS)
+    shorts = sorted(r[0] for r in fps.filter(F.col("size") < SPAN).select("size").distinct().collect())
 
     names = [c for c in docs.columns if c != text]
     fields = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
@@ -176,18 +151,19 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
                        F.monotonically_increasing_id().alias("uid"), F.col(f"`{text}`").alias("t"))
     found = stored(rows.mapInArrow(
         _candidates(known, shorts),
-        f"{fields}{', ' if fields else ''}uid long, n_words long, hits array<struct<fp:long,pos:int,ctx:binary>>"), "doc-fp")
-
-    # one row per fingerprint and surroundings, with the items that have them
-    windows = stored(fps.groupBy("fp", "short", F.col("ctx").alias("item_ctx"))
-                     .agg(F.collect_set(F.col("item_id").cast("string")).alias("items")), "bench-windows")
-    hits = found.filter(F.size("hits") > 0).select("uid", F.inline("hits"))
-    runs = (hits.join(windows, "fp").select("uid", "pos", "short", "ctx", "item_ctx", "items")
-            .mapInArrow(_extend, "uid long, items array<string>, start int, end int"))
-    spans = runs.groupBy("uid").agg(
-        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("runs"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    merged = stored(spans.select("uid", "items", _union(F.col("runs")).alias("spans")), "doc-hits")
+        f"{fields}{', ' if fields else ''}uid long, n_words long, hits array<struct<fp:long,span:long,start:int,size:int>>"), "doc-fp")
+
+    keys = ["fp", "span", "size"]
+    windows = stored(fps.select(*keys).distinct(), "bench-windows")  # a document's span meets one of them at most
+    hits = stored(found.filter(F.size("hits") > 0).select("uid", F.inline("hits")).join(windows, keys, "left_semi")
+                  .select("uid", "span", "size", "start").distinct(), "doc-spans")
+    runs = hits.groupBy("uid").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end"))))
+                                   .alias("runs"))
+    named = stored(fps.filter("item_id IS NOT NULL").groupBy("span", "size")
+                   .agg(F.collect_set(F.col("item_id").cast("string")).alias("items")), "bench-items")
+    listed = (hits.select("uid", "span", "size").distinct().join(named, ["span", "size"])
+              .groupBy("uid").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")))
+    merged = stored(runs.join(listed, "uid", "left").select("uid", "items", _union(F.col("runs")).alias("spans")), "doc-hits")
     none = F.array().cast("array<struct<start:int,end:int>>")
     out = found.drop("hits").join(merged, "uid", "left").withColumn("spans", F.coalesce("spans", none))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
