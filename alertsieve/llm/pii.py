@@ -1,7 +1,8 @@
 """Personal data: regular expressions propose spans, checksums confirm, context adjusts the score.
 
-Kinds: email, ip, card (Luhn), phone are the base and follow one fixed rule each; iban (mod-97)
-and idnum (a grouped nine-digit number, taken only with a context word near it) are added.  A
+Kinds: email, ip, card (Luhn), phone are the base and follow one fixed rule each; iban (mod-97),
+idnum (a grouped nine-digit number) and secret (a key of ``SECRET_CHARS`` characters with letters, digits and enough
+different characters) are added, the last two only with a context word near them.  A
 base match that its validator accepts is always a span; its score says how sure the method is.
 
 All steps are DataFrame functions.  Positions come from ``split`` and ``regexp_extract_all``
@@ -9,7 +10,8 @@ on the same pattern: pieces and matches alternate, so running lengths give the o
 points, end exclusive).  Patterns are possessive where that matches the same strings and start
 only where a run starts, so long runs cost linear time and no deep recursion.
 
-Defined results: NULL text is the empty text; empty text has no spans; texts are read whole.
+Defined results: NULL text is the empty text; empty text has no spans; texts are read whole; rows that repeat an id or text
+are read each by itself; a column of the input that is called like the added one is replaced.
 """
 
 from __future__ import annotations
@@ -18,8 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The kinds in their listed order.
-KINDS = ["email", "ip", "card", "phone", "iban", "idnum"]
+KINDS = ["email", "ip", "card", "phone", "iban", "idnum", "secret"]
 BASE = KINDS[:4]
+#: Least and greatest length of a secret, and how many different characters it has at least.
+SECRET_CHARS, SECRET_DISTINCT = (16, 128), 8
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
@@ -27,9 +31,12 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "idnum": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "secret": rf"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{{{SECRET_CHARS[0]},{SECRET_CHARS[1]}}}+(?![A-Za-z0-9_/+-])",
 }
 #: A text without such a string has no match of the kind.
 NEEDS = {"email": "@", "ip": ".", "phone": "+", "idnum": "-"}
+#: Likewise, as a pattern; else two digits with at most a space or hyphen between them.
+MAY = {"secret": "(?i)token|secret|passw|key|bearer"}
 #: Words that raise a score when they stand within ``CONTEXT_CHARS`` before a span.
 CONTEXT = {
     "email": "(?i)e-?mail|contact|write",
@@ -38,10 +45,11 @@ CONTEXT = {
     "phone": "(?i)phone|call|tel|mobile|fax",
     "iban": "(?i)iban|account|bank|konto|compte|cuenta",
     "idnum": "(?i)ssn|social|security|\\bid\\b|number",
+    "secret": "(?i)(?:token|secret|passw(?:or)?d|(?:api|access|private)[_-]?key|bearer)[\\x20\"']*[:=\\x20][\\x20\"']*$",
 }
 CONTEXT_CHARS = 40
 #: Score of a confirmed match without context words, and what a context word adds.
-SCORE = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "idnum": 0.3}
+SCORE = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "idnum": 0.3, "secret": 0.3}
 BOOST = 0.2
 #: Added kinds count as spans from this score on.
 THRESHOLD = 0.5
@@ -86,6 +94,9 @@ def _valid(kind: str, m: Column) -> Column:
     if kind == "iban":
         s = F.replace(m, F.lit(" "), F.lit(""))
         return F.when(F.length(s).between(15, 34), mod97(s)).otherwise(False)
+    if kind == "secret":
+        different = F.size(F.array_distinct(F.split(m, "")))
+        return F.rlike(m, F.lit("[0-9]")) & F.rlike(m, F.lit("[A-Za-z]")) & (different >= SECRET_DISTINCT)
     return F.lit(True)
 
 
@@ -104,7 +115,7 @@ def _matches(text: Column, kind: str) -> Column:
     located = F.aggregate(F.arrays_zip(F.slice(pieces, F.lit(1), F.size(found)).alias("piece"), found.alias("m")),
                           F.struct(F.lit(0).alias("at"), F.array().cast(kind_of).alias("out")), step)["out"]
     empty = F.array().cast(kind_of)
-    may = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else F.rlike(text, F.lit("[0-9][\\x20-]?[0-9]"))
+    may = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else F.rlike(text, F.lit(MAY.get(kind, "[0-9][\\x20-]?[0-9]")))
     return F.when(may, F.when(F.size(found) > 0, located).otherwise(empty)).otherwise(empty)
 
 
