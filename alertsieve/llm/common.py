@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from alertsieve.session import run_folder
 
@@ -28,6 +32,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _has_map(kind: T.DataType) -> bool:
+    inner = [f.dataType for f in kind.fields] if isinstance(kind, T.StructType) else \
+        [kind.elementType] if isinstance(kind, T.ArrayType) else []
+    return isinstance(kind, T.MapType) or any(_has_map(x) for x in inner)
+
+
+def least_row(row: Column, schema: T.StructType) -> Column:
+    """The least of some rows (structs of ``schema``); where a column holds a map, which has no order, the one whose
+    JSON comes first."""
+    return F.min_by(row, F.to_json(row)) if _has_map(schema) else F.min(row)
+
+
 def bitmap_slot(bits: int, *cols) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1 << bits))
 
@@ -54,6 +70,18 @@ def in_bitmap(bitmap: Column, bits: int, *cols) -> Column:
     return F.getbit(word, slot.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
+class Sent:
+    """A value broadcast as bytes that hold the classes it is made of, so that Python workers need not
+    have this package.  ``value`` unpacks it: ask once per task."""
+
+    def __init__(self, sc, value):
+        self._bytes = sc.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return pickle.loads(self._bytes.value)
+
+
 class KeyFilter:
     """A bitmap of fixed size over long keys, for use inside tasks: ``passes`` is true for every
     key of ``keys`` and, rarely, for another.  At most ``2 ** (bits - 6)`` words reach the

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_bitmap, key_bitmap, stored
+from .common import in_bitmap, key_bitmap, least_row, stored
 
 PREFIX_CHARS = 256
 BITMAP_BITS = 20
@@ -74,6 +74,7 @@ def drop_exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "tex
             .select(rest["_hash"], "_row"))
     repeats = kept.groupBy("_hash").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
     once = kept.join(repeats, "_hash", "left_anti").select("_row")
-    many = (kept.join(repeats, "_hash", "left_semi").groupBy("_hash").agg(F.min("_row").alias("_row"))
+    many = (kept.join(repeats, "_hash", "left_semi").groupBy("_hash")
+            .agg(least_row(F.col("_row"), docs.schema).alias("_row"))
             .select("_row"))
     return singles.select("_row").unionByName(once).unionByName(many).select("_row.*")

@@ -151,7 +151,8 @@ def test_links_grow_with_a_group_not_with_its_square(spark, monkeypatch):
             rows.append((i, " ".join(w)))
         made.clear()
         got = near(docs_df(spark, rows), block=32)
-        assert len({c for _, c in got.values()}) < 5
+        roots = [c for _, c in got.values()]
+        assert max(map(roots.count, set(roots))) >= n // 4
         if n == 150:
             assert got == brute.near_components(rows)
         assert {"near-links-a", "near-links-c"} <= set(made)

@@ -79,3 +79,17 @@ def test_stages_on_odd_rows(spark, odd_rows):
     assert sum(t is None or not t.split() for _, t in kept) == 4      # texts without words are not copies
     assert len([1 for i, _ in kept if i == 4]) == 1                    # a repeated row stays once
     assert P.mix_sources(spark, docs.limit(0), SF001).count() == 0
+
+
+def test_map_columns_and_clashing_names(spark):
+    docs = table(spark, SF001, "documents").limit(80)
+    docs = docs.unionByName(docs.limit(20))  # repeated rows
+    for name in ("_tox", "row", "made", "score", "n_hits", "levels", "_hash", "n_words"):
+        docs = docs.withColumn(name, F.lit("x"))
+    docs = stored(docs.withColumn("m", F.create_map(F.lit("k"), F.col("doc_id"))), "t")
+    for name, stage in P.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF001), "t")
+        assert {"m", "_tox", "score", "row"} <= set(docs.columns), name
+    rows = docs.collect()
+    assert rows and all(r.m == {"k": r.doc_id} and r.score == "x" for r in rows)
+    assert len({r.doc_id for r in rows}) == len(rows)
