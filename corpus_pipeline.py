@@ -5,7 +5,8 @@ result as Parquet into the shared folder and reads it back as the next one's doc
 All stages but the last return the columns of ``documents``.
 
 Rows are told apart by ``doc_id`` and a hash of the text, so NULL and repeated ids are handled:
-decisions about a text hold for the rows with that id and text.  An empty table stays empty.
+decisions about a text hold for the rows with that id and text.  An empty table stays empty.  Extra
+columns are kept, maps too; names that begin with two underscores belong to the stages.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertsieve.llm import decontaminate, exact_dedup, mixing, near_dedup, toxicity
-from alertsieve.llm.common import crc_bucket, stored, table
+from alertsieve.llm.common import crc_bucket, least_row, stored, table
 
 
 ROW = "__row_key"
@@ -58,7 +59,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     again = stored(inside.groupBy(ROW).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(ROW), "near-again")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     once = keyed.join(again, ROW, "left_anti").select(*columns)
-    many = (keyed.join(again, ROW, "left_semi").groupBy(ROW).agg(F.min(F.struct(*columns)).alias("r")).select("r.*"))
+    many = (keyed.join(again, ROW, "left_semi").groupBy(ROW)
+            .agg(least_row(F.struct(*columns), docs.schema).alias("r")).select("r.*"))
     return once.unionByName(many)
 
 
