@@ -3,19 +3,21 @@
 Folding lowers the case, drops invisible characters, maps look-alike letters of other scripts
 and digits or signs standing for letters to one skeleton (``l``, ``i`` and ``1`` share one);
 those behind a letter count both as letters and as what they are.
-The lexicon is learned from labelled rows: candidates are words and word beginnings that stand
-in toxic rows behind many different words and stay out of clean rows, with the log odds of their
-row counts as weights.  Two-word phrases with an entry in it that clean rows use are
-exceptions; a hit inside one does not count.  A logistic curve over the weight found and the
+The lexicon is learned from labelled rows with different texts: terms are words and word beginnings whose share of
+toxic rows can't be chance (a bound on the binomial tail, corrected for the number of words looked at, so a rare insult
+counts as soon as its rows prove it, on any size of table), that stand behind many different words and stay out of
+clean rows, with the log odds of their row counts as weights.  Two-word phrases with an entry in it that clean
+rows use are exceptions; a hit inside one does not count.  A logistic curve over the weight found and the
 weight per word turns hits into a score.
 
 Fitting reads at most ``FIT_ROWS`` rows of each label, the ones with the smallest hash of their
-key; scoring reads every whole text.  The model (at most ``MAX_TERMS`` terms) is all that
+key; scoring reads every whole text.  The model, terms and phrases of those rows, is all that
 reaches the tasks.
 
 Defined results: NULL text is the empty text and has the score of a text without hits; labels
-other than 0 and 1 are ignored, rows labelled both ways count as toxic; without both labels
-among the rows to learn from, every score is 0.
+other than 0 and 1 are ignored, rows labelled both ways count as toxic, a NULL id has no label; without both labels
+among the rows to learn from, every score is 0.  Rows that repeat an id or text are scored alike.  Columns of the
+input that are called like an added one are replaced, any other column is kept.
 """
 
 from __future__ import annotations
@@ -33,11 +35,12 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-FIT_ROWS, MAX_CANDIDATES, MAX_TERMS, MAX_EXCEPTIONS = 8000, 4000, 400, 200
+FIT_ROWS = 8000
 #: Lengths of word beginnings that may become terms.
 STEMS = range(4, 10)
-#: A term needs that many toxic rows, that share of them, and that part of its rows toxic.
-MIN_ROWS, MIN_SHARE, MIN_PURITY = 5, 0.005, 0.98
+#: A term needs that many toxic rows, that part of its rows toxic, words before it that differ in that share of its
+#: rows, and a chance below that to be as toxic if it were any of the words looked at.
+MIN_ROWS, MIN_PURITY, DIVERSITY, DOUBT = 5, 0.98, 0.1, 0.01
 REJECT = 0.7
 #: Rows that a task turns into Python strings at once.
 PIECE = 256
@@ -55,29 +58,42 @@ INVISIBLE = "­​‌‍⁠﻿"
 _MAP = {ord(c): latin for latin, cs in LOOKALIKES.items() for c in cs} | {ord(c): None for c in INVISIBLE}
 _MAP |= {0xFF41 + i: chr(97 + i) for i in range(26)} | {ord("l"): "i"}
 _MAP |= {k: "i" for k, v in _MAP.items() if v == "l"}
-_ASCII = str.maketrans("l", "i")
+#: Characters that the map changes but ``l``: few texts hold one.
+_MAPPED = re.compile("[" + "".join(re.escape(chr(k)) for k in _MAP if k != ord("l")) + "]")
 #: Before a letter; behind one, where signs may also be what they are, so terms are looked for in all forms.
 _STANDIN = re.compile(r"[0-9@$|]+(?=[^\W\d_])")
-_BEHIND = re.compile(r"(?<=[^\W\d_])[0-9@$|+]+|\++(?=[^\W\d_])")
-_SIGNS = re.compile(r"(?<=[^\W\d_])[0-9@$|+!]+|[+!]+(?=[^\W\d_])")
+_BEHIND, _SIGNS = re.compile(r"[0-9@$|+]+"), re.compile(r"[0-9@$|+!]+")
 _STANDIN_MAP = str.maketrans(STANDINS)
-_WORD = re.compile(r"[^\W\d_]+")
+_LETTER, _WORD = re.compile(r"[^\W\d_]"), re.compile(r"[^\W\d_]+")
 
 
 def fold(text: str) -> str:
     t = text.lower()
-    t = t.translate(_ASCII if t.isascii() else _MAP)
-    return _STANDIN.sub(lambda m: m[0].translate(_STANDIN_MAP), t)
+    if not t.isascii():
+        t = _MAPPED.sub(lambda m: _MAP[ord(m[0])] or "", t)
+    return _STANDIN.sub(lambda m: m[0].translate(_STANDIN_MAP), t.replace("l", "i"))
+
+
+def _beside_letters(m: re.Match) -> str:
+    """A run of stand-ins: all of it behind a letter, else its last + and ! before one."""
+    t, run = m.string, m[0]
+    if m.start() and _LETTER.match(t[m.start() - 1]):
+        return run.translate(_STANDIN_MAP)
+    keep = run.rstrip("+!")
+    if len(keep) < len(run) and m.end() < len(t) and _LETTER.match(t[m.end()]):
+        return keep + run[len(keep):].translate(_STANDIN_MAP)
+    return run
 
 
 def forms(folded: str) -> list[str]:
     """The folded text, and what else it may stand for when a word's last letters are written as digits
     or signs.  All are equally long; digits and signs without a letter beside them stay."""
     out = [folded]
-    for pattern in (_BEHIND, _SIGNS):
-        t = pattern.sub(lambda m: m[0].translate(_STANDIN_MAP), folded)
-        if t not in out:
-            out.append(t)
+    signs = _SIGNS.sub(_beside_letters, folded)
+    if signs != folded:  # whatever the shorter pattern changes, this one does
+        for t in (_BEHIND.sub(_beside_letters, folded), signs):
+            if t not in out:
+                out.append(t)
     return out
 
 
@@ -229,9 +245,19 @@ def _features(model: Model):
     return work
 
 
-def _choose(rows: list[list[str]], counts: dict[str, tuple[int, int]], n_bad: int, n_good: int) -> dict[str, float]:
-    """Terms by falling evidence.  A term counts only words that no chosen term covers; it needs
-    enough toxic rows and as many different words before it, so that copies of one toxic text do
+def _evidence(bad: float, good: float, n_bad: int, n_good: int) -> float:
+    """Bound on minus the log of the chance of so large a part of toxic rows, if the word fell into rows of
+    either label alike (Chernoff)."""
+    n, p = bad + good, n_bad / (n_bad + n_good)
+    x = bad / n if n else 0.0
+    if x <= p:
+        return 0.0
+    return n * (x * math.log(x / p) + ((1 - x) * math.log((1 - x) / (1 - p)) if x < 1 else 0.0))
+
+
+def _choose(rows: list[list[str]], counts: dict[str, tuple[int, int]], n_bad: int, n_good: int, least: float) -> dict[str, float]:
+    """Terms by falling evidence.  A term counts only words that no chosen term covers; it needs evidence of
+    ``least`` and many different words before it, so that near copies of one toxic text do
     not make all of its words terms."""
     where: dict[str, list[tuple[int, str, str]]] = {}
     for i, words in enumerate(rows):
@@ -243,17 +269,15 @@ def _choose(rows: list[list[str]], counts: dict[str, tuple[int, int]], n_bad: in
 
     def weight(bad: int, good: int) -> float:
         return math.log((bad + 0.5) / (n_bad + 1)) - math.log((good + 0.5) / (n_good + 1))
-    need = max(MIN_ROWS, math.ceil(MIN_SHARE * n_bad))
     order = sorted(where, key=lambda t: (-counts[t][0] * weight(*counts[t]), t[-1] == "$", -len(t), t))
     out: dict[str, float] = {}
     for t in order:
-        if len(out) == MAX_TERMS:
-            break
         left = [(i, w, before) for i, w, before in where[t]
                 if w + "$" not in out and not any(w[:n] in out for n in STEMS)]
         bad, good = len({i for i, _, _ in left}), counts[t][1]
         pure = bad / n_bad >= MIN_PURITY * (bad / n_bad + good / n_good)
-        if bad >= need and len({before for _, _, before in left}) >= need and pure:
+        various = len({before for _, _, before in left}) >= max(MIN_ROWS, DIVERSITY * bad)
+        if bad >= MIN_ROWS and various and pure and _evidence(bad, good, n_bad, n_good) >= least:
             out[t] = weight(bad, good)
     return out
 
@@ -279,26 +303,26 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     pick = lambda v: one.filter(F.col("toxic") == v).orderBy(F.xxhash64(key), key).limit(rows)
     chosen = pick(0).unionByName(pick(1))  # at most 2 * rows keys: safe to broadcast
     sample = stored(docs.select(F.col(key), F.col(text).alias("t")).join(F.broadcast(chosen), key)
-                    .select("t", "toxic"), "tox-fit")
+                    .select("t", "toxic").distinct(), "tox-fit")  # copies of a text prove nothing more
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return Model()
     n_bad, n_good = n[1], n[0]
-    counted = sample.mapInArrow(_count_terms, "term string, bad long, good long").groupBy("term").agg(
-        F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counted = stored(sample.mapInArrow(_count_terms, "term string, bad long, good long").groupBy("term").agg(
+        F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter(F.col("bad") + F.col("good") >= MIN_ROWS), "tox-terms")
+    least = math.log(max(counted.count(), 1) / DOUBT)
     # rows of a label are weighed by its sample
     rate = F.col("bad") / n_bad
     pure = rate >= MIN_PURITY * (rate + F.col("good") / n_good)
-    top = (counted.filter((F.col("bad") >= MIN_ROWS) & pure)
-           .orderBy(F.desc("bad"), "good", F.desc(F.length("term")), "term").limit(MAX_CANDIDATES).collect())
-    counts = {r["term"]: (r["bad"], r["good"]) for r in top}
+    top = counted.filter((F.col("bad") >= MIN_ROWS) & pure).collect()  # words of at most 2 * ``rows`` texts
+    counts = {r["term"]: (r["bad"], r["good"]) for r in top if _evidence(r["bad"], r["good"], n_bad, n_good) >= least}
     found = (sample.filter("toxic = 1").select("t").mapInArrow(_term_words(set(counts)), "words array<string>")
              .collect())
-    model = Model(terms=_choose([r["words"] for r in found], counts, n_bad, n_good))
+    model = Model(terms=_choose([r["words"] for r in found], counts, n_bad, n_good, least))
     phrases = (sample.mapInArrow(_phrases(model), "phrase string, toxic int").groupBy("phrase")
                .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
                .filter((F.col("good") >= MIN_ROWS) & (F.col("good") / n_good > 9 * F.col("bad") / n_bad))
-               .orderBy(F.desc("good"), "phrase").limit(MAX_EXCEPTIONS).collect())
+               .orderBy(F.desc("good"), "phrase").collect())
     model.exceptions = [r["phrase"] for r in phrases]
     x = sample.mapInArrow(_features(model), "toxic int, weight double, chars double").toArrow()
     y, w, c = (x[k].to_numpy().astype(np.float64) for k in ("toxic", "weight", "chars"))
@@ -318,5 +342,7 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", score: str =
         made = [score_texts(matcher[0], texts.slice(at, PIECE).to_pylist()) for at in range(0, max(len(texts), 1), PIECE)]
         return pa.StructArray.from_arrays([pa.array(np.concatenate([m[i] for m in made])) for i in range(2)],
                                           names=["score", "hits"])
-    return (docs.withColumn("_tox", scored(F.col(f"`{text}`")))
-            .withColumn(score, F.col("_tox.score")).withColumn(hits, F.col("_tox.hits")).drop("_tox"))
+    # the text goes in under a name of its own, so the added column clashes with none
+    both = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), scored(F.col(f"`{text}`")).alias("made"))
+    return both.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in (score, hits)],
+                       F.col("made.score").alias(score), F.col("made.hits").alias(hits))
