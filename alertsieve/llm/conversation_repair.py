@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -50,6 +49,8 @@ FINAL = (START, AFTER_A)
 LEGAL = {(S, U), (U, A), (A, U)}
 #: Rows of a block of the estimate, at least, and blocks of a conversation, at most.
 BLOCK, BLOCKS = 16, 64
+#: Answers that a task keeps for conversations alike.
+KNOWN = 4096
 STATS = ("rows", "gaps", "blank", "duplicate", "truncated", "illegal", "cost")
 
 
@@ -102,7 +103,6 @@ def _estimate(kinds: bytes) -> list[int]:
     return out
 
 
-@lru_cache(maxsize=1 << 12)
 def search(kinds: bytes) -> tuple[int, str]:
     """(cost, edits) of the cheapest repair of rows given as bytes; of equal costs, the edits that
     come first in ASCII order."""
@@ -157,19 +157,24 @@ class _Facts:
                 self.turns += 1
                 self.last = turn
 
-    def row(self) -> tuple:
+    def row(self, known: dict) -> tuple:
+        """``known`` holds answers of conversations with the same bytes."""
         kinds = bytes(self.kinds)
         roles, faults = [k >> 2 for k in kinds], [k & 3 for k in kinds]
         gaps = 0 if self.first is None else self.last - self.first + 1 - self.turns
         illegal = sum(pair not in LEGAL for pair in zip(roles, roles[1:]))
-        cost, audit = search(kinds)
+        if kinds not in known:
+            if len(known) >= KNOWN:
+                known.clear()
+            known[kinds] = search(kinds)
+        cost, audit = known[kinds]
         return (self.conv, len(kinds), gaps, faults.count(BLANK), faults.count(DUPLICATE), faults.count(CUT),
                 illegal, cost, audit)
 
 
 def _audits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (conv, kind, turn) in order -> one row per conversation."""
-    facts, out, schema = None, [], None
+    facts, out, schema, known = None, [], None, {}
 
     def batch():
         names = ["conv", *STATS, "audit"]
@@ -180,7 +185,7 @@ def _audits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for conv, kind, turn in zip(*[c.to_pylist() for c in b.columns]):
             if facts is None or facts.conv != conv:
                 if facts is not None:
-                    out.append(facts.row())
+                    out.append(facts.row(known))
                 facts = _Facts(conv)
             if kind is not None:
                 facts.add(kind, turn)
@@ -188,7 +193,7 @@ def _audits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch()
             out = []
     if facts is not None:
-        out.append(facts.row())
+        out.append(facts.row(known))
         yield batch()
 
 
