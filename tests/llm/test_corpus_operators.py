@@ -25,7 +25,7 @@ SF01 = "/root/testdata/sf0.01"
 
 def same(df, sql, sf):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     res = con.execute(sql)
     names = [d[0] for d in res.description]
