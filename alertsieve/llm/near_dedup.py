@@ -15,8 +15,12 @@
    different components, and returns one link for each component that it joins to another: never a pair twice over.
 5. Groups over ``BLOCK`` members go first.  They are cut by set size (sets that can be linked have similar
    sizes) and into blocks; ``HUBS`` members that share most list entries with others join every block, so a block
-   is linked to the rest of its group through them (A).  Members outside the component of the chief hub then meet all blocks
-   (B).  What is left of the small groups, those with two components or more, comes last (C).  No task holds more than two blocks of sets.
+   is linked to the rest of its group through them (A).  What is left open is not paired group by group: classes of the groups that
+   still have several components are listed anew by the rarest hashes of their full sets, so many that two linked sets
+   share one (prefix filter, nothing is missed).  Edited copies whose rare hashes are their own are in no list.  The groups of
+   these lists that have two components or more are compared; of one over ``BLOCK``, members outside its chief component
+   meet all blocks (B).  What is left of the small groups, those with two components or more, comes last (C).  No task
+   holds more than two blocks of sets.
 6. Components of the links, in Spark, after each of these steps.
 
 Defined results: NULL, empty and word-free texts have the empty set and are linked with nothing;
@@ -47,6 +51,8 @@ THRESHOLD = (85, 100)
 SPREAD = 7.5
 BLOCK, HUBS = 512, 16
 BITMAP_BITS = 22
+#: Slots in which hashes are counted to tell rare ones.
+SLOT_BITS = 20
 _RANDOM = W.mix(np.arange(1, 3, dtype=W.U) * W.U(0x632BE59BD9B4E019))
 
 
@@ -279,61 +285,118 @@ def _linked(members: DataFrame, sets: DataFrame, sketch: int, threshold: tuple[i
     if not count.filter(F.col("c") > block).isEmpty():
         sets = stored(sets, "near-sets")  # read by every step
         small = members.join(count.filter(F.col("c") <= block), "pivot").drop("c")
-        large = stored(_cut(members.join(count.filter(F.col("c") > block), "pivot"), threshold, block), "near-cut")
+        large = stored(_cut(members.join(count.filter(F.col("c") > block), "pivot"), threshold, block, ["shared", "n"]), "near-cut")
         by = ["pivot", "size", "block"]
-        chief, hubs = _hubs(large)
+        hubs = _hubs(large)
         own = large.select(*by, "class").union(hubs.select(*by, "class")).distinct()
         found = links(own.withColumn("root", F.col("class")).withColumn("asks", F.lit(True)), by, "near-links-a")
         roots = stored(components(found), "near-roots-a")
 
-        # members outside the component of their group's chief hub meet every block of the group
-        known = relabel(large, roots)
-        chief = relabel(chief, roots).select("pivot", "size", F.col("root").alias("chief"))
-        known = stored(known.join(chief, ["pivot", "size"]).withColumn("asks", F.col("root") != F.col("chief")), "near-known")
-        rests = stored(known.filter("asks").groupBy("pivot", "size")
-                       .agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("rests")), "near-rests")
-        if not rests.isEmpty():
-            left = known.join(rests, ["pivot", "size"])
-            rest = F.pmod(F.xxhash64("class", F.lit(1)), F.col("rests")).cast("int")
-            columns = ["pivot", "size", "block", "rest", "class", "root", "asks"]
-            asking = (left.filter("asks").withColumn("rest", rest)
-                      .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
-            asked = (left.withColumn("rest", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)))
-                     .withColumn("asks", F.lit(False)))
-            more = links(asking.select(*columns).union(asked.select(*columns)), [*by, "rest"], "near-links-b")
+        # groups that still have several components, listed anew by the rarest hashes of their classes
+        known = stored(relabel(large, roots), "near-known")
+        left = _open(known, ["pivot", "size"], "near-rests")
+        left = stored(known.join(left, ["pivot", "size"]).select("class", "n", "root").distinct(), "near-left")
+        if not left.isEmpty():
+            more = _rare_links(left, sets, links, sketch, threshold, block)
             roots = stored(components(_stars(roots).union(more)), "near-roots-b")
     if roots is None:
         rows = small.select("pivot", "class").withColumn("root", F.col("class"))
     else:
         rows = relabel(small.select("pivot", "class"), roots)
-        open_ = stored(rows.groupBy("pivot").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-                       .filter("x != y").select("pivot"), "near-open")
-        rows = rows.join(open_, "pivot")
+        rows = rows.join(_open(rows, ["pivot"], "near-open"), "pivot")
     last = links(rows.withColumn("asks", F.lit(True)), ["pivot"], "near-links-c")
     return components(last if roots is None else _stars(roots).union(last))
 
 
+def _open(rows: DataFrame, by: list[str], label: str) -> DataFrame:
+    """The groups whose members are of two components or more."""
+    return stored(rows.groupBy(*by).agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select(*by), label)
+
+
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of a task's sets by slot."""
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    for b in batches:
+        for x in b.column(0).to_pylist():
+            counts += np.bincount(_slots(np.frombuffer(x, dtype=W.U)), minlength=len(counts))
+    some = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["slot", "c"])
+
+
+def _slots(s: np.ndarray) -> np.ndarray:
+    return (s >> W.U(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _rare_keys(counts, threshold: tuple[int, int]):
+    """(class, n, root, keys) of sets (class, n, root, hashes): the rarest hashes, by slot count and then by the hash, one more than
+    a linked set can do without.  Two linked sets share one: the order is the same for all, and the counts only serve it."""
+    num, den = threshold
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = counts.value
+        for b in batches:
+            keys = []
+            for x in b.column(3).to_pylist():
+                s = np.frombuffer(x, dtype=W.U)
+                order = np.lexsort((s, table[_slots(s)]))
+                keys.append(s[order[:len(s) + 1 + -num * len(s) // den]].view(np.int64))
+            yield pa.RecordBatch.from_arrays(b.columns[:3] + [pa.array(keys, pa.list_(pa.int64()))], names=["class", "n", "root", "keys"])
+    return work
+
+
+def _rare_links(left: DataFrame, sets: DataFrame, links, sketch: int, threshold: tuple[int, int], block: int) -> DataFrame:
+    """Links between the components of ``left`` (class, n, root): all pairs of linked sets are looked at."""
+    spark = left.sparkSession
+    mine = stored(left.join(sets, "class").select("class", "n", "root", "hashes"), "near-left-sets")
+    found = (mine.select("hashes").mapInArrow(_slot_counts, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow())
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    counts[found["slot"].to_numpy()] = found["c"].to_numpy()
+    keyed = stored(mine.mapInArrow(_rare_keys(spark.sparkContext.broadcast(counts), threshold),
+                                   "class binary, n long, root binary, keys array<long>"), "near-rare")
+    listed = keyed.select("class", "n", "root", F.explode("keys").alias("key"))
+    lists = stored(listed.groupBy("key").agg(F.min("class").alias("pivot"), F.min("root").alias("x"), F.max("root").alias("y"))
+                   .filter("x != y").select("key", "pivot"), "near-rare-lists")
+    rows = stored(listed.join(lists, "key").select("pivot", "class", "n", "root").distinct(), "near-rare-groups")
+    count = stored(rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("c")), "near-rare-counts")
+    more = links(rows.join(count.filter(F.col("c") <= block), "pivot").withColumn("asks", F.lit(True)), ["pivot"], "near-links-s")
+    large = count.filter(F.col("c") > block)
+    if large.isEmpty():
+        return more
+    known = stored(_cut(rows.join(large, "pivot"), threshold, block, ["root"]), "near-rare-cut")
+    by = ["pivot", "size"]
+    chief = known.groupBy(*by, "root").agg(F.count(F.lit(1)).alias("c")).groupBy(*by).agg(F.max_by("root", F.struct("c", "root")).alias("chief"))
+    known = stored(known.join(chief, by).withColumn("asks", F.col("root") != F.col("chief")), "near-rare-known")
+    rests = stored(known.filter("asks").groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("rests")), "near-rare-rests")
+    known = known.join(rests, by)
+    rest = F.pmod(F.xxhash64("class", F.lit(1)), F.col("rests")).cast("int")
+    columns = [*by, "block", "rest", "class", "root", "asks"]
+    asking = (known.filter("asks").withColumn("rest", rest)
+              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    asked = (known.withColumn("rest", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)))
+             .withColumn("asks", F.lit(False)))
+    return more.union(links(asking.select(*columns).union(asked.select(*columns)), [*by, "block", "rest"], "near-links-b"))
+
+
 def _stars(roots: DataFrame) -> DataFrame:
     return roots.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
-def _cut(members: DataFrame, threshold: tuple[int, int], block: int) -> DataFrame:
+def _cut(members: DataFrame, threshold: tuple[int, int], block: int, carry: list[str]) -> DataFrame:
     """Members of large groups by (pivot, size, block), each in two size steps: sets whose sizes allow a link are in the
     same step or in neighbouring ones.  ``parts`` is the number of blocks of a step."""
     step = math.log(threshold[1] / threshold[0]) * (1 + 1e-9)
     level = F.floor(F.log(F.col("n").cast("double")) / step).cast("int")
-    rows = members.select("pivot", "class", "shared", F.explode(F.array(level, level + 1)).alias("size"))
+    rows = members.select("pivot", "class", *carry, F.explode(F.array(level, level + 1)).alias("size"))
     parts = stored(rows.groupBy("pivot", "size")
                    .agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("parts")), "near-parts")
     return (rows.join(parts, ["pivot", "size"])
             .withColumn("block", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")))
 
 
-def _hubs(large: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pivot, size, class) of the chief hub of every step, and its ``HUBS`` hubs, one row for each block: the members
-    that share most list entries, the best of every hash bucket."""
+def _hubs(large: DataFrame) -> DataFrame:
+    """(pivot, size, class) of the ``HUBS`` hubs of every step, one row for each block: the members that share most list entries,
+    the best of every hash bucket."""
     best = F.max(F.struct("shared", "class", "parts")).alias("h")
     bucket = F.pmod(F.xxhash64("class", F.lit(2)), F.lit(HUBS)).alias("bucket")
-    some = stored(large.groupBy("pivot", "size", bucket).agg(best).select("pivot", "size", "h.*"), "near-hubs")
-    chief = some.groupBy("pivot", "size").agg(best).select("pivot", "size", "h.class")
-    return chief, some.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    some = large.groupBy("pivot", "size", bucket).agg(best).select("pivot", "size", "h.*")
+    return some.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))

@@ -192,3 +192,31 @@ def test_recall_of_sets_beyond_the_sketch(spark, low, high):
         rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
     got = near(docs_df(spark, rows))
     assert all(got[2 * i + 1][1] == 2 * i for i in range(150))
+
+
+def test_edited_copies_are_not_paired_by_blocks(spark, monkeypatch):
+    """A large group of copies with edits of their own: sets handed to tasks grow with the texts, not with their square."""
+    seen, verify = spark.sparkContext.accumulator(0), N._verify
+
+    def counted(*args):
+        work = verify(*args)
+
+        def run(group):
+            seen.add(group.num_rows)
+            return work(group)
+        return run
+    monkeypatch.setattr(N, "_verify", counted)
+    base, sizes = words(5, 120), {}
+    for n in (100, 400):
+        r, docs = random.Random(4), []
+        for i in range(n):
+            t = list(base)
+            for k in range(8):
+                t[r.randrange(15 * k, 15 * k + 12)] = f"e{i}n{k}"
+            docs.append((2 * i, " ".join(t)))
+            if i % 10 == 0:
+                docs.append((2 * i + 1, " ".join(t + [f"z{i}"])))  # a linked twin
+        before = seen.value
+        assert near(docs_df(spark, docs), block=16) == brute.near_components(docs)
+        sizes[n] = seen.value - before
+    assert sizes[400] < 6 * sizes[100], sizes
