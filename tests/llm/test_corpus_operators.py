@@ -394,3 +394,22 @@ def test_word_probabilities_share_one_in_every_context():
     assert lp[()] == pytest.approx(half(0.2, 20), abs=1e-4)
     assert lp[(a,)] == pytest.approx(half(0.4, 40) + half(0.2, 20), abs=1e-4)
     assert lp[(a, b, a)] == pytest.approx(2 * half(0.4, 40) + half(0.2, 20), abs=1e-4)
+
+
+def test_weight_is_learned_from_every_training_text(spark, monkeypatch):
+    weighed, likelihoods = spark.sparkContext.accumulator(0), LM._likelihoods
+
+    def counted(*args):
+        work = likelihoods(*args)
+
+        def run(batches):
+            def each():
+                for b in batches:
+                    weighed.add(b.num_rows)
+                    yield b
+            return work(each())
+        return run
+    monkeypatch.setattr(LM, "_likelihoods", counted)
+    docs = docs_df(spark, [(i, " ".join(words(i, 30))) for i in range(90)])
+    got = LM.score_documents(docs, F.col("doc_id") % 3 != 0).collect()
+    assert len(got) == 90 and weighed.value == 60
