@@ -32,19 +32,28 @@ def _marks(spark: SparkSession, alert_path: str) -> dict[int, str]:
 
 
 def partial_rows(alerts: DataFrame, galaxies: DataFrame, sky_objects: DataFrame) -> DataFrame:
-    """(night, kind, key, part, n) of alerts with their night: one scan, one aggregation."""
+    """(night, kind, key, part, n) of alerts with their night: one scan, two groupings of it.
+
+    An alert counts once for its object and class and once for its label and the set of its filters (a bit each); labels
+    and filters are taken apart after the alerts that share them have been counted."""
     names = FL.ROW_FILTERS + FL.CATALOGUE_FILTERS
     simbad = f"coalesce({FL.filter_sql('simbad_candidates', alerts)}, false)"
     flags = [F.expr(f"coalesce({FL.filter_sql(n, alerts)}, false)").alias(f"f_{n}") for n in FL.ROW_FILTERS]
     rows = KN.catalogue_flags(alerts, galaxies, sky_objects, keep=[NIGHT, "objectId", "cdsxmatch"],
                               extra=[*flags, K.classify(alerts).alias("class"), F.expr(simbad).alias("simbad")])
+    passed = " + ".join(f"CASE WHEN f_{n} THEN {1 << i}L ELSE 0L END" for i, n in enumerate(names))
+    some = rows.selectExpr(NIGHT, "objectId", "class", "CASE WHEN simbad THEN cdsxmatch END AS label", f"{passed} AS passed")
+    counts = (some.groupingSets([[NIGHT, "objectId", "class"], [NIGHT, "label", "passed"]],
+                                NIGHT, "objectId", "class", "label", "passed")
+              .agg(F.count(F.lit(1)).alias("n"), (F.grouping("objectId") == 0).alias("of_object")))
     entry = "named_struct('kind', '{}', 'key', {}, 'part', {})"
     null = "CAST(NULL AS STRING)"
-    entries = [entry.format("object", "objectId", "class")]
-    entries += [f"CASE WHEN simbad AND cdsxmatch IS NOT NULL THEN {entry.format('label', 'cdsxmatch', null)} END"]
-    entries += [f"CASE WHEN f_{n} THEN {entry.format('filter', repr(n), null)} END" for n in names]
-    return (rows.select(NIGHT, F.explode(F.expr(f"filter(array({', '.join(entries)}), x -> x IS NOT NULL)")).alias("e"))
-            .groupBy(NIGHT, "e.kind", "e.key", "e.part").agg(F.count(F.lit(1)).alias("n")))
+    entries = [f"CASE WHEN label IS NOT NULL THEN {entry.format('label', 'label', null)} END"]
+    entries += [f"CASE WHEN passed & {1 << i}L != 0 THEN {entry.format('filter', repr(n), null)} END" for i, n in enumerate(names)]
+    apart = (f"CASE WHEN of_object THEN array({entry.format('object', 'objectId', 'class')}) "
+             f"ELSE filter(array({', '.join(entries)}), x -> x IS NOT NULL) END")
+    return (counts.select(NIGHT, F.explode(F.expr(apart)).alias("e"), "n")
+            .groupBy(NIGHT, "e.kind", "e.key", "e.part").agg(F.sum("n").alias("n")))
 
 
 def refresh(spark: SparkSession, alert_path: str, path: str, galaxies: DataFrame, sky_objects: DataFrame) -> list[int]:

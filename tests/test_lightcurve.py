@@ -42,6 +42,19 @@ def test_orphan_terms_on_histories(spark):
     assert terms[7].n_valid == 1 and terms[7].all_faint
 
 
+def test_orphan_folds_only_three_valid_points(spark, monkeypatch):
+    young = dict(jd=2460010.0, jdstarthist=2460001.0)
+    faint = [point(2460001.0 + i, 1, 18.5) for i in range(4)]
+    rows = [alert(1, history=faint[:1], magpsf=18.9, **young), alert(2, history=faint[:3], magpsf=18.9, **young),
+            alert(3, history=faint[:2] + [point(2460003.0, 1, None), point(2460004.0, 1, float("nan"))], magpsf=None, **young),
+            alert(4, history=None, magpsf=18.9, **young), alert(5, history=faint[:3] + [point(2460004.0, 2, None)], magpsf=18.9, **young)]
+    df = alerts_df(spark, rows)
+    n = df.select("candid", F.expr(L.n_valid_sql()).alias("n"), F.expr(f"{L.fold_orphan_sql(L.lc_concat_sql())}.n_valid").alias("f"))
+    assert {r.candid: (r.n, r.f) for r in n.collect()} == {1: (2, 2), 2: (4, 4), 3: (2, 2), 4: (1, 1), 5: (4, 4)}
+    monkeypatch.setattr(L, "fold_orphan_sql", lambda lc: f"named_struct('all_terms', size({lc}) > 0 AND CAST(raise_error('folded') AS BOOLEAN))")
+    assert all(r.f is False for r in df.select(FL.orphan_grb(df).alias("f")).collect())
+
+
 def test_days_since_last_and_same_band(spark):
     rows = [alert(1, history=[point(2460001.0, 2, 18.0), point(2460002.0, 1, None)], jd=2460004.0, fid=1),
             alert(2, history=[], jd=2460004.0)]

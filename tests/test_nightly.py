@@ -49,3 +49,28 @@ def test_scan_names_only_the_changed_night(spark):
     some = read_alerts(spark, table).filter(F.col("night").isin([2460000]))
     plan = N.partial_rows(some, galaxies(spark, SF01), sky_objects(spark, SF01))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(night" in plan
+
+
+def test_alerts_are_counted_before_labels_and_filters_are_taken_apart(spark):
+    a = alerts(spark, SF01).withColumn("night", F.floor("candidate.jd"))
+    rows = N.partial_rows(a, galaxies(spark, SF01), sky_objects(spark, SF01))
+    lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    generate, aggregates = (next(i for i, x in enumerate(lines) if "Generate explode" in x),
+                            [i for i, x in enumerate(lines) if "Aggregate" in x])
+    # the tree is printed from the top: below the explosion lies an aggregation of the alerts
+    assert aggregates[-1] > generate
+    got = rows.collect()
+    assert len(got) == len({(r.night, r.kind, r.key, r.part) for r in got})
+    assert sum(r.n for r in got if r.kind == "object") == a.count()
+
+
+def test_missing_keys_of_counts_by_night(spark):
+    a, g, s = alerts(spark, SF01), galaxies(spark, SF01), sky_objects(spark, SF01)
+    odd = a.withColumn("night", F.lit(1).cast("long")).withColumn("objectId", F.when(F.col("candid") % 2 == 0, F.col("objectId")))
+    odd = odd.withColumn("cdsxmatch", F.when(F.col("candid") % 3 == 0, F.col("cdsxmatch")))
+    got = N.partial_rows(odd, g, s).collect()
+    some = odd.agg(F.sum(F.col("objectId").isNull().cast("int")), F.sum(F.expr("cdsxmatch = 'RRLyr'").cast("int"))).first()
+    assert sum(r.n for r in got if r.kind == "object" and r.key is None) == some[0] > 0
+    assert [r.n for r in got if r.kind == "filter" and r.key == "rrlyr"] == [some[1]]
+    assert [r.n for r in got if r.kind == "label" and r.key == "RRLyr"] == [some[1]]
+    assert all(r.key is not None for r in got if r.kind != "object")
