@@ -289,6 +289,21 @@ def test_gradients_match_differences():
         assert g == pytest.approx((up - down) / 2e-2, abs=2e-3), name
 
 
+def test_logarithms_of_many_are_summed_without_underflow():
+    x = np.concatenate([10.0 ** np.random.default_rng(1).uniform(-290, 0, 2000), np.full(1500, 1e-285), [1.0, 0.5]])
+    assert LM._log10_sum(x) == pytest.approx(np.log10(x).sum(), rel=1e-12) and LM._log10_sum(x[:0]) == 0
+
+
+def test_rows_of_equal_ids_are_summed():
+    r = np.random.default_rng(5)
+    for top in (50, 1 << 20):  # also ids of more than 16 bits
+        ids, rows = r.integers(0, top, 400), r.random((400, 3)).astype(np.float32)
+        u, total = A._sum_rows(ids, rows)
+        want = np.zeros((top, 3))
+        np.add.at(want, ids, rows)
+        assert list(u) == sorted(set(ids.tolist())) and np.allclose(total, want[u], atol=1e-4)
+
+
 def test_training_beats_unigram():
     r = np.random.default_rng(3)
     n = 20
