@@ -1,6 +1,7 @@
 """Toxicity, line dedup, mixing, language-model scores: brute force, SQL, held-out quality, odd cases."""
 
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -428,3 +429,70 @@ def test_weight_is_learned_from_every_training_text(spark, monkeypatch):
     docs = docs_df(spark, [(i, " ".join(words(i, 30))) for i in range(90)])
     got = LM.score_documents(docs, F.col("doc_id") % 3 != 0).collect()
     assert len(got) == 90 and weighed.value == 60
+
+
+def _gathered(texts, learn):
+    vocab, m = LM.read_vocabulary(), len(texts)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(m), pa.int64()), pa.array(range(m), pa.int64()), pa.array(learn), pa.array(range(m), pa.int64()),
+         pa.array(texts, pa.string())], names=list("kuldt"))
+    return pa.Table.from_batches(LM._gather(_Sent(vocab), max(vocab.values()) + 1, np.uint16)(iter([batch])))
+
+
+def test_equal_words_are_encoded_once(monkeypatch):
+    texts = ["a thonre b " * 40, "Thonre c\u00a0 \u00a0d a\u3000 b", None, "", "a b zzqx\n\tthonre 中a"]
+    learn = [True, True, True, False, False]
+    plain = LM._Encoder(LM.read_vocabulary())
+    want = [plain.ids(b) for b in [(t or "").encode().lower() for t in texts]]
+    encoded, ids = [], LM._Encoder.ids
+    monkeypatch.setattr(LM._Encoder, "ids", lambda self, raw: encoded.extend(raw.split()) or ids(self, raw))
+    for known in (1 << 19, 1):  # also when the words kept are forgotten
+        monkeypatch.setattr(LM, "KNOWN_WORDS", known)
+        monkeypatch.setattr(LM.W, "CHUNK_BYTES", 500 if known == 1 else 1 << 20)
+        del encoded[:]
+        rows = _gathered(texts, learn)
+        if known > 1:
+            assert len(encoded) == len(set(encoded)) == len({w for t in texts for w in (t or "").encode().lower().split()})
+        docs = rows.filter(pc.field("kind") == LM._DOC)
+        assert [list(np.frombuffer(x, np.uint16)) for x in docs["ids"].to_pylist()] == [list(x) for x in want]
+        words = rows.filter(pc.field("kind") == LM._WORD)
+        got = Counter()
+        for h, n in zip(words["key"].to_pylist(), words["n"].to_pylist()):
+            got[h] += n
+        of = lambda w: int(LM._word_hashes(ids(plain, w), np.array([0])).view(np.int64)[0])
+        assert got == Counter(of(w) for t, use in zip(texts, learn) if use for w in (t or "").encode().lower().split())
+
+
+def test_texts_are_weighed_in_the_step_that_trains_on_them(monkeypatch):
+    texts = [text(i, n) for i, n in enumerate([1, 3, 15, 16, 40, 300])] + [None]
+    rows = _gathered(texts, [True] * len(texts))
+    raw = rows.filter(pc.field("kind") == LM._DOC).select(["ids"])
+    vocab = LM.read_vocabulary()
+    end, begins, counts = max(vocab.values()) + 1, LM._Encoder(vocab).begins, np.zeros(max(vocab.values()) + 2)
+    some = rows.filter(pc.field("kind") == LM._ID)
+    counts[some["key"].to_numpy()] = some["n"].to_numpy()
+    ids, n_texts = LM._Ids(counts), len(texts)
+    model = A.new_params(ids.unigram)
+    found = rows.filter(pc.field("kind") == LM._WORD)
+    table, total = LM._Frequent(found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()), int(sum(found["n"].to_numpy())) + n_texts
+    h, _, lp, ends = LM._Words(model, ids, begins, end, np.uint16)(raw["ids"].to_pylist())
+    share = np.concatenate([table.counts(h) - 1, np.full(n_texts, n_texts - 1)]) / (total - 1)
+    want = [np.log10(w * 10 ** np.concatenate([lp, ends]) + (1 - w) * share).sum() for w in LM.TRUSTS]
+
+    def twice(*args):
+        raise AssertionError("a text goes through the model a second time")
+    monkeypatch.setattr(A, "Scorer", twice)
+    monkeypatch.setattr(LM, "RATE", 0.0)  # the model stays what it is
+    out = list(LM._likelihoods(_Sent(model), _Sent(ids), 0, np.uint16, _Sent(table), _Sent(begins), total, n_texts)(
+        iter(raw.combine_chunks().to_batches())))
+    assert out[-1]["part"].to_pylist() == [-1]
+    assert np.allclose(np.frombuffer(out[-1]["v"][0].as_py()), want, rtol=1e-5)
+    trained = np.concatenate([np.frombuffer(x) for b in out[:-1] for x in b["v"].to_pylist()])
+    assert trained[-2] == counts.sum() and np.allclose(trained[:len(model.flat())] / trained[-2], model.flat())
+
+
+def test_parts_of_all_tasks_are_added():
+    values = np.random.default_rng(3).random((3, 2 * LM.PART + 5))
+    rows = pa.Table.from_batches([LM._parts(v) for v in values])
+    parts = [LM._added(rows.filter(pc.field("part") == k)) for k in range(3)]
+    assert np.allclose(np.concatenate([np.frombuffer(p["v"][0].as_py()) for p in parts]), values.sum(axis=0))
