@@ -496,3 +496,10 @@ def test_parts_of_all_tasks_are_added():
     rows = pa.Table.from_batches([LM._parts(v) for v in values])
     parts = [LM._added(rows.filter(pc.field("part") == k)) for k in range(3)]
     assert np.allclose(np.concatenate([np.frombuffer(p["v"][0].as_py()) for p in parts]), values.sum(axis=0))
+
+
+def test_products_in_pieces_are_the_products():
+    r = np.random.default_rng(9)
+    for n in (0, 3, A._ROWS, 2 * A._ROWS + 7):
+        a, c, w = r.random((n, 5)).astype(np.float32), r.random((n, 3)).astype(np.float32), r.random((3, 5)).astype(np.float32)
+        assert np.allclose(A._times(a, w.T), a @ w.T, atol=1e-5) and np.allclose(A._across(a, c), a.T @ c, atol=1e-3)
